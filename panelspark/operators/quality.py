@@ -102,6 +102,7 @@ class Spec:
     min_rows: int | None = None
     max_rows: int | None = None
     checks: list = field(default_factory=list)
+    profile_nulls: bool = False  # add an informational null count per column
 
 
 def _row(rule: str, column: str | None, violations: Column, passed: Column, detail: Column) -> Column:
@@ -146,6 +147,9 @@ def dq_report(df: DataFrame, spec: Spec) -> DataFrame:
             continue
         present_not_null.append(col)
         flag_aggs[f"nn__{col}"] = F.count_if(F.col(col).isNull())
+    profiled = list(schema) if spec.profile_nulls else []
+    for i, col in enumerate(profiled):
+        flag_aggs[f"pn__{i}"] = F.count_if(F.col(f"`{col}`").isNull())
     row_checks = [c for c in spec.checks if isinstance(c, RowCheck)]
     for i, chk in enumerate(row_checks):
         if chk.column not in schema:
@@ -195,6 +199,9 @@ def dq_report(df: DataFrame, spec: Spec) -> DataFrame:
     if unique:
         d = F.col("dups")
         rows.append(_row("unique", ",".join(unique), d, d == 0, F.format_string("%d duplicate keys", d)))
+    for i, col in enumerate(profiled):
+        v = F.col(f"pn__{i}")
+        rows.append(_row("null_count", col, v, F.lit(True), F.lit("")))
     for i, chk in enumerate(row_checks):
         if f"rc__{i}" in flag_aggs:
             v = F.col(f"rc__{i}")

@@ -63,11 +63,16 @@ def sort_output(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("date").asc_nulls_last(), F.col("region_name").asc_nulls_last())
 
 
-def cluster_for_write(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range partitions on date, each sorted by (date, region_name): the files
-    concatenate into the sorted table without a single-task sort."""
-    parted = df.repartitionByRange(partitions, "date") if partitions else df.repartitionByRange("date")
-    return parted.sortWithinPartitions(F.col("date").asc_nulls_last(), F.col("region_name").asc_nulls_last())
+def cluster_for_write(df: DataFrame) -> DataFrame:
+    """Cluster files by date, each sorted by (date, region_name).
+
+    ``rebalance`` on date lets AQE split a hot month across several files
+    (no single-task sort, no sampling job as a range partitioner would run);
+    per-file sort gives tight date min/max statistics for pruning. Readers
+    that need the global order call :func:`sort_output`.
+    """
+    return (df.hint("rebalance", "date")
+            .sortWithinPartitions(F.col("date").asc_nulls_last(), F.col("region_name").asc_nulls_last()))
 
 
 def standardize(df: DataFrame, grain: str, value_cols: list[str], *, region_id_type: str = "bigint",

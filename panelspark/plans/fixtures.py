@@ -22,6 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from .. import specs
 SHIFT_MONTHS = 240
 MAX_HEADER_MONTHS = 12 * 500
 
-# --- fixed fixture definitions: variant -> (aggregate SQL, header condition) --
+# --- fixed fixture definitions: value column -> aggregate SQL -------------------
 # The aggregates run in Spark (F.expr) and, verbatim, in the DuckDB oracle.
 VARIANT_AGGS = {
     "home_value": {
@@ -81,6 +82,7 @@ GRAINS = {
     "city": GrainDef("part", "city", False, False),
     "zip": GrainDef("customer", "zip", True, False),
 }
+VARIANT_AGGS_BY_COL = {col: sql for fam in VARIANT_AGGS.values() for col, sql in fam.items()}
 COUNTRY_ID = -1
 COUNTRY_NAME = "ALL"
 
@@ -171,28 +173,71 @@ def month_header(spark: SparkSession, sf_dir: str) -> list[str]:
     return [date.fromordinal(o).strftime("%Y-%m-%d") for o in out]
 
 
-def wide_cells(spark: SparkSession, sf_dir: str, family: str, grain: str,
-               months: list[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """All variants of a family in one pivot: columns ``{month}_{value_col}``."""
-    months = months if months is not None else month_header(spark, sf_dir)
+ID_COLUMNS = ("RegionID", "SizeRank", "RegionName", "RegionType", "StateName")
+
+
+def metric_cells(spark: SparkSession, sf_dir: str, families: list[str], grain: str) -> DataFrame:
+    """Long cells ``(ids..., metric, date, v)``: one aggregation of the fact per
+    (region, month) computes every metric, then ``inline`` stacks them."""
     f = fact(spark, sf_dir, grain)
-    ids = [c for c in ("RegionID", "SizeRank", "RegionName", "RegionType", "StateName") if c in f.columns]
-    aggs = [F.expr(sql).alias(col) for col, sql in VARIANT_AGGS[family].items()]
-    wide = f.groupBy(*ids).pivot("date", months).agg(*aggs)
-    if len(aggs) == 1:
-        only = next(iter(VARIANT_AGGS[family]))
-        wide = wide.select(*ids, *[F.col(f"`{m}`").alias(f"{m}_{only}") for m in months])
+    ids = [c for c in ID_COLUMNS if c in f.columns]
+    pairs = [(prefix, col) for fam in families for prefix, col in specs.FAMILIES[fam].variants.items()]
+    cells = f.groupBy(*ids, "date").agg(*[F.expr(VARIANT_AGGS_BY_COL[col]).alias(col) for _p, col in pairs])
+    stacked = F.array(*[F.struct(F.lit(prefix).alias("metric"), F.col(col).cast("double").alias("v"))
+                        for prefix, col in pairs])
+    return cells.select(*ids, "date", F.inline(stacked)).where(F.col("v").isNotNull())
+
+
+def wide_metrics(spark: SparkSession, sf_dir: str, families: list[str], grain: str,
+                 months: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """One wide row per (region, metric): ``pivot(date)`` of the long cells.
+    Only regions with a non-null cell for that metric get a row."""
+    months = months if months is not None else month_header(spark, sf_dir)
+    long = metric_cells(spark, sf_dir, families, grain)
+    ids = [c for c in ID_COLUMNS if c in long.columns]
+    wide = long.groupBy(*ids, "metric").pivot("date", months).agg(F.first("v", ignorenulls=True))
     return wide, months
 
 
 def wide_variants(spark: SparkSession, sf_dir: str, family: str, grain: str) -> list[tuple[str, str, DataFrame]]:
-    """``[(raw_prefix, value_col, wide_df), ...]`` in the family's variant order."""
+    """``[(raw_prefix, value_col, wide_df), ...]`` as lazy plans (no landing)."""
     fam = specs.FAMILIES[family]
-    cells, months = wide_cells(spark, sf_dir, family, grain)
-    ids = [c for c in ("RegionID", "SizeRank", "RegionName", "RegionType", "StateName") if c in cells.columns]
-    out = []
-    for prefix, col in fam.variants.items():
-        cols = [F.col(f"`{m}_{col}`").alias(m) for m in months]
-        frame = cells.select(*ids, *cols).where(F.coalesce(*[F.col(f"`{m}`") for m in months]).isNotNull())
-        out.append((prefix, col, frame))
-    return out
+    wide, _months = wide_metrics(spark, sf_dir, [family], grain)
+    return [(prefix, col, wide.where(F.col("metric") == prefix).drop("metric"))
+            for prefix, col in fam.variants.items()]
+
+
+# Landed raw files, memoised per (workspace, tables folder, grain).
+_LANDED: dict[tuple[str, str, str], str] = {}
+LANDING_VERSION = "v2"
+
+
+def raw_path(raw_root: str, prefix: str, grain: str) -> str:
+    """Landing layout: ``<raw_root>/<grain>/metric=<prefix>/part-*.csv``."""
+    return f"{raw_root.rstrip('/')}/{grain}/metric={prefix}"
+
+
+def land_raw(spark: SparkSession, sf_dir: str, grains=None) -> str:
+    """Land every (metric, grain) wide file as CSV, once per workspace.
+
+    Per grain: one aggregation computes all 21 metrics per (region, month),
+    one pivot makes a wide row per (region, metric), and one write job lays
+    the rows out partitioned by metric. Returns the raw root.
+    """
+    from ..session import workspace
+    from ..sources.wide_csv import CSV_WRITE_OPTIONS
+
+    ws = workspace(spark)
+    tag = sf_dir.rstrip("/").replace("/", "_").replace(":", "_")
+    root = f"{ws}/raw-{LANDING_VERSION}-{tag}"
+    months = None
+    for grain in grains or specs.GRAINS:
+        key = (ws, sf_dir, grain)
+        if key in _LANDED:
+            continue
+        months = months if months is not None else month_header(spark, sf_dir)
+        wide, _ = wide_metrics(spark, sf_dir, list(specs.FAMILIES), grain, months)
+        (wide.write.mode("overwrite").partitionBy("metric").options(**CSV_WRITE_OPTIONS)
+         .csv(f"{root}/{grain}"))
+        _LANDED[key] = root
+    return root

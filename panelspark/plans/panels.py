@@ -17,7 +17,8 @@ from .. import specs
 from ..operators import quality
 from ..operators.reshape import melt, melt_multi, merge_variants, merge_variants_union
 from ..operators.standardize import cluster_for_write, standardize
-from ..sinks.publish import check_metadata, data_size, log_output, output_profile
+from ..sinks.publish import check_metadata, log_output
+from ..sources import files
 from ..sinks.table import Table
 
 
@@ -67,17 +68,19 @@ def run_panel(spark: SparkSession, family: specs.Family, grain: str, frames, roo
     table = Table(spark, f"{root.rstrip('/')}/{dataset}")
     staged = table.stage(cluster_for_write(panel))
     written = spark.read.parquet(staged)
-    profile = output_profile(written).first()
-    if profile["rows"] == 0:
-        return None
     spec = quality.family_spec(family, written, grain, min_rows=min_rows)
-    report = quality.validate(written, spec)
+    spec.profile_nulls = True
+    report = quality.validate(written, spec)  # one job; raises before any commit
+    rows = next(int(r["detail"]) for r in report if r["rule"] == "row_count")
+    if rows == 0:
+        return None  # nothing after filtering: skipped, like the source
     meta = check_metadata(family.metadata(grain, written.columns), written.columns)
-    table.commit(staged, mode, specs.KEY_COLUMNS, metadata=meta, rows=profile["rows"])
+    table.commit(staged, mode, specs.KEY_COLUMNS, metadata=meta, rows=rows)
     if ledger_root:
-        log_output(spark, ledger_root, dataset, profile["rows"], data_size(spark, staged),
-                   written.columns, dict(profile["null_counts"] or {}), mode, run_id)
-    return PanelResult(dataset, table, profile["rows"], report)
+        nulls = {r["column"]: r["violations"] for r in report if r["rule"] == "null_count" and r["violations"]}
+        size = sum(sz for _p, sz, _m in files.list_files(spark, staged))
+        log_output(spark, ledger_root, dataset, rows, size, written.columns, nulls, mode, run_id)
+    return PanelResult(dataset, table, rows, report)
 
 
 def union_grains(results: dict[str, DataFrame]) -> DataFrame:
@@ -87,19 +90,39 @@ def union_grains(results: dict[str, DataFrame]) -> DataFrame:
 
 def fixture_family(spark: SparkSession, sf_dir: str, family: str, root: str, *, grains=None,
                    min_rows: int | None = 1, mode: str = "merge", ledger_root: str | None = None) -> dict:
-    """Run one family at every grain on fixture panels derived from ``sf_dir``.
+    """Run one family at every grain on raw files landed from ``sf_dir``.
 
     Production floors (500..500,000 rows) are meant for the real files; the
     fixture tables are small, so the registered queries pass ``min_rows=1``.
     """
-    from .fixtures import wide_variants
+    from .fixtures import land_raw
+
+    raw_root = land_raw(spark, sf_dir, grains)
+    return run_family(spark, family, raw_root, root, grains=grains, min_rows=min_rows, mode=mode,
+                      ledger_root=ledger_root)
+
+
+def load_variants(spark: SparkSession, family: specs.Family, grain: str, raw_root: str):
+    """``[(wide_df or None, value_col)]``: a missing file yields None (skipped)."""
+    from ..sources.wide_csv import read_wide_csv
+    from .fixtures import raw_path
+
+    out = []
+    for prefix, col in family.variants.items():
+        path = raw_path(raw_root, prefix, grain)
+        out.append((read_wide_csv(spark, path) if files.exists(spark, path) else None, col))
+    return out
+
 
+def run_family(spark: SparkSession, family: str, raw_root: str, root: str, *, grains=None,
+               min_rows: int | None = None, mode: str = "merge", ledger_root: str | None = None) -> dict:
+    """Production entry: one family at every grain from landed wide CSVs."""
     fam = specs.FAMILIES[family]
     out = {}
     for grain in grains or specs.GRAINS:
-        variants = wide_variants(spark, sf_dir, family, grain)
-        res = run_panel(spark, fam, grain, [(df, col) for _p, col, df in variants], root,
-                        mode=mode, min_rows=min_rows, check_empty=False, ledger_root=ledger_root)
+        frames = load_variants(spark, fam, grain, raw_root)
+        res = run_panel(spark, fam, grain, frames, root, mode=mode, min_rows=min_rows,
+                        check_empty=False, ledger_root=ledger_root)
         if res is not None:
             out[grain] = res
     return out
