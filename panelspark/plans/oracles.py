@@ -64,3 +64,47 @@ def panel_grain_sql(family: str, grain: str, with_grain_col: bool = True) -> str
 
 def panel_family_sql(family: str) -> str:
     return "\nUNION ALL BY NAME\n".join(f"({panel_grain_sql(family, g)})" for g in specs.GRAINS)
+
+
+# --- building blocks for the scan / reshape / join oracles -------------------------
+from .fixtures import COUNTRY_ID, COUNTRY_NAME, VARIANT_AGGS_BY_COL  # noqa: E402
+
+
+def months_sql() -> str:
+    """The month header: every month-end from the first to the last order month."""
+    return (
+        f"SELECT strftime(last_day(d + INTERVAL {SHIFT_MONTHS} MONTH), '%Y-%m-%d') AS date FROM ("
+        "SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), "
+        "date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS d FROM orders)"
+    )
+
+
+def cells_sql(grain: str, cols: list[str]) -> str:
+    """Region-month cells (what the landed wide files hold), incl. the
+    national row of the metro file. Columns: RegionID, RegionName, RegionType,
+    [StateName], date, <cols>."""
+    g = GRAINS[grain]
+    fact = fact_sql(grain)
+    state = ", StateName" if g.has_state else ""
+    ids = f"RegionID, RegionName{state}"
+    if g.country_row:
+        fact = (f"SELECT * FROM ({fact}) UNION ALL SELECT {COUNTRY_ID}, '{COUNTRY_NAME}'"
+                + (", CAST(NULL AS VARCHAR)" if g.has_state else "")
+                + f", date, price, status, priority, rflag, discount, dtp FROM ({fact})")
+    aggs = ", ".join(f"{VARIANT_AGGS_BY_COL[c]} AS {c}" for c in cols)
+    rtype = f"CASE WHEN RegionID = {COUNTRY_ID} THEN 'country' ELSE '{g.region_type}' END" if g.country_row \
+        else f"'{g.region_type}'"
+    return (f"SELECT {ids}, {rtype} AS RegionType, date, {aggs} FROM ({fact}) f "
+            f"GROUP BY {ids}, date")
+
+
+def grid_sql(grain: str, first: str, cols: list[str], extra_ids: str = "") -> str:
+    """First variant's regions x the month header, left-joined to the cells."""
+    cells = cells_sql(grain, cols)
+    return (
+        f"SELECT r.RegionID{extra_ids}, m.date, " + ", ".join(f"c.{c}" for c in cols)
+        + f" FROM (SELECT DISTINCT RegionID, RegionName, RegionType"
+        + (", StateName" if GRAINS[grain].has_state else "")
+        + f" FROM ({cells}) WHERE {first} IS NOT NULL) r CROSS JOIN ({months_sql()}) m "
+        f"LEFT JOIN ({cells}) c ON c.RegionID = r.RegionID AND c.date = m.date"
+    )

@@ -34,3 +34,389 @@ def _family_query(family: str):
 
 for _fam in ("home_value", "rent", "inventory", "sales"):
     register(f"panel_{_fam}", O.panel_family_sql(_fam))(_family_query(_fam))
+
+
+# ---------------------------------------------------------------------------
+# shared inputs
+from functools import reduce  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from . import specs  # noqa: E402
+from .functions import scalars as S  # noqa: E402
+from .operators import diff as D  # noqa: E402
+from .operators import ledgers as L  # noqa: E402
+from .operators import quality as Q  # noqa: E402
+from .operators import reshape as R  # noqa: E402
+from .operators import standardize as ST  # noqa: E402
+from .plans import derived as DV  # noqa: E402
+from .plans.fixtures import land_raw, raw_path, read  # noqa: E402
+from .sinks import raw as SR  # noqa: E402
+from .sinks.publish import publish  # noqa: E402
+from .sinks.table import Table, upsert  # noqa: E402
+from .sources import catalog as CAT  # noqa: E402
+from .sources import raw as RAW  # noqa: E402
+from .sources.wide_csv import read_wide_csv  # noqa: E402
+from .streaming.ingest import ingest_incremental, read_manifest  # noqa: E402
+
+FAMILY_OF = {col: fam.name for fam in specs.FAMILIES.values() for col in fam.value_columns}
+PREFIX_OF = {col: prefix for fam in specs.FAMILIES.values() for prefix, col in fam.variants.items()}
+
+
+def _wide(spark, sf_dir, col, grain):
+    root = land_raw(spark, sf_dir, [grain])
+    return read_wide_csv(spark, raw_path(root, PREFIX_OF[col], grain))
+
+
+def _long(spark, sf_dir, col, grain):
+    """One landed variant melted to long form, cells coerced to double."""
+    return ST.to_numeric_coerce(R.melt(_wide(spark, sf_dir, col, grain), col), [col])
+
+
+def _frames(spark, sf_dir, family, grain):
+    return [(_wide(spark, sf_dir, col, grain), col) for col in specs.FAMILIES[family].value_columns]
+
+
+# ---------------------------------------------------------------------------
+# sources (2.1)
+@register("scan_wide_csv", " UNION ALL ".join(
+    f"SELECT '{PREFIX_OF[c]}' AS metric, count(DISTINCT RegionID) AS regions, count({c}) AS cells, "
+    f"min({c}) AS min_v, max({c}) AS max_v FROM ({O.cells_sql('metro', [c])}) WHERE {c} IS NOT NULL"
+    for c in FAMILY_OF))
+def q_scan_wide_csv(spark, sf_dir):
+    out = []
+    for col in FAMILY_OF:
+        df = _wide(spark, sf_dir, col, "metro")
+        months = R.date_columns(df)
+        vals = [S.to_double(F.col(f"`{m}`")) for m in months]
+        per_row = df.select(
+            reduce(lambda a, b: a + b, [v.isNotNull().cast("int") for v in vals]).alias("n"),
+            F.least(*vals).alias("lo"), F.greatest(*vals).alias("hi"))
+        out.append(per_row.agg(F.lit(PREFIX_OF[col]).alias("metric"), F.count(F.lit(1)).alias("regions"),
+                               F.sum("n").alias("cells"), F.min("lo").alias("min_v"), F.max("hi").alias("max_v")))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+@register("scan_raw_text", " UNION ALL ".join(
+    f"SELECT '{PREFIX_OF[c]}' AS metric, count(DISTINCT RegionID) AS lines, count(DISTINCT RegionID) AS valid_utf8 "
+    f"FROM ({O.cells_sql('zip', [c])}) WHERE {c} IS NOT NULL"
+    for c in FAMILY_OF))
+def q_scan_raw_text(spark, sf_dir):
+    root = land_raw(spark, sf_dir, ["zip"])
+    lines = RAW.scan_text(spark, f"{root}/zip")
+    data = lines.where(~F.col("text").startswith("RegionID,"))
+    return (data.withColumn("metric", F.regexp_extract("path", r"metric=([^/]+)", 1))
+            .groupBy("metric").agg(F.count(F.lit(1)).alias("lines"),
+                                   F.count_if("valid_utf8").alias("valid_utf8")))
+
+
+EVENTS_COLS = "event_id, ts, user_id, event_type, value, props"
+
+
+@register("scan_raw_json", f"SELECT {EVENTS_COLS}, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def q_scan_raw_json(spark, sf_dir):
+    root = scratch(spark, "raw_json")
+    ev = read(spark, sf_dir, "events")
+    SR.save_raw_json(ev, root, "events", compress=True)  # only the .json.gz exists
+    back = RAW.scan_raw_json(spark, root, "events", schema=ev.schema)
+    return back.select(*[c.strip() for c in EVENTS_COLS.split(",")],
+                       F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+@register("scan_raw_parquet", f"SELECT {EVENTS_COLS} FROM events")
+def q_scan_raw_parquet(spark, sf_dir):
+    root = scratch(spark, "raw_parquet")
+    SR.save_raw_parquet(read(spark, sf_dir, "events"), root, "events")
+    return RAW.scan_raw_parquet(spark, root, "events")
+
+
+@register("load_table", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def q_load_table(spark, sf_dir):
+    root = scratch(spark, "tables")
+    Table(spark, f"{root}/orders").write(read(spark, sf_dir, "orders"), "overwrite")
+    return RAW.load_table(spark, root, "orders")
+
+
+@register("catalog_manifest", " UNION ALL ".join(
+    f"SELECT '{c.dataset_id}_{g}' AS key, '{c.dataset_id}' AS dataset_id, '{g}' AS grain, "
+    f"'{c.folder}/{c.pattern.replace('{region}', r)}' AS path, "
+    f"(SELECT count(DISTINCT RegionID) FROM ({O.cells_sql(g, [FAMILY_COL])}) WHERE {FAMILY_COL} IS NOT NULL) AS regions"
+    for c in specs.CATALOG
+    for FAMILY_COL in [dict((p, col) for fam in specs.FAMILIES.values() for p, col in fam.variants.items())[c.dataset_id]]
+    for g, r in zip(specs.GRAINS, ["Metro", "State", "County", "City", "Zip"])))
+def q_catalog_manifest(spark, sf_dir):
+    root = land_raw(spark, sf_dir)
+    landed = []
+    for grain in specs.GRAINS:
+        lines = spark.read.text(f"{root}/{grain}").where(~F.col("value").startswith("RegionID,"))
+        landed.append(lines.groupBy(F.col("metric").alias("dataset_id")).agg(F.count(F.lit(1)).alias("regions"))
+                      .withColumn("grain", F.lit(grain)))
+    counts = reduce(lambda a, b: a.unionByName(b), landed)
+    cat = CAT.catalog_manifest(spark)
+    return cat.join(counts, ["dataset_id", "grain"], "left").select(
+        "key", "dataset_id", "grain", "path", F.coalesce("regions", F.lit(0)).cast("long").alias("regions"))
+
+
+# ---------------------------------------------------------------------------
+# sinks (2.2)
+ORD_A = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'"
+ORD_B = ("SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders "
+         "WHERE o_orderdate >= TIMESTAMP '1998-01-01'")
+
+
+def _orders_split(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    a = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", "o_totalprice")
+    b = o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    return a, b
+
+
+@register("sink_append", f"({ORD_A}) UNION ALL BY NAME ({ORD_B})")
+def q_sink_append(spark, sf_dir):
+    a, b = _orders_split(spark, sf_dir)
+    t = Table(spark, scratch(spark, "append"))
+    t.write(a, "append")
+    t.write(b, "append")  # new column o_orderstatus: schema evolves
+    t.write(b.limit(0), "append")  # zero rows: no-op
+    return t.read()
+
+
+@register("sink_overwrite", ORD_B)
+def q_sink_overwrite(spark, sf_dir):
+    a, b = _orders_split(spark, sf_dir)
+    t = Table(spark, scratch(spark, "overwrite"))
+    t.write(a, "append")
+    t.write(b, "overwrite")
+    return t.read()
+
+
+MERGE_TARGET = ("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders "
+                "WHERE o_orderdate < TIMESTAMP '1999-01-01'")
+MERGE_SOURCE = ("SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice, o_orderstatus FROM orders "
+                "WHERE o_orderdate >= TIMESTAMP '1998-01-01'")
+MERGE_SQL = (
+    f"SELECT t.o_orderkey, t.o_custkey, t.o_totalprice, t.o_orderpriority, CAST(NULL AS VARCHAR) AS o_orderstatus "
+    f"FROM ({MERGE_TARGET}) t WHERE t.o_orderkey NOT IN (SELECT o_orderkey FROM ({MERGE_SOURCE})) "
+    f"UNION ALL SELECT s.o_orderkey, s.o_custkey, s.o_totalprice, t.o_orderpriority, s.o_orderstatus "
+    f"FROM ({MERGE_SOURCE}) s LEFT JOIN ({MERGE_TARGET}) t ON s.o_orderkey = t.o_orderkey"
+)
+
+
+def _merge_inputs(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    target = o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    source = o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", (F.col("o_totalprice") * 2).alias("o_totalprice"), "o_orderstatus")
+    return target, source
+
+
+@register("sink_merge", MERGE_SQL)
+def q_sink_merge(spark, sf_dir):
+    target, source = _merge_inputs(spark, sf_dir)
+    t = Table(spark, scratch(spark, "merge"))
+    t.write(target, "merge", key="o_orderkey")  # missing table: created
+    t.write(source, "merge", key="o_orderkey")
+    return t.read()
+
+
+@register("upsert_join", MERGE_SQL)
+def q_upsert_join(spark, sf_dir):
+    target, source = _merge_inputs(spark, sf_dir)
+    return upsert(target, source, ["o_orderkey"])
+
+
+@register("sink_raw_parquet", f"SELECT {EVENTS_COLS}, 'events' AS asset FROM events")
+def q_sink_raw_parquet(spark, sf_dir):
+    root = scratch(spark, "raw_parquet")
+    SR.save_raw_parquet(read(spark, sf_dir, "events"), root, "events", metadata={"asset": "events"})
+    back = RAW.scan_raw_parquet(spark, root, "events")
+    meta = RAW.asset_metadata(back) or {}
+    return back.withColumn("asset", F.lit(meta.get("asset")))
+
+
+@register("sink_raw_json", f"SELECT {EVENTS_COLS} FROM events")
+def q_sink_raw_json(spark, sf_dir):
+    root = scratch(spark, "raw_json")
+    ev = read(spark, sf_dir, "events")
+    SR.save_raw_json(ev, root, "events")
+    return RAW.scan_raw_json(spark, root, "events", schema=ev.schema)
+
+
+@register("sink_raw_text", "SELECT doc_id, text FROM documents")
+def q_sink_raw_text(spark, sf_dir):
+    root = scratch(spark, "raw_text")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = SR.save_raw_text(docs, root, "documents", ext="csv")
+    back = (spark.read.option("header", "true").option("escape", '"').option("quote", '"')
+            .option("multiLine", "true").schema("doc_id bigint, text string").csv(path))
+    return back
+
+
+@register("publish_metadata")
+def q_publish_metadata(spark, sf_dir):
+    """Column comments of a published panel (metadata only: no oracle)."""
+    root = scratch(spark, "publish")
+    results = fixture_family(spark, sf_dir, "rent", root, grains=["metro"])
+    table = results["metro"].table
+    publish(table, specs.RENT.metadata("metro", table.read().columns))
+    df = table.read()
+    n = df.count()
+    rows = [(f.name, f.metadata.get("comment"), n) for f in df.schema.fields]
+    return spark.createDataFrame(rows, "column string, comment string, rows long")
+
+
+# ---------------------------------------------------------------------------
+# reshaping (2.3), filters (2.4), joins (2.5)
+HV = specs.HOME_VALUE.value_columns
+INV = specs.INVENTORY.value_columns
+
+
+@register("melt", O.grid_sql("zip", "all_homes", ["all_homes"]))
+def q_melt(spark, sf_dir):
+    return _long(spark, sf_dir, "all_homes", "zip").select("RegionID", "date", "all_homes")
+
+
+def _grid(spark, sf_dir, family, grain):
+    frames = _frames(spark, sf_dir, family, grain)
+    cols = specs.FAMILIES[family].value_columns
+    long = R.melt_multi(frames, grain_filter=specs.GRAIN_FILTER[grain])
+    return ST.to_numeric_coerce(long, cols), cols
+
+
+@register("melt_multi", O.grid_sql("zip", "all_homes", HV))
+def q_melt_multi(spark, sf_dir):
+    long, cols = _grid(spark, sf_dir, "home_value", "zip")
+    return long.select("RegionID", "date", *cols)
+
+
+@register("merge_variants_grid", O.grid_sql("zip", "for_sale_inventory", INV))
+def q_merge_variants_grid(spark, sf_dir):
+    frames = _frames(spark, sf_dir, "inventory", "zip")
+    long = ST.to_numeric_coerce(R.merge_variants_grid(frames, "zip"), INV)
+    return long.select("RegionID", "date", *INV)
+
+
+@register("merge_variants", (
+    f"WITH c AS ({O.cells_sql('zip', INV)}), m AS ({O.months_sql()}), "
+    "g1 AS (SELECT DISTINCT RegionID, RegionName FROM c WHERE for_sale_inventory IS NOT NULL), "
+    "k AS (SELECT r.RegionID, m.date FROM (SELECT DISTINCT RegionID FROM c) r CROSS JOIN m) "
+    "SELECT k.RegionID, k.date, g1.RegionName, c.for_sale_inventory, c.new_listings, c.new_pending "
+    "FROM k LEFT JOIN g1 ON g1.RegionID = k.RegionID "
+    "LEFT JOIN c ON c.RegionID = k.RegionID AND c.date = k.date"))
+def q_merge_variants(spark, sf_dir):
+    longs = [(_long(spark, sf_dir, col, "zip"), col) for col in INV]
+    merged = R.merge_variants(longs)
+    return merged.select("RegionID", "date", "RegionName", *INV)
+
+
+_RENT_ATTRS = ("SELECT RegionID AS region_id, RegionID AS SizeRank, RegionName AS region_name, RegionType, "
+               "StateName AS state_code, date, rent FROM ({})")
+
+
+@register("rename_cols", _RENT_ATTRS.format(
+    O.grid_sql("zip", "rent", ["rent"], ", r.RegionName, r.RegionType, r.StateName")))
+def q_rename_cols(spark, sf_dir):
+    return ST.rename_cols(_long(spark, sf_dir, "rent", "zip"))
+
+
+@register("drop_cols", "SELECT RegionID, RegionName, StateName, date, rent FROM ({})".format(
+    O.grid_sql("zip", "rent", ["rent"], ", r.RegionName, r.StateName")))
+def q_drop_cols(spark, sf_dir):
+    return ST.drop_cols(_long(spark, sf_dir, "rent", "zip"))
+
+
+@register("state_code_fill", "SELECT RegionID AS region_id, RegionName AS region_name, "
+          "COALESCE(StateName, '') AS state_code, date, rent FROM ({})".format(
+              O.grid_sql("metro", "rent", ["rent"], ", r.RegionName, r.StateName")))
+def q_state_code_fill(spark, sf_dir):
+    return ST.state_code_fill(ST.drop_cols(ST.rename_cols(_long(spark, sf_dir, "rent", "metro"))), "metro")
+
+
+@register("date_normalize", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders")
+def q_date_normalize(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("string").alias("date"))
+    return ST.date_normalize(o)
+
+
+NUMERIC_TEXT_SQL = " UNION ALL ".join([
+    "SELECT 'totalprice' AS source, o_orderkey AS key, CAST(o_totalprice AS VARCHAR) AS v FROM orders",
+    "SELECT 'priority', o_orderkey, o_orderpriority FROM orders",
+    "SELECT 'size', p_partkey, CAST(p_size AS VARCHAR) FROM part",
+    "SELECT 'acctbal', c_custkey, CAST(c_acctbal AS VARCHAR) FROM customer",
+    "SELECT 'props', event_id, props FROM events",
+    "SELECT 'flag', l_orderkey * 10 + l_linenumber, l_returnflag FROM lineitem",
+])
+
+
+def _numeric_text(spark, sf_dir):
+    o, p, c = read(spark, sf_dir, "orders"), read(spark, sf_dir, "part"), read(spark, sf_dir, "customer")
+    parts = [
+        o.select(F.lit("totalprice").alias("source"), F.col("o_orderkey").alias("key"),
+                 F.col("o_totalprice").cast("string").alias("v")),
+        o.select(F.lit("priority"), F.col("o_orderkey"), F.col("o_orderpriority")),
+        p.select(F.lit("size"), F.col("p_partkey"), F.col("p_size").cast("string")),
+        c.select(F.lit("acctbal"), F.col("c_custkey"), F.col("c_acctbal").cast("string")),
+        read(spark, sf_dir, "events").select(F.lit("props"), F.col("event_id"), F.col("props")),
+        read(spark, sf_dir, "lineitem").select(F.lit("flag"), F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+                                               F.col("l_returnflag")),
+    ]
+    return reduce(lambda a, b: a.union(b), parts)
+
+
+@register("to_numeric_coerce",
+          "SELECT source, key, CASE WHEN isnan(x) THEN NULL ELSE x END AS v FROM ("
+          f"SELECT source, key, CASE WHEN regexp_matches(v, '{S.NUMERIC_TEXT_RE}') "
+          f"THEN TRY_CAST(trim(v) AS DOUBLE) END AS x FROM ({NUMERIC_TEXT_SQL}))")
+def q_to_numeric_coerce(spark, sf_dir):
+    return ST.to_numeric_coerce(_numeric_text(spark, sf_dir), ["v"])
+
+
+@register("filter_grain", f"SELECT DISTINCT RegionID, RegionName, RegionType FROM ({O.cells_sql('metro', ['all_homes'])}) "
+          "WHERE all_homes IS NOT NULL AND lower(RegionType) = 'msa'")
+def q_filter_grain(spark, sf_dir):
+    return ST.filter_grain(_wide(spark, sf_dir, "all_homes", "metro"), "metro").select(
+        "RegionID", "RegionName", "RegionType")
+
+
+@register("dropna_all", "SELECT * FROM ({}) WHERE {}".format(
+    O.grid_sql("zip", "all_homes", HV), " OR ".join(f"{c} IS NOT NULL" for c in HV)))
+def q_dropna_all(spark, sf_dir):
+    long, cols = _grid(spark, sf_dir, "home_value", "zip")
+    return ST.dropna_all(long, cols).select("RegionID", "date", *cols)
+
+
+@register("sort_output", O.panel_grain_sql("rent", "zip", with_grain_col=False))
+def q_sort_output(spark, sf_dir):
+    frames = _frames(spark, sf_dir, "rent", "zip")
+    from .plans.panels import build_panel
+    return ST.sort_output(build_panel(frames, specs.RENT, "zip", check_empty=False))
+
+
+@register("pending_anti_join", "SELECT doc_id, source FROM documents d "
+          "WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def q_pending_anti_join(spark, sf_dir):
+    return CAT.pending(read(spark, sf_dir, "documents").select("doc_id", "source"),
+                       read(spark, sf_dir, "labels"), "doc_id")
+
+
+STATE_SQL = ("SELECT CAST(user_id AS VARCHAR) AS key, CAST(count(*) AS VARCHAR) AS v FROM events {} GROUP BY user_id")
+
+
+STATE_OLD = STATE_SQL.format("WHERE ts < TIMESTAMP '2024-01-15'")
+
+
+@register("state_diff", (
+    "SELECT COALESCE(o.key, n.key) AS key, COALESCE(o.v, '') AS old_value, COALESCE(n.v, '') AS new_value "
+    f"FROM ({STATE_OLD}) o "
+    f"FULL OUTER JOIN ({STATE_SQL.format('')}) n ON o.key = n.key WHERE o.v IS DISTINCT FROM n.v"))
+def q_state_diff(spark, sf_dir):
+    ev = read(spark, sf_dir, "events")
+
+    def state(df):
+        return df.groupBy(F.col("user_id").cast("string").alias("key")).agg(
+            F.count(F.lit(1)).cast("string").alias("value"))
+    old = state(ev.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
+    return D.state_diff(old, state(ev))
