@@ -331,3 +331,49 @@ def in_set_violations(df: DataFrame, col: str, allowed: DataFrame) -> DataFrame:
     join, so the set is broadcast only when the planner sizes it as small."""
     allowed = allowed.select(F.col(allowed.columns[0]).alias("__v")).distinct()
     return df.where(F.col(col).isNotNull()).join(allowed, F.col(col) == F.col("__v"), "left_anti")
+
+
+def bounds_report(df: DataFrame, bounds: dict) -> DataFrame:
+    """``(column, min_v, max_v, lo, hi, passed)`` for ``{col: (lo, hi)}`` in one
+    aggregate; min/max ignore NULLs like the source's non-null value lists."""
+    aggs = []
+    for i, c in enumerate(bounds):
+        aggs += [F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}")]
+    row = df.agg(*aggs)
+    structs = []
+    for i, (c, (lo, hi)) in enumerate(bounds.items()):
+        mn, mx = F.col(f"lo{i}"), F.col(f"hi{i}")
+        ok = F.lit(True)
+        if lo is not None:
+            ok = ok & (mn >= F.lit(lo))
+        if hi is not None:
+            ok = ok & (mx <= F.lit(hi))
+        structs.append(F.struct(F.lit(c).alias("column"), mn.alias("min_v"), mx.alias("max_v"),
+                                F.lit(lo).cast("double").alias("lo"), F.lit(hi).cast("double").alias("hi"),
+                                F.coalesce(ok, F.lit(True)).alias("passed")))
+    return row.select(F.inline(F.array(*structs)))
+
+
+def year_bounds_report(df: DataFrame, col: str, min_year: int | None, max_year: int | None) -> DataFrame:
+    """First four characters of the lexicographic min / max, as ints, vs bounds."""
+    row = df.agg(F.min(F.col(col).cast("string")).alias("lo"), F.max(F.col(col).cast("string")).alias("hi"))
+    ylo, yhi = S.fn_substr_year(F.col("lo")), S.fn_substr_year(F.col("hi"))
+    ok = F.lit(True)
+    if min_year is not None:
+        ok = ok & (ylo >= min_year)
+    if max_year is not None:
+        ok = ok & (yhi <= max_year)
+    return row.select(ylo.alias("min_year"), yhi.alias("max_year"), F.coalesce(ok, F.lit(False)).alias("passed"))
+
+
+def violation_examples(df: DataFrame, chk: RowCheck, n: int = 5) -> DataFrame:
+    """``(column, violations, rank, value)``: the violation count and the ``n``
+    smallest offending values. The sample is a top-n (``TakeOrderedAndProject``),
+    never a collect of the offending rows."""
+    bad = df.where(~F.coalesce(chk.valid, F.lit(False)))
+    violations = bad.count()
+    top = bad.select(F.col(chk.column).alias("value")).orderBy(F.col("value").asc_nulls_last()).limit(n)
+    ranked = top.agg(F.sort_array(F.collect_list("value")).alias("vals")).select(
+        F.posexplode("vals").alias("pos", "value"))
+    return ranked.select(F.lit(chk.column).alias("column"), F.lit(violations).cast("long").alias("violations"),
+                         (F.col("pos") + 1).alias("rank"), "value")

@@ -420,3 +420,391 @@ def q_state_diff(spark, sf_dir):
             F.count(F.lit(1)).cast("string").alias("value"))
     old = state(ev.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
     return D.state_diff(old, state(ev))
+
+
+# ---------------------------------------------------------------------------
+# aggregations (2.6)
+ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@register("row_count", " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, count(*) AS rows, count(*) >= 1 AS passed FROM {t}" for t in ALL_TABLES))
+def q_row_count(spark, sf_dir):
+    parts = [read(spark, sf_dir, t).agg(F.lit(t).alias("dataset"), F.count(F.lit(1)).alias("rows"))
+             for t in ALL_TABLES]
+    return reduce(lambda a, b: a.union(b), parts).withColumn("passed", F.col("rows") >= 1)
+
+
+DOC_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+DOC_JOIN_SQL = ("SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic, d.text "
+                "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+
+
+def _doc_join(spark, sf_dir):
+    return read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left").select(
+        *DOC_COLS, "text")
+
+
+@register("null_counts", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, nulls FROM (SELECT count_if({c} IS NULL) AS nulls FROM ({DOC_JOIN_SQL})) "
+    "WHERE nulls > 0" for c in DOC_COLS + ["text"]))
+def q_null_counts(spark, sf_dir):
+    df = _doc_join(spark, sf_dir)
+    wide = Q.null_counts(df)
+    return wide.unpivot([], df.columns, "column", "nulls").where(F.col("nulls") > 0)
+
+
+NN_COLS = ["doc_id", "quality", "toxic", "text"]
+
+
+@register("not_null_check", " UNION ALL ".join(
+    f"SELECT 'not_null' AS rule, '{c}' AS column, count_if({c} IS NULL) AS violations, "
+    f"count_if({c} IS NULL) = 0 AS passed FROM ({DOC_JOIN_SQL})" for c in NN_COLS))
+def q_not_null_check(spark, sf_dir):
+    rep = Q.dq_report(_doc_join(spark, sf_dir), Q.Spec(not_null=NN_COLS))
+    return rep.where(F.col("rule") == "not_null").select("rule", "column", "violations", "passed")
+
+
+UNIQUE_CASES = [("lineitem", ["l_orderkey", "l_linenumber"]), ("orders", ["o_orderkey"]),
+                ("conversations", ["conv_id", "turn"])]
+
+
+@register("unique_check", " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, n AS rows, k AS distinct_keys, n - k AS duplicates, n = k AS passed FROM "
+    f"(SELECT (SELECT count(*) FROM {t}) AS n, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM {t})) AS k)"
+    for t, keys in UNIQUE_CASES))
+def q_unique_check(spark, sf_dir):
+    parts = [Q.unique_violations(read(spark, sf_dir, t), keys).select(
+        F.lit(t).alias("dataset"), "rows", "distinct_keys", "duplicates", (F.col("duplicates") == 0).alias("passed"))
+        for t, keys in UNIQUE_CASES]
+    return reduce(lambda a, b: a.union(b), parts)
+
+
+BOUNDS = {"l_extendedprice": (0, 100000), "l_discount": (0, 0.1), "l_quantity": (1, 50), "l_tax": (0, 0.05)}
+
+
+@register("min_max_range", " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(min({c}) AS DOUBLE) AS min_v, CAST(max({c}) AS DOUBLE) AS max_v, "
+    f"CAST({lo} AS DOUBLE) AS lo, CAST({hi} AS DOUBLE) AS hi, "
+    f"COALESCE(min({c}) >= {lo} AND max({c}) <= {hi}, TRUE) AS passed FROM lineitem"
+    for c, (lo, hi) in BOUNDS.items()))
+def q_min_max_range(spark, sf_dir):
+    return Q.bounds_report(read(spark, sf_dir, "lineitem"), BOUNDS)
+
+
+YEAR_CASES = [("orders", "o_orderdate", 1990, 2030), ("lineitem", "l_shipdate", 1996, 2030),
+              ("events", "ts", 2010, 2020)]
+
+
+@register("year_bounds", " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, lo AS min_year, hi AS max_year, COALESCE(lo >= {a} AND hi <= {b}, FALSE) AS passed "
+    f"FROM (SELECT CAST(substr(strftime(min({c}), '%Y-%m-%d %H:%M:%S'), 1, 4) AS INTEGER) AS lo, "
+    f"CAST(substr(strftime(max({c}), '%Y-%m-%d %H:%M:%S'), 1, 4) AS INTEGER) AS hi FROM {t})"
+    for t, c, a, b in YEAR_CASES))
+def q_year_bounds(spark, sf_dir):
+    parts = [Q.year_bounds_report(read(spark, sf_dir, t), c, a, b).select(F.lit(t).alias("dataset"), "*")
+             for t, c, a, b in YEAR_CASES]
+    return reduce(lambda a, b: a.union(b), parts)
+
+
+@register("output_profile", (
+    f"SELECT count(*) AS rows, '{','.join(DOC_COLS + ['text'])}' AS columns, "
+    "(" + " + ".join(f"CAST(count_if({c} IS NULL) > 0 AS INTEGER)" for c in DOC_COLS + ["text"]) + ") AS null_columns, "
+    "(" + " + ".join(f"count_if({c} IS NULL)" for c in DOC_COLS + ["text"]) + ") AS nulls_total "
+    f"FROM ({DOC_JOIN_SQL})"))
+def q_output_profile(spark, sf_dir):
+    from .sinks.publish import output_profile
+    prof = output_profile(_doc_join(spark, sf_dir))
+    return prof.select("rows", "columns", F.size("null_counts").alias("null_columns"),
+                       F.aggregate(F.map_values("null_counts"), F.lit(0).cast("long"),
+                                   lambda acc, x: acc + x).alias("nulls_total"))
+
+
+@register("violations_sample", (
+    "SELECT 'l_extendedprice' AS column, (SELECT count(*) FROM lineitem WHERE l_extendedprice > 100000) AS violations, "
+    "CAST(row_number() OVER (ORDER BY v) AS INTEGER) AS rank, v AS value FROM "
+    "(SELECT l_extendedprice AS v FROM lineitem WHERE l_extendedprice > 100000 ORDER BY v LIMIT 5)"))
+def q_violations_sample(spark, sf_dir):
+    chk = Q.range_check("l_extendedprice", 0, 100000)
+    return Q.violation_examples(read(spark, sf_dir, "lineitem"), chk, 5)
+
+
+# ---------------------------------------------------------------------------
+# sort / diff (2.7)
+_LI_NEW = "SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'"
+_LI_OLD = "SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01'"
+
+
+@register("table_diff", f"(SELECT *, '+' AS change FROM (({_LI_NEW}) EXCEPT ALL ({_LI_OLD}))) UNION ALL "
+          f"(SELECT *, '-' AS change FROM (({_LI_OLD}) EXCEPT ALL ({_LI_NEW})))")
+def q_table_diff(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    new = li.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    old = li.where(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    return D.table_diff(new, old)
+
+
+_CUST_BUMP = "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer"
+_ORD_CUT = "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'"
+
+
+def _changed_sql(pair, new, old):
+    return (f"SELECT '{pair}' AS pair, (SELECT count(*) FROM ({new})) AS rows_new, (SELECT count(*) FROM ({old})) "
+            f"AS rows_old, ((SELECT count(*) FROM ({new})) <> (SELECT count(*) FROM ({old})) OR EXISTS "
+            f"(({new}) EXCEPT ALL ({old})) OR EXISTS (({old}) EXCEPT ALL ({new}))) AS changed")
+
+
+@register("table_changed", " UNION ALL ".join([
+    _changed_sql("orders_roundtrip", "SELECT * FROM orders", "SELECT * FROM orders"),
+    _changed_sql("orders_cut", _ORD_CUT, "SELECT * FROM orders"),
+    _changed_sql("customer_bump", _CUST_BUMP, "SELECT * FROM customer"),
+]))
+def q_table_changed(spark, sf_dir):
+    orders, cust = read(spark, sf_dir, "orders"), read(spark, sf_dir, "customer")
+    t = Table(spark, scratch(spark, "changed"))
+    t.write(orders, "overwrite")
+    pairs = [
+        ("orders_roundtrip", orders, t.read(with_comments=False)),
+        ("orders_cut", orders.where(F.col("o_orderdate") < F.lit("2001-01-01").cast("timestamp_ntz")), orders),
+        ("customer_bump", cust.withColumn("c_acctbal", F.col("c_acctbal") + 1), cust),
+    ]
+    rows = [(name, new.count(), old.count(), D.table_changed(new, old)) for name, new, old in pairs]
+    return spark.createDataFrame(rows, "pair string, rows_new long, rows_old long, changed boolean")
+
+
+# ---------------------------------------------------------------------------
+# scalar functions (2.8): each predicate over the probe columns of the tables
+def _text_counts(spark, sf_dir, pred):
+    probe = DV.text_probe(spark, sf_dir)
+    return probe.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(pred(F.col("v"))).alias("valid"))
+
+
+def _text_sql(cond: str) -> str:
+    return (f"SELECT source, count(*) AS n, count_if(v IS NULL OR COALESCE({cond}, FALSE)) AS valid "
+            f"FROM ({DV.TEXT_PROBE_SQL}) GROUP BY source")
+
+
+def _rx(pattern: str) -> str:
+    return f"regexp_matches(CAST(v AS VARCHAR), '{pattern}')"
+
+
+_ANY_DATE = "|".join(f"(?:{p})" for p in (specs.YEAR_RE, specs.QUARTER_RE, specs.MONTH_RE, specs.WEEK_RE, specs.DATE_RE))
+_SET = ["1-URGENT", "2-HIGH", "NATION_1", "ASIA"]
+_PATTERN = r"[A-Z][a-z]+#\d"
+
+_TEXT_FNS = {
+    "fn_is_year": (S.fn_is_year, _rx(specs.YEAR_RE)),
+    "fn_is_quarter": (S.fn_is_quarter, _rx(specs.QUARTER_RE)),
+    "fn_is_month": (S.fn_is_month, _rx(specs.MONTH_RE)),
+    "fn_is_week": (S.fn_is_week, _rx(specs.WEEK_RE)),
+    "fn_is_date": (S.fn_is_date, _rx(specs.DATE_RE)),
+    "fn_is_date_any": (S.fn_is_date_any, _rx(_ANY_DATE)),
+    "fn_max_length": (lambda c: S.fn_max_length(c, 10), "length(v) <= 10"),
+    "fn_min_length": (lambda c: S.fn_min_length(c, 8), "length(v) >= 8"),
+    "fn_exact_length": (lambda c: S.fn_exact_length(c, 7), "length(v) = 7"),
+    "fn_matches_pattern": (lambda c: S.fn_matches_pattern(c, _PATTERN), _rx(f"^(?:{_PATTERN})")),
+    "fn_in_set": (lambda c: S.fn_in_set(c, _SET), "v IN (" + ", ".join(f"'{x}'" for x in _SET) + ")"),
+}
+
+for _name, (_fn, _cond) in _TEXT_FNS.items():
+    register(_name, _text_sql(_cond))(lambda spark, sf_dir, _fn=_fn: _text_counts(spark, sf_dir, _fn))
+
+
+def _num_counts(spark, sf_dir, **preds):
+    probe = DV.number_probe(spark, sf_dir)
+    return probe.groupBy("source").agg(F.count(F.lit(1)).alias("n"),
+                                       *[F.count_if(p(F.col("x"))).alias(k) for k, p in preds.items()])
+
+
+def _num_sql(**conds) -> str:
+    cols = ", ".join(f"count_if(x IS NULL OR COALESCE({c}, FALSE)) AS {k}" for k, c in conds.items())
+    return f"SELECT source, count(*) AS n, {cols} FROM ({DV.NUMBER_PROBE_SQL}) GROUP BY source"
+
+
+register("fn_positive", _num_sql(valid="x >= 0", valid_strict="x > 0"))(
+    lambda spark, sf_dir: _num_counts(spark, sf_dir, valid=lambda c: S.fn_positive(c),
+                                      valid_strict=lambda c: S.fn_positive(c, allow_zero=False)))
+register("fn_in_range", _num_sql(valid="x >= 10 AND x <= 1000", valid_lo="x >= 10", valid_hi="x <= 1000"))(
+    lambda spark, sf_dir: _num_counts(spark, sf_dir, valid=lambda c: S.fn_in_range(c, 10, 1000),
+                                      valid_lo=lambda c: S.fn_in_range(c, lo=10),
+                                      valid_hi=lambda c: S.fn_in_range(c, hi=1000)))
+register("fn_percentage", _num_sql(valid="x >= 0 AND x <= 100"))(
+    lambda spark, sf_dir: _num_counts(spark, sf_dir, valid=S.fn_percentage))
+
+
+@register("fn_lower", "SELECT c_custkey, lower(c_mktsegment) AS segment, lower(c_name) AS name FROM customer")
+def q_fn_lower(spark, sf_dir):
+    c = read(spark, sf_dir, "customer")
+    return c.select("c_custkey", S.fn_lower("c_mktsegment").alias("segment"), S.fn_lower("c_name").alias("name"))
+
+
+@register("fn_substr_year", "SELECT CAST(substr(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), 1, 4) AS INTEGER) AS year, "
+          "count(*) AS n FROM orders GROUP BY 1")
+def q_fn_substr_year(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    return o.groupBy(S.fn_substr_year(F.col("o_orderdate").cast("string")).alias("year")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# quality gate (2.9)
+def _lineitem_spec():
+    return Q.Spec(
+        columns={"l_orderkey": "int", "l_extendedprice": "double", "l_shipdate": "timestamp", "l_returnflag": "int"},
+        not_null=["l_orderkey", "l_returnflag"],
+        unique=["l_orderkey", "l_linenumber"],
+        min_rows=1000,
+        checks=[Q.range_check("l_discount", 0, 0.08),
+                Q.RowCheck("in_set", "l_returnflag", S.fn_in_set("l_returnflag", ["A", "N"]))],
+    )
+
+
+DQ_SQL = " UNION ALL ".join([
+    "SELECT 'column_type' AS rule, 'l_orderkey' AS column, 0 AS violations, TRUE AS passed",
+    "SELECT 'column_type', 'l_extendedprice', 0, TRUE",
+    "SELECT 'column_type', 'l_shipdate', 0, TRUE",
+    "SELECT 'column_type', 'l_returnflag', 1, FALSE",
+    "SELECT 'min_rows', NULL, GREATEST(1000 - count(*), 0), count(*) >= 1000 FROM lineitem",
+    "SELECT 'row_count', NULL, 0, TRUE",
+    "SELECT 'not_null', 'l_orderkey', count_if(l_orderkey IS NULL), count_if(l_orderkey IS NULL) = 0 FROM lineitem",
+    "SELECT 'not_null', 'l_returnflag', count_if(l_returnflag IS NULL), count_if(l_returnflag IS NULL) = 0 FROM lineitem",
+    "SELECT 'unique', 'l_orderkey,l_linenumber', n - k, n = k FROM (SELECT (SELECT count(*) FROM lineitem) AS n, "
+    "(SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS k)",
+    "SELECT 'in_range', 'l_discount', count_if(l_discount < 0 OR l_discount > 0.08), "
+    "count_if(l_discount < 0 OR l_discount > 0.08) = 0 FROM lineitem",
+    "SELECT 'in_set', 'l_returnflag', count_if(l_returnflag NOT IN ('A', 'N')), "
+    "count_if(l_returnflag NOT IN ('A', 'N')) = 0 FROM lineitem",
+])
+
+
+@register("dq_report", DQ_SQL)
+def q_dq_report(spark, sf_dir):
+    return Q.dq_report(read(spark, sf_dir, "lineitem"), _lineitem_spec()).select(
+        "rule", "column", "violations", "passed")
+
+
+def _orders_spec():
+    return Q.Spec(
+        columns={"o_orderkey": "int", "o_totalprice": "double", "o_orderstatus": "string"},
+        not_null=["o_orderkey", "o_orderdate"],
+        unique="o_orderkey",
+        min_rows=100,
+        checks=[Q.RowCheck("in_set", "o_orderstatus", S.fn_in_set("o_orderstatus", ["F", "O", "P"])),
+                Q.range_check("o_totalprice", 0, 600000),
+                Q.YearBounds("o_orderdate", 1990, 2030)],
+    )
+
+
+VALIDATE_SQL = " UNION ALL ".join([
+    "SELECT 'column_type' AS rule, 'o_orderkey' AS column, 0 AS violations, TRUE AS passed",
+    "SELECT 'column_type', 'o_totalprice', 0, TRUE",
+    "SELECT 'column_type', 'o_orderstatus', 0, TRUE",
+    "SELECT 'min_rows', NULL, GREATEST(100 - count(*), 0), count(*) >= 100 FROM orders",
+    "SELECT 'row_count', NULL, 0, TRUE",
+    "SELECT 'not_null', 'o_orderkey', count_if(o_orderkey IS NULL), count_if(o_orderkey IS NULL) = 0 FROM orders",
+    "SELECT 'not_null', 'o_orderdate', count_if(o_orderdate IS NULL), count_if(o_orderdate IS NULL) = 0 FROM orders",
+    "SELECT 'unique', 'o_orderkey', count(*) - count(DISTINCT o_orderkey), count(*) = count(DISTINCT o_orderkey) FROM orders",
+    "SELECT 'in_set', 'o_orderstatus', count_if(o_orderstatus NOT IN ('F', 'O', 'P')), "
+    "count_if(o_orderstatus NOT IN ('F', 'O', 'P')) = 0 FROM orders",
+    "SELECT 'in_range', 'o_totalprice', count_if(o_totalprice < 0 OR o_totalprice > 600000), "
+    "count_if(o_totalprice < 0 OR o_totalprice > 600000) = 0 FROM orders",
+    "SELECT 'year_bounds', 'o_orderdate', CASE WHEN year(min(o_orderdate)) >= 1990 AND year(max(o_orderdate)) <= 2030 "
+    "THEN 0 ELSE 1 END, year(min(o_orderdate)) >= 1990 AND year(max(o_orderdate)) <= 2030 FROM orders",
+])
+
+
+@register("validate", VALIDATE_SQL)
+def q_validate(spark, sf_dir):
+    rows = Q.validate(read(spark, sf_dir, "orders"), _orders_spec())  # raises on failure
+    return spark.createDataFrame([(r["rule"], r["column"], r["violations"], r["passed"]) for r in rows],
+                                 "rule string, column string, violations long, passed boolean")
+
+
+@register("quality_gate", "SELECT 'orders' AS dataset, TRUE AS passed, count(*) AS rows_written FROM orders "
+          "UNION ALL SELECT 'lineitem', FALSE, 0")
+def q_quality_gate(spark, sf_dir):
+    """Gate before write: a failing dataset is never written."""
+    root = scratch(spark, "gated")
+    out = []
+    for name, spec in (("orders", _orders_spec()), ("lineitem", _lineitem_spec())):
+        df = read(spark, sf_dir, name)
+        try:
+            Q.validate(df, spec)
+        except Q.QualityError:
+            out.append((name, False, 0))
+            continue
+        t = Table(spark, f"{root}/{name}")
+        t.write(df, "overwrite")
+        out.append((name, True, t.read().count()))
+    return spark.createDataFrame(out, "dataset string, passed boolean, rows_written long")
+
+
+# ---------------------------------------------------------------------------
+# ledgers (2.11)
+@register("run_summary", (
+    "SELECT environment, trigger, COALESCE(status, 'running') AS status, count(*) AS runs, "
+    "max(duration_s) AS max_duration_s, min(duration_s) AS min_duration_s FROM ("
+    "SELECT run_id, min(CASE WHEN event = 'start' THEN timestamp END) AS started, "
+    "max(CASE WHEN event = 'end' THEN timestamp END) AS ended, "
+    "arg_max(status, timestamp) FILTER (WHERE event = 'end') AS status, "
+    "first(environment) AS environment, first(trigger) AS trigger, "
+    "CAST(epoch_us(max(CASE WHEN event = 'end' THEN timestamp END)) - epoch_us(min(CASE WHEN event = 'start' "
+    "THEN timestamp END)) AS DOUBLE) / 1e6 AS duration_s "
+    f"FROM ({DV.RUNS_SQL}) GROUP BY run_id) GROUP BY ALL"))
+def q_run_summary(spark, sf_dir):
+    return L.run_summary(DV.runs_ledger(spark, sf_dir))
+
+
+@register("error_summary", (
+    "SELECT error_type, count(*) AS errors, min(timestamp) AS first_seen, max(timestamp) AS last_seen, "
+    f"arg_max(message, timestamp) AS latest_message, count(DISTINCT run_id) AS runs FROM ({DV.ERRORS_SQL}) "
+    "GROUP BY error_type"))
+def q_error_summary(spark, sf_dir):
+    return L.error_summary(DV.errors_ledger(spark, sf_dir))
+
+
+@register("request_summary", (
+    "SELECT status, count(*) AS requests, count_if(COALESCE(error, '') <> '') AS failed, "
+    "CAST(sum(CAST(duration_ms AS DECIMAL(18,2))) AS DOUBLE) AS total_ms, min(duration_ms) AS min_ms, "
+    f"max(duration_ms) AS max_ms FROM ({DV.REQUESTS_SQL}) GROUP BY status"))
+def q_request_summary(spark, sf_dir):
+    return L.request_summary(DV.requests_ledger(spark, sf_dir))
+
+
+@register("ingest_incremental")
+def q_ingest_incremental(spark, sf_dir):
+    """Two availableNow runs over the landed raw zone: the second finds nothing
+    new. Returns the manifest per (grain, metric); no oracle (streaming)."""
+    raw = land_raw(spark, sf_dir)
+    work = scratch(spark, "ingest")
+    first = ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
+    second = ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
+    man = read_manifest(spark, f"{work}/manifest")
+    return (man.select(F.regexp_extract("path", r"/([a-z]+)/metric=", 1).alias("grain"),
+                       F.regexp_extract("path", r"metric=([^/]+)", 1).alias("metric"), "size")
+            .groupBy("grain", "metric").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+            .withColumn("first_run_files", F.lit(first)).withColumn("second_run_files", F.lit(second)))
+
+
+# ---------------------------------------------------------------------------
+# all families x all grains (2.10)
+def _columns_of(family: str, grain: str) -> str:
+    from .plans.fixtures import GRAINS as FG
+    cols = ["region_id", "region_name"]
+    if FG[grain].has_state and grain != "state":
+        cols.append("state_code")
+    return ",".join(cols + ["date"] + specs.FAMILIES[family].value_columns)
+
+
+@register("panel_all", " UNION ALL ".join(
+    f"SELECT '{specs.FAMILIES[f].dataset_id(g)}' AS dataset, count(*) AS rows, '{_columns_of(f, g)}' AS columns "
+    f"FROM ({O.panel_grain_sql(f, g, with_grain_col=False)})"
+    for f in specs.FAMILIES for g in specs.GRAINS))
+def q_panel_all(spark, sf_dir):
+    """Every family at every grain; returns the data_outputs ledger rows."""
+    root = scratch(spark, "panel_all")
+    ledger = f"{root}/_ledgers"
+    for family in specs.FAMILIES:
+        fixture_family(spark, sf_dir, family, root, ledger_root=ledger)
+    return spark.read.json(f"{ledger}/data_outputs").select("dataset", "rows", "columns")
