@@ -86,14 +86,9 @@ def _frames(spark, sf_dir, family, grain):
 def q_scan_wide_csv(spark, sf_dir):
     out = []
     for col in FAMILY_OF:
-        df = _wide(spark, sf_dir, col, "metro")
-        months = R.date_columns(df)
-        vals = [S.to_double(F.col(f"`{m}`")) for m in months]
-        per_row = df.select(
-            reduce(lambda a, b: a + b, [v.isNotNull().cast("int") for v in vals]).alias("n"),
-            F.least(*vals).alias("lo"), F.greatest(*vals).alias("hi"))
-        out.append(per_row.agg(F.lit(PREFIX_OF[col]).alias("metric"), F.count(F.lit(1)).alias("regions"),
-                               F.sum("n").alias("cells"), F.min("lo").alias("min_v"), F.max("hi").alias("max_v")))
+        long = _long(spark, sf_dir, col, "metro")  # scan -> melt -> one coercion per cell
+        out.append(long.agg(F.lit(PREFIX_OF[col]).alias("metric"), F.count_distinct("RegionID").alias("regions"),
+                            F.count(col).alias("cells"), F.min(col).alias("min_v"), F.max(col).alias("max_v")))
     return reduce(lambda a, b: a.unionByName(b), out)
 
 

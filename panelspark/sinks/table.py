@@ -2,17 +2,18 @@
 table metadata, time travel.
 
 No table-format jar is available, so a table is a folder of immutable
-Parquet data folders plus a commit log that Spark itself reads and writes:
+Parquet data folders plus a small commit log:
 
-    <root>/data/<id>/part-*.parquet     written once, never modified
-    <root>/_log/                        JSON rows: version, op, dirs, metadata
+    <root>/data/<id>/part-*.parquet     written once by a Spark job, never modified
+    <root>/_log/<version>.json          one JSON object: version, op, dirs, metadata
 
 A version lists the data folders it consists of; the highest version is
 current. Append adds a folder, overwrite and merge point to a fresh one.
-Readers use ``mergeSchema`` so appended columns line up by name. Writers
-are assumed single (one job per table at a time); a failed job leaves an
-orphan data folder but never a half-visible version, because the log row
-is written only after the data job committed.
+Readers use ``mergeSchema`` so appended columns line up by name. The log
+entry is created (create-if-absent) by the driver after the data job has
+committed, so a failed job leaves an orphan data folder but never a
+half-visible version, and a second writer racing for the same version
+number fails instead of overwriting.
 
 ``stage`` + ``commit`` give write-audit-publish: the panel is written
 once, the quality gate reads the written files (no recomputation, and
@@ -26,11 +27,12 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import files
+
 MODES = ("append", "overwrite", "merge")
 
 LOG_SCHEMA = T.StructType([
@@ -54,29 +56,25 @@ class Table:
         self.log_dir = f"{self.root}/_log"
 
     # -- log ------------------------------------------------------------------
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).json(self.log_dir)
-        except AnalysisException:
-            return None
+    def _versions(self) -> list[int]:
+        return sorted(int(n[:-5]) for n in files.list_names(self.spark, self.log_dir)
+                      if n.endswith(".json") and n[:-5].isdigit())
 
     def current(self, version: int | None = None) -> dict | None:
-        log = self._log()
-        if log is None:
+        versions = self._versions()
+        if not versions:
             return None
-        if version is not None:
-            log = log.where(F.col("version") == version)
-        row = log.orderBy(F.col("version").desc()).limit(1).collect()
-        return row[0].asDict() if row else None
+        v = versions[-1] if version is None else version
+        if v not in versions:
+            raise FileNotFoundError(f"version {v} of {self.root} does not exist")
+        return json.loads(files.read_text(self.spark, f"{self.log_dir}/{v:020d}.json"))
 
     def exists(self) -> bool:
-        return self.current() is not None
+        return bool(self._versions())
 
     def history(self) -> DataFrame:
-        log = self._log()
-        if log is None:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        return log.orderBy("version")
+        rows = [self.current(v) for v in self._versions()]
+        return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else self.spark.createDataFrame([], LOG_SCHEMA)
 
     def _commit(self, op: str, dirs: list[str], metadata: dict | None, rows: int | None,
                 prev: dict | None) -> dict:
@@ -84,8 +82,7 @@ class Table:
         meta = json.dumps(metadata) if metadata is not None else (prev or {}).get("metadata")
         entry = {"version": version, "op": op, "dirs": dirs, "metadata": meta, "rows": rows,
                  "ts": datetime.now(timezone.utc).isoformat()}
-        (self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1)
-         .write.mode("append").json(self.log_dir))
+        files.write_text(self.spark, f"{self.log_dir}/{version:020d}.json", json.dumps(entry))
         return entry
 
     # -- read -------------------------------------------------------------------

@@ -56,3 +56,34 @@ def first_line(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> str
     if len(line) > max_bytes:
         raise ValueError(f"header of {path} exceeds {max_bytes} characters")
     return line.lstrip("﻿")
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    """Create a small file in one call. With ``overwrite=False`` the create
+    fails if the file exists -- the commit log relies on that to detect a
+    concurrent writer."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        scanner = jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A")
+        return scanner.next() if scanner.hasNext() else ""
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the entries directly in ``folder`` (empty if it does not exist)."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))
