@@ -84,12 +84,13 @@ def _frames(spark, sf_dir, family, grain):
     f"min({c}) AS min_v, max({c}) AS max_v FROM ({O.cells_sql('metro', [c])}) WHERE {c} IS NOT NULL"
     for c in FAMILY_OF))
 def q_scan_wide_csv(spark, sf_dir):
-    out = []
-    for col in FAMILY_OF:
-        long = _long(spark, sf_dir, col, "metro")  # scan -> melt -> one coercion per cell
-        out.append(long.agg(F.lit(PREFIX_OF[col]).alias("metric"), F.count_distinct("RegionID").alias("regions"),
-                            F.count(col).alias("cells"), F.min(col).alias("min_v"), F.max(col).alias("max_v")))
-    return reduce(lambda a, b: a.unionByName(b), out)
+    """All 21 metric files of the metro grain: one header group, so one scan."""
+    root = land_raw(spark, sf_dir, ["metro"])
+    wide = read_wide_csv(spark, f"{root}/metro", source_col="_source")
+    long = R.melt(wide, "v").select(
+        F.regexp_extract("_source", r"metric=([^/]+)", 1).alias("metric"), "RegionID", S.to_double("v").alias("v"))
+    return long.groupBy("metric").agg(F.count_distinct("RegionID").alias("regions"), F.count("v").alias("cells"),
+                                      F.min("v").alias("min_v"), F.max("v").alias("max_v"))
 
 
 @register("scan_raw_text", " UNION ALL ".join(

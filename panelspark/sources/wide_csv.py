@@ -60,30 +60,39 @@ def _check_header(header: tuple[str, ...], source: str) -> None:
             normalize_header_date(name)  # raises on a malformed month header
 
 
-def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
+def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
+               source_col: str | None = None) -> DataFrame:
+    """One all-string read of files sharing ``header``; id columns cleaned,
+    months in calendar order, optionally the source file as ``source_col``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths)
     ids = [c for c in header if not is_date_header(c)]
-    fixed = {c: na_to_null(F.col(f"`{c}`")) for c in ids}
-    if "RegionID" in fixed:
-        fixed["RegionID"] = F.trim(fixed["RegionID"]).try_cast("bigint")
-    if "SizeRank" in fixed:
-        fixed["SizeRank"] = F.trim(fixed["SizeRank"]).try_cast("bigint")
-    return df.withColumns(fixed)
-
-
-def read_wide_csv(spark: SparkSession, path: str) -> DataFrame | None:
+    months = sorted((c for c in header if is_date_header(c)), key=normalize_header_date)
+    cols = []
+    for c in ids:
+        v = na_to_null(F.col(f"`{c}`"))
+        if c in ("RegionID", "SizeRank"):
+            v = F.trim(v).try_cast("bigint")
+        cols.append(v.alias(c))
+    if source_col:
+        cols.append(F.col("_metadata.file_path").alias(source_col))
+    return df.select(*cols, *[F.col(f"`{m}`") for m in months])
+
+
+def read_wide_csv(spark: SparkSession, path: str, source_col: str | None = None) -> DataFrame | None:
     """One wide panel (file, folder or glob); None when no file holds a data row
-    (a missing or header-only file is an empty variant and is skipped)."""
+    (a missing or header-only file is an empty variant and is skipped).
+    Files with one header are read by one scan; groups align by name."""
     groups, has_rows = header_groups(spark, path)
     if not groups or not has_rows:
         return None
     frames = []
     for header, paths in groups.items():
         _check_header(header, paths[0])
-        frames.append(read_group(spark, header, paths))
+        frames.append(read_group(spark, header, paths, source_col))
+    if len(frames) == 1:
+        return frames[0]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    # id columns first, then months in calendar order (the header order)
     ids = [c for c in df.columns if not is_date_header(c)]
     months = sorted((c for c in df.columns if is_date_header(c)), key=normalize_header_date)
     return df.select(*[F.col(f"`{c}`") for c in ids + months])
