@@ -119,9 +119,10 @@ class Table:
         check_mode(mode, key)
         if mode == "overwrite":
             print(f"warning: overwriting {self.root}: all existing data will be replaced")
-        if df.isEmpty():  # zero rows: no-op in every mode, overwrite included
-            return None
-        return self.commit(self.stage(df), mode, key, metadata)
+        staged = self.stage(df)  # the plan runs once; emptiness is read from the written files
+        if self.spark.read.parquet(staged).isEmpty():
+            return None  # zero rows: no-op in every mode, overwrite included (folder stays unreferenced)
+        return self.commit(staged, mode, key, metadata)
 
     def commit(self, staged: str, mode: str = "append", key: list[str] | str | None = None,
                metadata: dict | None = None, rows: int | None = None) -> dict:
