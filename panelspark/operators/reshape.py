@@ -22,6 +22,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import to_double
+
 KEY = "RegionID"
 HEADER_DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
@@ -63,10 +65,17 @@ def melt(df: DataFrame, value_name: str, var_name: str = "date", ids: list[str]
     return renamed.unpivot(ids, [normalize_header_date(m) for m in months], var_name, value_name)
 
 
-def _month_array(df: DataFrame, months: list[str], elem_type: str) -> Column:
+def _cell(df: DataFrame, name: str, coerce: bool) -> Column:
+    c = F.col(f"`{name}`")
+    if not coerce:
+        return c
+    return to_double(c, "string" if dict(df.dtypes)[name] == "string" else "numeric")
+
+
+def _month_array(df: DataFrame, months: list[str], elem_type: str, coerce: bool = False) -> Column:
     present = set(df.columns)
     return F.array(*[
-        (F.col(f"`{m}`").cast(elem_type) if m in present else F.lit(None).cast(elem_type))
+        (_cell(df, m, coerce).cast(elem_type) if m in present else F.lit(None).cast(elem_type))
         for m in months
     ])
 
@@ -77,7 +86,7 @@ def _elem_type(frames: list[DataFrame]) -> str:
 
 
 def melt_multi(frames: list[tuple[DataFrame, str]], grain_filter: str | None = None,
-               null_safe: bool = True) -> DataFrame:
+               null_safe: bool = True, coerce: bool = False) -> DataFrame:
     """Join-then-melt of several wide variants onto the first one's grid.
 
     ``frames`` is ``[(wide_df, value_col), ...]``; the first non-empty frame
@@ -86,24 +95,31 @@ def melt_multi(frames: list[tuple[DataFrame, str]], grain_filter: str | None = N
     (RegionID, their value). A region missing from a later variant gets an
     all-NULL array so ``arrays_zip`` does not drop its rows; a later variant
     that repeats a RegionID fans out, which the uniqueness gate reports.
+
+    With ``coerce`` cells become doubles (:func:`to_double`) while packing,
+    so joined / broadcast arrays hold 8-byte values instead of text. It is
+    off by default: one coercion per month column in a single projection
+    (hundreds of months) outgrows the JVM's 64 KB method limit, whole-stage
+    codegen is abandoned and the stage runs interpreted -- measured 3-6x
+    slower than coercing the k value columns after the explode.
     """
     first, first_col = frames[0]
     headers = date_columns(first)
     months = [normalize_header_date(m) for m in headers]
-    elem = _elem_type([f for f, _ in frames])
+    elem = "double" if coerce else _elem_type([f for f, _ in frames])
     n = len(months)
 
     base = first
     if grain_filter is not None and "RegionType" in first.columns:
         base = base.where(F.lower(F.col("RegionType")) == F.lit(grain_filter))
     ids = id_columns(first)
-    base = base.select(*ids, _month_array(first, headers, elem).alias("__v0"))
+    base = base.select(*ids, _month_array(first, headers, elem, coerce).alias("__v0"))
 
     joined = base
     for i, (df, _col) in enumerate(frames[1:], start=1):
         raw_by_norm = {normalize_header_date(m): m for m in date_columns(df)}
         arr = F.array(*[
-            (F.col(f"`{raw_by_norm[m]}`").cast(elem) if m in raw_by_norm else F.lit(None).cast(elem))
+            (_cell(df, raw_by_norm[m], coerce).cast(elem) if m in raw_by_norm else F.lit(None).cast(elem))
             for m in months
         ])
         side = df.select(F.col(KEY).alias(f"__k{i}"), arr.alias(f"__v{i}"))

@@ -19,6 +19,7 @@ length is bounded by the calendar (checked), never by the row count.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 from datetime import date
 
@@ -209,6 +210,7 @@ def wide_variants(spark: SparkSession, sf_dir: str, family: str, grain: str) ->
 
 # Landed raw files, memoised per (workspace, tables folder, grain).
 _LANDED: dict[tuple[str, str, str], str] = {}
+_LAND_LOCK = threading.Lock()
 LANDING_VERSION = "v2"
 
 
@@ -227,17 +229,26 @@ def land_raw(spark: SparkSession, sf_dir: str, grains=None) -> str:
     from ..session import workspace
     from ..sources.wide_csv import CSV_WRITE_OPTIONS
 
-    ws = workspace(spark)
+    with _LAND_LOCK:  # callers in several threads must not land the same grain twice
+        return _land(spark, sf_dir, grains, workspace(spark), CSV_WRITE_OPTIONS)
+
+
+def _land(spark, sf_dir, grains, ws, csv_options) -> str:
     tag = sf_dir.rstrip("/").replace("/", "_").replace(":", "_")
     root = f"{ws}/raw-{LANDING_VERSION}-{tag}"
-    months = None
-    for grain in grains or specs.GRAINS:
-        key = (ws, sf_dir, grain)
-        if key in _LANDED:
-            continue
-        months = months if months is not None else month_header(spark, sf_dir)
+    todo = [g for g in (grains or specs.GRAINS) if (ws, sf_dir, g) not in _LANDED]
+    if not todo:
+        return root
+    months = month_header(spark, sf_dir)
+
+    def one(grain):
         wide, _ = wide_metrics(spark, sf_dir, list(specs.FAMILIES), grain, months)
-        (wide.write.mode("overwrite").partitionBy("metric").options(**CSV_WRITE_OPTIONS)
-         .csv(f"{root}/{grain}"))
-        _LANDED[key] = root
+        wide.write.mode("overwrite").partitionBy("metric").options(**csv_options).csv(f"{root}/{grain}")
+        return grain
+
+    # grains are independent: land them as concurrent jobs
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+        for grain in pool.map(one, todo):
+            _LANDED[(ws, sf_dir, grain)] = root
     return root

@@ -35,14 +35,16 @@ def test_grid_is_first_variant(spark):
               ["2024-02-29", "2024-03-31"])
     v2 = wide(spark, [(2, 2, "B2", "msa", "NY", "200", "201"), (3, 3, "C", "msa", "TX", "300", "301")],
               ["2024-01-31", "2024-02-29"])
-    out = R.melt_multi([(v1, "a"), (v2, "b")], grain_filter="msa")
+    out = R.melt_multi([(v1, "a"), (v2, "b")], grain_filter="msa", coerce=True)
     rows = sorted((r.RegionID, r.date, r.a, r.b, r.RegionName) for r in out.collect())
     # months only in variant 2 (Jan) and regions only in variant 2 (3) are lost (D2);
     # region 1 is missing from variant 2 yet keeps its rows (arrays_zip trap)
     assert rows == [
-        (1, "2024-02-29", "10", None, "A"), (1, "2024-03-31", "11", None, "A"),
-        (2, "2024-02-29", "20", "201", "B"), (2, "2024-03-31", None, None, "B"),
+        (1, "2024-02-29", 10.0, None, "A"), (1, "2024-03-31", 11.0, None, "A"),
+        (2, "2024-02-29", 20.0, 201.0, "B"), (2, "2024-03-31", None, None, "B"),
     ]
+    raw = R.melt_multi([(v1, "a"), (v2, "b")], grain_filter="msa", coerce=False)
+    assert dict(raw.dtypes)["a"] == "string"
 
 
 def test_grid_equals_outer_join_filter_dropna(spark):
