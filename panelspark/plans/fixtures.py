@@ -96,9 +96,9 @@ def _month_col(ts: str) -> F.Column:
     return F.date_format(F.last_day(F.add_months(F.col(ts), SHIFT_MONTHS)), "yyyy-MM-dd")
 
 
-def fact(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    """One row per line item with region attributes and the cell inputs."""
-    g = GRAINS[grain]
+def base_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem JOIN orders: one row per line with the cell inputs and the
+    keys every grain needs (customer, supplier, part)."""
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_partkey",
         F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("rflag"),
@@ -108,7 +108,13 @@ def fact(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
         F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
         _month_col("o_orderdate").alias("date"),
         F.datediff(F.last_day(F.col("o_orderdate")), F.to_date(F.col("o_orderdate"))).alias("dtp"))
-    f = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+
+
+def fact(spark: SparkSession, sf_dir: str, grain: str, base: DataFrame | None = None) -> DataFrame:
+    """One row per line item with region attributes and the cell inputs."""
+    g = GRAINS[grain]
+    f = base if base is not None else base_fact(spark, sf_dir)
     nation = read(spark, sf_dir, "nation")
     if g.dimension in ("region", "nation", "customer"):
         cust = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -177,10 +183,11 @@ def month_header(spark: SparkSession, sf_dir: str) -> list[str]:
 ID_COLUMNS = ("RegionID", "SizeRank", "RegionName", "RegionType", "StateName")
 
 
-def metric_cells(spark: SparkSession, sf_dir: str, families: list[str], grain: str) -> DataFrame:
+def metric_cells(spark: SparkSession, sf_dir: str, families: list[str], grain: str,
+                 base: DataFrame | None = None) -> DataFrame:
     """Long cells ``(ids..., metric, date, v)``: one aggregation of the fact per
     (region, month) computes every metric, then ``inline`` stacks them."""
-    f = fact(spark, sf_dir, grain)
+    f = fact(spark, sf_dir, grain, base)
     ids = [c for c in ID_COLUMNS if c in f.columns]
     pairs = [(prefix, col) for fam in families for prefix, col in specs.FAMILIES[fam].variants.items()]
     cells = f.groupBy(*ids, "date").agg(*[F.expr(VARIANT_AGGS_BY_COL[col]).alias(col) for _p, col in pairs])
@@ -190,11 +197,11 @@ def metric_cells(spark: SparkSession, sf_dir: str, families: list[str], grain: s
 
 
 def wide_metrics(spark: SparkSession, sf_dir: str, families: list[str], grain: str,
-                 months: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+                 months: list[str] | None = None, base: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """One wide row per (region, metric): ``pivot(date)`` of the long cells.
     Only regions with a non-null cell for that metric get a row."""
     months = months if months is not None else month_header(spark, sf_dir)
-    long = metric_cells(spark, sf_dir, families, grain)
+    long = metric_cells(spark, sf_dir, families, grain, base)
     ids = [c for c in ID_COLUMNS if c in long.columns]
     wide = long.groupBy(*ids, "metric").pivot("date", months).agg(F.first("v", ignorenulls=True))
     return wide, months
@@ -211,7 +218,7 @@ def wide_variants(spark: SparkSession, sf_dir: str, family: str, grain: str) ->
 # Landed raw files, memoised per (workspace, tables folder, grain).
 _LANDED: dict[tuple[str, str, str], str] = {}
 _LAND_LOCK = threading.Lock()
-LANDING_VERSION = "v2"
+LANDING_VERSION = "v3"
 
 
 def raw_path(raw_root: str, prefix: str, grain: str) -> str:
@@ -240,9 +247,14 @@ def _land(spark, sf_dir, grains, ws, csv_options) -> str:
     if not todo:
         return root
     months = month_header(spark, sf_dir)
+    # The big join happens once: its result is written (cutting lineage) and
+    # every grain's aggregation reads it instead of re-shuffling lineitem.
+    base_path = f"{root}/_base"
+    base_fact(spark, sf_dir).write.mode("overwrite").parquet(base_path)
+    base = spark.read.parquet(base_path)
 
     def one(grain):
-        wide, _ = wide_metrics(spark, sf_dir, list(specs.FAMILIES), grain, months)
+        wide, _ = wide_metrics(spark, sf_dir, list(specs.FAMILIES), grain, months, base)
         wide.write.mode("overwrite").partitionBy("metric").options(**csv_options).csv(f"{root}/{grain}")
         return grain
 
