@@ -161,24 +161,28 @@ def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], check_duplicates: bool = True) -> DataFrame:
-    """MERGE semantics as joins: matched rows take the source's columns and
-    keep target-only columns; unmatched source rows are inserted; unmatched
-    target rows stay. NULL keys never match (SQL equality).
-
-    Two shuffles on the key (anti join, left join); both sides are
-    partitioned the same way so the planner can reuse the exchange.
+    """MERGE semantics in one full outer join on the key: matched rows take
+    the source's columns and keep target-only columns; unmatched source rows
+    are inserted (target-only columns NULL); unmatched target rows stay.
+    NULL keys never match (SQL equality), so such rows pass through as
+    unmatched. Each side is shuffled once; AQE splits a hot key.
     """
     if check_duplicates and duplicate_keys(source, keys).limit(1).count() > 0:
         raise MergeKeyError(f"source has duplicate rows for merge key {keys}")
-    target_only = [c for c in target.columns if c not in source.columns]
-    kept = target.join(source.select(*keys).where(_all_not_null(keys)), keys, "left_anti")
-    tgt_side = target.select(*keys, *target_only).where(_all_not_null(keys))
-    updated = source.join(tgt_side, keys, "left") if target_only else source
-    return kept.unionByName(updated, allowMissingColumns=True)
-
-
-def _all_not_null(keys: list[str]):
-    cond = F.lit(True)
+    t = target.select(*[F.col(f"`{c}`").alias(f"t__{c}") for c in target.columns])
+    s = source.select(*[F.col(f"`{c}`").alias(f"s__{c}") for c in source.columns], F.lit(True).alias("__src"))
+    cond = None
     for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
+        eq = F.col(f"t__{k}") == F.col(f"s__{k}")
+        cond = eq if cond is None else cond & eq
+    j = t.join(s, cond, "full")
+    src = F.coalesce(F.col("__src"), F.lit(False))
+    cols = []
+    for c in source.columns:
+        fallback = F.col(f"t__{c}") if c in target.columns else F.lit(None)
+        cols.append(F.when(src, F.col(f"s__{c}")).otherwise(fallback).alias(c))
+    cols += [F.col(f"t__{c}").alias(c) for c in target.columns if c not in source.columns]
+    out = j.select(*cols)
+    # keep the target's column order, new source columns at the end
+    order = [c for c in target.columns] + [c for c in source.columns if c not in target.columns]
+    return out.select(*[F.col(f"`{c}`") for c in order])

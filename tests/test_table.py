@@ -70,3 +70,11 @@ def test_publish_metadata_and_load(spark, tmp_path):
     assert df.schema["k"].metadata["comment"] == "the key"
     with pytest.raises(FileNotFoundError):
         load_table(spark, str(tmp_path / "tables"), "absent")
+
+
+def test_upsert_null_keys_never_match(spark):
+    from panelspark.sinks.table import upsert
+    target = spark.createDataFrame([(None, "t-null"), (1, "t1")], "k bigint, v string")
+    source = spark.createDataFrame([(None, "s-null"), (1, "s1")], "k bigint, v string")
+    got = sorted((r.k if r.k is not None else -1, r.v) for r in upsert(target, source, ["k"]).collect())
+    assert got == [(-1, "s-null"), (-1, "t-null"), (1, "s1")]
