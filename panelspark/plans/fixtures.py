@@ -218,7 +218,7 @@ def wide_variants(spark: SparkSession, sf_dir: str, family: str, grain: str) ->
 # Landed raw files, memoised per (workspace, tables folder, grain).
 _LANDED: dict[tuple[str, str, str], str] = {}
 _LAND_LOCK = threading.Lock()
-LANDING_VERSION = "v3"
+LANDING_VERSION = "v4"
 
 
 def raw_path(raw_root: str, prefix: str, grain: str) -> str:
@@ -255,7 +255,10 @@ def _land(spark, sf_dir, grains, ws, csv_options) -> str:
 
     def one(grain):
         wide, _ = wide_metrics(spark, sf_dir, list(specs.FAMILIES), grain, months, base)
-        wide.write.mode("overwrite").partitionBy("metric").options(**csv_options).csv(f"{root}/{grain}")
+        # rebalance on metric: AQE sizes the files (a few per metric instead of
+        # one per shuffle partition) and splits a metric if it is large
+        (wide.hint("rebalance", "metric").write.mode("overwrite").partitionBy("metric")
+         .options(**csv_options).csv(f"{root}/{grain}"))
         return grain
 
     # grains are independent: land them as concurrent jobs

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import na_to_null
-from ..operators.reshape import is_date_header, normalize_header_date
+from ..operators.reshape import bq, is_date_header, normalize_header_date
 from . import files
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE", "multiLine": "false"}
@@ -68,15 +68,17 @@ def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
     df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths)
     ids = [c for c in header if not is_date_header(c)]
     months = sorted((c for c in header if is_date_header(c)), key=normalize_header_date)
-    cols = []
+    fixed = {}
     for c in ids:
-        v = na_to_null(F.col(f"`{c}`"))
+        v = na_to_null(F.col(bq(c)))
         if c in ("RegionID", "SizeRank"):
             v = F.trim(v).try_cast("bigint")
-        cols.append(v.alias(c))
+        fixed[c] = v
     if source_col:
-        cols.append(F.col("_metadata.file_path").alias(source_col))
-    return df.select(*cols, *[F.col(f"`{m}`") for m in months])
+        fixed[source_col] = F.col("_metadata.file_path")
+    # one call each: cleaned id columns, then ids + months in calendar order as SQL text
+    order = ids + ([source_col] if source_col else []) + months
+    return df.withColumns(fixed).selectExpr(*[bq(c) for c in order])
 
 
 def read_wide_csv(spark: SparkSession, path: str, source_col: str | None = None) -> DataFrame | None:
@@ -95,7 +97,7 @@ def read_wide_csv(spark: SparkSession, path: str, source_col: str | None = None)
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     ids = [c for c in df.columns if not is_date_header(c)]
     months = sorted((c for c in df.columns if is_date_header(c)), key=normalize_header_date)
-    return df.select(*[F.col(f"`{c}`") for c in ids + months])
+    return df.selectExpr(*[bq(c) for c in ids + months])
 
 
 def write_wide_csv(df: DataFrame, path: str) -> None:
