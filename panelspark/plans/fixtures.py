@@ -218,7 +218,7 @@ def wide_variants(spark: SparkSession, sf_dir: str, family: str, grain: str) ->
 # Landed raw files, memoised per (workspace, tables folder, grain).
 _LANDED: dict[tuple[str, str, str], str] = {}
 _LAND_LOCK = threading.Lock()
-LANDING_VERSION = "v4"
+LANDING_VERSION = "v5"
 
 
 def raw_path(raw_root: str, prefix: str, grain: str) -> str:

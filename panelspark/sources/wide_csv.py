@@ -30,7 +30,9 @@ CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "nullValue":
 
 
 def parse_header(line: str) -> list[str]:
-    return next(csv.reader([line]))
+    """Header names; a blank name becomes ``_c<i>`` (Spark's convention), an
+    id column since it does not start with a digit."""
+    return [name if name else f"_c{i}" for i, name in enumerate(next(csv.reader([line])))]
 
 
 def header_groups(spark: SparkSession, path: str) -> tuple[dict[tuple[str, ...], list[str]], bool]:

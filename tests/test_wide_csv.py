@@ -59,3 +59,11 @@ def test_first_variant_with_foreign_grain_only_empties_result(spark, write_csv):
     panel = build_panel([(read_wide_csv(spark, a), "for_sale_inventory"), (read_wide_csv(spark, b), "new_listings")],
                         specs.INVENTORY, "metro")
     assert panel.count() == 0  # D1: "non-empty" is judged before the grain filter
+
+
+def test_blank_header_is_an_id_column(spark, write_csv):
+    p = write_csv("blank.csv", f"{HEAD},,2024-01-31\n1,1,A,msa,CA,x,5\n")
+    df = read_wide_csv(spark, p)
+    assert "_c5" in df.columns
+    long = melt(df, "v").collect()
+    assert [(r.RegionID, r._c5, r.date, r.v) for r in long] == [(1, "x", "2024-01-31", "5")]
