@@ -119,10 +119,22 @@ def fn_percentage(col: ColumnOrName) -> Column:
 NUMERIC_TEXT_RE = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+NA_TOKENS_SQL = "(" + ", ".join(_sql_str(t) for t in specs.NA_TOKENS) + ")"
+
+
 def na_to_null(col: ColumnOrName) -> Column:
-    """NULL for the NA tokens a pandas CSV read treats as missing (no trimming)."""
-    c = _c(col)
-    return F.when(c.isin(specs.NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
+    """NULL for the NA tokens a pandas CSV read treats as missing (no trimming).
+
+    Given a column *name* the expression is built from SQL text in one JVM
+    call (it runs for every id column of every variant file)."""
+    if isinstance(col, str):
+        name = "`" + col.replace("`", "``") + "`"
+        return F.expr(f"CASE WHEN {name} IN {NA_TOKENS_SQL} THEN CAST(NULL AS STRING) ELSE {name} END")
+    return F.when(col.isin(specs.NA_TOKENS), F.lit(None).cast("string")).otherwise(col)
 
 
 def to_double(col: ColumnOrName, dtype: str = "string") -> Column:

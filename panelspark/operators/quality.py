@@ -105,135 +105,149 @@ class Spec:
     profile_nulls: bool = False  # add an informational null count per column
 
 
-def _row(rule: str, column: str | None, violations: Column, passed: Column, detail: Column) -> Column:
-    return F.struct(
-        F.lit(rule).alias("rule"),
-        F.lit(column).cast("string").alias("column"),
-        violations.cast("long").alias("violations"),
-        passed.alias("passed"),
-        detail.cast("string").alias("detail"),
-    )
+def _s(v) -> str:
+    """SQL literal for a Python value (strings quoted, None as NULL)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _row(rule: str, column: str | None, violations: str, passed: str, detail: str) -> str:
+    """One report row as SQL text (all rows are assembled in one expression)."""
+    return (f"named_struct('rule', {_s(rule)}, 'column', CAST({_s(column)} AS STRING), "
+            f"'violations', CAST({violations} AS BIGINT), 'passed', {passed}, "
+            f"'detail', CAST({detail} AS STRING))")
 
 
 def dq_report(df: DataFrame, spec: Spec) -> DataFrame:
-    """All rules as rows, computed by one aggregation job."""
+    """All rules as rows, computed by one aggregation job.
+
+    Report rows and plain aggregates are SQL text (a handful of JVM calls
+    in total); only the rules' own predicates are Column expressions."""
     schema = {f.name: f.dataType for f in df.schema.fields}
-    static_rows: list[Column] = []
+    static_rows: list[str] = []
 
     # -- columns and types: driver-side over the schema, no job -------------
     for col, expected in (spec.columns or {}).items():
         if col not in schema:
-            static_rows.append(_row("column_exists", col, F.lit(1), F.lit(False), F.lit("missing column")))
+            static_rows.append(_row("column_exists", col, "1", "FALSE", _s("missing column")))
             continue
         actual = arrow_type_name(schema[col])
         ok = expected in actual
-        static_rows.append(_row("column_type", col, F.lit(0 if ok else 1), F.lit(ok),
-                                F.lit(f"expected '{expected}', got '{actual}'")))
+        static_rows.append(_row("column_type", col, "0" if ok else "1", _s(ok),
+                                _s(f"expected '{expected}', got '{actual}'")))
 
     unique = [spec.unique] if isinstance(spec.unique, str) else list(spec.unique or [])
     missing_key = [c for c in unique if c not in schema]
     for c in missing_key:
-        static_rows.append(_row("unique", c, F.lit(1), F.lit(False), F.lit("missing key column")))
+        static_rows.append(_row("unique", c, "1", "FALSE", _s("missing key column")))
     if missing_key:
         unique = []
 
-    # -- level-1 expressions --------------------------------------------------
+    # -- level-1 aggregates ----------------------------------------------------
     flag_aggs: dict[str, Column] = {}
-    lvl2: dict[str, Column] = {}
     present_not_null = []
     for col in spec.not_null or []:
         if col not in schema:
-            static_rows.append(_row("not_null", col, F.lit(1), F.lit(False), F.lit("missing column")))
+            static_rows.append(_row("not_null", col, "1", "FALSE", _s("missing column")))
             continue
         present_not_null.append(col)
-        flag_aggs[f"nn__{col}"] = F.count_if(F.col(col).isNull())
+        flag_aggs[f"nn__{col}"] = F.expr(f"count_if({_q(col)} IS NULL)")
     profiled = list(schema) if spec.profile_nulls else []
     for i, col in enumerate(profiled):
-        flag_aggs[f"pn__{i}"] = F.count_if(F.col(f"`{col}`").isNull())
+        flag_aggs[f"pn__{i}"] = F.expr(f"count_if({_q(col)} IS NULL)")
     row_checks = [c for c in spec.checks if isinstance(c, RowCheck)]
     for i, chk in enumerate(row_checks):
         if chk.column not in schema:
-            static_rows.append(_row(chk.rule, chk.column, F.lit(1), F.lit(False), F.lit("missing column")))
+            static_rows.append(_row(chk.rule, chk.column, "1", "FALSE", _s("missing column")))
             continue
         flag_aggs[f"rc__{i}"] = F.count_if(~F.coalesce(chk.valid, F.lit(False)))
-    minmax: dict[str, tuple[Column, Column]] = {}
-    for j, chk in enumerate(c for c in spec.checks if isinstance(c, (YearBounds, ValueBounds))):
+    bounds = [c for c in spec.checks if isinstance(c, (YearBounds, ValueBounds))]
+    minmax: list[str] = []
+    for j, chk in enumerate(bounds):
         if chk.column not in schema:
-            static_rows.append(_row("bounds", chk.column, F.lit(1), F.lit(False), F.lit("missing column")))
+            static_rows.append(_row("bounds", chk.column, "1", "FALSE", _s("missing column")))
             continue
-        minmax[f"mm__{j}"] = (F.min(chk.column), F.max(chk.column))
+        minmax.append(f"mm__{j}")
+
+    def minmax_exprs(source: str | None) -> list[Column]:
+        out = []
+        for j, chk in enumerate(bounds):
+            k = f"mm__{j}"
+            if k in minmax:
+                lo_src = _q(chk.column) if source is None else f"{k}_lo"
+                hi_src = _q(chk.column) if source is None else f"{k}_hi"
+                out += [F.expr(f"min({lo_src})").alias(f"{k}_lo"), F.expr(f"max({hi_src})").alias(f"{k}_hi")]
+        return out
 
     if unique:
-        level1 = [F.count(F.lit(1)).alias("n")]
-        level1 += [a.alias(k) for k, a in flag_aggs.items()]
-        for k, (lo, hi) in minmax.items():
-            level1 += [lo.alias(f"{k}_lo"), hi.alias(f"{k}_hi")]
-        per_key = df.groupBy(*unique).agg(*level1)
-        lvl2 = {
-            "rows": F.coalesce(F.sum("n"), F.lit(0)),
-            "dups": F.coalesce(F.sum(F.col("n") - 1), F.lit(0)),
-            **{k: F.coalesce(F.sum(k), F.lit(0)) for k in flag_aggs},
-        }
-        for k in minmax:
-            lvl2[f"{k}_lo"] = F.min(f"{k}_lo")
-            lvl2[f"{k}_hi"] = F.max(f"{k}_hi")
-        agg = per_key.agg(*[v.alias(k) for k, v in lvl2.items()])
+        per_key = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("n"),
+                                          *[a.alias(k) for k, a in flag_aggs.items()], *minmax_exprs(None))
+        agg = per_key.agg(
+            F.expr("coalesce(sum(n), 0)").alias("rows"),
+            F.expr("coalesce(sum(n - 1), 0)").alias("dups"),
+            *[F.expr(f"coalesce(sum({k}), 0)").alias(k) for k in flag_aggs],
+            *minmax_exprs("level2"))
     else:
-        cols = [F.count(F.lit(1)).alias("rows")] + [a.alias(k) for k, a in flag_aggs.items()]
-        for k, (lo, hi) in minmax.items():
-            cols += [lo.alias(f"{k}_lo"), hi.alias(f"{k}_hi")]
-        agg = df.agg(*cols)
+        agg = df.agg(F.count(F.lit(1)).alias("rows"), *[a.alias(k) for k, a in flag_aggs.items()],
+                     *minmax_exprs(None))
 
-    rows: list[Column] = list(static_rows)
-    n = F.col("rows")
+    rows: list[str] = list(static_rows)
     if spec.min_rows:
-        rows.append(_row("min_rows", None, F.when(n < spec.min_rows, F.lit(spec.min_rows) - n).otherwise(0),
-                         n >= spec.min_rows, F.format_string("expected >= %d rows, got %d", F.lit(spec.min_rows), n)))
+        m = spec.min_rows
+        rows.append(_row("min_rows", None, f"CASE WHEN rows < {m} THEN {m} - rows ELSE 0 END", f"rows >= {m}",
+                         f"format_string('expected >= %d rows, got %d', {m}, rows)"))
     if spec.max_rows:
-        rows.append(_row("max_rows", None, F.when(n > spec.max_rows, n - F.lit(spec.max_rows)).otherwise(0),
-                         n <= spec.max_rows, F.format_string("expected <= %d rows, got %d", F.lit(spec.max_rows), n)))
-    rows.append(_row("row_count", None, F.lit(0), F.lit(True), n.cast("string")))
+        m = spec.max_rows
+        rows.append(_row("max_rows", None, f"CASE WHEN rows > {m} THEN rows - {m} ELSE 0 END", f"rows <= {m}",
+                         f"format_string('expected <= %d rows, got %d', {m}, rows)"))
+    rows.append(_row("row_count", None, "0", "TRUE", "rows"))
     for col in present_not_null:
-        v = F.col(f"nn__{col}")
-        rows.append(_row("not_null", col, v, v == 0, F.format_string("%d null values", v)))
+        v = _q(f"nn__{col}")
+        rows.append(_row("not_null", col, v, f"{v} = 0", f"format_string('%d null values', {v})"))
     if unique:
-        d = F.col("dups")
-        rows.append(_row("unique", ",".join(unique), d, d == 0, F.format_string("%d duplicate keys", d)))
+        rows.append(_row("unique", ",".join(unique), "dups", "dups = 0", "format_string('%d duplicate keys', dups)"))
     for i, col in enumerate(profiled):
-        v = F.col(f"pn__{i}")
-        rows.append(_row("null_count", col, v, F.lit(True), F.lit("")))
+        rows.append(_row("null_count", col, f"pn__{i}", "TRUE", "''"))
     for i, chk in enumerate(row_checks):
         if f"rc__{i}" in flag_aggs:
-            v = F.col(f"rc__{i}")
-            rows.append(_row(chk.rule, chk.column, v, v == 0, F.lit(chk.detail)))
-    for j, chk in enumerate(c for c in spec.checks if isinstance(c, (YearBounds, ValueBounds))):
+            rows.append(_row(chk.rule, chk.column, f"rc__{i}", f"rc__{i} = 0", _s(chk.detail)))
+    for j, chk in enumerate(bounds):
         k = f"mm__{j}"
         if k not in minmax:
             continue
-        lo, hi = F.col(f"{k}_lo"), F.col(f"{k}_hi")
+        lo, hi = f"{k}_lo", f"{k}_hi"
         if isinstance(chk, YearBounds):
-            ylo = S.fn_substr_year(lo)
-            yhi = S.fn_substr_year(hi)
-            ok = F.lit(True)
+            ylo = f"TRY_CAST(substring(CAST({lo} AS STRING), 1, 4) AS INT)"
+            yhi = f"TRY_CAST(substring(CAST({hi} AS STRING), 1, 4) AS INT)"
+            conds = ["TRUE"]
             if chk.min_year is not None:
-                ok = ok & (ylo >= chk.min_year)
+                conds.append(f"{ylo} >= {chk.min_year}")
             if chk.max_year is not None:
-                ok = ok & (yhi <= chk.max_year)
+                conds.append(f"{yhi} <= {chk.max_year}")
             # no dates or a non-numeric year prefix fails, as int() would raise
-            ok = F.coalesce(ok, F.lit(False))
-            rows.append(_row("year_bounds", chk.column, F.when(ok, 0).otherwise(1), ok,
-                             F.format_string("years %s..%s, allowed %s..%s", ylo, yhi,
-                                             F.lit(str(chk.min_year)), F.lit(str(chk.max_year)))))
+            ok = f"coalesce({' AND '.join(conds)}, FALSE)"
+            rows.append(_row("year_bounds", chk.column, f"CASE WHEN {ok} THEN 0 ELSE 1 END", ok,
+                             f"format_string('years %s..%s, allowed %s..%s', {ylo}, {yhi}, "
+                             f"{_s(str(chk.min_year))}, {_s(str(chk.max_year))})"))
         else:
-            ok = F.lit(True)
+            conds = ["TRUE"]
             if chk.lo is not None:
-                ok = ok & (lo >= F.lit(chk.lo))
+                conds.append(f"{lo} >= {_s(chk.lo)}")
             if chk.hi is not None:
-                ok = ok & (hi <= F.lit(chk.hi))
-            ok = F.coalesce(ok, F.lit(True))
-            rows.append(_row("min_max_range", chk.column, F.when(ok, 0).otherwise(1), ok,
-                             F.format_string("min %s max %s", lo.cast("string"), hi.cast("string"))))
-    return agg.select(F.inline(F.array(*rows)))
+                conds.append(f"{hi} <= {_s(chk.hi)}")
+            ok = f"coalesce({' AND '.join(conds)}, TRUE)"
+            rows.append(_row("min_max_range", chk.column, f"CASE WHEN {ok} THEN 0 ELSE 1 END", ok,
+                             f"format_string('min %s max %s', CAST({lo} AS STRING), CAST({hi} AS STRING))"))
+    return agg.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 class QualityError(AssertionError):

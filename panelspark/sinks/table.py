@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import uuid
+import warnings
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,7 +119,7 @@ class Table:
               metadata: dict | None = None) -> dict | None:
         check_mode(mode, key)
         if mode == "overwrite":
-            print(f"warning: overwriting {self.root}: all existing data will be replaced")
+            warnings.warn(f"overwriting {self.root}: all existing data will be replaced", stacklevel=2)
         staged = self.stage(df)  # the plan runs once; emptiness is read from the written files
         if self.spark.read.parquet(staged).isEmpty():
             return None  # zero rows: no-op in every mode, overwrite included (folder stays unreferenced)

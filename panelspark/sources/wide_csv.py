@@ -72,7 +72,7 @@ def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
     months = sorted((c for c in header if is_date_header(c)), key=normalize_header_date)
     fixed = {}
     for c in ids:
-        v = na_to_null(F.col(bq(c)))
+        v = na_to_null(c)
         if c in ("RegionID", "SizeRank"):
             v = F.trim(v).try_cast("bigint")
         fixed[c] = v
