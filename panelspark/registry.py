@@ -251,9 +251,18 @@ def q_sink_raw_text(spark, sf_dir):
     return back
 
 
-@register("publish_metadata")
+def _publish_sql() -> str:
+    meta = specs.RENT.metadata("metro", ["region_id", "region_name", "state_code", "date", "rent"])
+    descs = meta["column_descriptions"]
+    count = f"(SELECT count(*) FROM ({O.panel_grain_sql('rent', 'metro', with_grain_col=False)}))"
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column, '{descs[c]}' AS comment, {count} AS rows"
+        for c in ["region_id", "region_name", "state_code", "date", "rent"])
+
+
+@register("publish_metadata", _publish_sql())
 def q_publish_metadata(spark, sf_dir):
-    """Column comments of a published panel (metadata only: no oracle)."""
+    """Column comments of a published panel, read back from the table."""
     root = scratch(spark, "publish")
     results = fixture_family(spark, sf_dir, "rent", root, grains=["metro"])
     table = results["metro"].table
@@ -768,19 +777,28 @@ def q_request_summary(spark, sf_dir):
     return L.request_summary(DV.requests_ledger(spark, sf_dir))
 
 
-@register("ingest_incremental")
+_GRAIN_TITLE = dict(zip(specs.GRAINS, ["Metro", "State", "County", "City", "Zip"]))
+
+
+@register("ingest_incremental", " UNION ALL ".join(
+    f"SELECT '{g}' AS grain, '{PREFIX_OF[c]}' AS metric, "
+    f"(SELECT count(DISTINCT RegionID) FROM ({O.cells_sql(g, [c])}) WHERE {c} IS NOT NULL) AS regions, "
+    "CAST(0 AS BIGINT) AS second_run_new"
+    for g in specs.GRAINS for c in FAMILY_OF))
 def q_ingest_incremental(spark, sf_dir):
     """Two availableNow runs over the landed raw zone: the second finds nothing
-    new. Returns the manifest per (grain, metric); no oracle (streaming)."""
+    new. Per (grain, metric): data lines of the files the stream ingested."""
     raw = land_raw(spark, sf_dir)
     work = scratch(spark, "ingest")
-    first = ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
+    ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
     second = ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
-    man = read_manifest(spark, f"{work}/manifest")
-    return (man.select(F.regexp_extract("path", r"/([a-z]+)/metric=", 1).alias("grain"),
-                       F.regexp_extract("path", r"metric=([^/]+)", 1).alias("metric"), "size")
-            .groupBy("grain", "metric").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
-            .withColumn("first_run_files", F.lit(first)).withColumn("second_run_files", F.lit(second)))
+    paths = [r.path for r in read_manifest(spark, f"{work}/manifest").select("path").collect()]  # file list
+    lines = spark.read.text(paths).where(~F.col("value").startswith("RegionID,"))
+    src = F.col("_metadata.file_path")
+    return (lines.select(F.regexp_extract(src, r"/([a-z]+)/metric=", 1).alias("grain"),
+                         F.regexp_extract(src, r"metric=([^/]+)", 1).alias("metric"))
+            .groupBy("grain", "metric").agg(F.count(F.lit(1)).alias("regions"))
+            .withColumn("second_run_new", F.lit(second).cast("long")))
 
 
 # ---------------------------------------------------------------------------
