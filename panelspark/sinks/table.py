@@ -43,18 +43,44 @@ LOG_SCHEMA = T.StructType([
     T.StructField("metadata", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("ts", T.StringType()),
+    T.StructField("parts", T.ArrayType(T.StringType())),
+    T.StructField("partition", T.StringType()),
 ])
 
+PART = "__part"
+
 
 class MergeKeyError(ValueError):
     pass
 
 
 class Table:
-    def __init__(self, spark: SparkSession, root: str):
+    """A versioned table; optionally partitioned by ``partition_fn`` applied
+    to ``partition_col`` (SQL text with ``{}`` for the column, e.g.
+    ``"substring({}, 1, 4)"`` for the year of a date string).
+
+    Partitioned versions list leaf partition folders. A merge whose key
+    contains ``partition_col`` rewrites only the partitions the source
+    touches; every other partition folder is carried into the new version
+    by reference, so a monthly refresh costs the size of the refresh, not of
+    the table. The spec is stored in the log, so reopening needs no arguments.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_col: str | None = None,
+                 partition_fn: str = "{}"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.log_dir = f"{self.root}/_log"
+        self.partition_col = partition_col
+        self.partition_fn = partition_fn
+        cur = self.current()
+        if cur is not None and cur.get("partition"):
+            spec = json.loads(cur["partition"])
+            self.partition_col, self.partition_fn = spec["col"], spec["fn"]
+
+    @property
+    def partitioned(self) -> bool:
+        return self.partition_col is not None
 
     # -- log ------------------------------------------------------------------
     def _versions(self) -> list[int]:
@@ -75,23 +101,32 @@ class Table:
 
     def history(self) -> DataFrame:
         rows = [self.current(v) for v in self._versions()]
+        for r in rows:
+            r.setdefault("parts", None)
+            r.setdefault("partition", None)
         return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else self.spark.createDataFrame([], LOG_SCHEMA)
 
     def _commit(self, op: str, dirs: list[str], metadata: dict | None, rows: int | None,
-                prev: dict | None) -> dict:
+                prev: dict | None, parts: list[str] | None = None) -> dict:
         version = 0 if prev is None else prev["version"] + 1
         meta = json.dumps(metadata) if metadata is not None else (prev or {}).get("metadata")
+        spec = json.dumps({"col": self.partition_col, "fn": self.partition_fn}) if self.partitioned else None
         entry = {"version": version, "op": op, "dirs": dirs, "metadata": meta, "rows": rows,
-                 "ts": datetime.now(timezone.utc).isoformat()}
+                 "ts": datetime.now(timezone.utc).isoformat(), "parts": parts, "partition": spec}
         files.write_text(self.spark, f"{self.log_dir}/{version:020d}.json", json.dumps(entry))
         return entry
 
     # -- read -------------------------------------------------------------------
+    def _read_dirs(self, dirs: list[str]) -> DataFrame:
+        # leaf folders are passed directly, so no partition column is inferred:
+        # the partition value is a function of a column the files still hold
+        return self.spark.read.option("mergeSchema", "true").parquet(*dirs)
+
     def read(self, version: int | None = None, with_comments: bool = True) -> DataFrame:
         cur = self.current(version)
         if cur is None:
             raise FileNotFoundError(f"no table at {self.root}")
-        df = self.spark.read.option("mergeSchema", "true").parquet(*cur["dirs"])
+        df = self._read_dirs(cur["dirs"])
         if with_comments and cur.get("metadata"):
             descs = json.loads(cur["metadata"]).get("column_descriptions") or {}
             if isinstance(descs, str):
@@ -109,10 +144,29 @@ class Table:
     def _new_dir(self) -> str:
         return f"{self.root}/data/{uuid.uuid4().hex}"
 
+    def _write(self, df: DataFrame, path: str) -> None:
+        if self.partitioned:
+            part = F.expr(self.partition_fn.format(f"`{self.partition_col}`")).cast("string")
+            df.withColumn(PART, part).write.mode("errorifexists").partitionBy(PART).parquet(path)
+        else:
+            df.write.mode("errorifexists").parquet(path)
+
+    def _leaves(self, path: str) -> tuple[list[str], list[str]]:
+        """(partition names, leaf folders) of a written partitioned folder."""
+        names = [n for n in files.list_names(self.spark, path) if n.startswith(f"{PART}=")]
+        return names, [f"{path}/{n}" for n in names]
+
+    def read_staged(self, staged: str) -> DataFrame:
+        """The rows of a staged folder, as a version will expose them."""
+        if self.partitioned:
+            _names, leaves = self._leaves(staged)
+            return self._read_dirs(leaves) if leaves else self.spark.read.parquet(staged).drop(PART)
+        return self.spark.read.parquet(staged)
+
     def stage(self, df: DataFrame) -> str:
         """Write ``df`` to a fresh data folder that no version references yet."""
         path = self._new_dir()
-        df.write.mode("errorifexists").parquet(path)
+        self._write(df, path)
         return path
 
     def write(self, df: DataFrame, mode: str = "append", key: list[str] | str | None = None,
@@ -121,7 +175,7 @@ class Table:
         if mode == "overwrite":
             warnings.warn(f"overwriting {self.root}: all existing data will be replaced", stacklevel=2)
         staged = self.stage(df)  # the plan runs once; emptiness is read from the written files
-        if self.spark.read.parquet(staged).isEmpty():
+        if self.read_staged(staged).isEmpty():
             return None  # zero rows: no-op in every mode, overwrite included (folder stays unreferenced)
         return self.commit(staged, mode, key, metadata)
 
@@ -129,6 +183,8 @@ class Table:
                metadata: dict | None = None, rows: int | None = None) -> dict:
         check_mode(mode, key)
         prev = self.current()
+        if self.partitioned:
+            return self._commit_partitioned(staged, mode, key, metadata, rows, prev)
         if prev is None:
             return self._commit("create", [staged], metadata, rows, None)
         if mode == "append":
@@ -142,11 +198,39 @@ class Table:
         merged.write.mode("errorifexists").parquet(path)
         return self._commit("merge", [path], metadata, None, prev)
 
+    def _commit_partitioned(self, staged, mode, key, metadata, rows, prev) -> dict:
+        names, leaves = self._leaves(staged)
+        if prev is None:
+            return self._commit("create", leaves, metadata, rows, None, names)
+        old_parts = prev.get("parts") or []
+        if mode == "append":
+            return self._commit("append", list(prev["dirs"]) + leaves, metadata, rows, prev, old_parts + names)
+        if mode == "overwrite":
+            return self._commit("overwrite", leaves, metadata, rows, prev, names)
+        keys = [key] if isinstance(key, str) else list(key)
+        if self.partition_col not in keys:
+            # a source row could match a target row in another partition: merge everything
+            touched = set(old_parts) | set(names)
+        else:
+            touched = set(names)
+        keep = [(p, d) for p, d in zip(old_parts, prev["dirs"]) if p not in touched]
+        rewrite = [d for p, d in zip(old_parts, prev["dirs"]) if p in touched]
+        if not rewrite:  # only new partitions: the staged folders are the result
+            new_names, new_leaves = names, leaves
+        else:
+            source = self._read_dirs(leaves)
+            merged = upsert(self._read_dirs(rewrite), source, keys)
+            path = self._new_dir()
+            self._write(merged, path)
+            new_names, new_leaves = self._leaves(path)
+        return self._commit("merge", [d for _p, d in keep] + new_leaves, metadata, None, prev,
+                            [p for p, _d in keep] + new_names)
+
     def set_metadata(self, metadata: dict) -> dict:
         prev = self.current()
         if prev is None:
             raise FileNotFoundError(f"no table at {self.root}")
-        return self._commit("set_metadata", list(prev["dirs"]), metadata, prev.get("rows"), prev)
+        return self._commit("set_metadata", list(prev["dirs"]), metadata, prev.get("rows"), prev, prev.get("parts"))
 
 
 def check_mode(mode: str, key) -> None:

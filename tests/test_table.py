@@ -78,3 +78,36 @@ def test_upsert_null_keys_never_match(spark):
     source = spark.createDataFrame([(None, "s-null"), (1, "s1")], "k bigint, v string")
     got = sorted((r.k if r.k is not None else -1, r.v) for r in upsert(target, source, ["k"]).collect())
     assert got == [(-1, "s-null"), (-1, "t-null"), (1, "s1")]
+
+
+def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    root = str(tmp_path / "p")
+    t = Table(spark, root, partition_col="date", partition_fn="substring({}, 1, 4)")
+    schema = "date string, region_id bigint, v double"
+    t.write(spark.createDataFrame([("2019-01-31", 1, 1.0), ("2020-01-31", 1, 2.0)], schema), "merge",
+            key=["date", "region_id"])
+    v0 = t.current()
+    assert sorted(v0["parts"]) == ["__part=2019", "__part=2020"]
+    t.write(spark.createDataFrame([("2020-01-31", 1, 9.0), ("2021-01-31", 2, 3.0)], schema), "merge",
+            key=["date", "region_id"])
+    v1 = t.current()
+    kept_2019 = [d for p, d in zip(v0["parts"], v0["dirs"]) if p == "__part=2019"][0]
+    assert kept_2019 in v1["dirs"]  # untouched partition carried by reference
+    assert sorted(v1["parts"]) == ["__part=2019", "__part=2020", "__part=2021"]
+    reopened = Table(spark, root)  # spec comes from the log
+    assert reopened.partitioned
+    got = sorted(tuple(r) for r in reopened.read().select("date", "region_id", "v").collect())
+    assert got == [("2019-01-31", 1, 1.0), ("2020-01-31", 1, 9.0), ("2021-01-31", 2, 3.0)]
+    assert "__part" not in reopened.read().columns
+    t.write(spark.createDataFrame([("2022-01-31", 3, 4.0)], schema), "append")
+    t.write(spark.createDataFrame([("2023-01-31", 3, 5.0)], schema), "overwrite")
+    assert [tuple(r) for r in t.read().select("date").collect()] == [("2023-01-31",)]
+    assert [tuple(r) for r in t.read(version=1).orderBy("date").select("date").collect()][0] == ("2019-01-31",)
+
+
+def test_partitioned_merge_with_key_outside_partition_merges_all(spark, tmp_path):
+    t = Table(spark, str(tmp_path / "q"), partition_col="date", partition_fn="substring({}, 1, 4)")
+    schema = "date string, k bigint, v double"
+    t.write(spark.createDataFrame([("2019-01-31", 1, 1.0)], schema), "merge", key="k")
+    t.write(spark.createDataFrame([("2020-01-31", 1, 2.0)], schema), "merge", key="k")  # same key, new year
+    assert [tuple(r) for r in t.read().select("date", "k", "v").collect()] == [("2020-01-31", 1, 2.0)]
