@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import specs
 from ..operators import quality
 from ..operators.reshape import melt, melt_multi, merge_variants, merge_variants_union
-from ..operators.standardize import cluster_for_write, standardize
+from ..operators.standardize import standardize
 from ..sinks.publish import check_metadata, log_output
 from ..sources import files
 from ..sinks.table import Table
@@ -67,8 +67,9 @@ def run_panel(spark: SparkSession, family: specs.Family, grain: str, frames, roo
     dataset = family.dataset_id(grain)
     # year partitions: date is part of the merge key, so a refresh rewrites
     # only the years it touches
-    table = Table(spark, f"{root.rstrip('/')}/{dataset}", partition_col="date", partition_fn="substring({}, 1, 4)")
-    staged = table.stage(cluster_for_write(panel))
+    table = Table(spark, f"{root.rstrip('/')}/{dataset}", partition_col="date", partition_fn="substring({}, 1, 4)",
+                  sort_by=["date", "region_name"])
+    staged = table.stage(panel)
     written = table.read_staged(staged)
     spec = quality.family_spec(family, written, grain, min_rows=min_rows)
     spec.profile_nulls = True

@@ -67,8 +67,9 @@ class Table:
     """
 
     def __init__(self, spark: SparkSession, root: str, partition_col: str | None = None,
-                 partition_fn: str = "{}"):
+                 partition_fn: str = "{}", sort_by: list[str] | None = None):
         self.spark = spark
+        self.sort_by = list(sort_by or [])
         self.root = root.rstrip("/")
         self.log_dir = f"{self.root}/_log"
         self.partition_col = partition_col
@@ -145,11 +146,18 @@ class Table:
         return f"{self.root}/data/{uuid.uuid4().hex}"
 
     def _write(self, df: DataFrame, path: str) -> None:
+        """Rebalance on the partition value (AQE splits a hot partition, merges
+        small ones) so each partition gets few, full files; then sort within
+        files by ``sort_by`` (NULLs last) for tight min/max statistics."""
+        order = [F.col(f"`{c}`").asc_nulls_last() for c in self.sort_by]
         if self.partitioned:
             part = F.expr(self.partition_fn.format(f"`{self.partition_col}`")).cast("string")
-            df.withColumn(PART, part).write.mode("errorifexists").partitionBy(PART).parquet(path)
+            out = df.withColumn(PART, part).hint("rebalance", PART)
+            out = out.sortWithinPartitions(*order) if order else out
+            out.write.mode("errorifexists").partitionBy(PART).parquet(path)
         else:
-            df.write.mode("errorifexists").parquet(path)
+            out = df.hint("rebalance").sortWithinPartitions(*order) if order else df
+            out.write.mode("errorifexists").parquet(path)
 
     def _leaves(self, path: str) -> tuple[list[str], list[str]]:
         """(partition names, leaf folders) of a written partitioned folder."""
