@@ -24,23 +24,38 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def list_files(spark: SparkSession, path: str, suffix: str | None = None) -> list[tuple[str, int, int]]:
     """``(path, size, mtime)`` of visible data files under ``path`` (a file, a
-    folder or a glob), recursively, skipping ``_*`` and ``.*`` entries."""
+    folder or a glob), recursively, skipping ``_*`` and ``.*`` entries.
+
+    Folders are listed with Hadoop's recursive ``listFiles`` iterator (a flat
+    listing on object stores, not one call per sub-folder)."""
     fs, p = _fs(spark, path)
     statuses = fs.globStatus(p)
     out = []
-    stack = list(statuses) if statuses is not None else []
-    while stack:
-        st = stack.pop()
-        name = st.getPath().getName()
-        if name.startswith("_") or name.startswith("."):
+    for st in statuses if statuses is not None else []:
+        root = st.getPath()
+        if _hidden(root.getName()):
+            continue
+        if not st.isDirectory():
+            if suffix is None or root.getName().endswith(suffix):
+                out.append((root.toString(), int(st.getLen()), int(st.getModificationTime())))
             continue
-        if st.isDirectory():
-            stack.extend(fs.listStatus(st.getPath()))
-        elif suffix is None or name.endswith(suffix):
-            out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
+        prefix = root.toString().rstrip("/") + "/"
+        it = fs.listFiles(root, True)
+        while it.hasNext():
+            f = it.next()
+            full = f.getPath().toString()
+            rel = full[len(prefix):] if full.startswith(prefix) else f.getPath().getName()
+            if any(_hidden(part) for part in rel.split("/")):
+                continue
+            if suffix is None or full.endswith(suffix):
+                out.append((full, int(f.getLen()), int(f.getModificationTime())))
     return sorted(out)
 
 
+def _hidden(name: str) -> bool:
+    return name.startswith("_") or name.startswith(".")
+
+
 def first_line(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> str | None:
     """First line of a text file (UTF-8, BOM stripped), or None if empty."""
     jvm = spark.sparkContext._jvm

@@ -35,15 +35,20 @@ def parse_header(line: str) -> list[str]:
     return [name if name else f"_c{i}" for i, name in enumerate(next(csv.reader([line])))]
 
 
-def header_groups(spark: SparkSession, path: str) -> tuple[dict[tuple[str, ...], list[str]], bool]:
+def header_groups(spark: SparkSession, path: str, threads: int = 16) -> tuple[dict[tuple[str, ...], list[str]], bool]:
     """Files grouped by header, and whether any file holds a data row (known
-    from file sizes vs header length, so no job is needed)."""
+    from file sizes vs header length, so no job is needed). Header peeks are
+    I/O-bound and run on a small driver thread pool when there are many files."""
+    listed = [(p, size) for p, size, _mtime in files.list_files(spark, path) if size > 0]
+    if len(listed) > 4:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            lines = list(pool.map(lambda ps: files.first_line(spark, ps[0]), listed))
+    else:
+        lines = [files.first_line(spark, p) for p, _size in listed]
     groups: dict[tuple[str, ...], list[str]] = {}
     has_rows = False
-    for p, size, _mtime in files.list_files(spark, path):
-        if size == 0:
-            continue
-        line = files.first_line(spark, p)
+    for (p, size), line in zip(listed, lines):
         if line is None or not line.strip():
             continue
         if size > len(line.encode("utf-8")) + 2:
