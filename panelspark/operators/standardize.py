@@ -58,21 +58,12 @@ def dropna_all(df: DataFrame, value_cols: list[str]) -> DataFrame:
 
 
 def sort_output(df: DataFrame) -> DataFrame:
-    """Global order (date, region_name), NULLs last. For writes prefer
-    :func:`cluster_for_write`, which range-partitions instead of funnelling."""
+    """Global order (date, region_name), NULLs last. Tables are written
+    rebalanced and sorted within files instead (``Table(sort_by=...)``), so
+    no write funnels through a global sort."""
     return df.orderBy(F.col("date").asc_nulls_last(), F.col("region_name").asc_nulls_last())
 
 
-def cluster_for_write(df: DataFrame) -> DataFrame:
-    """Cluster files by date, each sorted by (date, region_name).
-
-    ``rebalance`` on date lets AQE split a hot month across several files
-    (no single-task sort, no sampling job as a range partitioner would run);
-    per-file sort gives tight date min/max statistics for pruning. Readers
-    that need the global order call :func:`sort_output`.
-    """
-    return (df.hint("rebalance", "date")
-            .sortWithinPartitions(F.col("date").asc_nulls_last(), F.col("region_name").asc_nulls_last()))
 
 
 def standardize(df: DataFrame, grain: str, value_cols: list[str], *, region_id_type: str = "bigint",

@@ -23,7 +23,6 @@ import threading
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,12 +206,6 @@ def wide_metrics(spark: SparkSession, sf_dir: str, families: list[str], grain: s
     return wide, months
 
 
-def wide_variants(spark: SparkSession, sf_dir: str, family: str, grain: str) -> list[tuple[str, str, DataFrame]]:
-    """``[(raw_prefix, value_col, wide_df), ...]`` as lazy plans (no landing)."""
-    fam = specs.FAMILIES[family]
-    wide, _months = wide_metrics(spark, sf_dir, [family], grain)
-    return [(prefix, col, wide.where(F.col("metric") == prefix).drop("metric"))
-            for prefix, col in fam.variants.items()]
 
 
 # Landed raw files, memoised per (workspace, tables folder, grain).

@@ -49,12 +49,6 @@ PROFILE_SCHEMA = T.StructType([
 ])
 
 
-def data_size(spark: SparkSession, path: str) -> int:
-    """Bytes of the Parquet files under ``path`` (file lengths, content not read)."""
-    row = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-           .option("recursiveFileLookup", "true").load(path)
-           .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first())
-    return int(row["b"])
 
 
 def output_profile(df: DataFrame) -> DataFrame:

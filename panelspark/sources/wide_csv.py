@@ -106,7 +106,3 @@ def read_wide_csv(spark: SparkSession, path: str, source_col: str | None = None)
     months = sorted((c for c in df.columns if is_date_header(c)), key=normalize_header_date)
     return df.selectExpr(*[bq(c) for c in ids + months])
 
-
-def write_wide_csv(df: DataFrame, path: str) -> None:
-    """Land a wide panel as CSV (header in every part file, NULL as empty)."""
-    df.write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
