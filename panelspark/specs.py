@@ -80,6 +80,8 @@ class Family:
         }
 
 
+# --- fixed values: the four families (variant files -> columns, column
+# descriptions, value bounds, year windows, row floors per grain) ------------
 HOME_VALUE = Family(
     name="home_value",
     variants={
@@ -190,6 +192,8 @@ SALES = Family(
     default_min_rows=500,
 )
 
+# ---------------------------------------------------------------------------
+
 FAMILIES = {f.name: f for f in (HOME_VALUE, RENT, INVENTORY, SALES)}
 
 
