@@ -145,3 +145,33 @@ def run_family(spark: SparkSession, family: str, raw_root: str, root: str, *, gr
         if res is not None:
             out[grain] = res
     return out
+
+
+def run_all(spark: SparkSession, raw_root: str, tables_root: str, *, ingest: bool = True, transform: bool = True,
+            families=None, grains=None, min_rows: int | None = None, mode: str = "merge",
+            ledger_root: str | None = None) -> dict:
+    """All families x all grains, with ingest-only / transform-only switches.
+
+    ``ingest`` records the landing zone's new files in the manifest (an
+    ``availableNow`` stream, checkpointed under ``tables_root``); ``transform``
+    builds every (family, grain) table, families as concurrent jobs. Returns
+    ``{"ingested": n, "tables": {(family, grain): PanelResult}}``.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..streaming.ingest import ingest_incremental
+
+    out: dict = {"ingested": 0, "tables": {}}
+    root = tables_root.rstrip("/")
+    if ingest:
+        out["ingested"] = ingest_incremental(spark, raw_root, f"{root}/_manifest", f"{root}/_manifest_checkpoint",
+                                             glob="*.csv")
+    if transform:
+        fams = list(families or specs.FAMILIES)
+        with ThreadPoolExecutor(max_workers=len(fams)) as pool:
+            futures = {f: pool.submit(run_family, spark, f, raw_root, root, grains=grains, min_rows=min_rows,
+                                      mode=mode, ledger_root=ledger_root) for f in fams}
+        for fam, fut in futures.items():
+            for grain, res in fut.result().items():
+                out["tables"][(fam, grain)] = res
+    return out

@@ -817,11 +817,9 @@ def _columns_of(family: str, grain: str) -> str:
     for f in specs.FAMILIES for g in specs.GRAINS))
 def q_panel_all(spark, sf_dir):
     """Every family at every grain; returns the data_outputs ledger rows."""
-    from concurrent.futures import ThreadPoolExecutor
+    from .plans.panels import run_all
     root = scratch(spark, "panel_all")
     ledger = f"{root}/_ledgers"
-    land_raw(spark, sf_dir)
-    with ThreadPoolExecutor(max_workers=len(specs.FAMILIES)) as pool:  # 4 families x 5 grains concurrently
-        for f in [pool.submit(fixture_family, spark, sf_dir, fam, root, ledger_root=ledger) for fam in specs.FAMILIES]:
-            f.result()
+    raw = land_raw(spark, sf_dir)
+    run_all(spark, raw, root, ingest=True, transform=True, min_rows=1, ledger_root=ledger)
     return spark.read.json(f"{ledger}/data_outputs").select("dataset", "rows", "columns")

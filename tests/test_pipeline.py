@@ -63,3 +63,12 @@ def test_state_grain_drops_state_code(spark, tmp_path):
     raw = land(tmp_path, "state", {"zori": f"{HEAD},2020-01-31\n1,1,California,state,CA,1500\n"})
     res = run_family(spark, "rent", raw, str(tmp_path / "tables"), grains=["state"], min_rows=1)
     assert res["state"].table.read().columns == ["region_id", "region_name", "date", "rent"]
+
+
+def test_run_all_switches(spark, tmp_path):
+    from panelspark.plans.panels import run_all
+    raw = land(tmp_path, "metro", {"zori": f"{HEAD},2020-01-31\n1,1,A,msa,CA,1500\n"})
+    out = run_all(spark, raw, str(tmp_path / "t"), transform=False)
+    assert out["ingested"] == 1 and out["tables"] == {}
+    out = run_all(spark, raw, str(tmp_path / "t"), ingest=False, families=["rent"], grains=["metro"], min_rows=1)
+    assert out["ingested"] == 0 and list(out["tables"]) == [("rent", "metro")]
