@@ -150,11 +150,28 @@ def melt_multi(frames: list[tuple[DataFrame, str]], grain_filter: str | None = N
     )
 
 
-def merge_variants(longs: list[tuple[DataFrame, str]], keys: tuple[str, ...] = (KEY, "date")) -> DataFrame:
-    """N-way full outer equi-join of long frames; later frames keep keys + value."""
+def merge_variants(longs: list[tuple[DataFrame, str]], keys: tuple[str, ...] = (KEY, "date"),
+                   null_safe: bool = True) -> DataFrame:
+    """N-way full outer equi-join of long frames; later frames keep keys + value.
+
+    ``null_safe`` (default) matches NULL keys to NULL keys like a pandas
+    merge; keys are coalesced from both sides so right-only rows keep theirs.
+    """
     merged, _ = longs[0]
-    for df, col in longs[1:]:
-        merged = merged.join(df.select(*keys, col), list(keys), "full")
+    for i, (df, col) in enumerate(longs[1:], start=1):
+        if not null_safe:
+            merged = merged.join(df.select(*keys, col), list(keys), "full")
+            continue
+        right = df.select(*[F.col(bq(k)).alias(f"__r{i}_{k}") for k in keys], F.col(bq(col)))
+        cond = None
+        for k in keys:
+            eq = F.col(bq(k)).eqNullSafe(F.col(f"__r{i}_{k}"))
+            cond = eq if cond is None else cond & eq
+        joined = merged.join(right, cond, "full")
+        merged = joined.select(
+            *[(F.coalesce(F.col(bq(c)), F.col(f"__r{i}_{c}")).alias(c) if c in keys else F.col(bq(c)))
+              for c in merged.columns],
+            F.col(bq(col)))
     return merged
 
 

@@ -95,3 +95,12 @@ def test_numeric_coercion_after_melt(spark):
     vals = sorted((r.RegionID, r.date, r.v) for r in long.collect())
     assert vals == [(1, "2024-01-31", None), (1, "2024-02-29", None),
                     (2, "2024-01-31", None), (2, "2024-02-29", float("inf"))]
+
+
+def test_merge_variants_matches_null_keys_like_pandas(spark):
+    a = spark.createDataFrame([(None, "2024-01-31", "A", "1"), (1, "2024-01-31", "B", "2")],
+                              "RegionID bigint, date string, RegionName string, x string")
+    b = spark.createDataFrame([(None, "2024-01-31", "5"), (2, "2024-01-31", "6")], "RegionID bigint, date string, y string")
+    rows = sorted(((r.RegionID or -1), r.RegionName or "", r.x or "", r.y or "")
+                  for r in R.merge_variants([(a, "x"), (b, "y")]).collect())
+    assert rows == [(-1, "A", "1", "5"), (1, "B", "2", ""), (2, "", "", "6")]
