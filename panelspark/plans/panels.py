@@ -78,7 +78,8 @@ def run_panel(spark: SparkSession, family: specs.Family, grain: str, frames, roo
     if rows == 0:
         return None  # nothing after filtering: skipped, like the source
     meta = check_metadata(family.metadata(grain, written.columns), written.columns)
-    table.commit(staged, mode, specs.KEY_COLUMNS, metadata=meta, rows=rows)
+    # the gate has just proven (date, region_id) unique on these very files
+    table.commit(staged, mode, specs.KEY_COLUMNS, metadata=meta, rows=rows, keys_unique=True)
     if ledger_root:
         nulls = {r["column"]: r["violations"] for r in report if r["rule"] == "null_count" and r["violations"]}
         size = sum(sz for _p, sz, _m in files.list_files(spark, staged))

@@ -74,6 +74,7 @@ class Table:
         self.log_dir = f"{self.root}/_log"
         self.partition_col = partition_col
         self.partition_fn = partition_fn
+        self._check_dups = True
         cur = self.current()
         if cur is not None and cur.get("partition"):
             spec = json.loads(cur["partition"])
@@ -188,8 +189,12 @@ class Table:
         return self.commit(staged, mode, key, metadata)
 
     def commit(self, staged: str, mode: str = "append", key: list[str] | str | None = None,
-               metadata: dict | None = None, rows: int | None = None) -> dict:
+               metadata: dict | None = None, rows: int | None = None, keys_unique: bool = False) -> dict:
+        """Make a staged folder (part of) the next version. ``keys_unique``
+        skips the merge's duplicate-source-key pass when the caller has
+        already proven the key unique (the quality gate does)."""
         check_mode(mode, key)
+        self._check_dups = not keys_unique
         prev = self.current()
         if self.partitioned:
             return self._commit_partitioned(staged, mode, key, metadata, rows, prev)
@@ -201,7 +206,7 @@ class Table:
             return self._commit("overwrite", [staged], metadata, rows, prev)
         keys = [key] if isinstance(key, str) else list(key)
         source = self.spark.read.parquet(staged)
-        merged = upsert(self.read(with_comments=False), source, keys)
+        merged = upsert(self.read(with_comments=False), source, keys, check_duplicates=self._check_dups)
         path = self._new_dir()
         merged.write.mode("errorifexists").parquet(path)
         return self._commit("merge", [path], metadata, None, prev)
@@ -227,7 +232,7 @@ class Table:
             new_names, new_leaves = names, leaves
         else:
             source = self._read_dirs(leaves)
-            merged = upsert(self._read_dirs(rewrite), source, keys)
+            merged = upsert(self._read_dirs(rewrite), source, keys, check_duplicates=self._check_dups)
             path = self._new_dir()
             self._write(merged, path)
             new_names, new_leaves = self._leaves(path)
