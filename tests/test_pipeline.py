@@ -72,3 +72,12 @@ def test_run_all_switches(spark, tmp_path):
     assert out["ingested"] == 1 and out["tables"] == {}
     out = run_all(spark, raw, str(tmp_path / "t"), ingest=False, families=["rent"], grains=["metro"], min_rows=1)
     assert out["ingested"] == 0 and list(out["tables"]) == [("rent", "metro")]
+
+
+def test_duplicate_outside_the_grid_is_not_an_error(spark, tmp_path):
+    raw = land(tmp_path, "zip", {
+        "inventory_for_sale": f"{HEAD},2020-01-31\n1,1,00501,zip,NY,5\n",
+        "new_listings": f"{HEAD},2020-01-31\n1,1,00501,zip,NY,1\n7,7,00777,zip,NY,2\n7,7,00777,zip,NY,3\n",
+    })
+    res = run_family(spark, "inventory", raw, str(tmp_path / "tables"), grains=["zip"], min_rows=1)
+    assert [(r.region_id, r.new_listings) for r in res["zip"].table.read().collect()] == [(1, 1.0)]

@@ -55,6 +55,7 @@ def test_grid_equals_outer_join_filter_dropna(spark):
     fam = specs.INVENTORY
     cols = ["for_sale_inventory", "new_listings"]
     grid = build_panel([(v1, cols[0]), (v2, cols[1])], fam, "metro", check_empty=False)
+    assert grid is not None
     # literal semantics: full outer join of long frames, then the grain filter, then dropna(all)
     l1, l2 = R.melt(v1, cols[0]), R.melt(v2, cols[1])
     outer = R.merge_variants([(l1, cols[0]), (l2, cols[1])])
@@ -74,7 +75,7 @@ def test_no_region_type_uses_full_outer(spark):
     v1 = wide(spark, [(1, 1, "A", "CA", "1")], ["2024-01-31"], with_type=False)
     v2 = wide(spark, [(2, 2, "B", "NY", "2")], ["2024-01-31"], with_type=False)
     out = build_panel([(v1, "for_sale_inventory"), (v2, "new_listings")], specs.INVENTORY, "metro",
-                      check_empty=False)
+                      check_empty=False, check_keys=True)
     rows = sorted((r.region_id, r.region_name) for r in out.collect())
     assert rows == [(1, "A"), (2, None)]  # outer rows survive with null names (D3)
 
