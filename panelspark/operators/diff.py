@@ -48,18 +48,33 @@ def _net_rows(new: DataFrame, old: DataFrame) -> DataFrame:
     return tagged.groupBy(*cols).agg(F.sum("__w").alias("__n")).where(F.col("__n") != 0)
 
 
-def table_diff(new: DataFrame, old: DataFrame) -> DataFrame:
+def table_diff(new: DataFrame, old: DataFrame, chunk: int = 10000) -> DataFrame:
     """Rows added (``+``) and removed (``-``), duplicates counted (EXCEPT ALL
     both ways) in ONE aggregation: every row is tagged +1 (new) or -1 (old),
     summed per distinct row (NULLs group together, map-side partial sums
     collapse hot duplicates), and a non-zero net count is replicated back
-    into that many rows -- the same expansion Spark's EXCEPT ALL performs,
-    with one shuffle and one scan per side instead of two each.
+    into that many rows -- with one shuffle and one scan per side instead of
+    two each.
+
+    Replication is bounded: each distinct row becomes ceil(n / ``chunk``)
+    chunk records (one in the usual case), the chunk records are rebalanced
+    over tasks -- the only extra shuffle, over the differing rows alone --
+    and each chunk expands to at most ``chunk`` rows. A group of copies
+    holding a big share of the table is thus spread over many tasks instead
+    of one task materialising and emitting all of it.
     """
     cols = [f"`{c}`" for c in new.columns]
     net = _net_rows(new, old.select(*cols))
-    return (net.select(*cols, F.explode(F.array_repeat(F.when(F.col("__n") > 0, F.lit("+")).otherwise(F.lit("-")),
-                                                       F.abs(F.col("__n")).cast("int"))).alias("change")))
+    m = F.abs(F.col("__n"))
+    chunks = net.select(
+        *cols,
+        F.when(F.col("__n") > 0, F.lit("+")).otherwise(F.lit("-")).alias("change"),
+        m.alias("__m"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((m - 1) / chunk).cast("long"))).alias("__c"))
+    size = F.least(F.lit(chunk).cast("long"), F.col("__m") - F.col("__c") * chunk).cast("int")
+    return (chunks.hint("rebalance")
+            .select(*cols, "change", F.explode(F.array_repeat(F.lit(1), size)).alias("__x"))
+            .drop("__x"))
 
 
 def state_diff(old: DataFrame, new: DataFrame, key: str = "key", value: str = "value",

@@ -23,3 +23,10 @@ def test_state_diff(spark):
     new = spark.createDataFrame([("a", "1"), ("b", "2"), ("_metadata", "t2"), ("d", "4")], "key string, value string")
     got = sorted(tuple(r) for r in D.state_diff(old, new).collect())
     assert got == [("b", "", "2"), ("c", "3", ""), ("d", "", "4")]
+
+
+def test_table_diff_splits_hot_duplicate_groups(spark):
+    new = spark.createDataFrame([(7,)] * 11 + [(1,)], "k bigint")
+    old = spark.createDataFrame([(7,), (2,)], "k bigint")
+    got = D.table_diff(new, old, chunk=3)
+    assert sorted((r.k, r.change) for r in got.collect()) == [(1, "+")] + [(2, "-")] + [(7, "+")] * 10
