@@ -30,29 +30,32 @@ class PanelResult:
     report: list
 
 
-def check_variant_keys(frames: list[tuple[DataFrame, str]], grain_filter: str | None) -> None:
-    """Fail before the merge when a region of the first variant's grid is
-    repeated in some variant file.
-
-    The merge would emit every pair of such rows (the fan-out the
-    uniqueness gate rejects later anyway); with a hot duplicated key that is
-    a quadratic write. One job over the region keys of all files (map-side
-    partial counts) finds exactly those duplicates first -- a repeated
-    RegionID outside the grid is dropped by the merge and is not an error,
-    as in the source pipeline."""
+def check_variant_keys(frames: list[tuple[DataFrame, str]], grain_filter: str | None, grid: bool = True) -> None:
+    """Fail before the merge when a repeated RegionID would make it emit pairs.
+
+    Grid merge: a region of the (grain-filtered) first variant repeated in
+    any file. Full outer merge: a region repeated in one file that also
+    appears in another. Either way the merged output would hold duplicate
+    (date, region_id) rows that the uniqueness gate rejects later -- after a
+    possibly quadratic write for a hot key. One job over the region keys of
+    all files (map-side partial counts) finds them first and raises the same
+    failure. Repeats that the merge drops (outside the grid) or that pair
+    with nothing are left to the gate, as in the source pipeline."""
     if len(frames) < 2:
         return
     keys = None
     for i, (df, _col) in enumerate(frames):
-        if i == 0 and grain_filter is not None and "RegionType" in df.columns:
+        if grid and i == 0 and grain_filter is not None and "RegionType" in df.columns:
             df = df.where(F.lower(F.col("RegionType")) == F.lit(grain_filter))
         part = df.select(F.lit(i).alias("__i"), F.col("RegionID"))
         keys = part if keys is None else keys.unionByName(part)
     per_file = keys.groupBy("__i", "RegionID").count()
     per_region = per_file.groupBy("RegionID").agg(
         F.max(F.when(F.col("__i") == 0, F.col("count"))).alias("in_grid"),
+        F.count(F.lit(1)).alias("files"),
         F.max_by("__i", "count").alias("__i"), F.max("count").alias("count"))
-    dup = per_region.where(F.col("in_grid").isNotNull() & (F.col("count") > 1)).limit(1).collect()
+    reaches = F.col("in_grid").isNotNull() if grid else (F.col("files") >= 2)
+    dup = per_region.where(reaches & (F.col("count") > 1)).limit(1).collect()
     if dup:
         col = frames[dup[0]["__i"]][1]
         raise quality.QualityError([{"rule": "unique", "column": "RegionID", "violations": dup[0]["count"] - 1,
@@ -73,8 +76,8 @@ def build_panel(frames: list[tuple[DataFrame | None, str]], family: specs.Family
     if not present:
         return None
     gfilter = specs.GRAIN_FILTER[grain]
-    if check_keys and "RegionType" in present[0][0].columns and grid == "first":
-        check_variant_keys(present, gfilter)
+    if check_keys and grid == "first":
+        check_variant_keys(present, gfilter, grid="RegionType" in present[0][0].columns)
     first = present[0][0]
     if len(present) == 1:
         long = melt(first, present[0][1])

@@ -81,3 +81,13 @@ def test_duplicate_outside_the_grid_is_not_an_error(spark, tmp_path):
     })
     res = run_family(spark, "inventory", raw, str(tmp_path / "tables"), grains=["zip"], min_rows=1)
     assert [(r.region_id, r.new_listings) for r in res["zip"].table.read().collect()] == [(1, 1.0)]
+
+
+def test_full_outer_path_catches_pair_fanout(spark, tmp_path):
+    head = "RegionID,SizeRank,RegionName,StateName"
+    raw = land(tmp_path, "zip", {
+        "inventory_for_sale": f"{head},2020-01-31\n1,1,00501,NY,5\n",
+        "new_listings": f"{head},2020-01-31\n1,1,00501,NY,1\n1,1,00501,NY,2\n",
+    })
+    with pytest.raises(QualityError):
+        run_family(spark, "inventory", raw, str(tmp_path / "tables"), grains=["zip"], min_rows=1)
