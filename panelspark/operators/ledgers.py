@@ -65,10 +65,12 @@ def request_summary(requests: DataFrame, quantiles: bool = False) -> DataFrame:
     aggs = [
         F.count(F.lit(1)).alias("requests"),
         F.count_if(F.coalesce(F.col("error"), F.lit("")) != "").alias("failed"),
+        # exact, order-independent total (decimal), then mean = total / count
         F.sum(F.col("duration_ms").cast("decimal(18,2)")).cast("double").alias("total_ms"),
         F.min("duration_ms").alias("min_ms"),
         F.max("duration_ms").alias("max_ms"),
     ]
     if quantiles:
         aggs.append(F.percentile_approx("duration_ms", [0.5, 0.95], 10000).alias("p50_p95_ms"))
-    return requests.groupBy("status").agg(*aggs)
+    out = requests.groupBy("status").agg(*aggs)
+    return out.withColumn("avg_ms", F.col("total_ms") / F.col("requests").cast("double"))

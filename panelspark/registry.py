@@ -770,9 +770,10 @@ def q_error_summary(spark, sf_dir):
 
 
 @register("request_summary", (
+    "SELECT *, total_ms / CAST(requests AS DOUBLE) AS avg_ms FROM ("
     "SELECT status, count(*) AS requests, count_if(COALESCE(error, '') <> '') AS failed, "
     "CAST(sum(CAST(duration_ms AS DECIMAL(18,2))) AS DOUBLE) AS total_ms, min(duration_ms) AS min_ms, "
-    f"max(duration_ms) AS max_ms FROM ({DV.REQUESTS_SQL}) GROUP BY status"))
+    f"max(duration_ms) AS max_ms FROM ({DV.REQUESTS_SQL}) GROUP BY status)"))
 def q_request_summary(spark, sf_dir):
     return L.request_summary(DV.requests_ledger(spark, sf_dir))
 
