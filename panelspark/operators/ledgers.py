@@ -31,10 +31,10 @@ def run_durations(runs: DataFrame) -> DataFrame:
         F.first("environment", ignorenulls=True).alias("environment"),
         F.first("trigger", ignorenulls=True).alias("trigger"),
     )
+    # timestampdiff on the stored values: no session time zone (and so no DST
+    # shift) is involved, whether the ledger holds TIMESTAMP or TIMESTAMP_NTZ
     return per_run.withColumn(
-        "duration_s",
-        (F.unix_micros(F.col("ended").cast("timestamp")) - F.unix_micros(F.col("started").cast("timestamp")))
-        .cast("double") / F.lit(1e6))
+        "duration_s", F.expr("CAST(timestampdiff(MICROSECOND, started, ended) AS DOUBLE)") / F.lit(1e6))
 
 
 def run_summary(runs: DataFrame) -> DataFrame:
