@@ -254,8 +254,13 @@ def check_mode(mode: str, key) -> None:
 
 
 def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once in the source (partial-aggregated)."""
-    return source.groupBy(*keys).count().where(F.col("count") > 1)
+    """Keys that occur more than once in the source (partial-aggregated).
+    Rows with a NULL key part never match a target row, so they cannot
+    conflict and are not counted."""
+    complete = source
+    for k in keys:
+        complete = complete.where(F.col(f"`{k}`").isNotNull())
+    return complete.groupBy(*keys).count().where(F.col("count") > 1)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], check_duplicates: bool = True) -> DataFrame:
