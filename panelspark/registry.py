@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import specs
+from .functions import scalars as S
+from .operators import diff as D
+from .operators import ledgers as L
+from .operators import quality as Q
+from .operators import reshape as R
+from .operators import standardize as ST
+from .plans import derived as DV
 from .plans import oracles as O
+from .plans.fixtures import land_raw, raw_path, read
 from .plans.panels import fixture_family, union_grains
 from .session import scratch
+from .sinks import raw as SR
+from .sinks.publish import publish
+from .sinks.table import Table, upsert
+from .sources import catalog as CAT
+from .sources import raw as RAW
+from .sources.wide_csv import read_wide_csv
+from .streaming.ingest import ingest_incremental, read_manifest
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -38,27 +57,6 @@ for _fam in ("home_value", "rent", "inventory", "sales"):
 
 # ---------------------------------------------------------------------------
 # shared inputs
-from functools import reduce  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from . import specs  # noqa: E402
-from .functions import scalars as S  # noqa: E402
-from .operators import diff as D  # noqa: E402
-from .operators import ledgers as L  # noqa: E402
-from .operators import quality as Q  # noqa: E402
-from .operators import reshape as R  # noqa: E402
-from .operators import standardize as ST  # noqa: E402
-from .plans import derived as DV  # noqa: E402
-from .plans.fixtures import land_raw, raw_path, read  # noqa: E402
-from .sinks import raw as SR  # noqa: E402
-from .sinks.publish import publish  # noqa: E402
-from .sinks.table import Table, upsert  # noqa: E402
-from .sources import catalog as CAT  # noqa: E402
-from .sources import raw as RAW  # noqa: E402
-from .sources.wide_csv import read_wide_csv  # noqa: E402
-from .streaming.ingest import ingest_incremental, read_manifest  # noqa: E402
-
 FAMILY_OF = {col: fam.name for fam in specs.FAMILIES.values() for col in fam.value_columns}
 PREFIX_OF = {col: prefix for fam in specs.FAMILIES.values() for prefix, col in fam.variants.items()}
 
@@ -778,9 +776,6 @@ def q_request_summary(spark, sf_dir):
     return L.request_summary(DV.requests_ledger(spark, sf_dir))
 
 
-_GRAIN_TITLE = dict(zip(specs.GRAINS, ["Metro", "State", "County", "City", "Zip"]))
-
-
 @register("ingest_incremental", " UNION ALL ".join(
     f"SELECT '{g}' AS grain, '{PREFIX_OF[c]}' AS metric, "
     f"(SELECT count(DISTINCT RegionID) FROM ({O.cells_sql(g, [c])}) WHERE {c} IS NOT NULL) AS regions, "
