@@ -44,3 +44,10 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert canon([tuple(r) for r in df.collect()], df.columns) == canon(res.fetchall(), ocols)
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns[:4] == ["region_id", "region_name", "state_code", "date"] and "grain" in df.columns
+    assert dict(df.dtypes)["region_id"] == "bigint" and dict(df.dtypes)["all_homes"] == "double"
+    assert df.count() > 0
