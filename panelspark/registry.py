@@ -788,11 +788,13 @@ def q_ingest_incremental(spark, sf_dir):
     work = scratch(spark, "ingest")
     ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
     second = ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
-    paths = [r.path for r in read_manifest(spark, f"{work}/manifest").select("path").collect()]  # file list
-    lines = spark.read.text(paths).where(~F.col("value").startswith("RegionID,"))
-    src = F.col("_metadata.file_path")
-    return (lines.select(F.regexp_extract(src, r"/([a-z]+)/metric=", 1).alias("grain"),
-                         F.regexp_extract(src, r"metric=([^/]+)", 1).alias("metric"))
+    ingested = read_manifest(spark, f"{work}/manifest").select("path")
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(raw)
+             .select("value", F.col("_metadata.file_path").alias("path"))
+             .join(ingested, "path", "left_semi")  # only files the stream recorded
+             .where(~F.col("value").startswith("RegionID,")))
+    return (lines.select(F.regexp_extract("path", r"/([a-z]+)/metric=", 1).alias("grain"),
+                         F.regexp_extract("path", r"metric=([^/]+)", 1).alias("metric"))
             .groupBy("grain", "metric").agg(F.count(F.lit(1)).alias("regions"))
             .withColumn("second_run_new", F.lit(second).cast("long")))
 
