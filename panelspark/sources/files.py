@@ -7,6 +7,8 @@ of a file cross to the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -53,36 +55,46 @@ def list_files(spark: SparkSession, path: str, suffix: str | None = None) -> lis
 
 
 def _hidden(name: str) -> bool:
-    return name.startswith("_") or name.startswith(".")
+    """Spark's own rule: ``_x=1`` is a partition folder, other ``_x`` are not data."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
 
-def first_line(spark: SparkSession, path: str, max_bytes: int = 1 << 20) -> str | None:
-    """First line of a text file (UTF-8, BOM stripped), or None if empty."""
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file that is not blank (UTF-8, BOM stripped), or None."""
     jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
     stream = fs.open(p)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 65536)
         line = reader.readLine()
+        while line is not None and not line.lstrip("\ufeff").strip():
+            line = reader.readLine()
     finally:
         stream.close()
-    if line is None:
-        return None
-    if len(line) > max_bytes:
-        raise ValueError(f"header of {path} exceeds {max_bytes} characters")
-    return line.lstrip("﻿")
+    return None if line is None else line.lstrip("\ufeff")
 
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
-    """Create a small file in one call. With ``overwrite=False`` the create
-    fails if the file exists -- the commit log relies on that to detect a
-    concurrent writer."""
+    """Write a small file aside, then rename it into place: a reader sees the
+    whole file or none. With ``overwrite=False`` an existing file raises; where
+    the store has no atomic rename the check is not atomic either, so a table
+    must have a single writer at a time."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, overwrite)
+    jvm = spark.sparkContext._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    if fs.exists(p):
+        if not overwrite:
+            fs.delete(aside, False)
+            raise FileExistsError(path)
+        fs.delete(p, False)
+    if not fs.rename(aside, p):
+        fs.delete(aside, False)
+        raise FileExistsError(path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

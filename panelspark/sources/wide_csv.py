@@ -25,7 +25,8 @@ from ..functions.scalars import na_to_null
 from ..operators.reshape import bq, is_date_header, normalize_header_date
 from . import files
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE", "multiLine": "false"}
+BAD = "__bad_record"
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
 CSV_WRITE_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "nullValue": ""}
 
 
@@ -35,10 +36,10 @@ def parse_header(line: str) -> list[str]:
     return [name if name else f"_c{i}" for i, name in enumerate(next(csv.reader([line])))]
 
 
-def header_groups(spark: SparkSession, path: str, threads: int = 16) -> tuple[dict[tuple[str, ...], list[str]], bool]:
-    """Files grouped by header, and whether any file holds a data row (known
-    from file sizes vs header length, so no job is needed). Header peeks are
-    I/O-bound and run on a small driver thread pool when there are many files."""
+def header_groups(spark: SparkSession, path: str, threads: int = 16) -> tuple[dict[tuple[str, ...], list[str]], int]:
+    """Files grouped by header (the first line that is not blank), and their total
+    size in bytes. Header peeks are I/O-bound and run on a small driver thread
+    pool when there are many files."""
     listed = [(p, size) for p, size, _mtime in files.list_files(spark, path) if size > 0]
     if len(listed) > 4:
         from concurrent.futures import ThreadPoolExecutor
@@ -47,14 +48,10 @@ def header_groups(spark: SparkSession, path: str, threads: int = 16) -> tuple[di
     else:
         lines = [files.first_line(spark, p) for p, _size in listed]
     groups: dict[tuple[str, ...], list[str]] = {}
-    has_rows = False
-    for (p, size), line in zip(listed, lines):
-        if line is None or not line.strip():
-            continue
-        if size > len(line.encode("utf-8")) + 2:
-            has_rows = True
-        groups.setdefault(tuple(parse_header(line)), []).append(p)
-    return groups, has_rows
+    for (p, _size), line in zip(listed, lines):
+        if line is not None:
+            groups.setdefault(tuple(parse_header(line)), []).append(p)
+    return groups, sum(size for _p, size in listed)
 
 
 def _check_header(header: tuple[str, ...], source: str) -> None:
@@ -67,12 +64,30 @@ def _check_header(header: tuple[str, ...], source: str) -> None:
             normalize_header_date(name)  # raises on a malformed month header
 
 
+def _sound(header: tuple[str, ...], source: str, multi_line: bool):
+    """True, or an error for a record that must not be shortened or split.
+
+    Spark keeps the text of a record whose field count is not the header's.
+    Fewer fields are missing cells (NULL). Surplus fields, and without
+    ``multi_line`` a quote left open at the end of a line, raise.
+    """
+    fields = F.regexp_count(F.regexp_replace(F.col(BAD), '"[^"]*"', ""), F.lit(",")) + 1
+    faulty = fields > len(header)
+    if not multi_line:
+        faulty = faulty | (F.pmod(F.regexp_count(F.col(BAD), F.lit('"')), F.lit(2)) == 1)
+    # names a data column too: Spark refuses a scan that needs the record's text only
+    what = F.concat(F.lit(f"malformed record under the {len(header)} columns of {source}, first field "),
+                    F.coalesce(F.col(bq(header[0])), F.lit("")), F.lit(": "), F.col(BAD))
+    return F.when(F.col(BAD).isNotNull() & faulty, F.raise_error(what).cast("boolean")).otherwise(F.lit(True))
+
+
 def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
-               source_col: str | None = None) -> DataFrame:
+               source_col: str | None = None, multi_line: bool = True) -> DataFrame:
     """One all-string read of files sharing ``header``; id columns cleaned,
     months in calendar order, optionally the source file as ``source_col``."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    df = spark.read.options(**CSV_OPTIONS).schema(schema).csv(paths)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, BAD)])
+    df = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).schema(schema).csv(paths)
+    df = df.where(_sound(header, paths[0], multi_line))
     ids = [c for c in header if not is_date_header(c)]
     months = sorted((c for c in header if is_date_header(c)), key=normalize_header_date)
     fixed = {}
@@ -88,21 +103,32 @@ def read_group(spark: SparkSession, header: tuple[str, ...], paths: list[str],
     return df.withColumns(fixed).selectExpr(*[bq(c) for c in order])
 
 
-def read_wide_csv(spark: SparkSession, path: str, source_col: str | None = None) -> DataFrame | None:
-    """One wide panel (file, folder or glob); None when no file holds a data row
-    (a missing or header-only file is an empty variant and is skipped).
-    Files with one header are read by one scan; groups align by name."""
-    groups, has_rows = header_groups(spark, path)
-    if not groups or not has_rows:
+def read_wide_csv(spark: SparkSession, path: str, source_col: str | None = None,
+                  multi_line: bool = True) -> DataFrame | None:
+    """One wide panel (file, folder or glob); None for an empty variant: no file,
+    no month column, or no data row (Spark looks for one; size says nothing).
+    Files with one header are read by one scan; groups align by name.
+
+    With ``multi_line`` a quoted name may hold line breaks, and a file is one
+    task: panels come as a file per metric and grain, so files, not splits,
+    make the parallelism. Turn it off for a few huge files without quoted
+    line breaks; a record that has one then raises instead of falling apart.
+    """
+    groups, size = header_groups(spark, path)
+    if not any(is_date_header(c) for header in groups for c in header):
         return None
     frames = []
     for header, paths in groups.items():
         _check_header(header, paths[0])
-        frames.append(read_group(spark, header, paths, source_col))
-    if len(frames) == 1:
-        return frames[0]
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    ids = [c for c in df.columns if not is_date_header(c)]
-    months = sorted((c for c in df.columns if is_date_header(c)), key=normalize_header_date)
-    return df.selectExpr(*[bq(c) for c in ids + months])
-
+        frames.append(read_group(spark, header, paths, source_col, multi_line))
+    df = frames[0]
+    if len(frames) > 1:
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        ids = [c for c in df.columns if not is_date_header(c)]
+        months = sorted((c for c in df.columns if is_date_header(c)), key=normalize_header_date)
+        df = df.selectExpr(*[bq(c) for c in ids + months])
+    if df.isEmpty():
+        return None
+    if not any(p.endswith(".gz") for paths in groups.values() for p in paths):
+        df.landed_bytes = size  # for the choice of a join: what the planner cannot know
+    return df
