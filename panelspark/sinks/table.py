@@ -9,11 +9,12 @@ Parquet data folders plus a small commit log:
 
 A version lists the data folders it consists of; the highest version is
 current. Append adds a folder, overwrite and merge point to a fresh one.
-Readers use ``mergeSchema`` so appended columns line up by name. The log
-entry is created (create-if-absent) by the driver after the data job has
-committed, so a failed job leaves an orphan data folder but never a
-half-visible version, and a second writer racing for the same version
-number fails instead of overwriting.
+The version's schema is in its log entry, so a read opens no footer to find
+it and appended columns line up by name. The driver writes the log entry
+aside and renames it into place after the data job has committed, so a
+failed job leaves an orphan data folder but never a half-visible version.
+A table has one writer at a time: two writers racing for a version number
+are told apart only where the store's rename is atomic.
 
 ``stage`` + ``commit`` give write-audit-publish: the panel is written
 once, the quality gate reads the written files (no recomputation, and
@@ -27,6 +28,7 @@ import json
 import uuid
 import warnings
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("ts", T.StringType()),
     T.StructField("parts", T.ArrayType(T.StringType())),
     T.StructField("partition", T.StringType()),
+    T.StructField("schema", T.StringType()),
 ])
 
 PART = "__part"
@@ -75,6 +78,7 @@ class Table:
         self.partition_col = partition_col
         self.partition_fn = partition_fn
         self._check_dups = True
+        self._staged: dict[str, T.StructType] = {}
         cur = self.current()
         if cur is not None and cur.get("partition"):
             spec = json.loads(cur["partition"])
@@ -106,29 +110,58 @@ class Table:
         for r in rows:
             r.setdefault("parts", None)
             r.setdefault("partition", None)
+            r.setdefault("schema", None)
         return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else self.spark.createDataFrame([], LOG_SCHEMA)
 
     def _commit(self, op: str, dirs: list[str], metadata: dict | None, rows: int | None,
-                prev: dict | None, parts: list[str] | None = None) -> dict:
+                prev: dict | None, parts: list[str] | None = None, schema: T.StructType | None = None) -> dict:
         version = 0 if prev is None else prev["version"] + 1
         meta = json.dumps(metadata) if metadata is not None else (prev or {}).get("metadata")
         spec = json.dumps({"col": self.partition_col, "fn": self.partition_fn}) if self.partitioned else None
         entry = {"version": version, "op": op, "dirs": dirs, "metadata": meta, "rows": rows,
-                 "ts": datetime.now(timezone.utc).isoformat(), "parts": parts, "partition": spec}
+                 "ts": datetime.now(timezone.utc).isoformat(), "parts": parts, "partition": spec,
+                 "schema": schema.json() if schema is not None else (prev or {}).get("schema")}
         files.write_text(self.spark, f"{self.log_dir}/{version:020d}.json", json.dumps(entry))
         return entry
 
     # -- read -------------------------------------------------------------------
-    def _read_dirs(self, dirs: list[str]) -> DataFrame:
+    def _read_dirs(self, dirs: list[str], schema: T.StructType) -> DataFrame:
         # leaf folders are passed directly, so no partition column is inferred:
         # the partition value is a function of a column the files still hold
-        return self.spark.read.option("mergeSchema", "true").parquet(*dirs)
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*dirs)
 
-    def read(self, version: int | None = None, with_comments: bool = True) -> DataFrame:
+    def schema(self, version: int | None = None) -> T.StructType:
+        """Columns of a version, from the log: no file is opened."""
         cur = self.current(version)
         if cur is None:
             raise FileNotFoundError(f"no table at {self.root}")
-        df = self._read_dirs(cur["dirs"])
+        return T.StructType.fromJson(json.loads(cur["schema"]))
+
+    def columns(self, version: int | None = None) -> list[str]:
+        return self.schema(version).names
+
+    def read(self, version: int | None = None, with_comments: bool = True,
+             between: tuple | None = None) -> DataFrame:
+        """A version. ``between`` keeps rows whose partition column is in the
+        closed range; only the folders that can hold such rows are read
+        (``partition_fn`` must be non-decreasing, as a prefix of a date is)."""
+        cur = self.current(version)
+        if cur is None:
+            raise FileNotFoundError(f"no table at {self.root}")
+        schema = T.StructType.fromJson(json.loads(cur["schema"]))
+        if between is None:
+            df = self._read_dirs(cur["dirs"], schema)
+        elif not self.partitioned:
+            raise ValueError(f"{self.root} is not partitioned")
+        else:
+            ends = [F.lit(x).cast(schema[self.partition_col].dataType).alias("x") for x in between]
+            fn = F.expr(self.partition_fn.format("x")).cast("string")
+            low, high = (self.spark.range(1).select(e).select(fn).first()[0] for e in ends)
+            value = [p.split("=", 1)[1] for p in cur["parts"]]
+            df = self._read_dirs([d for v, d in zip(value, cur["dirs"]) if low <= v <= high], schema)
+            df = df.where(F.col(f"`{self.partition_col}`").between(*between))
         if with_comments and cur.get("metadata"):
             descs = json.loads(cur["metadata"]).get("column_descriptions") or {}
             if isinstance(descs, str):
@@ -166,16 +199,14 @@ class Table:
         return names, [f"{path}/{n}" for n in names]
 
     def read_staged(self, staged: str) -> DataFrame:
-        """The rows of a staged folder, as a version will expose them."""
-        if self.partitioned:
-            _names, leaves = self._leaves(staged)
-            return self._read_dirs(leaves) if leaves else self.spark.read.parquet(staged).drop(PART)
-        return self.spark.read.parquet(staged)
+        """The rows of a staged folder, as a version will expose them; no rows if nothing was written."""
+        return self._read_dirs(self._leaves(staged)[1] if self.partitioned else [staged], self._staged[staged])
 
     def stage(self, df: DataFrame) -> str:
         """Write ``df`` to a fresh data folder that no version references yet."""
         path = self._new_dir()
         self._write(df, path)
+        self._staged[path] = df.schema
         return path
 
     def write(self, df: DataFrame, mode: str = "append", key: list[str] | str | None = None,
@@ -198,28 +229,31 @@ class Table:
         prev = self.current()
         if self.partitioned:
             return self._commit_partitioned(staged, mode, key, metadata, rows, prev)
+        schema = self._staged[staged]
         if prev is None:
-            return self._commit("create", [staged], metadata, rows, None)
+            return self._commit("create", [staged], metadata, rows, None, schema=schema)
         if mode == "append":
-            return self._commit("append", list(prev["dirs"]) + [staged], metadata, rows, prev)
+            return self._commit("append", list(prev["dirs"]) + [staged], metadata, rows, prev,
+                                schema=evolved(self.schema(), schema))
         if mode == "overwrite":
-            return self._commit("overwrite", [staged], metadata, rows, prev)
+            return self._commit("overwrite", [staged], metadata, rows, prev, schema=schema)
         keys = [key] if isinstance(key, str) else list(key)
-        source = self.spark.read.parquet(staged)
-        merged = upsert(self.read(with_comments=False), source, keys, check_duplicates=self._check_dups)
+        merged = upsert(self.read(with_comments=False), self.read_staged(staged), keys, check_duplicates=self._check_dups)
         path = self._new_dir()
         merged.write.mode("errorifexists").parquet(path)
-        return self._commit("merge", [path], metadata, None, prev)
+        return self._commit("merge", [path], metadata, None, prev, schema=merged.schema)
 
     def _commit_partitioned(self, staged, mode, key, metadata, rows, prev) -> dict:
         names, leaves = self._leaves(staged)
+        schema = self._staged[staged]
         if prev is None:
-            return self._commit("create", leaves, metadata, rows, None, names)
+            return self._commit("create", leaves, metadata, rows, None, names, schema)
         old_parts = prev.get("parts") or []
-        if mode == "append":
-            return self._commit("append", list(prev["dirs"]) + leaves, metadata, rows, prev, old_parts + names)
         if mode == "overwrite":
-            return self._commit("overwrite", leaves, metadata, rows, prev, names)
+            return self._commit("overwrite", leaves, metadata, rows, prev, names, schema)
+        whole = evolved(self.schema(), schema)
+        if mode == "append":
+            return self._commit("append", list(prev["dirs"]) + leaves, metadata, rows, prev, old_parts + names, whole)
         keys = [key] if isinstance(key, str) else list(key)
         if self.partition_col not in keys:
             # a source row could match a target row in another partition: merge everything
@@ -231,13 +265,13 @@ class Table:
         if not rewrite:  # only new partitions: the staged folders are the result
             new_names, new_leaves = names, leaves
         else:
-            source = self._read_dirs(leaves)
-            merged = upsert(self._read_dirs(rewrite), source, keys, check_duplicates=self._check_dups)
+            merged = upsert(self._read_dirs(rewrite, self.schema()), self._read_dirs(leaves, schema), keys,
+                            check_duplicates=self._check_dups)
             path = self._new_dir()
             self._write(merged, path)
             new_names, new_leaves = self._leaves(path)
         return self._commit("merge", [d for _p, d in keep] + new_leaves, metadata, None, prev,
-                            [p for p, _d in keep] + new_names)
+                            [p for p, _d in keep] + new_names, whole)
 
     def set_metadata(self, metadata: dict) -> dict:
         prev = self.current()
@@ -246,11 +280,21 @@ class Table:
         return self._commit("set_metadata", list(prev["dirs"]), metadata, prev.get("rows"), prev, prev.get("parts"))
 
 
+def evolved(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, then new ones; a column that changes its type is refused."""
+    for f in new.fields:
+        if f.name in old.names and old[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name!r} is {old[f.name].dataType.simpleString()} in the table, "
+                             f"{f.dataType.simpleString()} in the new rows")
+    return T.StructType(old.fields + [f for f in new.fields if f.name not in old.names])
+
+
 def check_mode(mode: str, key) -> None:
-    if mode not in MODES:
-        raise ValueError(f"Invalid mode '{mode}'. Must be 'append', 'overwrite', or 'merge'.")
+    """Refuses an unknown write mode, and an upsert that names no key."""
     if mode == "merge" and not key:
-        raise ValueError("merge_key is required when mode='merge'")
+        raise ValueError("an upsert needs a key")
+    if mode not in MODES:
+        raise ValueError(f"unknown write mode {mode!r}; known: {', '.join(MODES)}")
 
 
 def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
@@ -264,28 +308,32 @@ def duplicate_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], check_duplicates: bool = True) -> DataFrame:
-    """MERGE semantics in one full outer join on the key: matched rows take
-    the source's columns and keep target-only columns; unmatched source rows
-    are inserted (target-only columns NULL); unmatched target rows stay.
-    NULL keys never match (SQL equality), so such rows pass through as
-    unmatched. Each side is shuffled once; AQE splits a hot key.
+    """MERGE semantics: matched rows take the source's columns and keep
+    target-only columns; unmatched source rows are inserted (target-only
+    columns NULL); unmatched target rows stay.
+
+    NULL keys never match (SQL equality): such rows pass by the joins. The
+    others meet in a left join from the source and an anti join from the
+    target, so AQE can split a key that the target repeats (it cannot split
+    a full outer join).
     """
     if check_duplicates and duplicate_keys(source, keys).limit(1).count() > 0:
         raise MergeKeyError(f"source has duplicate rows for merge key {keys}")
-    t = target.select(*[F.col(f"`{c}`").alias(f"t__{c}") for c in target.columns])
-    s = source.select(*[F.col(f"`{c}`").alias(f"s__{c}") for c in source.columns], F.lit(True).alias("__src"))
-    cond = None
-    for k in keys:
-        eq = F.col(f"t__{k}") == F.col(f"s__{k}")
-        cond = eq if cond is None else cond & eq
-    j = t.join(s, cond, "full")
-    src = F.coalesce(F.col("__src"), F.lit(False))
-    cols = []
-    for c in source.columns:
-        fallback = F.col(f"t__{c}") if c in target.columns else F.lit(None)
-        cols.append(F.when(src, F.col(f"s__{c}")).otherwise(fallback).alias(c))
-    cols += [F.col(f"t__{c}").alias(c) for c in target.columns if c not in source.columns]
-    out = j.select(*cols)
-    # keep the target's column order, new source columns at the end
-    order = [c for c in target.columns] + [c for c in source.columns if c not in target.columns]
-    return out.select(*[F.col(f"`{c}`") for c in order])
+    types = {f.name: f.dataType for f in (*source.schema.fields, *target.schema.fields)}
+    order = [*target.columns, *[c for c in source.columns if c not in target.columns]]
+
+    def shaped(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in order])
+
+    def keyed(df: DataFrame, whole: bool) -> DataFrame:
+        has = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+        return df.where(has if whole else ~has)
+
+    t = keyed(target, True)
+    s = keyed(source, True)
+    kept = t.join(s.select(*keys), keys, "left_anti")
+    own = [c for c in target.columns if c not in source.columns]
+    old = t.select(*[F.col(f"`{c}`").alias(f"t__{c}") for c in (*keys, *own)])
+    on = reduce(lambda a, b: a & b, [F.col(f"`{k}`") == F.col(f"t__{k}") for k in keys])
+    new = s.join(old, on, "left").select(*source.columns, *[F.col(f"t__{c}").alias(c) for c in own])
+    return reduce(DataFrame.unionAll, [shaped(x) for x in (kept, new, keyed(target, False), keyed(source, False))])

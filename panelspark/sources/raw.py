@@ -28,7 +28,7 @@ def scan_raw_text(spark: SparkSession, root: str, asset_id: str, ext: str = "txt
     """A raw text asset; see :func:`scan_text`."""
     path = raw_path(root, asset_id, ext)
     if not files.exists(spark, path):
-        raise FileNotFoundError(f"Raw asset '{asset_id}.{ext}' not found.")
+        raise FileNotFoundError(f"no raw file at {path}")
     return scan_text(spark, path, whole)
 
 
@@ -56,13 +56,13 @@ def scan_raw_json(spark: SparkSession, root: str, asset_id: str, schema: T.Struc
             if schema is not None:
                 reader = reader.schema(schema)
             return reader.json(path)
-    raise FileNotFoundError(f"Raw asset '{asset_id}' not found.")
+    raise FileNotFoundError(f"no raw JSON file for {asset_id!r} under {root}")
 
 
 def scan_raw_parquet(spark: SparkSession, root: str, asset_id: str) -> DataFrame:
     path = raw_path(root, asset_id, "parquet")
     if not files.exists(spark, path):
-        raise FileNotFoundError(f"Raw parquet asset '{asset_id}' not found at {path}")
+        raise FileNotFoundError(f"no raw Parquet file at {path}")
     return spark.read.parquet(path)
 
 
@@ -80,5 +80,5 @@ def load_table(spark: SparkSession, tables_root: str, name: str, version: int |
     """A published dataset (current or given version); error if absent."""
     table = Table(spark, f"{tables_root.rstrip('/')}/{name}")
     if not table.exists():
-        raise FileNotFoundError(f"No table found at {table.root}")
+        raise FileNotFoundError(f"{table.root} holds no table")
     return table.read(version)
