@@ -11,10 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Exit codes of a supervised run and the status they record.
-EXIT_STATUS = {0: "completed", 137: "oom", 143: "timeout"}
-
-
 def exit_status(code) -> F.Column:
     c = F.col(code) if isinstance(code, str) else code
     expr = F.when(c == 0, "completed").when(c == 137, "oom").when(c == 143, "timeout")
@@ -26,10 +22,10 @@ def run_durations(runs: DataFrame) -> DataFrame:
     per_run = runs.groupBy("run_id").agg(
         F.min(F.when(F.col("event") == "start", F.col("timestamp"))).alias("started"),
         F.max(F.when(F.col("event") == "end", F.col("timestamp"))).alias("ended"),
-        F.max_by(F.when(F.col("event") == "end", F.col("status")),
-                 F.when(F.col("event") == "end", F.col("timestamp"))).alias("status"),
-        F.first("environment", ignorenulls=True).alias("environment"),
-        F.first("trigger", ignorenulls=True).alias("trigger"),
+        # ties: the greatest status of the last time, the least of the labels
+        F.max(F.when(F.col("event") == "end", F.struct("timestamp", "status")))["status"].alias("status"),
+        F.min("environment").alias("environment"),
+        F.min("trigger").alias("trigger"),
     )
     # timestampdiff on the stored values: no session time zone (and so no DST
     # shift) is involved, whether the ledger holds TIMESTAMP or TIMESTAMP_NTZ
@@ -53,7 +49,7 @@ def error_summary(errors: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("errors"),
         F.min("timestamp").alias("first_seen"),
         F.max("timestamp").alias("last_seen"),
-        F.max_by("message", "timestamp").alias("latest_message"),
+        F.max(F.struct("timestamp", "message"))["message"].alias("latest_message"),  # ties: the greatest
         F.count_distinct("run_id").alias("runs"),
     )
 

@@ -128,7 +128,7 @@ def _row(rule: str, column: str | None, violations: str, passed: str, detail: st
 
 
 def dq_report(df: DataFrame, spec: Spec) -> DataFrame:
-    """All rules as rows, computed by one aggregation job.
+    """All rules as rows: one pass for all flags, and one over the keys alone.
 
     Report rows and plain aggregates are SQL text (a handful of JVM calls
     in total); only the rules' own predicates are Column expressions."""
@@ -178,27 +178,13 @@ def dq_report(df: DataFrame, spec: Spec) -> DataFrame:
             continue
         minmax.append(f"mm__{j}")
 
-    def minmax_exprs(source: str | None) -> list[Column]:
-        out = []
-        for j, chk in enumerate(bounds):
-            k = f"mm__{j}"
-            if k in minmax:
-                lo_src = _q(chk.column) if source is None else f"{k}_lo"
-                hi_src = _q(chk.column) if source is None else f"{k}_hi"
-                out += [F.expr(f"min({lo_src})").alias(f"{k}_lo"), F.expr(f"max({hi_src})").alias(f"{k}_hi")]
-        return out
-
-    if unique:
-        per_key = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("n"),
-                                          *[a.alias(k) for k, a in flag_aggs.items()], *minmax_exprs(None))
-        agg = per_key.agg(
-            F.expr("coalesce(sum(n), 0)").alias("rows"),
-            F.expr("coalesce(sum(n - 1), 0)").alias("dups"),
-            *[F.expr(f"coalesce(sum({k}), 0)").alias(k) for k in flag_aggs],
-            *minmax_exprs("level2"))
-    else:
-        agg = df.agg(F.count(F.lit(1)).alias("rows"), *[a.alias(k) for k, a in flag_aggs.items()],
-                     *minmax_exprs(None))
+    ranges = [F.expr(f"{f}({_q(chk.column)})").alias(f"mm__{j}_{end}")
+              for j, chk in enumerate(bounds) if f"mm__{j}" in minmax for f, end in (("min", "lo"), ("max", "hi"))]
+    # flags and bounds: one global aggregate, so no row is shuffled
+    agg = df.agg(F.count(F.lit(1)).alias("rows"), *[a.alias(k) for k, a in flag_aggs.items()], *ranges)
+    if unique:  # only the key and a count are shuffled, in a job of its own
+        extra = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("n")).agg(F.expr("coalesce(sum(n - 1), 0)").alias("dups"))
+        agg = agg.withColumn("dups", extra.scalar())
 
     rows: list[str] = list(static_rows)
     if spec.min_rows:

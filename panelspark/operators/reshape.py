@@ -4,8 +4,9 @@ A wide panel has id columns (any name whose first character is not a
 digit) and one column per month (``YYYY-MM-DD`` header). Two merge plans:
 
 * ``merge_variants``: long frames, N-way full outer join on
-  (RegionID, date) -- the literal semantics, needed when the first variant
-  has no ``RegionType`` column.
+  (RegionID, date) -- the literal semantics;
+  ``merge_variants_packed`` computes it on one row per region, for panels
+  whose first variant has no ``RegionType`` column.
 * ``melt_multi`` / ``merge_variants_grid``: join *before* melting. Each
   variant's months become one array per region, later variants are
   left-joined onto the first variant's regions (a few thousand wide rows
@@ -98,6 +99,23 @@ def _elem_type(frames: list[DataFrame]) -> str:
     return "string" if (not types or "string" in types) else "double"
 
 
+#: Bytes in memory of a byte of CSV: each cell gets an offset and padding.
+CSV_IN_MEMORY = 3
+
+
+def _small(df: DataFrame) -> bool:
+    """Whether a landed variant is surely below the session's broadcast threshold.
+
+    A packed variant's size is no guide for the planner, which counts one
+    element per array, so its own choice is kept only where the true size is
+    known from the file listing and small; any other variant is joined by a
+    shuffle.
+    """
+    size = getattr(df, "landed_bytes", None)
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size is not None and size * CSV_IN_MEMORY <= threshold
+
+
 def melt_multi(frames: list[tuple[DataFrame, str]], grain_filter: str | None = None,
                null_safe: bool = True, coerce: bool = False) -> DataFrame:
     """Join-then-melt of several wide variants onto the first one's grid.
@@ -134,6 +152,8 @@ def melt_multi(frames: list[tuple[DataFrame, str]], grain_filter: str | None = N
         raw_by_norm = {normalize_header_date(m): m for m in date_columns(df)}
         arr = _month_array(df, months, elem, coerce, raw_by_norm)
         side = df.select(F.col(KEY).alias(f"__k{i}"), arr.alias(f"__v{i}"))
+        if not _small(df):
+            side = side.hint("merge")
         cond = (F.col(KEY).eqNullSafe(F.col(f"__k{i}")) if null_safe
                 else F.col(KEY) == F.col(f"__k{i}"))
         joined = joined.join(side, cond, "left").drop(f"__k{i}")
@@ -175,6 +195,43 @@ def merge_variants(longs: list[tuple[DataFrame, str]], keys: tuple[str, ...] = (
     return merged
 
 
+def merge_variants_packed(frames: list[tuple[DataFrame, str]]) -> DataFrame:
+    """The full outer merge of wide variants on (RegionID, date), joined before it is melted.
+
+    Each variant is one row per region with an array over the months of all
+    variants, so each join shuffles regions, not cells, and the growing
+    result keeps one row per region. Rows whose values are all null are left
+    out. As in the merge of long frames, later variants bring keys and
+    values only: other columns are set where the first variant has the
+    region and the month.
+    """
+    months = sorted({normalize_header_date(m) for df, _ in frames for m in date_columns(df)})
+    elem = _elem_type([f for f, _ in frames])
+    first = frames[0][0]
+    own = {normalize_header_date(m) for m in date_columns(first)}
+    attrs = [c for c in id_columns(first) if c != KEY]
+    merged = None
+    for i, (df, _col) in enumerate(frames):
+        packed = _month_array(df, months, elem, False, {normalize_header_date(m): m for m in date_columns(df)})
+        side = df.select(*([F.col(bq(c)) for c in attrs] if i == 0 else []), F.col(KEY).alias(f"__k{i}"), packed.alias(f"__v{i}"))
+        if merged is None:
+            merged = side.withColumnRenamed("__k0", KEY)
+            continue
+        if not _small(df):
+            side = side.hint("merge")
+        joined = merged.join(side, F.col(KEY).eqNullSafe(F.col(f"__k{i}")), "full")
+        merged = joined.withColumn(KEY, F.coalesce(F.col(KEY), F.col(f"__k{i}"))).drop(f"__k{i}")
+    empty = F.array_repeat(F.lit(None).cast(elem), len(months))
+    values = [F.coalesce(F.col(f"__v{i}"), empty).alias(f"__v{i}") for i in range(len(frames))]
+    here = F.lit([m in own for m in months]).alias("__own")
+    cells = merged.select(KEY, *[F.col(bq(c)) for c in attrs], F.inline(F.arrays_zip(F.lit(months).alias("__d"), here, *values)))
+    cells = cells.where(" OR ".join(f"__v{i} IS NOT NULL" for i in range(len(frames))))
+    order = [c for c in id_columns(first)]
+    return cells.select(
+        *[F.col(KEY) if c == KEY else F.when(F.col("__own"), F.col(bq(c))).alias(c) for c in order],
+        F.col("__d").alias("date"), *[F.col(f"__v{i}").alias(col) for i, (_df, col) in enumerate(frames)])
+
+
 def merge_variants_grid(frames: list[tuple[DataFrame, str]], grain_filter: str | None) -> DataFrame:
     """The effective semantics of outer join + grain filter: a left join onto
     the first variant's (region x month) grid, computed join-before-melt."""
