@@ -7,6 +7,7 @@ metadata -> output profile.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,7 +16,9 @@ from pyspark.sql import functions as F
 
 from .. import specs
 from ..operators import quality
-from ..operators.reshape import melt, melt_multi, merge_variants, merge_variants_union
+from ..functions.scalars import to_double
+from ..operators.reshape import (date_columns, id_columns, melt, melt_multi, merge_variants_packed, merge_variants_union,
+                                 normalize_header_date)
 from ..operators.standardize import standardize
 from ..sinks.publish import check_metadata, log_output
 from ..sources import files
@@ -30,36 +33,61 @@ class PanelResult:
     report: list
 
 
+class PanelErrors(ExceptionGroup):
+    """Failures of several panels; ``tables`` holds the results of the others."""
+
+    def __new__(cls, message, errors, tables):
+        self = super().__new__(cls, message, errors)
+        self.tables = tables
+        return self
+
+    def derive(self, excs):
+        return PanelErrors(self.message, excs, self.tables)
+
+
 def check_variant_keys(frames: list[tuple[DataFrame, str]], grain_filter: str | None, grid: bool = True) -> None:
-    """Fail before the merge when a repeated RegionID would make it emit pairs.
-
-    Grid merge: a region of the (grain-filtered) first variant repeated in
-    any file. Full outer merge: a region repeated in one file that also
-    appears in another. Either way the merged output would hold duplicate
-    (date, region_id) rows that the uniqueness gate rejects later -- after a
-    possibly quadratic write for a hot key. One job over the region keys of
-    all files (map-side partial counts) finds them first and raises the same
-    failure. Repeats that the merge drops (outside the grid) or that pair
-    with nothing are left to the gate, as in the source pipeline."""
+    """Fail before the merge when it would publish a (date, region) twice.
+
+    A region that files repeat c_1, c_2, ... times meets itself in all
+    combinations; at a month where z_1, z_2, ... of these rows are null,
+    prod(c) - prod(z) combinations survive the drop of all-null rows, and two
+    are a duplicate for the gate. Only repeated regions are looked at: one
+    job over the region keys of all files finds them, and as a rule ends the
+    check. Repeats that the merge drops, or that leave one row per month,
+    pass, as they pass the gate.
+    """
     if len(frames) < 2:
         return
-    keys = None
+    kept = []
     for i, (df, _col) in enumerate(frames):
         if grid and i == 0 and grain_filter is not None and "RegionType" in df.columns:
             df = df.where(F.lower(F.col("RegionType")) == F.lit(grain_filter))
-        part = df.select(F.lit(i).alias("__i"), F.col("RegionID"))
-        keys = part if keys is None else keys.unionByName(part)
-    per_file = keys.groupBy("__i", "RegionID").count()
-    per_region = per_file.groupBy("RegionID").agg(
-        F.max(F.when(F.col("__i") == 0, F.col("count"))).alias("in_grid"),
-        F.count(F.lit(1)).alias("files"),
-        F.max_by("__i", "count").alias("__i"), F.max("count").alias("count"))
-    reaches = F.col("in_grid").isNotNull() if grid else (F.col("files") >= 2)
-    dup = per_region.where(reaches & (F.col("count") > 1)).limit(1).collect()
-    if dup:
-        col = frames[dup[0]["__i"]][1]
-        raise quality.QualityError([{"rule": "unique", "column": "RegionID", "violations": dup[0]["count"] - 1,
-                                     "detail": f"variant {col} repeats RegionID {dup[0]['RegionID']}"}], {})
+        kept.append(df)
+    n = range(len(kept))
+    keys = reduce(DataFrame.unionAll, [df.select(F.lit(i).alias("__i"), F.col("RegionID")) for i, df in enumerate(kept)])
+    counts = keys.groupBy("RegionID").agg(*[F.count_if(F.col("__i") == i).alias(f"c{i}") for i in n])
+    repeated = counts.where(F.greatest(*[F.col(f"c{i}") for i in n]) > 1)
+    if grid:
+        repeated = repeated.where(F.col("c0") > 0)
+    repeated = repeated.withColumnRenamed("RegionID", "__r")
+    if repeated.isEmpty():
+        return
+    cells = []
+    for i, df in enumerate(kept):
+        long = melt(df, "__v", ids=id_columns(df)).where(to_double("__v").isNotNull())
+        cells.append(long.select(F.lit(i).alias("__i"), "RegionID", "date"))
+    filled = reduce(DataFrame.unionAll, cells).groupBy("RegionID", "date").agg(
+        *[F.count_if(F.col("__i") == i).alias(f"n{i}") for i in n])
+    if grid:
+        filled = filled.where(F.col("date").isin([normalize_header_date(m) for m in date_columns(kept[0])]))
+    at = filled.join(repeated, F.col("RegionID").eqNullSafe(F.col("__r")))
+    rows = [F.greatest(F.col(f"c{i}"), F.lit(1)).cast("double") for i in n]
+    product = lambda xs: reduce(lambda a, b: a * b, xs)
+    survive = product(rows) - product([c - F.col(f"n{i}") for i, c in zip(n, rows)])
+    bad = at.where(survive > 1).select("RegionID", "date", survive.alias("rows")).limit(1).collect()
+    if bad:
+        raise quality.QualityError([{"rule": "unique", "column": "RegionID", "violations": int(bad[0]["rows"]) - 1,
+                                     "detail": f"region {bad[0]['RegionID']} would come more than once at {bad[0]['date']}"}], {})
 
 
 def build_panel(frames: list[tuple[DataFrame | None, str]], family: specs.Family, grain: str,
@@ -87,8 +115,8 @@ def build_panel(frames: list[tuple[DataFrame | None, str]], family: specs.Family
         long = melt_multi(present, grain_filter=gfilter)
     else:
         # No RegionType: nothing filters the outer rows, so the literal
-        # full outer join of long frames is the semantics to keep.
-        long = merge_variants([(melt(df, col), col) for df, col in present])
+        # full outer join on (region, month) is the semantics to keep.
+        long = merge_variants_packed(present)
     return standardize(long, grain, family.value_columns)
 
 
@@ -105,12 +133,12 @@ def run_panel(spark: SparkSession, family: specs.Family, grain: str, frames, roo
                   sort_by=["date", "region_name"])
     staged = table.stage(panel)
     written = table.read_staged(staged)
+    if written.isEmpty():
+        return None  # nothing after filtering: skipped, like the source
     spec = quality.family_spec(family, written, grain, min_rows=min_rows)
     spec.profile_nulls = True
     report = quality.validate(written, spec)  # one job; raises before any commit
     rows = next(int(r["detail"]) for r in report if r["rule"] == "row_count")
-    if rows == 0:
-        return None  # nothing after filtering: skipped, like the source
     meta = check_metadata(family.metadata(grain, written.columns), written.columns)
     # the gate has just proven (date, region_id) unique on these very files
     table.commit(staged, mode, specs.KEY_COLUMNS, metadata=meta, rows=rows, keys_unique=True)
@@ -159,8 +187,10 @@ def run_family(spark: SparkSession, family: str, raw_root: str, root: str, *, gr
 
     The grain tables are independent, so their pipelines are submitted from
     ``parallel`` driver threads as concurrent jobs of one application: plan
-    building overlaps and the executors stay busy. The first failure (e.g.
-    a quality gate) is raised after the other grains finish.
+    building overlaps and the executors stay busy. A failure (e.g. a quality
+    gate) is raised after the other grains finish: the error itself if it is
+    the only one, else all of them; either way it has the finished tables as
+    ``tables``. Empty panels are skipped.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -174,11 +204,33 @@ def run_family(spark: SparkSession, family: str, raw_root: str, root: str, *, gr
     grains = list(grains or specs.GRAINS)
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(grains)))) as pool:
         futures = {g: pool.submit(one, g) for g in grains}
-    out = {}
+    out, errors = {}, []
     for grain, fut in futures.items():
-        res = fut.result()
-        if res is not None:
-            out[grain] = res
+        if fut.exception() is not None:
+            fut.exception().add_note(f"{family}, {grain}")
+            errors.append(fut.exception())
+        elif fut.result() is not None:
+            out[grain] = fut.result()
+    _raise(errors, out)
+    return out
+
+
+def _raise(errors: list[Exception], tables: dict) -> None:
+    if len(errors) == 1:
+        errors[0].tables = tables
+        raise errors[0]
+    if errors:
+        raise PanelErrors("panels failed", errors, tables)
+
+
+def _landed_pairs(paths) -> dict[tuple[str, str], list[str]]:
+    """(family, grain) of each landed file."""
+    family_of = {prefix: f.name for f in specs.FAMILIES.values() for prefix in f.variants}
+    out: dict[tuple[str, str], list[str]] = {}
+    for p in paths:
+        m = re.search(r"/([^/]+)/metric=([^/]+)/[^/]+$", p)
+        if m and m[2] in family_of:
+            out.setdefault((family_of[m[2]], m[1]), []).append(p)
     return out
 
 
@@ -187,26 +239,45 @@ def run_all(spark: SparkSession, raw_root: str, tables_root: str, *, ingest: boo
             ledger_root: str | None = None) -> dict:
     """All families x all grains, with ingest-only / transform-only switches.
 
-    ``ingest`` records the landing zone's new files in the manifest (an
-    ``availableNow`` stream, checkpointed under ``tables_root``); ``transform``
-    builds every (family, grain) table, families as concurrent jobs. Returns
-    ``{"ingested": n, "tables": {(family, grain): PanelResult}}``.
+    ``ingest`` compares the landing zone with the manifest under
+    ``tables_root``; then ``transform`` rebuilds only the (family, grain)
+    tables that have a new or refreshed file, and their files enter the
+    manifest after the table has succeeded, so a failed one is tried again.
+    Without ``ingest`` every table is built. Families run as concurrent
+    jobs; failures are raised after all have finished, with the finished
+    tables as ``tables``. Returns ``{"ingested": pending files, "tables":
+    {(family, grain): PanelResult}}``.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from ..streaming.ingest import ingest_incremental
+    from ..sources.catalog import MANIFEST_SCHEMA, pending_files
 
-    out: dict = {"ingested": 0, "tables": {}}
     root = tables_root.rstrip("/")
+    manifest = f"{root}/_manifest"
+    out: dict = {"ingested": 0, "tables": {}}
+    wanted = {f: list(grains or specs.GRAINS) for f in families or specs.FAMILIES}
+    pending: dict[tuple[str, str], list] = {}
     if ingest:
-        out["ingested"] = ingest_incremental(spark, raw_root, f"{root}/_manifest", f"{root}/_manifest_checkpoint",
-                                             glob="*.csv")
-    if transform:
-        fams = list(families or specs.FAMILIES)
-        with ThreadPoolExecutor(max_workers=len(fams)) as pool:
-            futures = {f: pool.submit(run_family, spark, f, raw_root, root, grains=grains, min_rows=min_rows,
-                                      mode=mode, ledger_root=ledger_root) for f in fams}
+        done = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest) if files.exists(spark, manifest) else None
+        found = {r["path"]: r for r in pending_files(spark, raw_root, done, suffix=".csv").collect()}  # one per file
+        out["ingested"] = len(found)
+        pending = {k: [found[p] for p in v] for k, v in _landed_pairs(found).items()}
+        wanted = {f: [g for g in gs if (f, g) in pending] for f, gs in wanted.items()}
+    if transform and any(wanted.values()):
+        todo = {f: gs for f, gs in wanted.items() if gs}
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            futures = {f: pool.submit(run_family, spark, f, raw_root, root, grains=gs, min_rows=min_rows,
+                                      mode=mode, ledger_root=ledger_root) for f, gs in todo.items()}
+        errors, failed = [], set()
         for fam, fut in futures.items():
-            for grain, res in fut.result().items():
-                out["tables"][(fam, grain)] = res
+            e = fut.exception()
+            tables = fut.result() if e is None else getattr(e, "tables", {})
+            if e is not None:
+                errors += e.exceptions if isinstance(e, PanelErrors) else [e]
+                failed |= {(fam, g) for g in todo[fam] if g not in tables}
+            out["tables"].update({(fam, g): r for g, r in tables.items()})
+        kept = [r for (f, g), rows in pending.items() if g in todo.get(f, ()) and (f, g) not in failed for r in rows]
+        if kept:
+            spark.createDataFrame(kept, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest)
+        _raise(errors, out["tables"])
     return out

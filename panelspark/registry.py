@@ -82,7 +82,7 @@ def _frames(spark, sf_dir, family, grain):
     f"min({c}) AS min_v, max({c}) AS max_v FROM ({O.cells_sql('metro', [c])}) WHERE {c} IS NOT NULL"
     for c in FAMILY_OF))
 def q_scan_wide_csv(spark, sf_dir):
-    """All 21 metric files of the metro grain: one header group, so one scan."""
+    """All 21 metric files of the metro grain: a scan for each of their two headers."""
     root = land_raw(spark, sf_dir, ["metro"])
     wide = read_wide_csv(spark, f"{root}/metro", source_col="_source")
     long = R.melt(wide, "v").select(
@@ -142,7 +142,7 @@ def q_catalog_manifest(spark, sf_dir):
     root = land_raw(spark, sf_dir)
     landed = []
     for grain in specs.GRAINS:
-        lines = spark.read.text(f"{root}/{grain}").where(~F.col("value").startswith("RegionID,"))
+        lines = spark.read.text(f"{root}/{grain}").where(F.col("value").rlike("^-?[0-9]+,"))  # names hold line breaks
         landed.append(lines.groupBy(F.col("metric").alias("dataset_id")).agg(F.count(F.lit(1)).alias("regions"))
                       .withColumn("grain", F.lit(grain)))
     counts = reduce(lambda a, b: a.unionByName(b), landed)
@@ -305,9 +305,12 @@ def q_merge_variants_grid(spark, sf_dir):
 @register("merge_variants", (
     f"WITH c AS ({O.cells_sql('zip', INV)}), m AS ({O.months_sql()}), "
     "g1 AS (SELECT DISTINCT RegionID, RegionName FROM c WHERE for_sale_inventory IS NOT NULL), "
-    "k AS (SELECT r.RegionID, m.date FROM (SELECT DISTINCT RegionID FROM c) r CROSS JOIN m) "
+    # every variant's regions at every month of its own header
+    "k AS (" + " UNION ".join(
+        f"SELECT r.RegionID, m.date FROM (SELECT DISTINCT RegionID FROM c WHERE {v} IS NOT NULL) r "
+        f"CROSS JOIN (SELECT date FROM m WHERE {O.header_sql(v, 'zip')}) m" for v in INV) + ") "
     "SELECT k.RegionID, k.date, g1.RegionName, c.for_sale_inventory, c.new_listings, c.new_pending "
-    "FROM k LEFT JOIN g1 ON g1.RegionID = k.RegionID "
+    f"FROM k LEFT JOIN g1 ON g1.RegionID = k.RegionID AND {O.header_sql('for_sale_inventory', 'zip', 'k.date')} "
     "LEFT JOIN c ON c.RegionID = k.RegionID AND c.date = k.date"))
 def q_merge_variants(spark, sf_dir):
     longs = [(_long(spark, sf_dir, col, "zip"), col) for col in INV]
@@ -512,14 +515,19 @@ def q_year_bounds(spark, sf_dir):
 
 
 @register("output_profile", (
-    f"SELECT count(*) AS rows, '{','.join(DOC_COLS + ['text'])}' AS columns, "
+    f"SELECT count(*) AS rows, true AS has_bytes, '{','.join(DOC_COLS + ['text'])}' AS columns, "
     "(" + " + ".join(f"CAST(count_if({c} IS NULL) > 0 AS INTEGER)" for c in DOC_COLS + ["text"]) + ") AS null_columns, "
     "(" + " + ".join(f"count_if({c} IS NULL)" for c in DOC_COLS + ["text"]) + ") AS nulls_total "
     f"FROM ({DOC_JOIN_SQL})"))
 def q_output_profile(spark, sf_dir):
+    """The profile of a written table: rows, bytes of its files, null counts."""
     from .sinks.publish import output_profile
-    prof = output_profile(_doc_join(spark, sf_dir))
-    return prof.select("rows", "columns", F.size("null_counts").alias("null_columns"),
+    from .sources import files
+    table = Table(spark, f"{scratch(spark, 'profile')}/docs")
+    table.write(_doc_join(spark, sf_dir), "overwrite")
+    size = sum(n for d in table.current()["dirs"] for _p, n, _m in files.list_files(spark, d))
+    prof = output_profile(table.read(), size)
+    return prof.select("rows", (F.col("size_bytes") > 0).alias("has_bytes"), "columns", F.size("null_counts").alias("null_columns"),
                        F.aggregate(F.map_values("null_counts"), F.lit(0).cast("long"),
                                    lambda acc, x: acc + x).alias("nulls_total"))
 
@@ -792,7 +800,7 @@ def q_ingest_incremental(spark, sf_dir):
     lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(raw)
              .select("value", F.col("_metadata.file_path").alias("path"))
              .join(ingested, "path", "left_semi")  # only files the stream recorded
-             .where(~F.col("value").startswith("RegionID,")))
+             .where(F.col("value").rlike("^-?[0-9]+,")))  # a record's first line: names hold line breaks
     return (lines.select(F.regexp_extract("path", r"/([a-z]+)/metric=", 1).alias("grain"),
                          F.regexp_extract("path", r"metric=([^/]+)", 1).alias("metric"))
             .groupBy("grain", "metric").agg(F.count(F.lit(1)).alias("regions"))
@@ -810,14 +818,22 @@ def _columns_of(family: str, grain: str) -> str:
 
 
 @register("panel_all", " UNION ALL ".join(
-    f"SELECT '{specs.FAMILIES[f].dataset_id(g)}' AS dataset, count(*) AS rows, '{_columns_of(f, g)}' AS columns "
+    f"SELECT '{specs.FAMILIES[f].dataset_id(g)}' AS dataset, count(*) AS rows, '{_columns_of(f, g)}' AS columns, "
+    f"true AS has_bytes, {' + '.join(f'count_if({c} IS NULL)' for c in specs.FAMILIES[f].value_columns)} AS null_cells, "
+    f"CAST(0 AS BIGINT) AS rebuilt "
     f"FROM ({O.panel_grain_sql(f, g, with_grain_col=False)})"
     for f in specs.FAMILIES for g in specs.GRAINS))
 def q_panel_all(spark, sf_dir):
-    """Every family at every grain; returns the data_outputs ledger rows."""
+    """Every family at every grain; returns the data_outputs ledger rows, and
+    how many tables a second run over the same files rebuilds."""
     from .plans.panels import run_all
     root = scratch(spark, "panel_all")
     ledger = f"{root}/_ledgers"
     raw = land_raw(spark, sf_dir)
-    run_all(spark, raw, root, ingest=True, transform=True, min_rows=1, ledger_root=ledger)
-    return spark.read.json(f"{ledger}/data_outputs").select("dataset", "rows", "columns")
+    run_all(spark, raw, root, min_rows=1, ledger_root=ledger)
+    again = run_all(spark, raw, root, min_rows=1, ledger_root=ledger)
+    nulls = F.aggregate(F.map_values(F.from_json("null_counts", "map<string,bigint>")), F.lit(0).cast("long"), lambda a, x: a + x)
+    return spark.read.json(f"{ledger}/data_outputs").select(
+        "dataset", "rows", "columns", (F.col("size_bytes") > 0).alias("has_bytes"),
+        F.coalesce(F.when(F.col("null_counts") != "", nulls), F.lit(0).cast("long")).alias("null_cells"),
+        F.lit(len(again["tables"])).cast("long").alias("rebuilt"))

@@ -45,6 +45,9 @@ def workspace(spark: SparkSession) -> str:
     root = conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         # Unset only on a single machine (tests, local runs): register a
