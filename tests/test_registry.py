@@ -15,8 +15,10 @@ QUICK = ["state_diff", "unique_check", "dq_report", "validate", "run_summary", "
 
 
 def test_every_oracle_has_a_query():
+    from panelspark.registry import ORACLES, QUERIES
     qs, ors = entry.queries(), entry.oracle_sql()
-    assert set(ors) == set(qs)
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(qs) and set(ors) <= set(qs)
 
 
 def canon(rows, cols):
