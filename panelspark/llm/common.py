@@ -49,9 +49,9 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
 
 
 def with_totals(
-    df: DataFrame, keys: Sequence[str], totals: dict[str, tuple[Column, str]], salt_on: Sequence[str], salts: int = 256
+    df: DataFrame, keys: Sequence[str], totals: dict[str, tuple[Column, str]], salt_on: Sequence[str], having: str = "true", salts: int = 256
 ) -> DataFrame:
-    """``df`` with per-key totals attached; no task holds a whole hot key.
+    """``df`` with per-key totals attached, for keys whose totals meet ``having``; no task holds a whole hot key.
 
     ``totals`` maps a name to (aggregate of rows, SQL function that merges
     such aggregates). Rows are first summed by (key, salt), those sums by
@@ -62,7 +62,7 @@ def with_totals(
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
     part = salted.groupBy(*keys, "_salt").agg(*[a.alias(n) for n, (a, _) in totals.items()])
     whole = part.groupBy(*keys).agg(*[F.expr(f"{merge}({n})").alias(n) for n, (_, merge) in totals.items()])
-    back = part.select(*keys, "_salt").join(whole, list(keys))
+    back = part.select(*keys, "_salt").join(whole.filter(having), list(keys))
     return salted.join(back, [*keys, "_salt"]).drop("_salt")
 
 

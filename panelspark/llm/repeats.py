@@ -251,8 +251,8 @@ def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
         .withColumn("i", F.explode(F.expr(f"sequence(0, octet_length(bytes) - {window})")))
         .select("seed", "content", "copies", "i", F.xxhash64(one).alias("w1"), F.xxhash64(one, F.lit(1)).alias("w2"))
     )
-    many = with_totals(scratch(windows, "repeat-windows"), ["w1", "w2"], {"total": (F.sum("copies"), "sum")}, ["seed", "content", "i"])
-    many = many.filter("total > 1").select("seed", "content", F.col("i").alias("first"), F.col("i").alias("last"))
+    many = with_totals(scratch(windows, "repeat-windows"), ["w1", "w2"], {"total": (F.sum("copies"), "sum")}, ["seed", "content", "i"], "total > 1")
+    many = many.select("seed", "content", F.col("i").alias("first"), F.col("i").alias("last"))
     hits = scratch(few.unionAll(many), "repeat-runs")
 
     same = around.filter("n = 1").select("seed")  # one content, so every stretch with this seed occurs again
