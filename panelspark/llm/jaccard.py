@@ -32,10 +32,11 @@ PERCENT = 75
 SHARED = 0.25
 #: Cost of a candidate in signatures, per element of the larger set.
 VERIFY = 4000
-#: Groups of candidates up to this size are compared pair by pair, across components only.
-SMALL_GROUP = 48
+#: A group of more rows than this is hot; a smaller one is compared pair by pair.
+HOT = 8
 HISTOGRAM = 64
-DELETED = 0x8000
+#: Marks of a signature beside the row's place in its block: made by a deletion; of a segment with T = 1; of the next band's scheme.
+DELETED, NEAR, NEXT, PLACE = 0x8000, 0x4000, 0x2000, 0x1FFF
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,13 +49,15 @@ def max_difference(total: int | np.ndarray) -> int | np.ndarray:
 class Scheme:
     """How sets are cut when the larger of a pair has 2**band to 2**(band + 1) - 1 elements."""
 
+    need: int  # weight (T + 1, summed) that rules out a link if no segment matches
     equal: int  # segments with T = 0
     near: int  # segments with T = 1
     share: float  # of the universe, for each segment with T = 1
 
     @property
-    def weight(self) -> int:
-        return self.equal + 2 * self.near
+    def spare(self) -> int:
+        """Weight that a linked pair shares beyond the first: so much of it may be hot."""
+        return (self.equal + 2 * self.near - self.need) // 2
 
 
 @cache
@@ -63,7 +66,8 @@ def scheme(band: int) -> Scheme | None:
 
     The cost is the number of signatures of a set of the band's largest
     size, plus the expected number of unrelated candidates at their price.
-    Spare weight lets a set leave out its smallest segments (T = -1).
+    Spare weight lets a set leave out segments (T = -1): half of it the
+    smallest ones, half of it those that turn out to be hot.
     """
     top = 2 ** (band + 1) - 1
     need = max_difference(2 * top) + 1
@@ -74,15 +78,15 @@ def scheme(band: int) -> Scheme | None:
         for size in (4, 6, 8, 12) if near else (0,):
             share = min(size / top, 1 / (near + 1))
             left = 1 - near * share
-            for spare in (0.0, 0.15, 0.3, 0.45):
-                equal = max(0, ceil((need - 2 * near) * (1 + spare)))
-                emitted = max(0, need - 2 * near)
+            for spare in (0.3, 0.45, 0.6):
+                equal = max(0, need - 2 * near) + max(2, ceil(need * spare))
+                emitted = max(0, need - 2 * near) + (2 * near + equal - need) // 2
                 in_equal, in_near = (top * left / equal if equal else 0.0), top * share
                 false = emitted * exp(-in_equal * (1 - SHARED)) * (emitted / equal if equal else 0) ** 2
                 false += near * (1 + in_near) * exp(-in_near * (1 - SHARED))
                 cost = emitted + near * (1 + in_near) + VERIFY / top * false
-                if 2 * near + equal >= need and cost < best:
-                    best, chosen = cost, Scheme(equal, near, share)
+                if cost < best:
+                    best, chosen = cost, Scheme(need, equal, near, share)
     return chosen
 
 
@@ -107,7 +111,7 @@ def shingle_sets(words: np.ndarray, upto: np.ndarray, n: int = SHINGLE) -> tuple
         for i in short:
             v = np.uint64(counts[i])
             for w in words[upto[i] : upto[i + 1]]:
-                v = mix(np.array([v * _A + w], dtype=np.uint64))[0]
+                v = mix(np.array([v], dtype=np.uint64) * _A + w)[0]
             extra.append(v)
         h, text = np.concatenate([h, np.array(extra, dtype=np.uint64)]), np.concatenate([text, short])
     order = np.lexsort((h, text))
@@ -118,14 +122,15 @@ def shingle_sets(words: np.ndarray, upto: np.ndarray, n: int = SHINGLE) -> tuple
 
 
 def signatures(h: np.ndarray, text: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(signature, text, made by a deletion) of sets given as (hash, text) pairs, text ascending.
+    """(signature, text, marks) of sets given as (hash, text) pairs, text ascending.
 
     A set has signatures under the scheme of its own band, and of the next
     if its partners there are small enough. Of its segments with T = 0 it
-    emits the first in the order of falling size and hash, as many as the
-    pigeonhole needs for its largest partner. Two linked sets have more equal
-    segments than either leaves out, and order them alike; so one of these is
-    emitted by both.
+    emits the first in the order of falling size and hash: as many as the
+    pigeonhole needs for its largest partner, and the scheme's spare ones.
+    Two linked sets have more equal segments than either leaves out, and
+    order them alike; so they share signatures of a weight of at least one
+    more than the spare weight.
     """
     top_band = np.frexp(sizes.astype(float))[1] - 1  # floor(log2), exact below 2**53
     for step in (0, 1):
@@ -138,7 +143,8 @@ def signatures(h: np.ndarray, text: np.ndarray, sizes: np.ndarray) -> Iterator[t
             mine = (top_band == band) & (sizes > 0) & (partner >= low)
             if not mine.any():
                 continue
-            yield from _cut(h[mine[text]], text[mine[text]], s, band + step, max_difference(sizes + partner), mine)
+            for name, owner, marks in _cut(h[mine[text]], text[mine[text]], s, band + step, max_difference(sizes + partner), mine):
+                yield name, owner, np.full(len(owner), NEXT * step) | marks
 
 
 def _cut(h: np.ndarray, text: np.ndarray, s: Scheme, band: int, differ: np.ndarray, mine: np.ndarray):
@@ -162,19 +168,19 @@ def _cut(h: np.ndarray, text: np.ndarray, s: Scheme, band: int, differ: np.ndarr
     name = mix(content + salt(seg))
 
     near = seg < s.near
-    yield name[near], owner[near], np.zeros(int(near.sum()), dtype=bool)
+    yield name[near], owner[near], NEAR
     member = np.repeat(near, size)
     less = np.repeat(content, size)[member] - element[member]
-    yield mix(less + salt(key[member] % segments)), key[member] // segments, np.ones(int(member.sum()), dtype=bool)
+    yield mix(less + salt(key[member] % segments)), key[member] // segments, NEAR | DELETED
 
     rows = np.flatnonzero(~near)
     order = np.lexsort((name[rows], -size[rows], owner[rows]))
     rows = rows[order]
     heads = np.concatenate([[True], owner[rows][1:] != owner[rows][:-1]]) if len(rows) else np.zeros(0, dtype=bool)
     rank = np.arange(len(rows)) - np.maximum.accumulate(np.where(heads, np.arange(len(rows)), 0)) if len(rows) else np.zeros(0, dtype=np.int64)
-    wanted = np.clip(differ + 1 - 2 * s.near, 0, s.equal)
+    wanted = np.clip(differ + 1 - 2 * s.near + s.spare, 0, s.equal)
     rows = rows[rank < wanted[owner[rows]]]
-    yield name[rows], owner[rows], np.zeros(len(rows), dtype=bool)
+    yield name[rows], owner[rows], 0
 
     # sets that must also emit empty segments: of T = 1, and of T = 0 where the others are too few
     texts = np.flatnonzero(mine)
@@ -184,7 +190,7 @@ def _cut(h: np.ndarray, text: np.ndarray, s: Scheme, band: int, differ: np.ndarr
         empty_name = mix(salt(np.arange(segments)))
         by_name = s.near + np.argsort(empty_name[s.near :], kind="stable")
         start, end = np.searchsorted(owner, poor), np.searchsorted(owner, poor, side="right")
-        names, owners = [], []
+        names, owners, marks = [], [], []
         for t, a, b in zip(poor.tolist(), start.tolist(), end.tolist()):
             has = np.zeros(segments, dtype=bool)
             has[seg[a:b]] = True
@@ -194,7 +200,8 @@ def _cut(h: np.ndarray, text: np.ndarray, s: Scheme, band: int, differ: np.ndarr
                 out += by_name[~has[by_name]][:short].tolist()
             names.append(empty_name[out])
             owners += [t] * len(out)
-        yield np.concatenate(names), np.array(owners, dtype=np.int64), np.zeros(len(owners), dtype=bool)
+            marks += [NEAR if g < s.near else 0 for g in out]
+        yield np.concatenate(names), np.array(owners, dtype=np.int64), np.array(marks, dtype=np.int64)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -226,16 +233,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     100 * intersection >= 75 * union. Null texts and texts without words have
     an empty set and link with nothing. ``component_id`` is the smallest id
     reachable by links, null if all ids in the component are null. Returns
-    (doc_id, n_shingles, component_id, n_copies, row): n_copies counts the
-    rows with an equal set, ``row`` is unique.
-
-    Equal sets are one class from the start. Classes that share a signature
-    form groups; each group's members are verified against its first. Only
-    groups that still span several components are looked at again: the small
-    ones pair by pair, across components; the members of large ones through
-    an index of their rarest shingles, of which linked sets share one. So a
-    group of near copies costs as many checks as it has members, and no
-    candidate is left out.
+    (doc_id, n_shingles, component_id, n_copies, component, row, k1, k2):
+    n_copies counts the rows with an equal set, ``component`` is unique to a
+    component (ids may repeat), ``row`` to a row, and k1 and k2 hash id and
+    text.
+
+    Equal sets are one class from the start. Rows that share a signature
+    form groups. Groups of up to ``HOT`` rows are compared pair by pair.
+    Larger ones, as passages in many texts make, are left out for every row
+    that has other signatures enough (T = -1 for these segments); the others,
+    as near copies have, are verified against the group's first member. Hot
+    groups that still span several components are looked at again, through
+    an index of their members' rarest shingles, of which linked sets share
+    one. So a group of near copies costs as many checks as it has members,
+    and no link between different sets is missed.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -275,8 +286,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     keep = fresh[text]
                     out = list(signatures(h[keep], text[keep], np.where(fresh, sizes, 0)))
                     if out:
-                        name, owner, deleted = (np.concatenate(x) for x in zip(*out))
-                        owner = owner.astype(np.uint16) | np.where(deleted, DELETED, 0).astype(np.uint16)
+                        name, owner, marks = (np.concatenate(x) for x in zip(*out))
+                        owner = (owner | marks).astype(np.uint16)
                         part = ((name >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
                         low = name.astype(np.uint32)
                         sent = [(p, low[at].tobytes(), owner[at].tobytes()) for p, at in split(part, parts)]
@@ -295,79 +306,109 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classed = scratch(with_totals(slim.filter("n > 0").select("row", "s1", "s2"), ["s1", "s2"], totals, ["row"]).select("row", "sid", "copies"), "jaccard-classes")
 
     def groups(key: tuple, table: pa.Table) -> pa.Table:
-        """(group, row): rows that share a signature; groups with the same rows come once."""
+        """(bucket, row, many, step, weight): rows that share a signature; groups with the same rows come once, with their weights summed."""
         found = unpack(table, 1, (np.uint32, np.uint16))
         name = np.concatenate([a for _, a, _ in found])
         owner = np.concatenate([b for _, _, b in found])
-        row = np.repeat([block for block, _, _ in found], [len(a) for _, a, _ in found]) + (owner & (DELETED - 1))
-        order = np.lexsort((row, name))
-        name, row, whole = name[order], row[order], (owner[order] & DELETED) == 0
-        new = np.concatenate([[True], (name[1:] != name[:-1]) | (row[1:] != row[:-1])])
-        at = np.flatnonzero(new)
-        whole = np.logical_or.reduceat(whole, at)  # a row may emit a signature both ways
-        name, row = name[at], row[at]
+        row = np.repeat([block for block, _, _ in found], [len(a) for _, a, _ in found]) + (owner & PLACE)
+        order = np.lexsort((owner & DELETED, row, name))
+        name, row, owner = name[order], row[order], owner[order]
+        at = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (row[1:] != row[:-1])]))  # a row may emit a signature both ways
+        name, row, owner = name[at], row[at], owner[at]
         first = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
         size = np.diff(np.append(first, len(name)))
-        good = (size > 1) & np.logical_or.reduceat(whole, first)
-        group = np.add.reduceat(mix(row.astype(np.uint64) * _A + np.uint64(7)), first)
-        _, once = np.unique(np.where(good, group, np.uint64(0)), return_index=True)
-        once = once[good[once]]
-        take = np.zeros(len(first), dtype=bool)
-        take[once] = True
-        member = np.repeat(take, size)
-        return pa.table({"bucket": np.repeat(group, size)[member].view(np.int64), "row": row[member]})
+        good = (size > 1) & np.logical_or.reduceat((owner & DELETED) == 0, first)  # two deletions alone prove nothing
+        bucket = np.add.reduceat(mix(row.astype(np.uint64) * _A + np.uint64(7)), first) + ((owner[first] & NEXT) > 0).astype(np.uint64)
+        member = np.repeat(good, size)
+        bucket, many, row, owner = np.repeat(bucket, size)[member], np.repeat(size, size)[member], row[member], owner[member]
+        order = np.lexsort((row, bucket))
+        bucket, many, row, owner = bucket[order], many[order], row[order], owner[order]
+        if not len(row):
+            return pa.Table.from_batches([], schema=pa.schema([("bucket", pa.int64()), ("row", pa.int64()), ("many", pa.int64()), ("step", pa.int64()), ("weight", pa.int64())]))
+        at = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (row[1:] != row[:-1])]))
+        weight = np.add.reduceat(1 + ((owner & NEAR) > 0).astype(np.int64), at)
+        step = ((owner[at] & NEXT) > 0).astype(np.int64)
+        return pa.table({"bucket": bucket[at].view(np.int64), "row": row[at], "many": many[at].astype(np.int64), "step": step, "weight": weight})
 
     packed = indexed.filter("part is not null").select("part", F.lit(1).alias("kind"), "block", "a", "b")
-    shared = packed.groupBy("part").applyInArrow(groups, "bucket long, row long").distinct()
-    members = shared.join(classed.select("row", "sid"), "row").select("bucket", "sid").distinct()
-    members = scratch(members, "jaccard-members")
-    sized = with_totals(members, ["bucket"], {"lead": (F.min("sid"), "min"), "many": (F.count(F.lit(1)), "sum")}, ["sid"])
-    sized = scratch(sized.filter("many > 1"), "jaccard-groups")
-    about = scratch(sized.select("sid").distinct().join(slim.select(F.col("row").alias("sid"), "n", "histogram", "k1", "k2"), "sid"), "jaccard-about")
+    shared = scratch(packed.groupBy("part").applyInArrow(groups, "bucket long, row long, many long, step long, weight long"), "jaccard-groups")
+
+    # Hot groups: a linked pair shares more than the spare weight, so a row whose hot groups weigh no more
+    # shares a smaller group with each of its partners and needs no hot one.
+    spare = F.array(*[F.lit(s.spare if (s := scheme(b)) else 0) for b in range(48)])
+    hot = shared.filter(F.col("many") > HOT)
+    heavy = hot.groupBy("row", "step").agg(F.sum("weight").alias("heat")).join(slim.select("row", "n"), "row")
+    heavy = heavy.withColumn("band", (F.length(F.bin("n")) - 1 + F.col("step")).cast("int"))
+    heavy = scratch(heavy.filter(F.col("heat") > F.element_at(spare, F.col("band") + 1)).select("row", "step"), "jaccard-heavy")
+    sids = classed.select("row", "sid")
+    small = shared.filter(F.col("many") <= HOT).select("bucket", "row").join(sids, "row").select("bucket", "sid").distinct()
+    large = hot.select("bucket", "row", "step").join(heavy, ["row", "step"]).join(sids, "row").select("bucket", "sid").distinct()
+    small = scratch(small, "jaccard-small")
+    large = with_totals(scratch(large, "jaccard-large"), ["bucket"], {"lead": (F.min("sid"), "min"), "n": (F.count(F.lit(1)), "sum")}, ["sid"], "n > 1")
+    large = scratch(large.drop("n"), "jaccard-hot")
+    x, y = small.select("bucket", F.col("sid").alias("a")), small.select("bucket", F.col("sid").alias("b"))
+    pairs = x.join(y, "bucket").filter("a < b").select("a", "b")  # HOT * (HOT - 1) / 2 for a group, at most
+    pairs = pairs.unionAll(large.filter("sid != lead").select(F.col("lead").alias("a"), F.col("sid").alias("b"))).distinct()
+    about = slim.select(F.col("row").alias("sid"), "n", "histogram", "k1", "k2")
 
     def described(pairs: DataFrame) -> DataFrame:
         for side in "ab":
             pairs = pairs.join(about.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("histogram").alias(f"h{side}")), side)
         return _possible(pairs).select("a", "b", "na", "nb")
 
-    stars = scratch(described(sized.filter("sid != lead").select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct()), "jaccard-stars")
+    pairs = scratch(described(pairs), "jaccard-pairs")
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
+        seen: set[int] = set()  # equal rows are neighbours: they meet in a task, but for one that AQE splits
         for batch in batches:
             for first, last, data, offsets in text_blocks(batch.column(1)):
                 h, text = shingle_sets(*words(data, offsets))
                 ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=last - first))])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.LargeListArray.from_arrays(ends, pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))],
-                    names=["sid", "elements"],
-                )
-
-    chosen = rows.select("k1", "k2", "text").join(about.select("sid", "k1", "k2"), ["k1", "k2"]).select("sid", "text")
-    sets = scratch(chosen.mapInArrow(elements, "sid long, elements array<long>").dropDuplicates(["sid"]), "jaccard-sets")
-    links = scratch(_linked(stars, sets), "jaccard-links")
+                sid = batch.column(0).slice(first, last - first)
+                lists = pa.LargeListArray.from_arrays(ends, pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))
+                once = [s not in seen and not seen.add(s) for s in sid.to_pylist()]
+                yield pa.RecordBatch.from_arrays([sid, lists], names=["sid", "elements"]).filter(pa.array(once, type=pa.bool_()))
+
+    asked = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select("b")).unionAll(large.select("sid")).distinct()
+    asked = scratch(asked.join(about.select("sid", "k1", "k2"), "sid"), "jaccard-asked")
+    chosen = rows.select("k1", "k2", "text").join(asked, ["k1", "k2"]).select("sid", "text")
+    sets = scratch(chosen.mapInArrow(elements, "sid long, elements array<long>"), "jaccard-sets")
+    links = scratch(_linked(pairs, sets).distinct(), "jaccard-links")
     labels = connected_components(links)
 
-    at = sized.filter("many > 2").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-    at = scratch(at.select("bucket", "sid", "many", F.coalesce("component", "sid").alias("component")), "jaccard-spans")
+    at = large.select("bucket", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+    at = scratch(at.select("bucket", "sid", F.coalesce("component", "sid").alias("component")), "jaccard-spans")
     ends = {"low": (F.min("component"), "min"), "high": (F.max("component"), "max")}
-    open_ = scratch(with_totals(at, ["bucket"], ends, ["sid"]).filter("low != high").select("bucket", "sid", "many", "component"), "jaccard-open")
+    open_ = scratch(with_totals(at, ["bucket"], ends, ["sid"], "low != high").select("sid", "component").distinct(), "jaccard-open")
     if not open_.isEmpty():
-        rare = open_.filter(F.col("many") > SMALL_GROUP).select("sid", "component").distinct()
-        each = scratch(rare.join(sets, "sid").select("sid", "component", F.explode("elements").alias("element")), "jaccard-elements")
+        each = scratch(open_.join(sets.dropDuplicates(["sid"]), "sid").select("sid", "component", F.explode("elements").alias("element")), "jaccard-elements")
         counted = with_totals(each, ["element"], {"df": (F.count(F.lit(1)), "sum")}, ["sid"])
         ordered = counted.groupBy("sid", "component").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("all"))  # one set
         prefix = F.size("all") - F.ceil(F.size("all") * F.lit(PERCENT) / F.lit(100)).cast("int") + 1
-        heads = ordered.select("sid", "component", F.explode(F.slice("all", 1, prefix)).alias("one"))
-        heads = heads.filter("one.df > 1").select(F.col("one.element").alias("bucket"), "sid", "component")
-        heads = scratch(heads.unionAll(open_.filter(F.col("many") <= SMALL_GROUP).select("bucket", "sid", "component")), "jaccard-heads")
-        x = heads.select("bucket", F.col("sid").alias("a"), F.col("component").alias("ca"))
-        y = heads.select("bucket", F.col("sid").alias("b"), F.col("component").alias("cb"))
-        pairs = x.join(y, "bucket").filter("a < b and ca != cb").select("a", "b").distinct()
-        links = links.unionAll(_linked(scratch(described(pairs), "jaccard-pairs"), sets))
+        heads = ordered.select("sid", "component", F.explode(F.slice("all", 1, prefix)).alias("one")).filter("one.df > 1")
+        heads = scratch(heads.select("one.element", "sid", "component"), "jaccard-heads")
+        x = heads.select("element", F.col("sid").alias("a"), F.col("component").alias("ca"))
+        y = heads.select("element", F.col("sid").alias("b"), F.col("component").alias("cb"))
+        more = x.join(y, "element").filter("a < b and ca != cb").select("a", "b").distinct()
+        links = links.unionAll(_linked(scratch(described(more), "jaccard-more"), sets))
         labels = connected_components(links)
 
-    placed = slim.select("id", "row", "n").join(classed, "row", "left").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-    placed = scratch(placed.select("id", "row", "n", "copies", F.coalesce("component", "sid", "row").alias("component")), "jaccard-placed")
+    placed = slim.select("id", "row", "n", "k1", "k2").join(classed, "row", "left").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+    placed = scratch(placed.select("id", "row", "n", "k1", "k2", "copies", F.coalesce("component", "sid", "row").alias("component")), "jaccard-placed")
     least = with_totals(placed, ["component"], {"component_id": (F.min("id"), "min")}, ["row"])
-    return least.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.coalesce("copies", F.lit(1)).alias("n_copies"), "row")
+    return least.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.coalesce("copies", F.lit(1)).alias("n_copies"),
+        "component", "row", "k1", "k2",
+    )
+
+
+def dedup_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of near duplicates, with all its columns: the one with the smallest id (null ids last)."""
+    names = docs.columns
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "k1", "k2"))
+    kept = near_duplicates(docs, id_col, text_col).groupBy("component").agg(first.alias("first")).select("first.k1", "first.k2")
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    i, t = (F.col(f"_c{names.index(c)}") for c in (id_col, text_col))
+    rows = plain.withColumns({"k1": F.xxhash64(i, t), "k2": F.xxhash64(t, i, F.lit(1))})
+    return rows.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).drop("k1", "k2").toDF(*names)

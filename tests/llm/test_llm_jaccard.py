@@ -72,7 +72,7 @@ def test_near_copies_around_the_threshold(documents):
 
 
 def test_passage_that_all_texts_share(documents, monkeypatch):
-    monkeypatch.setattr(jaccard, "SMALL_GROUP", 4)
+    monkeypatch.setattr(jaccard, "HOT", 3)
     same(documents, corpus(3, 40, 3, 5000, [6, 12, 24, 40, 60], [0, 0.03], passage=45))
 
 
@@ -97,7 +97,7 @@ def test_linked_sets_always_share_a_signature():
         h = np.concatenate([np.unique(x), np.unique(y)])
         sizes = np.array([len(np.unique(x)), len(np.unique(y))])
         found = list(signatures(h, np.repeat([0, 1], sizes), sizes))
-        name, owner, deleted = (np.concatenate(c) for c in zip(*found))
-        whole = [set(name[(owner == k) & ~deleted].tolist()) for k in (0, 1)]
+        name, owner, marks = (np.concatenate(c) for c in zip(*found))
+        whole = [set(name[(owner == k) & (marks & jaccard.DELETED == 0)].tolist()) for k in (0, 1)]
         every = [set(name[owner == k].tolist()) for k in (0, 1)]
         assert whole[0] & every[1] or whole[1] & every[0], (trial, sizes)
