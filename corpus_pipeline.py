@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelspark.llm.common import checkpoint_dir
 from panelspark.llm.exact_dedup import exact_dedup
+from panelspark.llm.jaccard import dedup_near
 from panelspark.llm.mixing import mix
 from panelspark.llm.packing import pack, tokenise
+from panelspark.llm.quality import keep_good
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality classifier does not reject."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +24,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component of near duplicates: five-word shingles, similarity 0.75 or more."""
+    return dedup_near(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at temperature weights: every row at least once, none more than twice."""
     return mix(docs, repetition_limit=2.0).select(*docs.columns)
@@ -24,12 +36,14 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 ids in as few sequences as possible, with their ids."""
-    return pack(tokenise(docs))
+    return pack(tokenise(docs, bytes_per_id=2))
 
 
 STAGES = [
+    ("quality classifier", good),
     ("exact dedup", exact),
-    ("temperature mixing", mixed),
+    ("n-gram Jaccard join", near),
+    ("mixing sources to target weights", mixed),
     ("best-fit packing", packed),
 ]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ END_ID = 2
 _AWKWARD = re.compile(r"\s |\s\Z|\A\s| \s")
 #: Words whose ids a worker remembers; the memory is emptied when full.
 REMEMBERED = 400_000
-PIECES = "doc_id long, piece int, start long, length long, ids binary, task int, rank long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long, task int, rank long"
 
 
 def _encoder(vocabulary: str):
@@ -69,13 +70,15 @@ def _encoder(vocabulary: str):
     return ids, width
 
 
-def tokenise(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bpe_50k.json", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece of every row's ids: (doc_id, piece, start, length, ids, task, rank).
+def tokenise(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bpe_50k.json", bytes_per_id: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece of every row's ids: (doc_id, piece, start, length, ids, ids_crc32, task, rank).
 
     A text's ids end with id 2; null counts as empty, so every row has a
     piece. Only rows of more than ``capacity`` ids are cut, into pieces of
     ``capacity``; the first may be shorter. ``ids`` holds little-endian
-    uint32. ``rank`` numbers the pieces of a length within a task.
+    unsigned integers of ``bytes_per_id`` (2 or 4; 0: none), ``ids_crc32``
+    the checksum of the same ids as uint32. ``rank`` numbers the pieces of a
+    length within a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,19 +90,22 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_
         for batch in batches:
             texts = batch.column(1)
             for lo in range(0, batch.num_rows, 512):
-                owner, piece, start, length, ids = [], [], [], [], []
+                owner, piece, start, length, ids, crc = [], [], [], [], [], []
                 for i in range(lo, min(lo + 512, batch.num_rows)):
                     raw = encode(texts[i].as_py() or "") + end
                     n = len(raw) // size
                     cut = n % capacity or capacity
-                    wide = np.frombuffer(raw, dtype=width).astype("<u4").tobytes()
+                    whole = np.frombuffer(raw, dtype=width)
+                    wide = whole.astype("<u4").tobytes()
+                    kept = whole.astype(f"<u{bytes_per_id}").tobytes() if bytes_per_id else b""
                     s, e, k = 0, cut, 0
                     while s < n:
                         owner.append(i)
                         piece.append(k)
                         start.append(s)
                         length.append(e - s)
-                        ids.append(wide[4 * s : 4 * e])
+                        ids.append(kept[bytes_per_id * s : bytes_per_id * e])
+                        crc.append(zlib.crc32(wide[4 * s : 4 * e]))
                         s, e, k = e, e + capacity, k + 1
                 size_of = np.asarray(length, dtype=np.int64)
                 order = np.argsort(size_of, kind="stable")
@@ -115,10 +121,11 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_
                         pa.array(start, type=pa.int64()),
                         pa.array(size_of),
                         pa.array(ids, type=pa.binary()),
+                        pa.array(crc, type=pa.int64()),
                         pa.array(np.full(len(ordered), task, dtype=np.int32)),
                         pa.array(rank),
                     ],
-                    names=["doc_id", "piece", "start", "length", "ids", "task", "rank"],
+                    names=["doc_id", "piece", "start", "length", "ids", "ids_crc32", "task", "rank"],
                 )
 
     return pick(docs, id=id_col, text=text_col).mapInArrow(run, PIECES)

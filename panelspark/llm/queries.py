@@ -52,10 +52,8 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = tokenise(_documents(spark, sf_dir))
-    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
-    )
+    pieces = tokenise(_documents(spark, sf_dir), bytes_per_id=0).drop("ids")
+    return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

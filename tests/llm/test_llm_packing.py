@@ -19,6 +19,9 @@ def reference_ids(text):
 
 def test_pieces_and_places(documents, messy):
     got = pack(tokenise(documents(messy))).collect()
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 for r in got)
+    short = tokenise(documents(messy), bytes_per_id=2).collect()
+    assert {(len(r.ids), r.length) for r in short} == {(2 * r.length, r.length) for r in short}
     want = Counter()
     for i, t in messy:
         ids = reference_ids(t)
