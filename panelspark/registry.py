@@ -104,6 +104,19 @@ def q_scan_raw_text(spark, sf_dir):
                                    F.count_if("valid_utf8").alias("valid_utf8")))
 
 
+@register("scan_raw_bytes", "SELECT lang, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes, true AS all_valid, count(*) AS line_ends "
+          "FROM (SELECT lang, replace(text, chr(10), ' ') AS text FROM documents) GROUP BY lang")
+def q_scan_raw_bytes(spark, sf_dir):
+    """Whole text files as bytes, with their text where they are valid UTF-8."""
+    root = f"{scratch(spark, 'raw_bytes')}/docs"
+    docs = read(spark, sf_dir, "documents").select("lang", F.translate("text", "\n", " ").alias("text"))
+    docs.write.partitionBy("lang").text(root)
+    found = RAW.scan_text(spark, root, whole=True)
+    return found.groupBy(F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang")).agg(
+        F.sum(F.octet_length("bytes")).alias("bytes"), F.every(F.col("valid_utf8")).alias("all_valid"),
+        F.sum(F.regexp_count("text", F.lit("\n"))).cast("long").alias("line_ends"))
+
+
 EVENTS_COLS = "event_id, ts, user_id, event_type, value, props"
 
 

@@ -41,9 +41,9 @@ def scan_text(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
               .select("path", F.col("content").alias("bytes")))
         return df.select("path", "bytes", F.try_validate_utf8(F.col("bytes").cast("string")).alias("text"),
                          F.is_valid_utf8(F.col("bytes").cast("string")).alias("valid_utf8"))
-    lines = spark.read.text(path).select(F.col("value").alias("text"),
-                                         F.col("_metadata.file_path").alias("path"))
-    return lines.withColumn("valid_utf8", F.is_valid_utf8("text"))
+    lines = spark.read.text(path)
+    return lines.select(F.try_validate_utf8("value").alias("text"), F.col("value").cast("binary").alias("bytes"),
+                        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("valid_utf8"))
 
 
 def scan_raw_json(spark: SparkSession, root: str, asset_id: str, schema: T.StructType | None = None,

@@ -12,6 +12,7 @@ from panelspark.session import workspace
 from panelspark.sinks.publish import check_metadata
 from panelspark.sinks.table import Table, upsert
 from panelspark.sources import files
+from panelspark.sources.raw import scan_text
 from panelspark.sources.wide_csv import read_wide_csv
 
 HEAD = "RegionID,SizeRank,RegionName,RegionType,StateName"
@@ -240,3 +241,11 @@ def test_workspace_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace(Session())
+
+
+def test_invalid_text_keeps_its_bytes(spark, tmp_path):
+    (tmp_path / "t.txt").write_bytes(b"good\n\xff\xfebad\n")
+    rows = scan_text(spark, str(tmp_path / "t.txt")).collect()
+    assert [(r.text, bytes(r.bytes), r.valid_utf8) for r in rows] == [("good", b"good", True), (None, b"\xff\xfebad", False)]
+    whole = scan_text(spark, str(tmp_path / "t.txt"), whole=True).first()
+    assert whole.text is None and bytes(whole.bytes) == b"good\n\xff\xfebad\n"
