@@ -16,6 +16,7 @@ from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,9 @@ SHARED = 0.25
 VERIFY = 4000
 #: A group of more rows than this is hot; a smaller one is compared pair by pair.
 HOT = 8
-HISTOGRAM = 64
+HISTOGRAM = 256
+#: Size of the table of id hashes that is broadcast to thin out the second read of the texts.
+SIEVE = 1 << 18
 #: Marks of a signature beside the row's place in its block: made by a deletion; of a segment with T = 1; of the next band's scheme.
 DELETED, NEAR, NEXT, PLACE = 0x8000, 0x4000, 0x2000, 0x1FFF
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -217,14 +220,6 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(F.lit(100) * F.col("common") >= F.lit(PERCENT) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def _possible(pairs: DataFrame) -> DataFrame:
-    """Drops pairs (na, nb, ha, hb) that cannot link: by size, then by the difference of their histograms."""
-    differ = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda s, x: s + x)
-    small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    kept = pairs.filter(small * 100 >= large * PERCENT)
-    return kept.filter(differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT))
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row with the size of its shingle set and its component of linked rows.
 
@@ -239,7 +234,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text.
 
     Equal sets are one class from the start. Rows that share a signature
-    form groups. Groups of up to ``HOT`` rows are compared pair by pair.
+    form groups; a pair links only if the weight of what it shares exceeds
+    the spare weight of its scheme. Groups of up to ``HOT`` rows are compared pair by pair.
     Larger ones, as passages in many texts make, are left out for every row
     that has other signatures enough (T = -1 for these segments); the others,
     as near copies have, are verified against the group's first member. Hot
@@ -254,7 +250,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = rows.schema["id"].dataType.simpleString()
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Kind 0: of each row its number, set hash, size, keys and histogram; kind 1: signatures by part."""
+        """Kind 0: of each row its number, set hash, size, keys and histogram; kind 1: signatures by part.
+
+        The histogram counts the elements by 8 bits of their hash, up to 127:
+        two sets differ by at least the sum of its differences.
+        """
         words = Words()
         row = TaskContext.get().partitionId() << 33
         seen: set[tuple[int, int]] = set()
@@ -268,16 +268,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     ends = np.cumsum(sizes)
                     total = lambda v: np.diff(np.concatenate([[np.uint64(0)], np.cumsum(v, dtype=np.uint64)])[np.concatenate([[0], ends])])
                     s1, s2 = total(mix(h + _A)).view(np.int64), total(mix(h ^ _A)).view(np.int64)
-                    bins = np.bincount(text * HISTOGRAM + (h >> np.uint64(58)).astype(np.int64), minlength=count * HISTOGRAM)
-                    bins = np.minimum(bins, 32767).astype(np.int16)
+                    bins = np.bincount(text * HISTOGRAM + (h >> np.uint64(56)).astype(np.int64), minlength=count * HISTOGRAM)
+                    bins = np.minimum(bins, 127).astype(np.int8)
                     histogram = pa.ListArray.from_arrays(np.arange(0, count * HISTOGRAM + 1, HISTOGRAM, dtype=np.int32), pa.array(bins))
                     part_of_piece = piece.slice(first, count)
                     columns = [
                         part_of_piece.column(0), pa.array(np.arange(row, row + count)), pa.array(s1), pa.array(s2), pa.array(sizes.astype(np.int64)),
                         part_of_piece.column(2), part_of_piece.column(3), histogram,
                     ]
-                    fill = [pa.nulls(count, type=t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary())]
-                    yield pa.RecordBatch.from_arrays([*columns, *fill], names=names)
+                    parted = pa.array((np.arange(row, row + count) % parts).astype(np.int32))
+                    fill = [pa.nulls(count, type=t) for t in (pa.int64(), pa.binary(), pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*columns, parted, pa.array(np.zeros(count, dtype=np.int32)), *fill], names=names)
                     fresh = np.zeros(count, dtype=bool)
                     for i, pair in enumerate(zip(s1.tolist(), s2.tolist())):
                         if sizes[i] and pair not in seen:
@@ -294,20 +295,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         n = len(sent)
                         blank = [pa.nulls(n, type=c.type) for c in columns]
                         p, a, b = zip(*sent)
-                        packed = [pa.array(p, type=pa.int32()), pa.array([row] * n, type=pa.int64()), pa.array(a, type=pa.binary()), pa.array(b, type=pa.binary())]
+                        packed = [pa.array(p, type=pa.int32()), pa.array([1] * n, type=pa.int32()), pa.array([row] * n, type=pa.int64())]
+                        packed += [pa.array(x, type=pa.binary()) for x in (a, b)]
                         yield pa.RecordBatch.from_arrays([*blank, *packed], names=names)
                     row += count
 
-    names = ["id", "row", "s1", "s2", "n", "k1", "k2", "histogram", "part", "block", "a", "b"]
-    schema = f"id {id_type}, row long, s1 long, s2 long, n long, k1 long, k2 long, histogram array<smallint>, part int, block long, a binary, b binary"
-    indexed = scratch(rows.select("id", "text", "k1", "k2").mapInArrow(index, schema), "jaccard-index")
-    slim = indexed.filter("part is null").drop("part", "block", "a", "b")
-    totals = {"sid": (F.min("row"), "min"), "copies": (F.count(F.lit(1)), "sum")}
-    classed = scratch(with_totals(slim.filter("n > 0").select("row", "s1", "s2"), ["s1", "s2"], totals, ["row"]).select("row", "sid", "copies"), "jaccard-classes")
+    own = ["id", "row", "s1", "s2", "n", "k1", "k2", "histogram"]
+    names = [*own, "part", "kind", "block", "a", "b"]
+    slim_schema = f"id {id_type}, row long, s1 long, s2 long, n long, k1 long, k2 long, histogram array<tinyint>"
+    indexed = rows.select("id", "text", "k1", "k2").mapInArrow(index, f"{slim_schema}, part int, kind int, block long, a binary, b binary")
 
     def groups(key: tuple, table: pa.Table) -> pa.Table:
-        """(bucket, row, many, step, weight): rows that share a signature; groups with the same rows come once, with their weights summed."""
+        """Kind 0 passes; of kind 1: (row, bucket, many, step, weight) of rows that share a signature.
+
+        Groups with the same rows come once, with their weights summed.
+        """
+        extra = {"bucket": pa.int64(), "many": pa.int64(), "step": pa.int64(), "weight": pa.int64()}
+        passed = table.filter(pa.compute.equal(table["kind"], 0)).select(own)
+        for c, t in extra.items():
+            passed = passed.append_column(c, pa.nulls(len(passed), type=t))
         found = unpack(table, 1, (np.uint32, np.uint16))
+        if not found:
+            return passed
         name = np.concatenate([a for _, a, _ in found])
         owner = np.concatenate([b for _, _, b in found])
         row = np.repeat([block for block, _, _ in found], [len(a) for _, a, _ in found]) + (owner & PLACE)
@@ -324,39 +333,66 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         order = np.lexsort((row, bucket))
         bucket, many, row, owner = bucket[order], many[order], row[order], owner[order]
         if not len(row):
-            return pa.Table.from_batches([], schema=pa.schema([("bucket", pa.int64()), ("row", pa.int64()), ("many", pa.int64()), ("step", pa.int64()), ("weight", pa.int64())]))
+            return passed
         at = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (row[1:] != row[:-1])]))
         weight = np.add.reduceat(1 + ((owner & NEAR) > 0).astype(np.int64), at)
         step = ((owner[at] & NEXT) > 0).astype(np.int64)
-        return pa.table({"bucket": bucket[at].view(np.int64), "row": row[at], "many": many[at].astype(np.int64), "step": step, "weight": weight})
+        made = {"row": row[at], "bucket": bucket[at].view(np.int64), "many": many[at].astype(np.int64), "step": step, "weight": weight}
+        columns = [pa.array(made[f.name]) if f.name in made else pa.nulls(len(at), type=f.type) for f in passed.schema]
+        return pa.concat_tables([passed, pa.table(columns, schema=passed.schema)])
 
-    packed = indexed.filter("part is not null").select("part", F.lit(1).alias("kind"), "block", "a", "b")
-    shared = scratch(packed.groupBy("part").applyInArrow(groups, "bucket long, row long, many long, step long, weight long"), "jaccard-groups")
+    grouped = indexed.groupBy("part").applyInArrow(groups, f"{slim_schema}, bucket long, many long, step long, weight long")
+    grouped = scratch(grouped, "jaccard-groups")
+    slim = grouped.filter("bucket is null").select(*own)
+    totals = {"sid": (F.min("row"), "min"), "copies": (F.count(F.lit(1)), "sum")}
+    classed = scratch(with_totals(slim.filter("n > 0").select("row", "s1", "s2"), ["s1", "s2"], totals, ["row"]).select("row", "sid", "copies"), "jaccard-classes")
 
-    # Hot groups: a linked pair shares more than the spare weight, so a row whose hot groups weigh no more
-    # shares a smaller group with each of its partners and needs no hot one.
+    # A linked pair shares signatures of more than its scheme's spare weight. So a row whose groups weigh no more
+    # links with no other set; and a row whose hot groups weigh no more shares a smaller group with each of its
+    # partners and needs no hot one.
+    shared = grouped.filter("bucket is not null").select("row", "bucket", "many", "step", "weight")
     spare = F.array(*[F.lit(s.spare if (s := scheme(b)) else 0) for b in range(48)])
-    hot = shared.filter(F.col("many") > HOT)
-    heavy = hot.groupBy("row", "step").agg(F.sum("weight").alias("heat")).join(slim.select("row", "n"), "row")
-    heavy = heavy.withColumn("band", (F.length(F.bin("n")) - 1 + F.col("step")).cast("int"))
-    heavy = scratch(heavy.filter(F.col("heat") > F.element_at(spare, F.col("band") + 1)).select("row", "step"), "jaccard-heavy")
-    sids = classed.select("row", "sid")
-    small = shared.filter(F.col("many") <= HOT).select("bucket", "row").join(sids, "row").select("bucket", "sid").distinct()
-    large = hot.select("bucket", "row", "step").join(heavy, ["row", "step"]).join(sids, "row").select("bucket", "sid").distinct()
+    weights = shared.groupBy("row", "step").agg(
+        F.sum("weight").alias("total"), F.sum(F.when(F.col("many") > HOT, F.col("weight")).otherwise(0)).alias("heat")
+    )
+    weights = weights.join(slim.select("row", "n"), "row").join(classed.select("row", "sid"), "row")
+    limit = F.element_at(spare, (F.length(F.bin("n")) + F.col("step")).cast("int"))
+    strong = weights.filter(F.col("total") > limit).select("row", "step", "sid", "heat", (F.col("heat") > limit).alias("heavy"))
+    strong = scratch(strong, "jaccard-strong")
+    kept = shared.join(strong, ["row", "step"])
+    small = kept.filter(F.col("many") <= HOT).groupBy("bucket", "sid").agg(F.sum("weight").alias("weight"))
     small = scratch(small, "jaccard-small")
-    large = with_totals(scratch(large, "jaccard-large"), ["bucket"], {"lead": (F.min("sid"), "min"), "n": (F.count(F.lit(1)), "sum")}, ["sid"], "n > 1")
+    large = scratch(kept.filter((F.col("many") > HOT) & F.col("heavy")).select("bucket", "sid").distinct(), "jaccard-large")
+    large = with_totals(large, ["bucket"], {"lead": (F.min("sid"), "min"), "n": (F.count(F.lit(1)), "sum")}, ["sid"], "n > 1")
     large = scratch(large.drop("n"), "jaccard-hot")
-    x, y = small.select("bucket", F.col("sid").alias("a")), small.select("bucket", F.col("sid").alias("b"))
-    pairs = x.join(y, "bucket").filter("a < b").select("a", "b")  # HOT * (HOT - 1) / 2 for a group, at most
-    pairs = pairs.unionAll(large.filter("sid != lead").select(F.col("lead").alias("a"), F.col("sid").alias("b"))).distinct()
+
+    x = small.select("bucket", F.col("sid").alias("a"), F.col("weight").alias("wa"))
+    y = small.select("bucket", F.col("sid").alias("b"), F.col("weight").alias("wb"))
+    pairs = x.join(y, "bucket").filter("a < b")  # HOT * (HOT - 1) / 2 for a group, at most
+    pairs = pairs.groupBy("a", "b").agg(F.sum(F.greatest("wa", "wb")).alias("weight"))
+    stars = large.filter("sid != lead").select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct()
+    heat = strong.groupBy("sid").agg(F.max("heat").alias("heat"))
     about = slim.select(F.col("row").alias("sid"), "n", "histogram", "k1", "k2")
+    sizes = about.select("sid", "n").join(heat, "sid")
+
+    def sized(pairs: DataFrame) -> DataFrame:
+        """``pairs`` with the sizes and heats of both, where the sizes allow a link."""
+        for side in "ab":
+            pairs = pairs.join(sizes.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("heat").alias(f"heat{side}")), side)
+        return pairs.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
 
-    def described(pairs: DataFrame) -> DataFrame:
+    def possible(pairs: DataFrame) -> DataFrame:
+        """``pairs`` whose histograms allow a link."""
+        pairs = pairs.select("a", "b", "na", "nb")
         for side in "ab":
-            pairs = pairs.join(about.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("histogram").alias(f"h{side}")), side)
-        return _possible(pairs).select("a", "b", "na", "nb")
+            pairs = pairs.join(about.select(F.col("sid").alias(side), F.col("histogram").alias(f"h{side}")), side)
+        differ = F.aggregate(F.zip_with("ha", "hb", lambda u, v: F.abs(u - v).cast("int")), F.lit(0), lambda t, u: t + u)
+        return pairs.filter(differ * (100 + PERCENT) <= (F.col("na") + F.col("nb")) * (100 - PERCENT)).select("a", "b", "na", "nb")
 
-    pairs = scratch(described(pairs), "jaccard-pairs")
+    band = F.length(F.bin(F.greatest("na", "nb")))
+    enough = F.col("weight") + F.least("heata", "heatb") > F.element_at(spare, band.cast("int"))
+    pairs = sized(pairs).filter(enough).drop("weight").unionAll(sized(stars)).distinct()
+    pairs = scratch(possible(pairs), "jaccard-pairs")
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -372,7 +408,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     asked = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select("b")).unionAll(large.select("sid")).distinct()
     asked = scratch(asked.join(about.select("sid", "k1", "k2"), "sid"), "jaccard-asked")
-    chosen = rows.select("k1", "k2", "text").join(asked, ["k1", "k2"]).select("sid", "text")
+    sieve = asked.select(F.pmod("k1", F.lit(SIEVE)).alias("sieve")).distinct()  # SIEVE rows at most
+    thin = rows.select("k1", "k2", "text", F.pmod("k1", F.lit(SIEVE)).alias("sieve")).join(F.broadcast(sieve), "sieve", "left_semi")
+    chosen = thin.join(asked, ["k1", "k2"]).select("sid", "text")
     sets = scratch(chosen.mapInArrow(elements, "sid long, elements array<long>"), "jaccard-sets")
     links = scratch(_linked(pairs, sets).distinct(), "jaccard-links")
     labels = connected_components(links)
@@ -391,7 +429,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         x = heads.select("element", F.col("sid").alias("a"), F.col("component").alias("ca"))
         y = heads.select("element", F.col("sid").alias("b"), F.col("component").alias("cb"))
         more = x.join(y, "element").filter("a < b and ca != cb").select("a", "b").distinct()
-        links = links.unionAll(_linked(scratch(described(more), "jaccard-more"), sets))
+        links = links.unionAll(_linked(scratch(possible(sized(more)), "jaccard-more"), sets))
         labels = connected_components(links)
 
     placed = slim.select("id", "row", "n", "k1", "k2").join(classed, "row", "left").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
