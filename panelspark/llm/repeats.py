@@ -19,8 +19,10 @@ SEED = 40
 SYMBOL = 16
 #: Window starts looked at together; seeds are chosen by (hash, position) with 20 bits for the position.
 SEGMENT = 1 << 19
-#: Different contents around one seed that go to one suffix array; seeds with more are compared window by window.
+#: Different contents around one seed that go to one suffix array; the windows of seeds with more are regrouped.
 CONTENTS = 512
+#: Distances from window to seed that share a group, at each regrouping; at 1 a group's windows are all equal.
+RANGES = (40, 10, 3, 1)
 #: Symbols sorted together, unless one seed needs more.
 SORTED = 1 << 16
 
@@ -175,8 +177,11 @@ def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
     with the same content occur again as a whole; they are counted, not
     compared. Different contents around one seed are compared by suffix
     array, all contents of a seed in one task. A seed with more than
-    ``CONTENTS`` different contents would make a hot task: there each window
-    counts by its 128-bit hash, spread over all tasks.
+    ``CONTENTS`` different contents would make a hot task. Its windows are
+    regrouped: those whose distance to the seed is in the same short range
+    all hold the same core of bytes, so equal windows have equal cores, and
+    each core is a seed of its own with far fewer contents; ranges shrink
+    until no group is too large.
     """
     rows = pick(docs, id=id_col, text=text_col).select("id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.withColumns({"k1": F.xxhash64("id", "text"), "k2": F.xxhash64("text", "id", F.lit(1))})
@@ -242,18 +247,34 @@ def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
         if held:
             yield solve(held)
 
-    few = spelled.filter(F.col("n") <= CONTENTS).select("seed", "content", "copies", "place", "bytes")
-    few = few.repartition("seed").sortWithinPartitions("seed").mapInArrow(compare, runs)
-    one = F.expr(f"substring(bytes, i + 1, {window})")
-    windows = (
-        spelled.filter(F.col("n") > CONTENTS)
-        .dropDuplicates(["seed", "content"])
-        .withColumn("i", F.explode(F.expr(f"sequence(0, octet_length(bytes) - {window})")))
-        .select("seed", "content", "copies", "i", F.xxhash64(one).alias("w1"), F.xxhash64(one, F.lit(1)).alias("w2"))
-    )
-    many = with_totals(scratch(windows, "repeat-windows"), ["w1", "w2"], {"total": (F.sum("copies"), "sum")}, ["seed", "content", "i"], "total > 1")
-    many = many.select("seed", "content", F.col("i").alias("first"), F.col("i").alias("last"))
-    hits = scratch(few.unionAll(many), "repeat-runs")
+    def matches(level: DataFrame, ranges: tuple[int, ...]) -> DataFrame:
+        """Runs of repeated windows of contents (seed, content, copies, n, place, bytes); n contents share the seed."""
+        few = level.filter((F.col("n") <= CONTENTS) & ((F.col("n") > 1) | (F.col("copies") > 1)))
+        few = few.select("seed", "content", "copies", "place", "bytes").repartition("seed").sortWithinPartitions("seed")
+        found = scratch(few.mapInArrow(compare, runs), "repeat-runs")
+        hot = level.filter(F.col("n") > CONTENTS)
+        if not ranges or hot.isEmpty():
+            return found
+        z, w = ranges[0], window
+        parts = hot.dropDuplicates(["seed", "content"]).withColumn("last", F.octet_length("bytes") - w)
+        parts = parts.withColumn("r", F.explode(F.expr(f"sequence(cast(greatest(place - last, 0) div {z} as int), cast(place div {z} as int))")))
+        parts = parts.withColumns({"base": F.expr(f"greatest(0, place - (r + 1) * {z} + 1)"), "end": F.expr(f"least(last, place - r * {z}) + {w}")})
+        parts = parts.selectExpr(
+            "seed", "content", "base", "copies", "place - base AS place", "substring(bytes, base + 1, end - base) AS bytes",
+            f"xxhash64(seed, r, substring(bytes, place - r * {z} + 1, {w - z + 1})) AS seed2",
+        )
+        parts = scratch(parts.withColumn("content2", F.xxhash64("place", "bytes")), "repeat-parts")
+        deeper = parts.groupBy(F.col("seed2").alias("seed"), F.col("content2").alias("content")).agg(
+            F.sum("copies").alias("copies"), F.first("place").alias("place"), F.first("bytes").alias("bytes")
+        )
+        deeper = with_totals(scratch(deeper, "repeat-deeper"), ["seed"], {"n": (F.count(F.lit(1)), "sum")}, ["content"])
+        deeper = matches(scratch(deeper, "repeat-level"), ranges[1:])
+        up = parts.select("seed", "content", "base", "seed2", "content2").join(
+            deeper.select(F.col("seed").alias("seed2"), F.col("content").alias("content2"), "first", "last"), ["seed2", "content2"]
+        )
+        return found.unionAll(up.select("seed", "content", F.expr("cast(first + base as int)"), F.expr("cast(last + base as int)")))
+
+    hits = scratch(matches(spelled, RANGES), "repeat-hits")
 
     same = around.filter("n = 1").select("seed")  # one content, so every stretch with this seed occurs again
     whole = again.join(scratch(same, "repeat-same"), "seed").select("k1", "k2", start.alias("s"), (start + length).alias("e"))

@@ -66,7 +66,7 @@ def test_messy_rows(documents, messy):
 
 @pytest.mark.parametrize("contents", [512, 1])
 def test_passages(documents, monkeypatch, contents):
-    """Also with every seed that has two contents counted window by window."""
+    """Also with the windows of every seed that has two contents regrouped, down to single ones."""
     monkeypatch.setattr(repeats, "CONTENTS", contents)
     same(documents, passages(contents, 60))
 
