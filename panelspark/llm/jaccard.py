@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 from math import ceil, exp
 
 import numpy as np
@@ -63,8 +62,7 @@ class Scheme:
         return (self.equal + 2 * self.near - self.need) // 2
 
 
-@cache
-def scheme(band: int) -> Scheme | None:
+def _allocate(band: int) -> Scheme | None:
     """The cheapest allocation for a band; none if only equal sets can link there.
 
     The cost is the number of signatures of a set of the band's largest
@@ -93,6 +91,9 @@ def scheme(band: int) -> Scheme | None:
     return chosen
 
 
+SCHEMES = tuple(_allocate(band) for band in range(48))
+
+
 def shingle_sets(words: np.ndarray, upto: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingle hashes by text, text of each) from word hashes; a text of 1 to n - 1 words is one shingle."""
     counts = np.diff(upto)
@@ -138,7 +139,7 @@ def signatures(h: np.ndarray, text: np.ndarray, sizes: np.ndarray) -> Iterator[t
     top_band = np.frexp(sizes.astype(float))[1] - 1  # floor(log2), exact below 2**53
     for step in (0, 1):
         for band in np.unique(top_band[sizes > 0]).tolist():
-            s = scheme(band + step)
+            s = SCHEMES[band + step]
             if s is None:
                 continue
             low, top = 2 ** (band + step), 2 ** (band + step + 1) - 1
@@ -351,7 +352,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # links with no other set; and a row whose hot groups weigh no more shares a smaller group with each of its
     # partners and needs no hot one.
     shared = grouped.filter("bucket is not null").select("row", "bucket", "many", "step", "weight")
-    spare = F.array(*[F.lit(s.spare if (s := scheme(b)) else 0) for b in range(48)])
+    spare = F.array(*[F.lit(s.spare if s else 0) for s in SCHEMES])
     weights = shared.groupBy("row", "step").agg(
         F.sum("weight").alias("total"), F.sum(F.when(F.col("many") > HOT, F.col("weight")).otherwise(0)).alias("heat")
     )
