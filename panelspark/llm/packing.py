@@ -154,32 +154,39 @@ def best_knapsack(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[
     return dict(config)
 
 
-def configuration_lp(histogram: dict[int, int], capacity: int, iterations: int, eta: float = 0.3) -> list[tuple[dict[int, int], float]]:
+#: Exponents of the first prices (size ** exponent): at 1 all full configurations are worth the same, above 1 those of
+#: large pieces are worth more. Which one leaves the better remainder depends on the histogram.
+STARTS = (1.0, 1.02)
+
+
+def configuration_lp(histogram: dict[int, int], capacity: int, iterations: int, start: float = 1.0, eta: float = 0.05) -> list[tuple[dict[int, int], float]]:
     """A fractional cover of the histogram: (configuration, how often).
 
-    Multiplicative weights: each step takes the configuration that is worth
-    most at the present prices, as often as its scarcest size allows, and
-    lowers the price of every size by the share of its demand just met. The
-    result is scaled so that the mean demand is met once.
+    Multiplicative weights: each step takes the configuration of the sizes
+    still in demand that is worth most at the present prices, as often as
+    the scarcest of its sizes allows. The price of a size falls
+    exponentially as more of its demand is met than on average, and rises
+    as less is. No size is covered beyond its demand; what is not covered
+    after ``iterations`` steps has about the mix of the whole.
     """
     sizes = np.array(sorted(histogram), dtype=np.int64)
     demand = np.array([histogram[s] for s in sizes], dtype=float)
-    prices = sizes / capacity
-    met = np.zeros(len(sizes))
+    left = demand.copy()
     taken: dict[tuple, float] = defaultdict(float)
     at = {int(s): i for i, s in enumerate(sizes)}
     for _ in range(iterations):
-        config = best_knapsack(prices, sizes, capacity)
+        live = left > 1e-9
+        if not live.any():
+            break
+        ahead = (1 - left / demand) - (1 - (left * sizes).sum() / (demand * sizes).sum())
+        prices = (sizes / capacity) ** start * np.exp(-eta * ahead)
+        config = best_knapsack(prices[live], sizes[live], capacity)
         idx = np.array([at[s] for s in config])
         many = np.array([config[s] for s in config], dtype=float)
-        times = float((demand[idx] / many).min())
+        times = float((left[idx] / many).min())
         taken[tuple(sorted(config.items()))] += times
-        share = times * many / demand[idx]
-        met[idx] += share
-        prices[idx] *= np.exp(-eta * share)
-        prices /= prices.max()
-    scale = 1.0 / max(float((met * sizes * demand).sum() / (sizes * demand).sum()), 1e-12)
-    return [(dict(c), x * scale) for c, x in taken.items()]
+        left[idx] -= times * many
+    return [(dict(c), x) for c, x in taken.items()]
 
 
 def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -216,29 +223,35 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
     return out
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, iterations: int = 300) -> list[tuple[dict[int, int], int]]:
+def _rounded(histogram: dict[int, int], capacity: int, cover: list[tuple[dict[int, int], float]]) -> list[tuple[dict[int, int], int]]:
+    """The cover rounded down, fullest configurations first, never beyond what is left; best fit packs the remainder."""
+    left, plan = dict(histogram), []
+    for config, x in sorted(cover, key=lambda c: (-sum(s * k for s, k in c[0].items()), -c[1])):
+        n = min(int(x + 1e-9), *(left[s] // k for s, k in config.items()))
+        if n > 0:
+            plan.append((config, n))
+            for s, k in config.items():
+                left[s] -= n * k
+    return plan + _best_fit({s: n for s, n in left.items() if n}, capacity)
+
+
+def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, iterations: int = 500) -> list[tuple[dict[int, int], int]]:
     """Whole sequences that hold the histogram exactly: (configuration, how many).
 
-    Pieces of full length stand alone. The fractional cover is rounded down,
-    fullest configurations first and never beyond what is left; best fit
-    packs the remainder. The histogram has at most ``capacity`` entries, so
-    the cost does not depend on the number of rows.
+    Pieces of full length stand alone. The program is solved from each of
+    the ``STARTS``; the rounded solution with the fewest sequences is taken.
+    The histogram has at most ``capacity`` entries, so the cost does not
+    depend on the number of rows.
     """
     left = dict(histogram)
     plan = [({capacity: 1}, left.pop(capacity))] if left.get(capacity) else []
     if left:
-        fullest = sorted(configuration_lp(left, capacity, iterations), key=lambda c: (-sum(s * k for s, k in c[0].items()), -c[1]))
-        for config, x in fullest:
-            n = min(int(x), *(left[s] // k for s, k in config.items()))
-            if n > 0:
-                plan.append((config, n))
-                for s, k in config.items():
-                    left[s] -= n * k
-        plan += _best_fit({s: n for s, n in left.items() if n}, capacity)
+        rounded = [_rounded(left, capacity, configuration_lp(left, capacity, iterations, start)) for start in STARTS]
+        plan += min(rounded, key=lambda p: sum(n for _, n in p))
     return plan
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = 300) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = 500) -> DataFrame:
     """``pieces`` (columns length, task, rank and any others) with sequence_id and offset.
 
     Lengths must be 1 to ``capacity``; rank numbers equal lengths within a

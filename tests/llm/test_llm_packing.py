@@ -74,6 +74,11 @@ def test_plan_is_near_the_lower_bound():
     assert sum(n for _, n in plan) <= bound * 1.01 + 2
 
 
+def test_pieces_that_pair_up_only_one_way():
+    plan = plan_sequences({s: 40 for s in range(1, 100)}, 100)
+    assert sum(n for _, n in plan) <= 40 * 99 / 2 * 1.01
+
+
 def test_equal_lengths_that_first_fit_wastes():
     # 7 + 7 + 6 fill 20 exactly
     plan = plan_sequences({7: 200, 6: 100}, 20, iterations=100)
