@@ -35,6 +35,8 @@ VERIFY = 4000
 #: A group of more rows than this is hot; a smaller one is compared pair by pair.
 HOT = 8
 HISTOGRAM = 256
+#: Times that the components of a hot group are compared through one member each, before all of them are.
+TURNS = 3
 #: Size of the table of id hashes that is broadcast to thin out the second read of the texts.
 SIEVE = 1 << 18
 #: Marks of a signature beside the row's place in its block: made by a deletion; of a segment with T = 1; of the next band's scheme.
@@ -239,10 +241,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the spare weight of its scheme. Groups of up to ``HOT`` rows are compared pair by pair.
     Larger ones, as passages in many texts make, are left out for every row
     that has other signatures enough (T = -1 for these segments); the others,
-    as near copies have, are verified against the group's first member. Hot
-    groups that still span several components are looked at again, through
-    an index of their members' rarest shingles, of which linked sets share
-    one. So a group of near copies costs as many checks as it has members,
+    as near copies have, are verified against the group's first member, then
+    a few times with one member for each component. Hot groups that still
+    span several components are looked at again, through an index of their
+    members' rarest shingles, of which linked sets share one. So a group of near copies costs as many checks as it has members,
     and no link between different sets is missed.
     """
     spark = docs.sparkSession
@@ -416,8 +418,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = scratch(_linked(pairs, sets).distinct(), "jaccard-links")
     labels = connected_components(links)
 
-    at = large.select("bucket", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-    at = scratch(at.select("bucket", "sid", F.coalesce("component", "sid").alias("component")), "jaccard-spans")
+    def spans(labels: DataFrame) -> DataFrame:
+        at = large.select("bucket", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+        return scratch(at.select("bucket", "sid", F.coalesce("component", "sid").alias("component")), "jaccard-spans")
+
+    at = spans(labels)
+    for turn in range(TURNS):  # a member of the largest component against one of each other component
+        one = at.groupBy("bucket", "component").agg(F.min_by("sid", F.xxhash64("sid", F.lit(turn))).alias("one"), F.count(F.lit(1)).alias("size"))
+        most = {"most": (F.max(F.struct("size", "component", "one")), "max"), "components": (F.count(F.lit(1)), "sum")}
+        one = with_totals(scratch(one, "jaccard-ones"), ["bucket"], most, ["one"], "components > 1").filter("component != most.component")
+        turned = one.select(F.least("one", "most.one").alias("a"), F.greatest("one", "most.one").alias("b")).distinct()
+        new = scratch(_linked(scratch(possible(sized(turned)), "jaccard-turned"), sets).distinct(), "jaccard-links")
+        if new.isEmpty():
+            break
+        links = scratch(links.unionAll(new), "jaccard-links")
+        labels = connected_components(links)
+        at = spans(labels)
     ends = {"low": (F.min("component"), "min"), "high": (F.max("component"), "max")}
     open_ = scratch(with_totals(at, ["bucket"], ends, ["sid"], "low != high").select("sid", "component").distinct(), "jaccard-open")
     if not open_.isEmpty():
