@@ -1,33 +1,62 @@
 """Katz backoff language model over words: Good-Turing discounts, exactly normalised backoff weights.
 
 Counts and occurrences travel as packed rows (see packed.py), partitioned by
-word or bigram.
+word or bigram. The most frequent words have 16-bit symbols that every task
+knows; any other word is its 64-bit hash. A bigram with such a word is kept
+where the word's own count or, as a context, its backoff weight is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from math import log10
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytes_ import Words, text_blocks
+from .bytes_ import Words, mix, text_blocks
 from .common import pick, scratch
 from .packed import PACKED, packed_rows, part_of, split, unpack
 
-UNKNOWN, END, BEGIN, FIRST_WORD = 0, 1, 2, 3
-#: Words with a symbol of their own: as many as fit 16 bits. The others form one class.
-VOCABULARY = (1 << 16) - FIRST_WORD
+UNKNOWN, END, BEGIN, COLD, FIRST_WORD = 0, 1, 2, 3, 4
+#: Words that the model tells apart: all.
+VOCABULARY = None
+#: Most frequent words that every task gets, as many as fit 16 bits. The others are COLD: known by their hashes only.
+HOT_WORDS = (1 << 16) - FIRST_WORD
+#: Symbols below this are hot; others are hashes.
+HASHES = 1 << 16
 #: Most frequent bigrams that every task gets, so that no key is hot in the shuffle.
 HOT_BIGRAMS = 1 << 16
 #: Good-Turing discounts apply to counts up to this.
 DISCOUNTED = 5
 #: Distinct entries that a task gathers before it sends them on.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
+
+
+def _planes(*arrays: np.ndarray) -> bytes:
+    """Arrays of 64-bit entries as bytes, first bytes first, second bytes next: small entries then compress to what they hold."""
+    return b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes() for x in arrays)
+
+
+def _arrays(raw: bytes | np.ndarray, n: int, dtype: type) -> np.ndarray:
+    """The n arrays of equal length in such bytes."""
+    return np.frombuffer(raw, np.uint8).reshape(n, 8, -1).transpose(0, 2, 1).copy().reshape(n, -1).view(dtype)
+
+
+@contextmanager
+def _single_rows(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside hand Python one packed row at a time, each of which is large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 class _Tally:
@@ -57,11 +86,71 @@ class _Tally:
         if self.held and self.size:
             keys, counts = self.held[0]
             yield packed_rows(
-                [(p, self.kind, 0, keys[at].tobytes(), counts[at].astype(np.int64).tobytes()) for p, at in split(part_of(keys, self.parts), self.parts)]
+                [(p, self.kind, 0, _planes(keys[at]), _planes(counts[at].astype(np.int64))) for p, at in split(part_of(keys, self.parts), self.parts)]
             )
         self.held, self.size = [], 0
 
 
+class _PairTally:
+    """Counts of bigrams with a cold word, sent on to the partition of the word (kind 7) and of the context (kind 8) that is cold."""
+
+    def __init__(self, parts: int):
+        self.parts, self.held, self.size = parts, [], 0
+
+    def add(self, context: np.ndarray, word: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(_sum_pairs(context, word, np.ones(len(word), np.int64)))
+        self.size += len(self.held[-1][0])
+        if self.size >= GATHERED // 2:
+            before = self.size
+            self._merge()
+            if self.size > before // 2:
+                yield from self.flush()
+
+    def _merge(self) -> None:
+        if self.held:
+            self.held = [_sum_pairs(*(np.concatenate(x) for x in zip(*self.held)))]
+            self.size = len(self.held[0][0])
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        self._merge()
+        if self.held and self.size:
+            context, word, counts = self.held[0]
+            yield packed_rows(
+                [(p, kind, 0, _planes(context[at], word[at]), _planes(counts[at])) for kind, p, at in _sides(context, word, self.parts)]
+            )
+        self.held, self.size = [], 0
+
+
+def _sides(context: np.ndarray, word: np.ndarray, parts: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(kind, partition, positions): bigrams whose word is cold by word (7), whose context is cold by context (8); with both, twice."""
+    for kind, symbol in ((7, word), (8, context)):
+        cold = np.flatnonzero(symbol >= HASHES)
+        for p, at in split(part_of(symbol[cold], parts), parts):
+            yield kind, p, cold[at]
+
+
+def _pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
+def _sum_pairs(context: np.ndarray, word: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct bigrams, by ascending key, and their counts."""
+    if not len(word):
+        return context, word, counts
+    keys = _pair_keys(context, word)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return context[order][first], word[order][first], np.add.reduceat(counts[order], first)
+
+
+def _merged_pairs(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    found = [(*_arrays(a, 2, np.uint64), _arrays(b, 1, np.int64)[0]) for _, a, b in unpack(table, kind, (np.uint8, np.uint8))]
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return _sum_pairs(*(np.concatenate(x) for x in zip(*found)))
+
+
 def _sum_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(keys):
         return keys, counts
@@ -72,10 +161,10 @@ def _sum_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _merged(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    found = unpack(table, kind, (np.uint64, np.int64))
+    found = [(_arrays(a, 1, np.uint64)[0], _arrays(b, 1, np.int64)[0]) for _, a, b in unpack(table, kind, (np.uint8, np.uint8))]
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return _sum_by_key(np.concatenate([a for _, a, _ in found]), np.concatenate([b for _, _, b in found]))
+    return _sum_by_key(*(np.concatenate(x) for x in zip(*found)))
 
 
 def _count_table(packed: DataFrame, name: str) -> DataFrame:
@@ -84,7 +173,7 @@ def _count_table(packed: DataFrame, name: str) -> DataFrame:
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         kind = table["kind"][0].as_py()
         keys, counts = _merged(table, kind)
-        return pa.Table.from_batches([packed_rows([(key[0].as_py(), kind, 0, keys.tobytes(), counts.tobytes())])])
+        return pa.Table.from_batches([packed_rows([(key[0].as_py(), kind, 0, _planes(keys), _planes(counts))])])
 
     return scratch(packed.groupBy("part").applyInArrow(merge, PACKED), name)
 
@@ -95,12 +184,13 @@ def _most_frequent(table: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in zip(batch.column(0), batch.column(1)):
-                keys, counts = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.int64)
+                keys, counts = _arrays(a.as_py(), 1, np.uint64)[0], _arrays(b.as_py(), 1, np.int64)[0]
                 at = np.argsort(-counts, kind="stable")[:n]  # keys ascend
                 yield pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(counts[at])], names=["key", "n"])
 
     rows = table.select("a", "b").mapInArrow(local, "key long, n long")
-    best = rows.orderBy(F.col("n").desc(), F.col("key")).limit(n).toArrow()
+    with _single_rows(table.sparkSession):
+        best = rows.orderBy(F.col("n").desc(), F.col("key")).limit(n).toArrow()
     keys = np.asarray(best["key"].to_numpy()).view(np.uint64)
     order = np.argsort(keys)
     return keys[order], np.asarray(best["n"].to_numpy())[order]
@@ -135,51 +225,64 @@ def _discounted(counts: np.ndarray, ratios: np.ndarray) -> np.ndarray:
 
 
 class Katz:
-    """What every task needs: the vocabulary, its unigrams, contexts, and the most frequent bigrams."""
+    """What every task needs: the hot words, their unigrams and contexts."""
 
-    def __init__(self, words: np.ndarray, word_counts: np.ndarray, end_count: int, total: int, distinct: int):
-        self.words = words  # hashes, ascending; the symbol of words[i] is FIRST_WORD + i
-        self.total, self.distinct = total, distinct
+    def __init__(self, words: np.ndarray, word_counts: np.ndarray, end_count: int, total: int, distinct: int, vocabulary: int | None):
+        order = np.lexsort((words.view(np.int64), -word_counts))
+        hot = np.sort(order[:HOT_WORDS])
+        #: with a vocabulary, hashes of all its words, ascending; else all words belong
+        self.allowed = None if vocabulary is None else words
         self.norm = float(total + distinct + 1)
-        plus = np.zeros(FIRST_WORD + len(words))
-        plus[FIRST_WORD:] = word_counts + 1.0
+        # add-one mass of all words outside the vocabulary, the unseen one included
+        closed = vocabulary is not None and end_count
+        self.unknown_mass = self.norm - float(word_counts.sum() + len(words)) - (end_count + 1.0) if closed else 1.0
+        # the symbols that can follow a context: the words, END and UNKNOWN
+        self.types = (max(distinct - 1, 0) if vocabulary is None else len(words)) + 2
+        self.words = words[hot]  # hashes, ascending; the symbol of words[i] is FIRST_WORD + i
+        plus = np.zeros(FIRST_WORD + len(self.words))
+        plus[FIRST_WORD:] = word_counts[hot] + 1.0
         plus[END] = end_count + 1.0
-        # add-one mass of all other words, the unseen one included
-        self.unknown_mass = self.norm - plus.sum() if end_count else 1.0
         plus[UNKNOWN] = self.unknown_mass
         self.plus = plus
-        self.unigram = plus / self.norm
+        with np.errstate(divide="ignore"):
+            self.unigram_log = np.log10(plus / self.norm)
 
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
-        return _lookup(self.words, np.arange(FIRST_WORD, FIRST_WORD + len(self.words)), hashes, UNKNOWN)
-
-    def contexts(self, rows: list, ratios: np.ndarray) -> None:
-        """rows: (context, count, discounted count, unigram mass and number of the symbols seen after it).
-
-        A context leaves what its discounts took, and at least one part in
-        count + 1, to unseen words; dividing by their unigram mass makes its
-        probabilities sum to 1.
+        symbol = _lookup(self.words, np.arange(FIRST_WORD, FIRST_WORD + len(self.words)), hashes, COLD)
+        if self.allowed is not None:
+            symbol[(symbol == COLD) & ~_lookup(self.allowed, np.ones(len(self.allowed), bool), hashes, False)] = UNKNOWN
+        return symbol
+
+    def weights(self, count: np.ndarray, kept: np.ndarray, plus: np.ndarray, types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the denominator and of the backoff weight of contexts.
+
+        Of each context: count, discounted count, add-one mass and number of
+        the symbols seen after it. A context leaves what its discounts took,
+        and at least one part in count + 1, to unseen words; dividing by
+        their unigram mass makes its probabilities sum to 1.
         """
-        n = len(self.unigram)
-        count, kept, seen, types = np.zeros((4, n))
-        for r in rows:
-            count[r[0]], kept[r[0]], seen[r[0]], types[r[0]] = r[1], r[2], r[3], r[4]
-        self.ratios = ratios
-        known = count > 0
-        open_ = known & (types < n - 1)  # else every symbol but BEGIN was seen, and none is left to back off to
-        unseen = np.maximum(1 - seen, self.unigram[self.unigram > 0].min())
+        open_ = types < self.types  # else every symbol was seen, and none is left to back off to
         # the denominator of a context: its count; more where the discounts took less than one part
-        self.context = np.where(open_, np.maximum(count, kept * (count + 1) / np.maximum(count, 1)), np.where(known, kept, 1.0))
-        left = np.where(open_, 1 - kept / self.context, 0.0)
-        self.backoff = np.where(open_, left / unseen, np.where(known, 0.0, 1.0))
+        below = np.where(open_, np.maximum(count, kept * (count + 1) / count), kept)
+        left = np.where(open_, 1 - kept / below, 0.0)
+        with np.errstate(divide="ignore"):
+            return np.log10(below), np.log10(left * self.norm / np.maximum(self.norm - plus, 1.0))
+
+    def contexts(self, at: np.ndarray, sums: np.ndarray, ratios: np.ndarray) -> None:
+        """Hot contexts and their sums (see weights); a context that was never seen backs off at no cost."""
+        self.ratios = ratios
+        self.context_log, self.backoff_log = np.zeros((2, len(self.plus)))
+        self.context_log[at], self.backoff_log[at] = self.weights(*sums)
+
+    def count_log(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10(_discounted(counts, self.ratios))
 
     def seen_log(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return np.log10(_discounted(counts, self.ratios) / self.context[(keys >> np.uint64(16)).astype(np.int64)])
+        return self.count_log(counts) - self.context_log[(keys >> np.uint64(16)).astype(np.int64)]
 
     def unseen_log(self, keys: np.ndarray) -> np.ndarray:
         context, word = (keys >> np.uint64(16)).astype(np.int64), (keys & np.uint64(0xFFFF)).astype(np.int64)
-        with np.errstate(divide="ignore"):
-            return np.log10(self.backoff[context]) + np.log10(self.unigram[word])
+        return self.backoff_log[context] + self.unigram_log[word]
 
 
 def _learned(folds: int, held_out: int):
@@ -188,7 +291,7 @@ def _learned(folds: int, held_out: int):
 
 
 def score_texts(
-    docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY, parts: int | None = None
+    docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", vocabulary: int | None = VOCABULARY, parts: int | None = None
 ) -> DataFrame:
     """log10 probability of every text under a bigram Katz model learned from the rows not held out.
 
@@ -198,22 +301,24 @@ def score_texts(
     learned from. Null and empty texts have the end token only. Returns
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
-    Unigrams are add-one: (c + 1) / (N + V + 1). The ``vocabulary`` most
-    frequent words have a symbol each; the others, unseen ones included,
-    share one, within which a word has its share of their add-one counts.
-    Hence every word keeps its own exact count, and the base score is the
-    same without the model. A bigram seen in training has its Good-Turing
+    Unigrams are add-one: (c + 1) / (N + V + 1). Every word is a symbol of
+    its own; unseen ones share one. With a ``vocabulary``, only its most
+    frequent words are; the others, unseen ones included, share one, within
+    which a word has its share of their add-one counts. Either way every
+    word keeps its own exact count, and the base score is the same without
+    the model. A bigram seen in training has its Good-Turing
     discounted share of its context; another word has the context's backoff
     weight times its unigram probability, and after an unseen context its
     unigram probability.
 
-    The driver holds the vocabulary, a row per context and the
-    ``HOT_BIGRAMS`` most frequent bigrams, all bounded by parameters; all
-    counts stay in ``parts`` (default: the session's shuffle partitions)
+    The driver holds the ``HOT_WORDS`` most frequent words (a given
+    ``vocabulary`` whole), their rows as contexts and the ``HOT_BIGRAMS``
+    most frequent bigrams of them; all other words, contexts and counts stay
+    in ``parts`` (default: twice the session's shuffle partitions)
     partitioned tables. The texts are read twice.
     """
     spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = pick(docs, id=id_col, text=text_col)
     learned, held = _learned(folds, held_out)
 
@@ -229,19 +334,19 @@ def score_texts(
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in batch.column(0):
-                n = np.frombuffer(b.as_py(), np.int64)
+                n = _arrays(b.as_py(), 1, np.int64)[0]
                 yield pa.RecordBatch.from_arrays([pa.array([len(n)]), pa.array([int(n.sum())])], names=["types", "tokens"])
 
     size = unigrams.select("b").mapInArrow(sizes, "types long, tokens long").agg(F.sum("types"), F.sum("tokens")).first()
     texts = rows.filter(learned).count()
     total, distinct = (size[1] or 0) + texts, (size[0] or 0) + (texts > 0)
-    model = Katz(*_most_frequent(unigrams, vocabulary), texts, total, distinct)
+    model = Katz(*_most_frequent(unigrams, HOT_WORDS if vocabulary is None else vocabulary), texts, total, distinct, vocabulary)
 
     def to_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         row = TaskContext.get().partitionId() << 33
         logs = np.log10(np.maximum(model.plus, 1.0) / model.norm)
-        logs[UNKNOWN] = 0.0
+        logs[[UNKNOWN, COLD]] = 0.0
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column(1)):
                 hashes, upto = words(data, offsets)
@@ -250,9 +355,10 @@ def score_texts(
                 ends = upto[1:] + np.arange(hi - lo)  # places of the end tokens
                 tokens = np.insert(symbol, upto[1:], END)
                 value = np.concatenate([[0.0], np.cumsum(logs[tokens])])
-                known = np.concatenate([[0], np.cumsum((tokens != UNKNOWN) & ((tokens != END) | (texts > 0)))])
+                known = np.concatenate([[0], np.cumsum((tokens >= FIRST_WORD) | ((tokens == END) & (texts > 0)))])
                 first = ends - n
-                tail, tail_upto = hashes[symbol == UNKNOWN], np.concatenate([[0], np.cumsum(symbol == UNKNOWN)])[upto]
+                rest = (symbol == UNKNOWN) | (symbol == COLD)
+                tail, tail_upto = hashes[rest], np.concatenate([[0], np.cumsum(rest)])[upto]
                 raw = tokens.astype(np.uint16)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -275,74 +381,137 @@ def score_texts(
     marked = rows.select("id", "text", F.coalesce(learned, F.lit(False)).alias("learned"), held.alias("held"))
     tokens = scratch(marked.mapInArrow(to_symbols, schema), "lm-tokens")
 
-    def bigrams(symbols: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Keys (context << 16 | word) of all texts of a batch, and the text of each."""
+    def bigrams(symbols: pa.Array, tails: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Context, word and text of all bigrams of a batch; hashes and texts of the words that share UNKNOWN."""
         text = [np.frombuffer(s.as_py(), np.uint16) for s in symbols]
         flat = np.concatenate(text).astype(np.uint64) if text else np.zeros(0, np.uint64)
         n = np.array([len(t) for t in text], dtype=np.int64)
+        of = np.repeat(np.arange(len(n)), n)
+        at = np.flatnonzero((flat == UNKNOWN) | (flat == COLD))
+        tail = np.frombuffer(b"".join(t.as_py() for t in tails), np.uint64)
+        cold = flat[at] == COLD
+        flat[at[cold]] = tail[cold]
         context = np.empty_like(flat)
         context[1:] = flat[:-1]
         context[np.cumsum(n) - n] = BEGIN
-        return (context << np.uint64(16)) | flat, np.repeat(np.arange(len(n)), n)
+        return context, flat, of, tail[~cold], of[at[~cold]]
 
     def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for lo in range(0, batch.num_rows, 1024):
             yield batch.slice(lo, 1024)
 
     def count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = _Tally(1, parts)
+        tally, pairs = _Tally(1, parts), _PairTally(parts)
         for batch in batches:
             for piece in slices(batch):
-                yield from tally.add(bigrams(piece.column(0))[0])
+                context, word, *_ = bigrams(piece.column(0), piece.column(1))
+                hot = (context < HASHES) & (word < HASHES)
+                yield from tally.add((context[hot] << np.uint64(16)) | word[hot])
+                yield from pairs.add(context[~hot], word[~hot])
         yield from tally.flush()
+        yield from pairs.flush()
 
-    pairs = _count_table(tokens.filter("learned").select("symbols").mapInArrow(count_bigrams, PACKED), "lm-bigrams")
+    def merge_bigrams(key: tuple, table: pa.Table) -> pa.Table:
+        """Kind 1: hot bigrams; 7: those of the partition's cold words, with counts and the words' add-one counts; 8: those of its cold contexts."""
+        out, part = [], key[0].as_py()
+        keys, counts = _merged(table, 1)
+        if len(keys):
+            out.append((part, 1, 0, _planes(keys), _planes(counts)))
+        context, word, counts = _merged_pairs(table, 7)
+        if len(word):
+            plus = _lookup(*_merged(table, 0), word, 0) + 1
+            out.append((part, 7, 0, _planes(context, word), _planes(counts, plus)))
+        context, word, counts = _merged_pairs(table, 8)
+        if len(word):
+            out.append((part, 8, 0, _planes(context, word), _planes(counts)))
+        pa.default_memory_pool().release_unused()
+        return pa.Table.from_batches([packed_rows(out)])
+
+    counted = tokens.filter("learned").select("symbols", "tail").mapInArrow(count_bigrams, PACKED)
+    pairs = scratch(counted.unionAll(unigrams).groupBy("part").applyInArrow(merge_bigrams, PACKED), "lm-bigrams")
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(context, word, count, add-one count of the word) of every bigram once."""
+        for batch in batches:
+            for kind, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                a, b = _arrays(a.as_py(), 1 if kind == 1 else 2, np.uint64), _arrays(b.as_py(), 2 if kind == 7 else 1, np.int64)
+                if kind == 1:
+                    word = a[0] & np.uint64(0xFFFF)
+                    yield a[0] >> np.uint64(16), word, b[0], model.plus[word.astype(np.int64)]
+                elif kind == 7:
+                    yield *a, *b
+                else:
+                    context, word = a
+                    hot = word < HASHES  # the others are of kind 7, too
+                    yield context[hot], word[hot], b[0][hot], model.plus[word[hot].astype(np.int64)]
 
     def rarities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in batch.column(0):
-                n = np.bincount(np.minimum(np.frombuffer(b.as_py(), np.int64), DISCOUNTED + 2), minlength=DISCOUNTED + 3)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n)], names=["r", "n"])
+        for _, _, counts, _ in entries(batches):
+            n = np.bincount(np.minimum(counts, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n)], names=["r", "n"])
 
-    rare = pairs.select("b").mapInArrow(rarities, "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
+    listed = pairs.select("kind", "a", "b")
+    with _single_rows(spark):
+        rare = listed.mapInArrow(rarities, "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
     ratios = good_turing({r["r"]: r["n"] for r in rare})
 
     def context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in zip(batch.column(0), batch.column(1)):
-                keys, counts = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.int64)
-                context = (keys >> np.uint64(16)).astype(np.int64)
-                word = (keys & np.uint64(0xFFFF)).astype(np.int64)
-                weights = (counts, _discounted(counts, ratios), model.unigram[word], np.ones(len(counts)))
-                sums = [np.bincount(context, w, minlength=1 << 16) for w in weights]
-                at = np.flatnonzero(sums[0])
-                yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(s[at]) for s in sums]], names=["context", "n", "kept", "seen", "types"])
-
-    summed = pairs.select("a", "b").mapInArrow(context_sums, "context long, n double, kept double, seen double, types double")
-    model.contexts(summed.groupBy("context").agg(*[F.sum(c) for c in ("n", "kept", "seen", "types")]).collect(), ratios)
-    hot, hot_counts = _most_frequent(pairs, HOT_BIGRAMS)
+        for context, _, counts, plus in entries(batches):
+            context, inverse = np.unique(context, return_inverse=True)
+            sums = np.array([np.bincount(inverse, w, minlength=len(context)) for w in (counts, _discounted(counts, ratios), plus, np.ones(len(plus)))])
+            yield packed_rows([(p, 5, 0, _planes(context[at]), _planes(*sums[:, at])) for p, at in split(part_of(context, parts), parts)])
+
+    def merge_contexts(key: tuple, table: pa.Table) -> pa.Table:
+        """Kind 5: cold contexts and the logs of their weights; 10: hot contexts and their sums."""
+        found = [(_arrays(a, 1, np.uint64)[0], _arrays(b, 4, np.float64)) for _, a, b in unpack(table, 5, (np.uint8, np.uint8))]
+        context, inverse = np.unique(np.concatenate([a for a, _ in found]), return_inverse=True)
+        sums = np.array([np.bincount(inverse, w, minlength=len(context)) for w in np.concatenate([b for _, b in found], axis=1)])
+        hot = context < HASHES
+        cold = np.array(model.weights(*sums[:, ~hot]))
+        part = key[0].as_py()
+        return pa.Table.from_batches(
+            [packed_rows([(part, 5, 0, context[~hot].tobytes(), cold.tobytes()), (part, 10, 0, context[hot].tobytes(), sums[:, hot].tobytes())])]
+        )
+
+    with _single_rows(spark):
+        contexts = scratch(listed.mapInArrow(context_sums, PACKED).groupBy("part").applyInArrow(merge_contexts, PACKED), "lm-contexts")
+    known = unpack(contexts.filter("kind = 10").toArrow(), 10, (np.uint64, np.float64))
+    if known:
+        model.contexts(np.concatenate([a for _, a, _ in known]).astype(np.int64), np.concatenate([b.reshape(4, -1) for _, _, b in known], axis=1), ratios)
+    else:
+        model.contexts(np.zeros(0, np.int64), np.zeros((4, 0)), ratios)
+    hot, hot_counts = _most_frequent(pairs.filter("kind = 1"), HOT_BIGRAMS)
     hot_logs = model.seen_log(hot, hot_counts)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Kind 2: bigrams by text; 3: words without a symbol by text; 4: of each text its row, the sum of its hot bigrams and its number of words without a symbol."""
+        """By text. Kind 2: hot bigrams; 6, 9: bigrams with a cold word, a cold context; 3: words that share UNKNOWN; 4: of each text its row, the sum of its most frequent bigrams and its numbers of UNKNOWN and of cold words."""
         for batch in batches:
             for piece in slices(batch):
                 block = piece.column(0)[0].as_py()
-                keys, text = bigrams(piece.column(1))
-                value = _lookup(hot, hot_logs, keys, np.nan)
-                cold = np.isnan(value)
-                tail = [np.frombuffer(t.as_py(), np.uint64) for t in piece.column(2)]
-                rest = np.array([len(t) for t in tail])
-                sums = np.bincount(text, np.where(cold, 0.0, value), minlength=piece.num_rows)
-                head = piece.column(0).to_numpy().astype(np.int64).tobytes(), np.concatenate([sums, rest]).tobytes()
-                out = [(block % parts, 4, block, *head)]
-                keys, text = keys[cold].astype(np.uint32), text[cold].astype(np.uint16)
-                out += [(p, 2, block, keys[at].tobytes(), text[at].tobytes()) for p, at in split(part_of(keys, parts), parts)]
-                of = np.repeat(np.arange(len(tail)), rest).astype(np.uint16)
-                words = np.concatenate(tail) if tail else np.zeros(0, np.uint64)
+                context, word, text, words, of = bigrams(piece.column(1), piece.column(2))
+                wide = (context >= HASHES) | (word >= HASHES)
+                keys = (context << np.uint64(16)) | word
+                value = np.where(wide, 0.0, _lookup(hot, hot_logs, keys, np.nan))
+                rest = np.bincount(of, minlength=piece.num_rows)
+                cold = np.bincount(text[word >= HASHES], minlength=piece.num_rows)
+                left = np.isnan(value)
+                sums = np.bincount(text, np.where(left, 0.0, value), minlength=piece.num_rows)
+                out = [(block % parts, 4, block, piece.column(0).to_numpy().astype(np.int64).tobytes(), np.concatenate([sums, rest, cold]).tobytes())]
+                text, of = text.astype(np.uint16), of.astype(np.uint16)
+                keys, texts_ = keys[left].astype(np.uint32), text[left]
+                out += [(p, 2, block, keys[at].tobytes(), texts_[at].tobytes()) for p, at in split(part_of(keys, parts), parts)]
+                context, word, text = context[wide], word[wide], text[wide]
+                out += [
+                    (p, 6 if kind == 7 else 9, block, _planes(context[at], word[at]), text[at].tobytes()) for kind, p, at in _sides(context, word, parts)
+                ]
                 out += [(p, 3, block, words[at].tobytes(), of[at].tobytes()) for p, at in split(part_of(words, parts), parts)]
                 yield packed_rows(out)
 
+    def hot_or(values: np.ndarray, symbols: np.ndarray, otherwise) -> np.ndarray:
+        """values of the hot symbols; ``otherwise`` for hashes."""
+        is_hot = symbols < HASHES
+        return np.where(is_hot, values[np.where(is_hot, symbols, np.uint64(0)).astype(np.int64)], otherwise)
+
     def evaluate(key: tuple, table: pa.Table) -> pa.Table:
         """(texts, sums) of each block: a partition's count tables against its occurrences; kind 4 passes."""
         out = []
@@ -352,21 +521,48 @@ def score_texts(
             key_ = key_.astype(np.uint64)
             value = _lookup(keys, logs, key_, np.nan)
             value = np.where(np.isnan(value), model.unseen_log(key_), value)
-            out.append((block, 0, text, value, None))
+            out.append((block, 0, text, value))
         words, n = _merged(table, 0)
         for block, word, text in unpack(table, 3, (np.uint64, np.uint16)):
             c = _lookup(words, n, word, 0)
-            out.append((block, 1, text, np.log10(c + 1.0), c > 0))
+            value = np.log10(c + 1.0)
+            out.append((block, 1, text, value, value, c > 0))
+
+        def pair_logs(kind: int) -> tuple[np.ndarray, np.ndarray]:
+            """Keys, ascending, and logs of the discounted counts of a kind's bigrams."""
+            found = [(_arrays(a, 2, np.uint64), _arrays(b[: len(a) // 2], 1, np.int64)[0]) for _, a, b in unpack(table, kind, (np.uint8, np.uint8))]
+            if not found:
+                return np.zeros(0, np.uint64), np.zeros(0)
+            (pair, counts), = found  # one row for each partition, by ascending key
+            return _pair_keys(*pair), model.count_log(counts)
+
+        keys, logs = pair_logs(7)
+        for block, a, text in unpack(table, 6, (np.uint8, np.uint16)):
+            context, word = _arrays(a, 2, np.uint64)
+            c = _lookup(words, n, word, 0)
+            plus = np.log10(c + 1.0)
+            value = _lookup(keys, logs, _pair_keys(context, word), np.nan)
+            seen = hot_or(-model.context_log, context, 0.0) + np.where(context < HASHES, value, 0.0)  # a cold context adds its part where it is
+            unseen = hot_or(model.backoff_log, context, 0.0) + plus - log10(model.norm)
+            out.append((block, 1, text, np.where(np.isnan(value), unseen, seen), plus, c > 0))
+        keys, logs = pair_logs(8)
+        found = [(a, *b.reshape(2, -1)) for _, a, b in unpack(table, 5, (np.uint64, np.float64))]
+        known, below, backoff = found[0] if found else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+        for block, a, text in unpack(table, 9, (np.uint8, np.uint16)):
+            context, word = _arrays(a, 2, np.uint64)
+            value = _lookup(keys, logs, _pair_keys(context, word), np.nan) - _lookup(known, below, context, 0.0)
+            unseen = _lookup(known, backoff, context, 0.0) + hot_or(model.unigram_log, word, 0.0)
+            out.append((block, 0, text, np.where(np.isnan(value), unseen, value)))
         result = [(len(a) // 8, 4, block, a, b) for kind, block, a, b in zip(*(table[c].to_pylist() for c in ("kind", "block", "a", "b"))) if kind == 4]
-        for block, kind, text, value, known in out:
+        for block, kind, text, *values in out:
             at, inverse = np.unique(text, return_inverse=True)
-            sums = np.bincount(inverse, value)
-            seen = np.bincount(inverse, known) if kind else np.zeros(0)
-            result.append((len(at), kind, block, at.astype(np.uint16).tobytes(), np.concatenate([sums, seen]).tobytes()))
+            sums = [np.bincount(inverse, v) for v in values]
+            result.append((len(at), kind, block, at.astype(np.uint16).tobytes(), np.concatenate(sums).tobytes()))
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([packed_rows(result)])
 
     sent = tokens.select("row", "symbols", "tail").mapInArrow(occurrences, PACKED)
-    partial = sent.unionAll(unigrams).unionAll(pairs).groupBy("part").applyInArrow(evaluate, PACKED)
+    partial = sent.unionAll(unigrams).unionAll(pairs).unionAll(contexts.filter("kind = 5")).groupBy("part").applyInArrow(evaluate, PACKED)
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
         """(row, score, base, known) of the texts of a block."""
@@ -374,9 +570,9 @@ def score_texts(
         parts_ = list(zip(table["part"].to_pylist(), table["kind"].to_pylist(), table["a"], table["b"]))
         for n, kind, a, b in parts_:
             if kind == 4:
-                row, both = np.frombuffer(a.as_py(), np.int64), np.frombuffer(b.as_py(), np.float64)
-                score, rest = both[:n].copy(), both[n:]
-                base, known = -rest * log10(model.norm), np.zeros(n)
+                row, all_ = np.frombuffer(a.as_py(), np.int64), np.frombuffer(b.as_py(), np.float64)
+                score, rest, cold = all_[:n].copy(), all_[n : 2 * n], all_[2 * n :]
+                base, known = -(rest + cold) * log10(model.norm), np.zeros(n)
                 score -= rest * log10(model.unknown_mass) if rest.any() else 0.0
         for n, kind, a, b in parts_:
             if kind == 4:
@@ -384,8 +580,8 @@ def score_texts(
             at, v = np.frombuffer(a.as_py(), np.uint16), np.frombuffer(b.as_py(), np.float64)
             score[at] += v[:n]
             if kind == 1:
-                base[at] += v[:n]
-                known[at] += v[n:]
+                base[at] += v[n : 2 * n]
+                known[at] += v[2 * n :]
         return pa.table({"row": row, "score": score, "base2": base, "known2": known.astype(np.int64)})
 
     sums = partial.groupBy("block").applyInArrow(gather, "row long, score double, base2 double, known2 long")

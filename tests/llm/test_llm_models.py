@@ -141,6 +141,30 @@ def test_katz_equals_brute_force(documents, messy, monkeypatch, vocabulary):
         assert a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], abs=1e-6), (a, b)
 
 
+@pytest.mark.parametrize("vocabulary", [40, None])
+def test_katz_with_cold_words_equals_brute_force(documents, messy, monkeypatch, vocabulary):
+    monkeypatch.setattr(lm, "HOT_BIGRAMS", 16)
+    monkeypatch.setattr(lm, "HOT_WORDS", 12)
+    rng = random.Random(3)
+    rows = messy + [(100 + i, " ".join(rng.choice(["ab", "ca", "new", "odd"]) + str(rng.randrange(40)) for _ in range(30))) for i in range(30)]
+    want, _ = brute_katz(rows, vocabulary)
+    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in score_texts(documents(rows), vocabulary=vocabulary).collect())
+    assert [x[:5] for x in got] == [x[:5] for x in want]
+    for a, b in zip(got, want):
+        assert a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], abs=1e-6), (a, b)
+
+
+def test_katz_tells_all_words_apart(documents):
+    """70,000 words, more than 16 bits can number; all but the last 5,000 occur twice, and those are followed by one word each."""
+    ids = [i for i in range(400) if fold(i, 7) != 2][:270]
+    held = next(i for i in range(400) if fold(i, 7) == 2)
+    rows = [(i, " ".join(f"w{n * 500 + j}" for j in range(500))) for n, i in zip([*range(140), *range(130)], ids)]
+    score = lambda text: next(r.score for r in score_texts(documents([*rows, (held, text)])).collect() if r.held_out)
+    # equal words in the order of training and in another: only the bigrams differ
+    straight, swapped = (score(" ".join(f"w{k}" for k in o)) for o in (range(69_100, 69_300), [*range(69_101, 69_300, 2), *range(69_100, 69_300, 2)]))
+    assert straight > swapped + 200
+
+
 def test_katz_beats_its_base_on_held_out_text(documents):
     rng = random.Random(8)
     follow = {w: [rng.randrange(300) for _ in range(4)] for w in range(300)}
