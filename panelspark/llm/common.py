@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SEPARATORS = b" \t\n\x0b\x0c\r"
 #: The same as a Java / SQL regular expression class.
 SEPARATOR_CLASS = r"[\x20\x09-\x0D]"
+#: The other characters.
+WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytes_ import Words, mix, text_blocks
-from .common import pick, scratch, with_totals
+from .common import WORD_CLASS, pick, scratch, with_totals
 from .components import connected_components
 from .packed import split, unpack
 
@@ -459,11 +459,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def dedup_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component of near duplicates, with all its columns: the one with the smallest id (null ids last)."""
+    """One row of each component of near duplicates, with all its columns: the one with the smallest id (null ids last).
+
+    Rows without words link with nothing, so all of them stay, also those with equal id and text.
+    """
     names = docs.columns
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "k1", "k2"))
-    kept = near_duplicates(docs, id_col, text_col).groupBy("component").agg(first.alias("first")).select("first.k1", "first.k2")
+    kept = near_duplicates(docs, id_col, text_col).filter("n_shingles > 0").groupBy("component").agg(first.alias("first")).select("first.k1", "first.k2")
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
     i, t = (F.col(f"_c{names.index(c)}") for c in (id_col, text_col))
     rows = plain.withColumns({"k1": F.xxhash64(i, t), "k2": F.xxhash64(t, i, F.lit(1))})
-    return rows.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).drop("k1", "k2").toDF(*names)
+    worded = F.coalesce(t.rlike(WORD_CLASS), F.lit(False))
+    one = rows.filter(worded).join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*plain.columns)
+    return one.unionAll(plain.filter(~worded)).toDF(*names)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from panelspark.llm import jaccard
-from panelspark.llm.jaccard import near_duplicates, signatures
+from panelspark.llm.jaccard import dedup_near, near_duplicates, signatures
 
 
 def shingles(text):
@@ -82,6 +82,15 @@ def test_empty_table(documents):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(3, 0, 3), (4, 0, 4), (5, 0, 5)]
 
 
+def test_rows_without_words_all_stay(documents):
+    """Also those with equal id and text, which may differ elsewhere; a row with words that occurs twice stays once."""
+    empty = [(None, None, "en", "a"), (None, None, "fr", "b"), (None, None, "fr", "b"), (7, "", "en", "a"), (7, "", "de", "c"), (8, " \n", "en", "a"), (8, " \n", "en", "b")]
+    rows = [*empty, (1, "one two three", "en", "a"), (1, "one two three", "en", "a"), (2, "One  two three", "en", "b")]
+    key = lambda r: (str(r[0]), str(r[1]), r[2], r[3])
+    got = dedup_near(documents(rows))
+    assert sorted(key(r) for r in got.collect()) == sorted(map(key, [*empty, rows[-2]]))
+
+
 def test_linked_sets_always_share_a_signature():
     rng = np.random.default_rng(5)
     for trial in range(400):
