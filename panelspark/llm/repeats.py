@@ -15,6 +15,8 @@ from .suffix import suffix_array
 
 #: Bytes of the seed that all equal windows share.
 SEED = 40
+#: Places in a segment and the window after it fit 20 bits.
+WIDEST = 1 << 19
 #: Bytes of a symbol of the suffix array.
 SYMBOL = 16
 #: Window starts looked at together; seeds are chosen by (hash, position) with 20 bits for the position.
@@ -97,7 +99,7 @@ class Seeds:
             np.cumsum(values * self.inverse[1 : len(part) + 1], out=upto[1:])
             content = (upto[first + length] - upto[first]) * self.power[first + length]
             place = seed[first] - first
-            content = mix(content + mix((length * 1024 + place).astype(np.uint64) * _A))
+            content = mix(content + mix(((length << 20) | place).astype(np.uint64) * _A))
             yield text[first], lo + first - offsets[text[first]], length, place, hashes[seed[first]], content
 
 
@@ -183,6 +185,8 @@ def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
     each core is a seed of its own with far fewer contents; ranges shrink
     until no group is too large.
     """
+    if not SEED <= window <= WIDEST:
+        raise ValueError(f"window must be from {SEED} to {WIDEST}, not {window}")
     rows = pick(docs, id=id_col, text=text_col).select("id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.withColumns({"k1": F.xxhash64("id", "text"), "k2": F.xxhash64("text", "id", F.lit(1))})
 
@@ -198,27 +202,29 @@ def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
                             pa.array(content.view(np.int64)),
                             batch.column(1).take(owner),
                             batch.column(2).take(owner),
-                            pa.array((start << 20) | (length << 10) | place),
+                            pa.array(start),
+                            pa.array(length.astype(np.int32)),
+                            pa.array(place.astype(np.int32)),
                         ],
-                        names=["seed", "content", "k1", "k2", "at"],
+                        names=["seed", "content", "k1", "k2", "start", "length", "place"],
                     )
 
     found = scratch(
-        rows.filter(F.octet_length("text") >= window).select("text", "k1", "k2").mapInArrow(stretches, "seed long, content long, k1 long, k2 long, at long"),
+        rows.filter(F.octet_length("text") >= window).select("text", "k1", "k2").mapInArrow(stretches, "seed long, content long, k1 long, k2 long, start long, length int, place int"),
         "repeat-stretches",
     )
     several = scratch(found.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed"), "repeat-seeds")
     again = scratch(found.join(several, "seed"), "repeat-candidates")
     contents = scratch(
-        again.groupBy("seed", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("k1", "k2", "at")).alias("one")).select("seed", "content", "copies", "one.*"),
+        again.groupBy("seed", "content").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("k1", "k2", "start", "length", "place")).alias("one")).select("seed", "content", "copies", "one.*"),
         "repeat-contents",
     )
     around = scratch(with_totals(contents, ["seed"], {"n": (F.count(F.lit(1)), "sum")}, ["content"]), "repeat-around")
     alike = scratch(around.filter("n > 1"), "repeat-different")
-    start, length, place = F.shiftright("at", 20), F.shiftright("at", 10).bitwiseAND(F.lit(1023)), F.col("at").bitwiseAND(F.lit(1023))
+    start, length = F.col("start"), F.col("length")
     texts = rows.select("k1", "k2", F.col("text").cast("binary").alias("data"))
-    cut = F.expr("substring(data, cast(shiftright(at, 20) as int) + 1, cast(shiftright(at, 10) & 1023 as int))")
-    spelled = alike.join(texts, ["k1", "k2"]).select("seed", "content", "copies", "n", place.cast("int").alias("place"), cut.alias("bytes"))
+    cut = F.expr("substring(data, cast(start as int) + 1, length)")
+    spelled = alike.join(texts, ["k1", "k2"]).select("seed", "content", "copies", "n", "place", cut.alias("bytes"))
     spelled = scratch(spelled, "repeat-spelled")
 
     runs = "seed long, content long, first int, last int"
@@ -292,7 +298,8 @@ def remove_repeats(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
     Texts count as UTF-8 bytes; matches never cross texts, may lie in the
     same text, and may overlap; all are judged on the input. Null and empty
     texts, and texts shorter than the window, lose nothing. A row that is
-    repeated as a whole repeats all its windows. What remains need not be
+    repeated as a whole repeats all its windows. Windows are from ``SEED`` to
+    ``WIDEST`` bytes. What remains need not be
     valid UTF-8, so it is binary. Returns (doc_id, n_bytes, n_removed,
     n_spans, spans, kept): spans are the maximal removed runs [start, end).
     """

@@ -82,5 +82,20 @@ def test_periodic_text_and_borders(documents):
     same(documents, rows)
 
 
+@pytest.mark.parametrize("window", [40, 600, 1500])
+def test_other_windows(documents, window):
+    """Above 531 the length of a stretch takes more than ten bits, above 1,063 the seed's place may, too."""
+    rng = random.Random(window)
+    text = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    pool = [text(n) for n in (window - 1, window, window + 1, 2 * window, 3 * window)]
+    same(documents, [(i, text(rng.randint(0, 900)) + rng.choice(pool) + text(rng.randint(0, 900))) for i in range(30)], window)
+
+
+@pytest.mark.parametrize("window", [39, (1 << 19) + 1])
+def test_windows_that_do_not_fit_raise(documents, window):
+    with pytest.raises(ValueError, match="window"):
+        remove_repeats(documents([(1, "a")]), window)
+
+
 def test_empty_table(documents):
     assert remove_repeats(documents([])).count() == 0
