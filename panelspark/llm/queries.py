@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import ann
+from .alignment import align
 from .exact_dedup import exact_groups
 from .jaccard import near_duplicates
 from .langid import identify
@@ -17,6 +19,7 @@ from .quality import classify
 from .repeats import remove_repeats
 from .sharding import shard_rows
 from .topk import search
+from .whitening import whiten
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +91,22 @@ def op10_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_documents(spark, sf_dir))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=4, scale=256.0)
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align(_documents(spark, sf_dir))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op13_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "id % 20 = 0", k=20)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_suffix_dedup,
         op10_katz_lm,
+        op11_embedding_whitening,
+        op12_cross_tokenizer_alignment,
+        op13_approximate_neighbours,
     )
 }
 
