@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -11,11 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, process_cache, scratch
-from .packing import _AWKWARD, _encoder
+from .packing import _AWKWARD
 
 #: Bytes of text that are aligned at once (a longer text alone).
 BATCH_BYTES = 1 << 20
-#: Words whose ids a worker remembers, and the longest such word; the memory is emptied when full.
+#: Words whose ids a worker remembers (beyond them the memory is emptied), and the longest such word.
 REMEMBERED = 300_000
 REMEMBERED_LENGTH = 64
 
@@ -27,6 +29,25 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _lossless_encoder(vocabulary: str) -> Callable[[str], list[int]]:
+    """The ids of a byte-level vocabulary; where it is also there as ranks, a faster encoder computes the same ids."""
+    import base64
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    try:
+        import tiktoken
+
+        with open(public_tokenizers.path(vocabulary.replace(".json", ".tiktoken")), "rb") as f:
+            ranks = {base64.b64decode(entry): int(rank) for entry, rank in map(bytes.split, f)}
+        return tiktoken.Encoding("align", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    except (ImportError, FileNotFoundError):
+        tok = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        tok.encode_special_tokens = True
+        return lambda text: tok.encode(text, add_special_tokens=False).ids
+
+
 def _sides(vocabulary_a: str, vocabulary_b: str):
     """(encoder of A, processor of B, bytes of each A id, bytes of each B id), once for each worker."""
     cache = process_cache()
@@ -43,7 +64,7 @@ def _sides(vocabulary_a: str, vocabulary_b: str):
         b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(vocabulary_b))
         pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        cache["align", vocabulary_a, vocabulary_b] = _encoder(vocabulary_a), b, bytes_a, bytes_b
+        cache["align", vocabulary_a, vocabulary_b] = _lossless_encoder(vocabulary_a), b, bytes_a, bytes_b
     return cache["align", vocabulary_a, vocabulary_b]
 
 
@@ -51,36 +72,37 @@ def token_ids(vocabulary_a: str, vocabulary_b: str) -> Callable[[list[str | None
     """Maps texts to their (A ids of space + text, B ids of text) as uint32 bytes, both empty where the bytes of either differ from space + text.
 
     Neither tokenizer joins a space to a non-space before it, so a text is
-    cut before single spaces and the ids of frequent words are remembered. A
-    text with other spaces, or with a word whose bytes differ, is encoded whole.
+    cut before single spaces and the ids of words are remembered. A text
+    with other spaces, or with a word whose bytes differ, is encoded whole.
     """
-    (encode_a, width), b, bytes_a, bytes_b = _sides(vocabulary_a, vocabulary_b)
+    encode_a, b, bytes_a, bytes_b = _sides(vocabulary_a, vocabulary_b)
     known: dict[str, tuple[bytes, bytes] | None] = process_cache().setdefault(("align-words", vocabulary_a, vocabulary_b), {})
 
     def encoded(texts: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
         for text, ids_b in zip(texts, b.encode(texts, num_threads=1)):
-            ids_a = np.frombuffer(encode_a(" " + text), dtype=width)
-            whole = (" " + text).encode()
-            if b"".join([bytes_a[i] for i in ids_a.tolist()]) == whole == b"".join([bytes_b[i] for i in ids_b]):
-                yield ids_a.astype("<u4").tobytes(), np.array(ids_b, dtype="<u4").tobytes()
+            whole = " " + text
+            ids_a = encode_a(whole)
+            raw = whole.encode()
+            if b"".join([bytes_a[i] for i in ids_a]) == raw == b"".join([bytes_b[i] for i in ids_b]):
+                yield array("I", ids_a).tobytes(), array("I", ids_b).tobytes()
             else:
                 yield None
 
     def ids(texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        split = [t.split(" ") if t and not _AWKWARD.search(t) else None for t in texts]
-        fresh: dict[str, tuple[bytes, bytes] | None] = {}
-        new = sorted({w for words in split if words for w in words if w not in known})
-        fresh.update(zip(new, encoded(new)))
         if len(known) > REMEMBERED:
-            fresh.update({w: known[w] for words in split if words for w in words if w in known})
             known.clear()
-        known.update({w: e for w, e in fresh.items() if len(w) <= REMEMBERED_LENGTH})
+        split = [t.split(" ") if t and not _AWKWARD.search(t) else None for t in texts]
+        new = list(set(chain.from_iterable(words for words in split if words)).difference(known))
+        known.update(zip(new, encoded(new)))
         out = []
         for text, words in zip(texts, split):
-            found = [fresh[w] if w in fresh else known[w] for w in words] if words else [None]
+            found = list(map(known.__getitem__, words)) if words else [None]
             if None in found:  # other spaces, or a word whose bytes differ
                 found = [next(encoded([text])) if text else None]
-            out.append((b"".join([f[0] for f in found]), b"".join([f[1] for f in found])) if found[0] else (b"", b""))
+            out.append(tuple(map(b"".join, zip(*found))) if found[0] else (b"", b""))
+        for w in new:
+            if len(w) > REMEMBERED_LENGTH:
+                del known[w]
         return out
 
     return ids
