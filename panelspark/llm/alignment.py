@@ -9,6 +9,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +17,9 @@ from .common import pick, process_cache, scratch
 from .packing import _AWKWARD
 
 #: Bytes of text that are aligned at once (a longer text alone).
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 #: Words whose ids a worker remembers (beyond them the memory is emptied), and the longest such word.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 REMEMBERED_LENGTH = 64
 
 
@@ -143,7 +144,8 @@ class Aligned:
 
 def _sub_batches(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
     held, size, lo = [], 0, 0
-    for i, text in enumerate(texts.to_pylist()):
+    for i in range(len(texts)):
+        text = texts[i].as_py()
         if held and size + len(text or "") > BATCH_BYTES:
             yield lo, held
             held, size, lo = [], 0, i
@@ -302,7 +304,7 @@ def align(docs: DataFrame, vocabulary_a: str = "byte_bpe_50k.json", vocabulary_b
         tables = _text_tables(len(bytes_a), len(bytes_b))
         pair, count, best = table.value
         for batch in batches:
-            sizes = np.array([len(x) + len(y) for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())], dtype=np.int64)
+            sizes = sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in (1, 2))
             cuts = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(sizes) // (4 * BATCH_BYTES))) + 1, [batch.num_rows]]))
             for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
                 raw_a, raw_b, flags = (batch.column(c)[lo:hi].to_pylist() for c in (1, 2, 3))
