@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .fingerprints import bucket, differing
+
+PART = "__part"
+
 
 def _aligned(new: DataFrame, old: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     if sorted(new.dtypes) != sorted(old.dtypes):
@@ -77,6 +81,48 @@ def table_diff(new: DataFrame, old: DataFrame, chunk: int = 10000) -> DataFrame:
             .drop("__x"))
 
 
+def _leaves(new, old) -> DataFrame:
+    """(__part, bucket) where two stored tables differ; tables that are partitioned differently are compared by bucket alone."""
+    sides = [t.read_fingerprints() for t in (new, old)]
+    if (new.partition_col, new.partition_fn) != (old.partition_col, old.partition_fn):
+        sides = [s.withColumn(PART, F.lit(None).cast("string")) for s in sides]
+    return differing(*sides, PART)
+
+
+def stored_changed(new, old) -> bool:
+    """Whether two tables that keep fingerprints differ, in columns or rows: only their fingerprints are read."""
+    if sorted(new.read(with_comments=False).dtypes) != sorted(old.read(with_comments=False).dtypes):
+        return True
+    return not _leaves(new, old).isEmpty()
+
+
+def stored_diff(new, old) -> DataFrame:
+    """:func:`table_diff` of two tables that keep fingerprints.
+
+    The leaves of both trees are compared first (a few numbers for each
+    partition). Only partitions with a differing leaf are scanned, and only
+    rows in differing buckets of theirs reach the shuffle.
+    """
+    a, b = (t.read(with_comments=False, partition=True) for t in (new, old))
+    names = [c for c in a.columns if c != PART]
+    if sorted(x for x in a.dtypes if x[0] != PART) != sorted(x for x in b.dtypes if x[0] != PART):
+        raise ValueError("the tables have different columns")
+    leaves = _leaves(new, old)
+    spark = leaves.sparkSession
+    found = spark.createDataFrame(leaves.collect(), leaves.schema)  # at most partitions x buckets
+    by_part = all(PART in df.columns for df in (a, b)) and (new.partition_col, new.partition_fn) == (old.partition_col, old.partition_fn)
+    parts = {r[PART] for r in found.collect()}
+    among = F.col(PART).isin([p for p in parts if p is not None]) | (F.col(PART).isNull() if None in parts else F.lit(False))
+
+    def open_rows(df: DataFrame) -> DataFrame:
+        df = df.where(among) if by_part else df.withColumn(PART, F.lit(None).cast("string"))
+        keyed = df.withColumn("__bucket", bucket(names)).withColumn("__key", F.coalesce(F.col(PART), F.lit("")))
+        wanted = found.select(F.col("bucket").alias("__bucket"), F.coalesce(F.col(PART), F.lit("")).alias("__key"))
+        return keyed.join(wanted, ["__bucket", "__key"], "left_semi").select(*[f"`{c}`" for c in names])
+
+    return table_diff(open_rows(a), open_rows(b))
+
+
 def state_diff(old: DataFrame, new: DataFrame, key: str = "key", value: str = "value",
                exclude: tuple[str, ...] = ("_metadata",)) -> DataFrame:
     """Keys whose value differs between two key/value state tables, with old

@@ -132,21 +132,19 @@ def run_panel(spark: SparkSession, family: specs.Family, grain: str, frames, roo
     table = Table(spark, f"{root.rstrip('/')}/{dataset}", partition_col="date", partition_fn="substring({}, 1, 4)",
                   sort_by=["date", "region_name"])
     staged = table.stage(panel)
-    written = table.read_staged(staged)
-    if written.isEmpty():
+    if not staged.rows:
         return None  # nothing after filtering: skipped, like the source
+    written = table.read_staged(staged)
     spec = quality.family_spec(family, written, grain, min_rows=min_rows)
-    spec.profile_nulls = True
-    report = quality.validate(written, spec)  # one job; raises before any commit
-    rows = next(int(r["detail"]) for r in report if r["rule"] == "row_count")
+    report = quality.validate(written, spec)  # raises before any commit
     meta = check_metadata(family.metadata(grain, written.columns), written.columns)
     # the gate has just proven (date, region_id) unique on these very files
-    table.commit(staged, mode, specs.KEY_COLUMNS, metadata=meta, rows=rows, keys_unique=True)
-    if ledger_root:
-        nulls = {r["column"]: r["violations"] for r in report if r["rule"] == "null_count" and r["violations"]}
-        size = sum(sz for _p, sz, _m in files.list_files(spark, staged))
-        log_output(spark, ledger_root, dataset, rows, size, written.columns, nulls, mode, run_id)
-    return PanelResult(dataset, table, rows, report)
+    table.commit(staged, mode, specs.KEY_COLUMNS, metadata=meta, keys_unique=True)
+    if ledger_root:  # rows and null cells were observed by the write
+        size = sum(sz for _p, sz, _m in files.list_files(spark, staged.path))
+        nulls = {c: n for c, n in staged.nulls.items() if n}
+        log_output(spark, ledger_root, dataset, staged.rows, size, written.columns, nulls, mode, run_id)
+    return PanelResult(dataset, table, staged.rows, report)
 
 
 def union_grains(results: dict[str, DataFrame]) -> DataFrame:

@@ -533,13 +533,12 @@ def q_year_bounds(spark, sf_dir):
     "(" + " + ".join(f"count_if({c} IS NULL)" for c in DOC_COLS + ["text"]) + ") AS nulls_total "
     f"FROM ({DOC_JOIN_SQL})"))
 def q_output_profile(spark, sf_dir):
-    """The profile of a written table: rows, bytes of its files, null counts."""
-    from .sinks.publish import output_profile
+    """The profile of a table as its write observed it: rows, null counts; and the bytes of its files."""
+    from .sinks.publish import written_profile
     from .sources import files
     table = Table(spark, f"{scratch(spark, 'profile')}/docs")
-    table.write(_doc_join(spark, sf_dir), "overwrite")
-    size = sum(n for d in table.current()["dirs"] for _p, n, _m in files.list_files(spark, d))
-    prof = output_profile(table.read(), size)
+    staged = table.write(_doc_join(spark, sf_dir), "overwrite")
+    prof = written_profile(spark, staged, sum(n for _p, n, _m in files.list_files(spark, table.folder())))
     return prof.select("rows", (F.col("size_bytes") > 0).alias("has_bytes"), "columns", F.size("null_counts").alias("null_columns"),
                        F.aggregate(F.map_values("null_counts"), F.lit(0).cast("long"),
                                    lambda acc, x: acc + x).alias("nulls_total"))
@@ -569,6 +568,20 @@ def q_table_diff(spark, sf_dir):
     return D.table_diff(new, old)
 
 
+def _by_year(spark, root, column):
+    return Table(spark, root, partition_col=column, partition_fn="substring(CAST({} AS STRING), 1, 4)", fingerprints=True)
+
+
+@register("table_diff_stored", ORACLES["table_diff"])
+def q_table_diff_stored(spark, sf_dir):
+    """Two stored tables: the year that both hold is told equal by its fingerprints and not scanned."""
+    li, root = read(spark, sf_dir, "lineitem"), scratch(spark, "diff")
+    new, old = _by_year(spark, f"{root}/new", "l_shipdate"), _by_year(spark, f"{root}/old", "l_shipdate")
+    new.write(li.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")))
+    old.write(li.where(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")))
+    return D.stored_diff(new, old)
+
+
 _CUST_BUMP = "SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1 AS c_acctbal, c_mktsegment FROM customer"
 _ORD_CUT = "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'"
 
@@ -597,6 +610,32 @@ def q_table_changed(spark, sf_dir):
     return spark.createDataFrame(rows, "pair string, rows_new long, rows_old long, changed boolean")
 
 
+_ORD_BUMP = "SELECT o_orderkey, o_custkey, o_totalprice + 1 AS o_totalprice, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'"
+
+
+@register("table_changed_stored", " UNION ALL ".join([
+    "SELECT 'in_two_parts' AS pair, (SELECT count(*) FROM orders) AS rows_new, (SELECT count(*) FROM orders) AS rows_old, false AS changed",
+    f"SELECT 'merged_same', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders), false",
+    f"SELECT 'merged_other', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders), (SELECT count(*) > 0 FROM ({_ORD_BUMP}))",
+]))
+def q_table_changed_stored(spark, sf_dir):
+    """A table written in two parts equals the one written at once; so after merging the same rows, not after merging others."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    root = scratch(spark, "changed")
+    whole, parts = _by_year(spark, f"{root}/whole", "o_orderdate"), _by_year(spark, f"{root}/parts", "o_orderdate")
+    whole.write(o)
+    parts.write(o.where(~late))
+    parts.write(o.where(late), "append")
+    out = []
+    for name, source in (("in_two_parts", None), ("merged_same", o.where(late)),
+                         ("merged_other", o.where(late).withColumn("o_totalprice", F.col("o_totalprice") + 1))):
+        if source is not None:
+            parts.write(source, "merge", key=["o_orderkey", "o_orderdate"])
+        out.append((name, parts.read().count(), whole.read().count(), D.stored_changed(parts, whole)))
+    return spark.createDataFrame(out, "pair string, rows_new long, rows_old long, changed boolean")
+
+
 # ---------------------------------------------------------------------------
 # scalar functions (2.8): each predicate over the probe columns of the tables
 def _text_counts(spark, sf_dir, pred):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources import files
-from .table import Table
+from .table import Staged, Table
 
 
 def check_metadata(metadata: dict, columns: list[str]) -> dict:
@@ -30,10 +30,9 @@ def check_metadata(metadata: dict, columns: list[str]) -> dict:
     return metadata
 
 
-def publish(table: Table, metadata: dict) -> dict:
-    """Attach metadata to the current version (a metadata-only commit)."""
-    check_metadata(metadata, table.columns())
-    return table.set_metadata(metadata)
+def publish(table: Table, metadata: dict) -> None:
+    """Attach metadata to a table; its data is not touched."""
+    table.set_metadata(check_metadata(metadata, table.columns()))
 
 
 PROFILE_SCHEMA = T.StructType([
@@ -47,7 +46,11 @@ PROFILE_SCHEMA = T.StructType([
     T.StructField("mode", T.StringType()),
 ])
 
-
+def written_profile(spark: SparkSession, staged: Staged, size_bytes: int) -> DataFrame:
+    """The :func:`output_profile` of a write, from what the write itself observed: nothing is read."""
+    nulls = {c: n for c, n in staged.nulls.items() if n}
+    return spark.createDataFrame([(staged.rows, size_bytes, ",".join(staged.schema.names), nulls)],
+                                 "rows long, size_bytes long, columns string, null_counts map<string,long>")
 
 
 def output_profile(df: DataFrame, size_bytes: int | None = None) -> DataFrame:

@@ -1,25 +1,27 @@
-"""Versioned Parquet table: append / overwrite / upsert, schema evolution,
-table metadata, time travel.
+"""A table as a folder of Parquet files: append / overwrite / upsert as Spark writes.
 
-No table-format jar is available, so a table is a folder of immutable
-Parquet data folders plus a small commit log:
+    <root>/data/<id>/[__part=<value>/]part-*.parquet
+    <root>/_table.json      which data folder is current, its columns, partitioning and metadata
 
-    <root>/data/<id>/part-*.parquet     written once by a Spark job, never modified
-    <root>/_log/<version>.json          one JSON object: version, op, dirs, metadata
-
-A version lists the data folders it consists of; the highest version is
-current. Append adds a folder, overwrite and merge point to a fresh one.
-The version's schema is in its log entry, so a read opens no footer to find
-it and appended columns line up by name. The driver writes the log entry
-aside and renames it into place after the data job has committed, so a
-failed job leaves an orphan data folder but never a half-visible version.
-A table has one writer at a time: two writers racing for a version number
-are told apart only where the store's rename is atomic.
+* overwrite writes a fresh folder and points to it;
+* append adds files to the current folder (Spark's append mode); columns
+  that are new are NULL in older files;
+* a merge of a partitioned table reads the partitions that the source
+  touches, upserts, and replaces just those with Spark's dynamic partition
+  overwrite: folders of other partitions keep their files. A merge that is
+  not keyed by the partition column rewrites the table into a fresh folder.
 
 ``stage`` + ``commit`` give write-audit-publish: the panel is written
 once, the quality gate reads the written files (no recomputation, and
 lineage is cut, so a lost executor re-reads files instead of re-running
-the pipeline) and only a passing table gets a version.
+the pipeline) and only a passing table is pointed to or merged. Row and
+null counts are observed by the write itself.
+
+A table has one writer at a time. Replacing the definition is one rename;
+a dynamic overwrite moves its partition folders one after the other when
+its job commits, so readers should not read a table that is being merged.
+With ``fingerprints`` the writes keep the order-free sums of
+:mod:`panelspark.operators.fingerprints` beside the data.
 """
 
 from __future__ import annotations
@@ -27,29 +29,18 @@ from __future__ import annotations
 import json
 import uuid
 import warnings
-from datetime import datetime, timezone
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.fingerprints import fingerprints
 from ..sources import files
 
 MODES = ("append", "overwrite", "merge")
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("op", T.StringType()),
-    T.StructField("dirs", T.ArrayType(T.StringType())),
-    T.StructField("metadata", T.StringType()),
-    T.StructField("rows", T.LongType()),
-    T.StructField("ts", T.StringType()),
-    T.StructField("parts", T.ArrayType(T.StringType())),
-    T.StructField("partition", T.StringType()),
-    T.StructField("schema", T.StringType()),
-])
-
 PART = "__part"
 
 
@@ -57,227 +48,190 @@ class MergeKeyError(ValueError):
     pass
 
 
+@dataclass
+class Staged:
+    """A written data folder that the table does not point to, and what its write observed."""
+    path: str
+    schema: T.StructType
+    rows: int
+    nulls: dict[str, int]
+
+
 class Table:
-    """A versioned table; optionally partitioned by ``partition_fn`` applied
-    to ``partition_col`` (SQL text with ``{}`` for the column, e.g.
-    ``"substring({}, 1, 4)"`` for the year of a date string).
-
-    Partitioned versions list leaf partition folders. A merge whose key
-    contains ``partition_col`` rewrites only the partitions the source
-    touches; every other partition folder is carried into the new version
-    by reference, so a monthly refresh costs the size of the refresh, not of
-    the table. The spec is stored in the log, so reopening needs no arguments.
+    """A table, optionally partitioned by ``partition_fn`` applied to
+    ``partition_col`` (SQL text with ``{}`` for the column, e.g.
+    ``"substring({}, 1, 4)"`` for the year of a date string). The partitioning
+    is kept in the table's definition, so reopening needs no arguments.
     """
 
     def __init__(self, spark: SparkSession, root: str, partition_col: str | None = None,
-                 partition_fn: str = "{}", sort_by: list[str] | None = None):
+                 partition_fn: str = "{}", sort_by: list[str] | None = None, fingerprints: bool = False):
         self.spark = spark
         self.sort_by = list(sort_by or [])
         self.root = root.rstrip("/")
-        self.log_dir = f"{self.root}/_log"
         self.partition_col = partition_col
         self.partition_fn = partition_fn
-        self._check_dups = True
-        self._staged: dict[str, T.StructType] = {}
-        cur = self.current()
-        if cur is not None and cur.get("partition"):
-            spec = json.loads(cur["partition"])
-            self.partition_col, self.partition_fn = spec["col"], spec["fn"]
+        self.fingerprints = fingerprints
+        cur = self.definition()
+        if cur is not None:
+            self.partition_col, self.partition_fn = cur["partition_col"], cur["partition_fn"]
+            self.fingerprints = cur["fingerprints"]
 
     @property
     def partitioned(self) -> bool:
         return self.partition_col is not None
 
-    # -- log ------------------------------------------------------------------
-    def _versions(self) -> list[int]:
-        return sorted(int(n[:-5]) for n in files.list_names(self.spark, self.log_dir)
-                      if n.endswith(".json") and n[:-5].isdigit())
+    # -- definition -------------------------------------------------------------
+    def definition(self) -> dict | None:
+        """Folder, columns, partitioning and metadata of the table; None before its first write."""
+        path = f"{self.root}/_table.json"
+        return json.loads(files.read_text(self.spark, path)) if files.exists(self.spark, path) else None
 
-    def current(self, version: int | None = None) -> dict | None:
-        versions = self._versions()
-        if not versions:
-            return None
-        v = versions[-1] if version is None else version
-        if v not in versions:
-            raise FileNotFoundError(f"version {v} of {self.root} does not exist")
-        return json.loads(files.read_text(self.spark, f"{self.log_dir}/{v:020d}.json"))
+    def _define(self, folder: str, schema: T.StructType, metadata: dict | None) -> None:
+        files.write_text(self.spark, f"{self.root}/_table.json", json.dumps({
+            "folder": folder.rsplit("/", 1)[1], "schema": schema.json(), "metadata": metadata, "fingerprints": self.fingerprints,
+            "partition_col": self.partition_col, "partition_fn": self.partition_fn}), overwrite=True)
 
-    def exists(self) -> bool:
-        return bool(self._versions())
-
-    def history(self) -> DataFrame:
-        rows = [self.current(v) for v in self._versions()]
-        for r in rows:
-            r.setdefault("parts", None)
-            r.setdefault("partition", None)
-            r.setdefault("schema", None)
-        return self.spark.createDataFrame(rows, LOG_SCHEMA) if rows else self.spark.createDataFrame([], LOG_SCHEMA)
-
-    def _commit(self, op: str, dirs: list[str], metadata: dict | None, rows: int | None,
-                prev: dict | None, parts: list[str] | None = None, schema: T.StructType | None = None) -> dict:
-        version = 0 if prev is None else prev["version"] + 1
-        meta = json.dumps(metadata) if metadata is not None else (prev or {}).get("metadata")
-        spec = json.dumps({"col": self.partition_col, "fn": self.partition_fn}) if self.partitioned else None
-        entry = {"version": version, "op": op, "dirs": dirs, "metadata": meta, "rows": rows,
-                 "ts": datetime.now(timezone.utc).isoformat(), "parts": parts, "partition": spec,
-                 "schema": schema.json() if schema is not None else (prev or {}).get("schema")}
-        files.write_text(self.spark, f"{self.log_dir}/{version:020d}.json", json.dumps(entry))
-        return entry
-
-    # -- read -------------------------------------------------------------------
-    def _read_dirs(self, dirs: list[str], schema: T.StructType) -> DataFrame:
-        # leaf folders are passed directly, so no partition column is inferred:
-        # the partition value is a function of a column the files still hold
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*dirs)
-
-    def schema(self, version: int | None = None) -> T.StructType:
-        """Columns of a version, from the log: no file is opened."""
-        cur = self.current(version)
+    def _current(self) -> dict:
+        cur = self.definition()
         if cur is None:
             raise FileNotFoundError(f"no table at {self.root}")
-        return T.StructType.fromJson(json.loads(cur["schema"]))
+        return cur
 
-    def columns(self, version: int | None = None) -> list[str]:
-        return self.schema(version).names
+    def exists(self) -> bool:
+        return files.exists(self.spark, f"{self.root}/_table.json")
 
-    def read(self, version: int | None = None, with_comments: bool = True,
-             between: tuple | None = None) -> DataFrame:
-        """A version. ``between`` keeps rows whose partition column is in the
-        closed range; only the folders that can hold such rows are read
-        (``partition_fn`` must be non-decreasing, as a prefix of a date is)."""
-        cur = self.current(version)
-        if cur is None:
-            raise FileNotFoundError(f"no table at {self.root}")
-        schema = T.StructType.fromJson(json.loads(cur["schema"]))
-        if between is None:
-            df = self._read_dirs(cur["dirs"], schema)
-        elif not self.partitioned:
-            raise ValueError(f"{self.root} is not partitioned")
-        else:
-            ends = [F.lit(x).cast(schema[self.partition_col].dataType).alias("x") for x in between]
-            fn = F.expr(self.partition_fn.format("x")).cast("string")
-            low, high = (self.spark.range(1).select(e).select(fn).first()[0] for e in ends)
-            value = [p.split("=", 1)[1] for p in cur["parts"]]
-            df = self._read_dirs([d for v, d in zip(value, cur["dirs"]) if low <= v <= high], schema)
-            df = df.where(F.col(f"`{self.partition_col}`").between(*between))
-        if with_comments and cur.get("metadata"):
-            descs = json.loads(cur["metadata"]).get("column_descriptions") or {}
-            if isinstance(descs, str):
-                descs = json.loads(descs)
-            for c, d in descs.items():
-                if c in df.columns:
-                    df = df.withMetadata(c, {"comment": d})
-        return df
+    def folder(self) -> str:
+        return f"{self.root}/data/{self._current()['folder']}"
+
+    def schema(self) -> T.StructType:
+        """Columns of the table, from its definition: no file is opened."""
+        return T.StructType.fromJson(json.loads(self._current()["schema"]))
+
+    def columns(self) -> list[str]:
+        return self.schema().names
 
     def metadata(self) -> dict | None:
-        cur = self.current()
-        return json.loads(cur["metadata"]) if cur and cur.get("metadata") else None
+        return self._current()["metadata"]
+
+    def set_metadata(self, metadata: dict) -> None:
+        self._define(self.folder(), self.schema(), metadata)
+
+    # -- read -------------------------------------------------------------------
+    def _read(self, folder: str, schema: T.StructType, partition: bool = False) -> DataFrame:
+        whole = T.StructType([*schema.fields, T.StructField(PART, T.StringType())]) if self.partitioned else schema
+        df = self.spark.read.schema(whole).parquet(folder)
+        return df if partition or not self.partitioned else df.drop(PART)
+
+    def read(self, with_comments: bool = True, partition: bool = False) -> DataFrame:
+        """The table; with ``partition`` also its partition column ``__part``, a
+        filter on which leaves out whole folders."""
+        df = self._read(self.folder(), self.schema(), partition)
+        descs = (self.metadata() or {}).get("column_descriptions") or {} if with_comments else {}
+        for c, d in (json.loads(descs) if isinstance(descs, str) else descs).items():
+            if c in df.columns:
+                df = df.withMetadata(c, {"comment": d})
+        return df
+
+    def read_fingerprints(self) -> DataFrame:
+        """(__part, bucket, rows, h1, h2), to be summed: see :mod:`panelspark.operators.fingerprints`."""
+        folder = f"{self.folder()}{FINGERPRINTS}"
+        if not self.fingerprints:
+            raise FileNotFoundError(f"{self.root} keeps no fingerprints")
+        return self.spark.read.schema(f"bucket int, rows long, h1 decimal(38,0), h2 decimal(38,0), {PART} string").parquet(folder)
+
+    def read_staged(self, staged: Staged) -> DataFrame:
+        """The rows of a staged folder, as the table will expose them; no rows if nothing was written."""
+        return self._read(staged.path, staged.schema)
 
     # -- write ------------------------------------------------------------------
-    def _new_dir(self) -> str:
-        return f"{self.root}/data/{uuid.uuid4().hex}"
+    def _parted(self, df: DataFrame) -> DataFrame:
+        # an empty text is stored as NULL by Spark's partitioned writes
+        part = F.expr(f"nullif(CAST({self.partition_fn.format(_quoted(self.partition_col))} AS STRING), '')")
+        return df.withColumn(PART, part)
 
-    def _write(self, df: DataFrame, path: str) -> None:
+    def _write(self, df: DataFrame, path: str, mode: str = "errorifexists", observed: Observation | None = None) -> None:
         """Rebalance on the partition value (AQE splits a hot partition, merges
         small ones) so each partition gets few, full files; then sort within
         files by ``sort_by`` (NULLs last) for tight min/max statistics."""
-        order = [F.col(f"`{c}`").asc_nulls_last() for c in self.sort_by]
-        if self.partitioned:
-            part = F.expr(self.partition_fn.format(f"`{self.partition_col}`")).cast("string")
-            out = df.withColumn(PART, part).hint("rebalance", PART)
-            out = out.sortWithinPartitions(*order) if order else out
-            out.write.mode("errorifexists").partitionBy(PART).parquet(path)
-        else:
-            out = df.hint("rebalance").sortWithinPartitions(*order) if order else df
-            out.write.mode("errorifexists").parquet(path)
-
-    def _leaves(self, path: str) -> tuple[list[str], list[str]]:
-        """(partition names, leaf folders) of a written partitioned folder."""
-        names = [n for n in files.list_names(self.spark, path) if n.startswith(f"{PART}=")]
-        return names, [f"{path}/{n}" for n in names]
-
-    def read_staged(self, staged: str) -> DataFrame:
-        """The rows of a staged folder, as a version will expose them; no rows if nothing was written."""
-        return self._read_dirs(self._leaves(staged)[1] if self.partitioned else [staged], self._staged[staged])
-
-    def stage(self, df: DataFrame) -> str:
-        """Write ``df`` to a fresh data folder that no version references yet."""
-        path = self._new_dir()
-        self._write(df, path)
-        self._staged[path] = df.schema
-        return path
+        order = [F.col(_quoted(c)).asc_nulls_last() for c in self.sort_by]
+        names = df.columns
+        out = self._parted(df).hint("rebalance", PART) if self.partitioned else df.hint("rebalance") if order else df
+        out = out.sortWithinPartitions(*order) if order else out
+        if observed is not None:  # in the stage that writes, where each row counts once
+            out = out.observe(observed, F.count(F.lit(1)).alias("rows"),
+                              *[F.count_if(F.col(_quoted(c)).isNull()).alias(f"n{i}") for i, c in enumerate(names)])
+        writer = out.write.mode("overwrite" if mode == "dynamic" else mode)
+        if mode == "dynamic":
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+        (writer.partitionBy(PART) if self.partitioned else writer).parquet(path)
+
+    def _keep_sums(self, df: DataFrame, path: str, mode: str) -> None:
+        """The fingerprints of ``df``, whose rows were written to ``path`` by ``mode``."""
+        if not self.fingerprints:
+            return
+        sums = fingerprints(self._parted(df) if self.partitioned else df.withColumn(PART, F.lit(None).cast("string")), PART)
+        writer = sums.write.mode("overwrite" if mode == "dynamic" else mode).partitionBy(PART)
+        (writer.option("partitionOverwriteMode", "dynamic") if mode == "dynamic" else writer).parquet(f"{path}{FINGERPRINTS}")
+
+    def stage(self, df: DataFrame) -> Staged:
+        """Write ``df`` to a fresh data folder that the table does not point to yet."""
+        path = f"{self.root}/data/{uuid.uuid4().hex}"
+        seen = Observation()
+        self._write(df, path, observed=seen)
+        found = seen.get
+        return Staged(path, df.schema, found["rows"], {c: found[f"n{i}"] for i, c in enumerate(df.columns)})
 
     def write(self, df: DataFrame, mode: str = "append", key: list[str] | str | None = None,
-              metadata: dict | None = None) -> dict | None:
+              metadata: dict | None = None) -> Staged | None:
         check_mode(mode, key)
         if mode == "overwrite":
             warnings.warn(f"overwriting {self.root}: all existing data will be replaced", stacklevel=2)
-        staged = self.stage(df)  # the plan runs once; emptiness is read from the written files
-        if self.read_staged(staged).isEmpty():
+        staged = self.stage(df)  # the plan runs once
+        if not staged.rows:
             return None  # zero rows: no-op in every mode, overwrite included (folder stays unreferenced)
-        return self.commit(staged, mode, key, metadata)
-
-    def commit(self, staged: str, mode: str = "append", key: list[str] | str | None = None,
-               metadata: dict | None = None, rows: int | None = None, keys_unique: bool = False) -> dict:
-        """Make a staged folder (part of) the next version. ``keys_unique``
-        skips the merge's duplicate-source-key pass when the caller has
-        already proven the key unique (the quality gate does)."""
+        self.commit(staged, mode, key, metadata)
+        return staged
+
+    def commit(self, staged: Staged, mode: str = "append", key: list[str] | str | None = None,
+               metadata: dict | None = None, keys_unique: bool = False) -> None:
+        """Make a staged folder (part of) the table. ``keys_unique`` skips the
+        merge's duplicate-source-key pass when the caller has already proven
+        the key unique (the quality gate does)."""
         check_mode(mode, key)
-        self._check_dups = not keys_unique
-        prev = self.current()
-        if self.partitioned:
-            return self._commit_partitioned(staged, mode, key, metadata, rows, prev)
-        schema = self._staged[staged]
-        if prev is None:
-            return self._commit("create", [staged], metadata, rows, None, schema=schema)
-        if mode == "append":
-            return self._commit("append", list(prev["dirs"]) + [staged], metadata, rows, prev,
-                                schema=evolved(self.schema(), schema))
-        if mode == "overwrite":
-            return self._commit("overwrite", [staged], metadata, rows, prev, schema=schema)
-        keys = [key] if isinstance(key, str) else list(key)
-        merged = upsert(self.read(with_comments=False), self.read_staged(staged), keys, check_duplicates=self._check_dups)
-        path = self._new_dir()
-        merged.write.mode("errorifexists").parquet(path)
-        return self._commit("merge", [path], metadata, None, prev, schema=merged.schema)
-
-    def _commit_partitioned(self, staged, mode, key, metadata, rows, prev) -> dict:
-        names, leaves = self._leaves(staged)
-        schema = self._staged[staged]
-        if prev is None:
-            return self._commit("create", leaves, metadata, rows, None, names, schema)
-        old_parts = prev.get("parts") or []
-        if mode == "overwrite":
-            return self._commit("overwrite", leaves, metadata, rows, prev, names, schema)
-        whole = evolved(self.schema(), schema)
+        cur = self.definition()
+        metadata = metadata if metadata is not None else (cur or {}).get("metadata")
+        new = self.read_staged(staged)
+        if cur is None or mode == "overwrite":
+            self._keep_sums(new, staged.path, "errorifexists")
+            return self._define(staged.path, staged.schema, metadata)
+        folder, old = self.folder(), self.schema()
+        whole = evolved(old, staged.schema)
         if mode == "append":
-            return self._commit("append", list(prev["dirs"]) + leaves, metadata, rows, prev, old_parts + names, whole)
+            self._write(new, folder, "append")
+            self._keep_sums(new, folder, "append")
+            return self._define(folder, whole, metadata)
         keys = [key] if isinstance(key, str) else list(key)
-        if self.partition_col not in keys:
-            # a source row could match a target row in another partition: merge everything
-            touched = set(old_parts) | set(names)
-        else:
-            touched = set(names)
-        keep = [(p, d) for p, d in zip(old_parts, prev["dirs"]) if p not in touched]
-        rewrite = [d for p, d in zip(old_parts, prev["dirs"]) if p in touched]
-        if not rewrite:  # only new partitions: the staged folders are the result
-            new_names, new_leaves = names, leaves
-        else:
-            merged = upsert(self._read_dirs(rewrite, self.schema()), self._read_dirs(leaves, schema), keys,
-                            check_duplicates=self._check_dups)
-            path = self._new_dir()
-            self._write(merged, path)
-            new_names, new_leaves = self._leaves(path)
-        return self._commit("merge", [d for _p, d in keep] + new_leaves, metadata, None, prev,
-                            [p for p, _d in keep] + new_names, whole)
-
-    def set_metadata(self, metadata: dict) -> dict:
-        prev = self.current()
-        if prev is None:
-            raise FileNotFoundError(f"no table at {self.root}")
-        return self._commit("set_metadata", list(prev["dirs"]), metadata, prev.get("rows"), prev, prev.get("parts"))
+        target = self._read(folder, old, partition=True)
+        if not self.partitioned or self.partition_col not in keys:
+            # a source row can match a target row of any partition: all of it is rewritten
+            fresh = f"{self.root}/data/{uuid.uuid4().hex}"
+            self._write(upsert(target.drop(PART), new, keys, check_duplicates=not keys_unique), fresh)
+            self._keep_sums(self._read(fresh, whole), fresh, "errorifexists")
+            return self._define(fresh, whole, metadata)
+        touched = [r[0] for r in self._read(staged.path, staged.schema, partition=True).select(PART).distinct().collect()]
+        among = F.col(PART).isin([t for t in touched if t is not None]) | (F.col(PART).isNull() if None in touched else F.lit(False))
+        self._write(upsert(target.where(among).drop(PART), new, keys, check_duplicates=not keys_unique), folder, "dynamic")
+        self._keep_sums(self._read(folder, whole, partition=True).where(among).drop(PART), folder, "dynamic")
+        self._define(folder, whole, metadata)
+
+
+#: A data folder's fingerprints stand beside it, under its name and this.
+FINGERPRINTS = "-fingerprints"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def evolved(old: T.StructType, new: T.StructType) -> T.StructType:

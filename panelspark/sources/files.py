@@ -76,23 +76,26 @@ def first_line(spark: SparkSession, path: str) -> str | None:
 
 def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
     """Write a small file aside, then rename it into place: a reader sees the
-    whole file or none. With ``overwrite=False`` an existing file raises; where
-    the store has no atomic rename the check is not atomic either, so a table
-    must have a single writer at a time."""
+    whole file or none, or with ``overwrite`` the old one or the new. With
+    ``overwrite=False`` an existing file raises; where the store has no atomic
+    rename the check is not atomic either, so a table must have a single
+    writer at a time."""
     fs, p = _fs(spark, path)
     jvm = spark.sparkContext._jvm
+    p = fs.makeQualified(p)
     aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
     out = fs.create(aside, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        if not overwrite:
-            fs.delete(aside, False)
-            raise FileExistsError(path)
-        fs.delete(p, False)
-    if not fs.rename(aside, p):
+    if overwrite:
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), conf).rename(aside, p, options)
+    elif fs.exists(p) or not fs.rename(aside, p):
         fs.delete(aside, False)
         raise FileExistsError(path)
 

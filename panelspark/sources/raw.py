@@ -76,9 +76,9 @@ def asset_metadata(df: DataFrame) -> dict | None:
     return None
 
 
-def load_table(spark: SparkSession, tables_root: str, name: str, version: int | None = None) -> DataFrame:
-    """A published dataset (current or given version); error if absent."""
+def load_table(spark: SparkSession, tables_root: str, name: str) -> DataFrame:
+    """A published dataset; error if absent."""
     table = Table(spark, f"{tables_root.rstrip('/')}/{name}")
     if not table.exists():
         raise FileNotFoundError(f"{table.root} holds no table")
-    return table.read(version)
+    return table.read()
