@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import specs
+from ..sources import files
+from ..sources.raw import landing_path
 
 SHIFT_MONTHS = 240
 
@@ -236,20 +238,16 @@ def wide_metrics(spark: SparkSession, sf_dir: str, families: list[str], grain: s
 # Landed raw files, memoised per (workspace, tables folder, grain).
 _LANDED: dict[tuple[str, str, str], str] = {}
 _LAND_LOCK = threading.Lock()
-LANDING_VERSION = "v5"
-
-
-def raw_path(raw_root: str, prefix: str, grain: str) -> str:
-    """Landing layout: ``<raw_root>/<grain>/metric=<prefix>/part-*.csv``."""
-    return f"{raw_root.rstrip('/')}/{grain}/metric={prefix}"
+LANDING_VERSION = "v6"
 
 
 def land_raw(spark: SparkSession, sf_dir: str, grains=None) -> str:
     """Land every (metric, grain) wide file as CSV, once per workspace.
 
     Per grain: one aggregation computes all 21 metrics per (region, month),
-    one pivot makes a wide row per (region, metric), and one write job lays
-    the rows out partitioned by metric. Returns the raw root.
+    one pivot makes a wide row per (region, metric), and one write job for
+    each header lays the rows out by metric; the metrics' folders then get
+    their names in the landing zone (``landing_path``). Returns that folder.
     """
     from ..session import workspace
     from ..sources.wide_csv import CSV_WRITE_OPTIONS
@@ -281,6 +279,7 @@ def _land(spark, sf_dir, grains, ws, csv_options) -> str:
         wide.write.mode("overwrite").parquet(staged)
         wide = spark.read.parquet(staged)
         ids = [c for c in wide.columns if c not in months]
+        staged = f"{root}/_staged/{grain}"
         headers: dict[tuple, list[str]] = {}
         for fam in specs.FAMILIES.values():
             for prefix, col in fam.variants.items():
@@ -290,7 +289,10 @@ def _land(spark, sf_dir, grains, ws, csv_options) -> str:
             # one per shuffle partition) and splits a metric if it is large
             part = wide.where(F.col("metric").isin(prefixes)).select(*ids, *[F.col(f"`{m}`") for m in header])
             (part.hint("rebalance", "metric").write.mode("append" if k else "overwrite").partitionBy("metric")
-             .options(**csv_options).csv(f"{root}/{grain}"))
+             .options(**csv_options).csv(staged))
+        for name in files.list_names(spark, staged):
+            if name.startswith("metric="):
+                files.rename(spark, f"{staged}/{name}", landing_path(root, name.removeprefix("metric="), grain))
         return grain
 
     # grains are independent: land them as concurrent jobs

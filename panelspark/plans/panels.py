@@ -7,7 +7,8 @@ metadata -> output profile.
 
 from __future__ import annotations
 
-import re
+import warnings
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,9 +21,12 @@ from ..functions.scalars import to_double
 from ..operators.reshape import (date_columns, id_columns, melt, melt_multi, merge_variants_packed, merge_variants_union,
                                  normalize_header_date)
 from ..operators.standardize import standardize
-from ..sinks.publish import check_metadata, log_output
-from ..sources import files
+from ..sinks.publish import check_metadata, log_error, log_output
 from ..sinks.table import Table
+from ..sources import files
+from ..sources.catalog import MANIFEST_SCHEMA, pending_files
+from ..sources.raw import landed_metrics, landing_path
+from ..sources.wide_csv import read_wide_csv
 
 
 @dataclass
@@ -168,30 +172,17 @@ def fixture_family(spark: SparkSession, sf_dir: str, family: str, root: str, *,
 
 def load_variants(spark: SparkSession, family: specs.Family, grain: str, raw_root: str):
     """``[(wide_df or None, value_col)]``: a missing file yields None (skipped)."""
-    from ..sources.wide_csv import read_wide_csv
-    from .fixtures import raw_path
-
     out = []
     for prefix, col in family.variants.items():
-        path = raw_path(raw_root, prefix, grain)
+        path = landing_path(raw_root, prefix, grain)
         out.append((read_wide_csv(spark, path) if files.exists(spark, path) else None, col))
     return out
 
 
-def run_family(spark: SparkSession, family: str, raw_root: str, root: str, *, grains=None,
-               min_rows: int | None = None, mode: str = "merge", ledger_root: str | None = None,
-               parallel: int = 5) -> dict:
-    """Production entry: one family at every grain from landed wide CSVs.
-
-    The grain tables are independent, so their pipelines are submitted from
-    ``parallel`` driver threads as concurrent jobs of one application: plan
-    building overlaps and the executors stay busy. A failure (e.g. a quality
-    gate) is raised after the other grains finish: the error itself if it is
-    the only one, else all of them; either way it has the finished tables as
-    ``tables``. Empty panels are skipped.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
+def _run_grains(spark: SparkSession, family: str, raw_root: str, root: str, grains, min_rows, mode, ledger_root,
+                parallel: int) -> tuple[dict, dict]:
+    """(results, errors) of a family by grain: the grain tables are independent, so their pipelines are
+    submitted from ``parallel`` driver threads as concurrent jobs of one application."""
     fam = specs.FAMILIES[family]
 
     def one(grain):
@@ -199,17 +190,25 @@ def run_family(spark: SparkSession, family: str, raw_root: str, root: str, *, gr
         return run_panel(spark, fam, grain, frames, root, mode=mode, min_rows=min_rows,
                          check_empty=False, ledger_root=ledger_root)
 
-    grains = list(grains or specs.GRAINS)
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(grains)))) as pool:
         futures = {g: pool.submit(one, g) for g in grains}
-    out, errors = {}, []
-    for grain, fut in futures.items():
-        if fut.exception() is not None:
-            fut.exception().add_note(f"{family}, {grain}")
-            errors.append(fut.exception())
-        elif fut.result() is not None:
-            out[grain] = fut.result()
-    _raise(errors, out)
+    errors = {g: f.exception() for g, f in futures.items() if f.exception() is not None}
+    for grain, e in errors.items():
+        e.add_note(f"{family}, {grain}")
+    return {g: f.result() for g, f in futures.items() if g not in errors and f.result() is not None}, errors
+
+
+def run_family(spark: SparkSession, family: str, raw_root: str, root: str, *, grains=None,
+               min_rows: int | None = None, mode: str = "merge", ledger_root: str | None = None,
+               parallel: int = 5) -> dict:
+    """Production entry: one family at every grain from landed wide CSVs.
+
+    A failure (e.g. a quality gate) is raised after the other grains finish:
+    the error itself if it is the only one, else all of them; either way it
+    has the finished tables as ``tables``. Empty panels are skipped.
+    """
+    out, errors = _run_grains(spark, family, raw_root, root, list(grains or specs.GRAINS), min_rows, mode, ledger_root, parallel)
+    _raise(list(errors.values()), out)
     return out
 
 
@@ -221,15 +220,56 @@ def _raise(errors: list[Exception], tables: dict) -> None:
         raise PanelErrors("panels failed", errors, tables)
 
 
-def _landed_pairs(paths) -> dict[tuple[str, str], list[str]]:
-    """(family, grain) of each landed file."""
+def landed_tables(paths) -> tuple[dict[tuple[str, str], list[str]], list[str]]:
+    """(landed files by (family, grain), files that belong to no family)."""
     family_of = {prefix: f.name for f in specs.FAMILIES.values() for prefix in f.variants}
+    found, other = landed_metrics(paths, family_of, specs.GRAINS)
     out: dict[tuple[str, str], list[str]] = {}
-    for p in paths:
-        m = re.search(r"/([^/]+)/metric=([^/]+)/[^/]+$", p)
-        if m and m[2] in family_of:
-            out.setdefault((family_of[m[2]], m[1]), []).append(p)
-    return out
+    for (metric, grain), its in found.items():
+        out.setdefault((family_of[metric], grain), []).extend(its)
+    return out, other
+
+
+def rebuild(spark: SparkSession, raw_root: str, tables_root: str, wanted, pending: dict[tuple[str, str], list], *,
+            min_rows: int | None = None, mode: str = "merge", ledger_root: str | None = None,
+            run_id: str = "local-run") -> tuple[dict, dict]:
+    """Build the ``wanted`` (family, grain) tables; (results, errors) by table.
+
+    Families run as concurrent jobs. The ``pending`` files (manifest rows) of
+    a table enter the manifest after it has succeeded, so those of a failed
+    one are tried again; a failure hides no other table. The error ledger
+    gets a row for each failed table, with the names of its pending files.
+    """
+    todo: dict[str, list[str]] = {}
+    for family, grain in wanted:
+        todo.setdefault(family, []).append(grain)
+    if not todo:
+        return {}, {}
+    with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+        futures = {f: pool.submit(_run_grains, spark, f, raw_root, tables_root, gs, min_rows, mode, ledger_root, 5)
+                   for f, gs in todo.items()}
+    tables, errors = {}, {}
+    for family, future in futures.items():
+        done, failed = future.result()
+        tables.update({(family, g): r for g, r in done.items()})
+        errors.update({(family, g): e for g, e in failed.items()})
+    kept = [r for key, rows in pending.items() if key in set(wanted) and key not in errors for r in rows]
+    if kept:
+        spark.createDataFrame(kept, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest_path(tables_root))
+    for (family, grain), e in errors.items() if ledger_root else ():
+        names = sorted(r["path"] for r in pending.get((family, grain), []))
+        log_error(spark, ledger_root, e, {"family": family, "grain": grain, "files": names}, run_id)
+    return tables, errors
+
+
+def manifest_path(tables_root: str) -> str:
+    return f"{tables_root.rstrip('/')}/_manifest"
+
+
+def read_manifest(spark: SparkSession, tables_root: str) -> DataFrame | None:
+    """(path, size, mtime) of the landed files that published tables hold; None before the first."""
+    path = manifest_path(tables_root)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path) if files.exists(spark, path) else None
 
 
 def run_all(spark: SparkSession, raw_root: str, tables_root: str, *, ingest: bool = True, transform: bool = True,
@@ -237,45 +277,29 @@ def run_all(spark: SparkSession, raw_root: str, tables_root: str, *, ingest: boo
             ledger_root: str | None = None) -> dict:
     """All families x all grains, with ingest-only / transform-only switches.
 
-    ``ingest`` compares the landing zone with the manifest under
-    ``tables_root``; then ``transform`` rebuilds only the (family, grain)
-    tables that have a new or refreshed file, and their files enter the
-    manifest after the table has succeeded, so a failed one is tried again.
-    Without ``ingest`` every table is built. Families run as concurrent
-    jobs; failures are raised after all have finished, with the finished
-    tables as ``tables``. Returns ``{"ingested": pending files, "tables":
-    {(family, grain): PanelResult}}``.
+    ``raw_root`` holds ``<metric>_<grain>.csv`` files or folders. ``ingest``
+    compares it with the manifest under ``tables_root``; then ``transform``
+    rebuilds only the (family, grain) tables that have a new or refreshed
+    file (see :func:`rebuild`). Without ``ingest`` every table is built.
+    Failures are raised after all have finished, with the finished tables as
+    ``tables``. Regions that a refreshed file no longer has stay in their
+    table unless ``mode`` is "overwrite". Returns ``{"ingested": pending files,
+    "tables": {(family, grain): PanelResult}, "unknown": landed .csv files
+    of no family}``; the latter never enter the manifest.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from ..sources.catalog import MANIFEST_SCHEMA, pending_files
-
     root = tables_root.rstrip("/")
-    manifest = f"{root}/_manifest"
-    out: dict = {"ingested": 0, "tables": {}}
-    wanted = {f: list(grains or specs.GRAINS) for f in families or specs.FAMILIES}
+    wanted = [(f, g) for f in families or specs.FAMILIES for g in grains or specs.GRAINS]
     pending: dict[tuple[str, str], list] = {}
+    out: dict = {"ingested": 0, "tables": {}, "unknown": []}
     if ingest:
-        done = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest) if files.exists(spark, manifest) else None
-        found = {r["path"]: r for r in pending_files(spark, raw_root, done, suffix=".csv").collect()}  # one per file
-        out["ingested"] = len(found)
-        pending = {k: [found[p] for p in v] for k, v in _landed_pairs(found).items()}
-        wanted = {f: [g for g in gs if (f, g) in pending] for f, gs in wanted.items()}
-    if transform and any(wanted.values()):
-        todo = {f: gs for f, gs in wanted.items() if gs}
-        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-            futures = {f: pool.submit(run_family, spark, f, raw_root, root, grains=gs, min_rows=min_rows,
-                                      mode=mode, ledger_root=ledger_root) for f, gs in todo.items()}
-        errors, failed = [], set()
-        for fam, fut in futures.items():
-            e = fut.exception()
-            tables = fut.result() if e is None else getattr(e, "tables", {})
-            if e is not None:
-                errors += e.exceptions if isinstance(e, PanelErrors) else [e]
-                failed |= {(fam, g) for g in todo[fam] if g not in tables}
-            out["tables"].update({(fam, g): r for g, r in tables.items()})
-        kept = [r for (f, g), rows in pending.items() if g in todo.get(f, ()) and (f, g) not in failed for r in rows]
-        if kept:
-            spark.createDataFrame(kept, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(manifest)
-        _raise(errors, out["tables"])
+        found = {r["path"]: r for r in pending_files(spark, raw_root, read_manifest(spark, root), suffix=".csv").collect()}  # one per file
+        by_table, out["unknown"] = landed_tables(found)
+        out["ingested"] = len(found) - len(out["unknown"])
+        pending = {k: [found[p] for p in v] for k, v in by_table.items()}
+        wanted = [w for w in wanted if w in pending]
+        if out["unknown"]:
+            warnings.warn(f"no family reads {len(out['unknown'])} landed files, the first is {out['unknown'][0]}", stacklevel=2)
+    if transform:
+        out["tables"], errors = rebuild(spark, raw_root, root, wanted, pending, min_rows=min_rows, mode=mode, ledger_root=ledger_root)
+        _raise(list(errors.values()), out["tables"])
     return out

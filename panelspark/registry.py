@@ -16,7 +16,7 @@ from .operators import reshape as R
 from .operators import standardize as ST
 from .plans import derived as DV
 from .plans import oracles as O
-from .plans.fixtures import land_raw, raw_path, read
+from .plans.fixtures import land_raw, read
 from .plans.panels import fixture_family, union_grains
 from .session import scratch
 from .sinks import raw as SR
@@ -25,7 +25,7 @@ from .sinks.table import Table, upsert
 from .sources import catalog as CAT
 from .sources import raw as RAW
 from .sources.wide_csv import read_wide_csv
-from .streaming.ingest import ingest_incremental, read_manifest
+from .streaming.ingest import ingest_incremental
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -63,7 +63,7 @@ PREFIX_OF = {col: prefix for fam in specs.FAMILIES.values() for prefix, col in f
 
 def _wide(spark, sf_dir, col, grain):
     root = land_raw(spark, sf_dir, [grain])
-    return read_wide_csv(spark, raw_path(root, PREFIX_OF[col], grain))
+    return read_wide_csv(spark, RAW.landing_path(root, PREFIX_OF[col], grain))
 
 
 def _long(spark, sf_dir, col, grain):
@@ -84,9 +84,9 @@ def _frames(spark, sf_dir, family, grain):
 def q_scan_wide_csv(spark, sf_dir):
     """All 21 metric files of the metro grain: a scan for each of their two headers."""
     root = land_raw(spark, sf_dir, ["metro"])
-    wide = read_wide_csv(spark, f"{root}/metro", source_col="_source")
+    wide = read_wide_csv(spark, RAW.landing_path(root, "*", "metro"), source_col="_source")
     long = R.melt(wide, "v").select(
-        F.regexp_extract("_source", r"metric=([^/]+)", 1).alias("metric"), "RegionID", S.to_double("v").alias("v"))
+        F.regexp_extract("_source", r"([^/]+)_metro[.]csv", 1).alias("metric"), "RegionID", S.to_double("v").alias("v"))
     return long.groupBy("metric").agg(F.count_distinct("RegionID").alias("regions"), F.count("v").alias("cells"),
                                       F.min("v").alias("min_v"), F.max("v").alias("max_v"))
 
@@ -97,9 +97,9 @@ def q_scan_wide_csv(spark, sf_dir):
     for c in FAMILY_OF))
 def q_scan_raw_text(spark, sf_dir):
     root = land_raw(spark, sf_dir, ["zip"])
-    lines = RAW.scan_text(spark, f"{root}/zip")
+    lines = RAW.scan_text(spark, RAW.landing_path(root, "*", "zip"))
     data = lines.where(~F.col("text").startswith("RegionID,"))
-    return (data.withColumn("metric", F.regexp_extract("path", r"metric=([^/]+)", 1))
+    return (data.withColumn("metric", F.regexp_extract("path", r"([^/]+)_zip[.]csv", 1))
             .groupBy("metric").agg(F.count(F.lit(1)).alias("lines"),
                                    F.count_if("valid_utf8").alias("valid_utf8")))
 
@@ -146,22 +146,19 @@ def q_load_table(spark, sf_dir):
 
 @register("catalog_manifest", " UNION ALL ".join(
     f"SELECT '{c.dataset_id}_{g}' AS key, '{c.dataset_id}' AS dataset_id, '{g}' AS grain, "
-    f"'{c.folder}/{c.pattern.replace('{region}', r)}' AS path, "
+    f"'{c.folder}/{c.pattern.replace('{region}', r)}' AS path, '{c.dataset_id}_{g}.csv' AS landing, "
     f"(SELECT count(DISTINCT RegionID) FROM ({O.cells_sql(g, [FAMILY_COL])}) WHERE {FAMILY_COL} IS NOT NULL) AS regions"
     for c in specs.CATALOG
     for FAMILY_COL in [dict((p, col) for fam in specs.FAMILIES.values() for p, col in fam.variants.items())[c.dataset_id]]
     for g, r in zip(specs.GRAINS, ["Metro", "State", "County", "City", "Zip"])))
 def q_catalog_manifest(spark, sf_dir):
     root = land_raw(spark, sf_dir)
-    landed = []
-    for grain in specs.GRAINS:
-        lines = spark.read.text(f"{root}/{grain}").where(F.col("value").rlike("^-?[0-9]+,"))  # names hold line breaks
-        landed.append(lines.groupBy(F.col("metric").alias("dataset_id")).agg(F.count(F.lit(1)).alias("regions"))
-                      .withColumn("grain", F.lit(grain)))
-    counts = reduce(lambda a, b: a.unionByName(b), landed)
+    lines = spark.read.text(RAW.landing_path(root, "*", "*")).where(F.col("value").rlike("^-?[0-9]+,"))  # names hold line breaks
+    counts = lines.groupBy(F.concat(F.regexp_extract("_metadata.file_path", r"([^/]+[.]csv)/", 1)).alias("landing")).agg(
+        F.count(F.lit(1)).alias("regions"))
     cat = CAT.catalog_manifest(spark)
-    return cat.join(counts, ["dataset_id", "grain"], "left").select(
-        "key", "dataset_id", "grain", "path", F.coalesce("regions", F.lit(0)).cast("long").alias("regions"))
+    return cat.join(counts, "landing", "left").select(
+        "key", "dataset_id", "grain", "path", "landing", F.coalesce("regions", F.lit(0)).cast("long").alias("regions"))
 
 
 # ---------------------------------------------------------------------------
@@ -837,26 +834,23 @@ def q_request_summary(spark, sf_dir):
 
 
 @register("ingest_incremental", " UNION ALL ".join(
-    f"SELECT '{g}' AS grain, '{PREFIX_OF[c]}' AS metric, "
-    f"(SELECT count(DISTINCT RegionID) FROM ({O.cells_sql(g, [c])}) WHERE {c} IS NOT NULL) AS regions, "
-    "CAST(0 AS BIGINT) AS second_run_new"
-    for g in specs.GRAINS for c in FAMILY_OF))
+    f"SELECT '{specs.FAMILIES[f].dataset_id(g)}' AS dataset, (SELECT count(*) FROM ({O.panel_grain_sql(f, g, with_grain_col=False)})) AS rows, "
+    + " + ".join(f"CAST((SELECT count({c}) > 0 FROM ({O.cells_sql(g, [c])})) AS BIGINT)" for c in specs.FAMILIES[f].value_columns)
+    + " AS metrics, CAST(0 AS BIGINT) AS second_run_tables, CAST(0 AS BIGINT) AS batch_run_tables"
+    for f in specs.FAMILIES for g in specs.GRAINS))
 def q_ingest_incremental(spark, sf_dir):
-    """Two availableNow runs over the landed raw zone: the second finds nothing
-    new. Per (grain, metric): data lines of the files the stream ingested."""
-    raw = land_raw(spark, sf_dir)
-    work = scratch(spark, "ingest")
-    ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
-    second = ingest_incremental(spark, raw, f"{work}/manifest", f"{work}/_checkpoint", glob="*.csv")
-    ingested = read_manifest(spark, f"{work}/manifest").select("path")
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(raw)
-             .select("value", F.col("_metadata.file_path").alias("path"))
-             .join(ingested, "path", "left_semi")  # only files the stream recorded
-             .where(F.col("value").rlike("^-?[0-9]+,")))  # a record's first line: names hold line breaks
-    return (lines.select(F.regexp_extract("path", r"/([a-z]+)/metric=", 1).alias("grain"),
-                         F.regexp_extract("path", r"metric=([^/]+)", 1).alias("metric"))
-            .groupBy("grain", "metric").agg(F.count(F.lit(1)).alias("regions"))
-            .withColumn("second_run_new", F.lit(second).cast("long")))
+    """The stream rebuilds every table from the landing zone; a second run of it, and a batch run, find nothing to do."""
+    from .plans.panels import landed_tables, read_manifest, run_all
+    raw, work = land_raw(spark, sf_dir), scratch(spark, "ingest")
+    args = (spark, raw, f"{work}/tables", f"{work}/_checkpoint")
+    first = ingest_incremental(*args, min_rows=1)
+    second = ingest_incremental(*args, min_rows=1)
+    batch = run_all(spark, raw, f"{work}/tables", min_rows=1)
+    by_table, _ = landed_tables([r["path"] for r in read_manifest(spark, f"{work}/tables").collect()])
+    metrics = {k: len({p.rsplit("/", 2)[-2] for p in v}) for k, v in by_table.items()}
+    return spark.createDataFrame(
+        [(r.dataset, r.rows, metrics[k], len(second["tables"]), len(batch["tables"])) for k, r in first["tables"].items()],
+        "dataset string, rows long, metrics long, second_run_tables long, batch_run_tables long")
 
 
 # ---------------------------------------------------------------------------

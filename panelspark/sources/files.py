@@ -100,6 +100,12 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = Fals
         raise FileExistsError(path)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, _fs(spark, target)[1]):
+        raise FileExistsError(target)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)

@@ -1,6 +1,7 @@
 """Raw landing-zone sources: text, JSON (plain or gzip), Parquet, and the
-published-table loader. Raw assets live at ``<root>/raw/<asset_id>.<ext>``
-(a folder of part files, as Spark writes them)."""
+published-table loader. A raw asset is ``<asset_id>.<ext>`` (one file, or a
+folder of part files, as Spark writes them) in ``<root>/raw``; the landing
+zone of the panels holds ``<metric>_<grain>.csv`` in the same way."""
 
 from __future__ import annotations
 
@@ -19,8 +20,32 @@ JSON_TIME_OPTIONS = {
 }
 
 
+def asset_path(folder: str, asset_id: str, ext: str) -> str:
+    return f"{folder.rstrip('/')}/{asset_id}.{ext}"
+
+
 def raw_path(root: str, asset_id: str, ext: str) -> str:
-    return f"{root.rstrip('/')}/raw/{asset_id}.{ext}"
+    return asset_path(f"{root.rstrip('/')}/raw", asset_id, ext)
+
+
+def landing_path(landing: str, metric: str, grain: str) -> str:
+    """Where a metric's wide panel of a grain lands; ``*`` stands for any metric or grain."""
+    return asset_path(landing, f"{metric}_{grain}", "csv")
+
+
+def landed_metrics(paths, metrics, grains) -> tuple[dict[tuple[str, str], list[str]], list[str]]:
+    """(files by (metric, grain), files that are none of these) of a landing zone's listing."""
+    keys = {landing_path("", m, g): (m, g) for m in metrics for g in grains}
+    found: dict[tuple[str, str], list[str]] = {}
+    other = []
+    for path in paths:
+        # the file itself, or a part file in a folder of its name
+        key = next((keys[n] for n in (f"/{x}" for x in path.split("/")[-2:]) if n in keys), None)
+        if key is None:
+            other.append(path)
+        else:
+            found.setdefault(key, []).append(path)
+    return found, sorted(other)
 
 
 def scan_raw_text(spark: SparkSession, root: str, asset_id: str, ext: str = "txt",

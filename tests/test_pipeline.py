@@ -2,9 +2,9 @@ import pytest
 
 from panelspark import specs
 from panelspark.operators.quality import QualityError
-from panelspark.plans.fixtures import raw_path
 from panelspark.plans.panels import run_family, run_panel
 from panelspark.sinks.table import Table
+from panelspark.sources.raw import landing_path
 from panelspark.sources.wide_csv import read_wide_csv
 
 HEAD = "RegionID,SizeRank,RegionName,RegionType,StateName"
@@ -13,9 +13,8 @@ HEAD = "RegionID,SizeRank,RegionName,RegionType,StateName"
 def land(tmp_path, grain, files):
     root = tmp_path / "raw"
     for prefix, text in files.items():
-        d = tmp_path / "raw" / grain / f"metric={prefix}"
-        d.mkdir(parents=True)
-        (d / "part-0.csv").write_text(text)
+        root.mkdir(exist_ok=True)
+        (root / f"{prefix}_{grain}.csv").write_text(text)
     return str(root)
 
 
@@ -43,7 +42,7 @@ def test_family_end_to_end_and_rerun_is_idempotent(spark, tmp_path):
 def test_gate_failure_commits_nothing(spark, tmp_path):
     raw = land(tmp_path, "metro", {"zori": f"{HEAD},2020-01-31\n1,1,A,msa,CA,50\n"})  # rent < 100
     fam = specs.RENT
-    frames = [(read_wide_csv(spark, raw_path(raw, "zori", "metro")), "rent")]
+    frames = [(read_wide_csv(spark, landing_path(raw, "zori", "metro")), "rent")]
     with pytest.raises(QualityError):
         run_panel(spark, fam, "metro", frames, str(tmp_path / "tables"), min_rows=1)
     assert not Table(spark, str(tmp_path / "tables" / "rent_metro")).exists()

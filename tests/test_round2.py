@@ -20,9 +20,8 @@ HEAD = "RegionID,SizeRank,RegionName,RegionType,StateName"
 
 def land(tmp_path, grain, texts):
     for prefix, text in texts.items():
-        d = tmp_path / "raw" / grain / f"metric={prefix}"
-        d.mkdir(parents=True, exist_ok=True)
-        (d / "part-0.csv").write_text(text, encoding="utf-8")
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        (tmp_path / "raw" / f"{prefix}_{grain}.csv").write_text(text, encoding="utf-8")
     return str(tmp_path / "raw")
 
 
@@ -103,7 +102,7 @@ def test_only_new_or_refreshed_files_rebuild_their_table(spark, tmp_path):
     ledger = str(tmp_path / "ledger")
     first = run_all(spark, raw, out, min_rows=1, ledger_root=ledger)
     assert first["ingested"] == 3 and set(first["tables"]) == {("rent", "metro"), ("rent", "zip"), ("inventory", "metro")}
-    assert run_all(spark, raw, out, min_rows=1) == {"ingested": 0, "tables": {}}
+    assert run_all(spark, raw, out, min_rows=1) == {"ingested": 0, "tables": {}, "unknown": []}
     land(tmp_path, "zip", {"zori": text % ("zip", 1000)})
     again = run_all(spark, raw, out, min_rows=1)
     assert again["ingested"] == 1 and set(again["tables"]) == {("rent", "zip")}
