@@ -91,6 +91,21 @@ def q_scan_wide_csv(spark, sf_dir):
                                       F.min("v").alias("min_v"), F.max("v").alias("max_v"))
 
 
+@register("scan_wide_csv_split", " UNION ALL ".join(
+    f"SELECT '{PREFIX_OF[c]}' AS metric, count(DISTINCT RegionID) AS regions, count(DISTINCT RegionName) AS names, count({c}) AS cells, "
+    f"min({c}) AS min_v, max({c}) AS max_v FROM ({O.cells_sql('county', [c])}) WHERE {c} IS NOT NULL"
+    for c in FAMILY_OF))
+def q_scan_wide_csv_split(spark, sf_dir):
+    """All county files (names hold line breaks and quotes), cut into records by split."""
+    root = land_raw(spark, sf_dir, ["county"])
+    wide = read_wide_csv(spark, RAW.landing_path(root, "*", "county"), source_col="_source", splittable=True)
+    long = R.melt(wide, "v").select(F.regexp_extract("_source", r"([^/]+)_county[.]csv", 1).alias("metric"), "RegionID",
+                                    "RegionName", S.to_double("v").alias("v"))
+    return long.groupBy("metric").agg(
+        F.count_distinct("RegionID").alias("regions"), F.count_distinct("RegionName").alias("names"), F.count("v").alias("cells"),
+        F.min("v").alias("min_v"), F.max("v").alias("max_v"))
+
+
 @register("scan_raw_text", " UNION ALL ".join(
     f"SELECT '{PREFIX_OF[c]}' AS metric, count(DISTINCT RegionID) AS lines, count(DISTINCT RegionID) AS valid_utf8 "
     f"FROM ({O.cells_sql('zip', [c])}) WHERE {c} IS NOT NULL"

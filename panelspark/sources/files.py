@@ -60,10 +60,13 @@ def _hidden(name: str) -> bool:
 
 
 def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of a text file that is not blank (UTF-8, BOM stripped), or None."""
+    """First line of a text file (compressed or not, by its name) that is not blank (UTF-8, BOM stripped), or None."""
     jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
     stream = fs.open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), 65536)
         line = reader.readLine()
