@@ -4,7 +4,7 @@ A wide panel has id columns (any name whose first character is not a
 digit) and one column per month (``YYYY-MM-DD`` header). Two merge plans:
 
 * ``merge_variants``: long frames, N-way full outer join on
-  (RegionID, date) -- the literal semantics;
+  (RegionID, date) in one shuffle -- the literal semantics;
   ``merge_variants_packed`` computes it on one row per region, for panels
   whose first variant has no ``RegionType`` column.
 * ``melt_multi`` / ``merge_variants_grid``: join *before* melting. Each
@@ -19,11 +19,14 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import to_double
+from ..session import scratch
 
 KEY = "RegionID"
 HEADER_DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
@@ -170,29 +173,99 @@ def melt_multi(frames: list[tuple[DataFrame, str]], grain_filter: str | None = N
     )
 
 
+#: Rows of a key in one variant above which they are spread over several groups.
+HOT_ROWS = 10_000
+#: Hash buckets of keys that are counted to see whether there can be hot keys.
+HOT_BUCKETS = 1 << 16
+
+
+def outer_merge(sides: list[tuple[DataFrame, list[str]]], keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Full outer equi-join of any number of frames in one shuffle: the keys, and a struct ``__p<i>`` of each frame's columns.
+
+    All rows go into one tagged union, which is dealt out by key once; a
+    group holds each frame's rows of a key, and their combinations are
+    generated from it (a frame without the key gives a NULL struct, and
+    only repeated keys multiply). NULL keys match NULL keys.
+
+    No group grows with a hot key (NULL regions, say): keys that a frame
+    holds more than ``hot_rows`` times are found first, by counts of hash
+    buckets of keys and then of the keys in full buckets.
+    The frame's rows of such a key are spread over slices by a hash, the other
+    frames' rows go to every slice; with several hot frames the slices form
+    a grid. A combination then meets in exactly one cell.
+    """
+    n = range(len(sides))
+    tagged = []
+    for i, (df, columns) in enumerate(sides):
+        payloads = []
+        for j, (other, names) in enumerate(sides):
+            types = T.StructType([other.schema[c] for c in names])
+            payloads.append((F.struct(*[F.col(bq(c)) for c in names]) if i == j else F.lit(None).cast(types)).alias(f"__p{j}"))
+        tagged.append(df.select(*[F.col(bq(k)) for k in keys], F.lit(i).alias("__i"), *payloads))
+    rows = reduce(DataFrame.unionAll, tagged)
+    named = [F.col(bq(k)) for k in keys]
+    keyed = reduce(DataFrame.unionAll, [df.select(*named, F.lit(i).alias("__i")) for i, (df, _) in enumerate(sides)])
+    keyed = keyed.withColumn("__b", F.pmod(F.xxhash64(*named), F.lit(HOT_BUCKETS)).cast("int"))
+    many = [F.count(F.lit(1)).alias("__n")]
+    full = [r["__b"] for r in keyed.groupBy("__b", "__i").agg(*many).where(F.col("__n") > hot_rows).select("__b").distinct().collect()]
+    spread = False
+    if full:  # only buckets that are full can hold a hot key
+        counts = keyed.where(F.col("__b").isin(full)).groupBy(*named, "__i").agg(*many).where(F.col("__n") > hot_rows)
+        spread = not counts.isEmpty()
+    slices = [F.max(F.when(F.col("__i") == i, F.ceil(F.col("__n") / hot_rows))).cast("int").alias(f"__s{i}") for i in n]
+    by = list(named)
+    if spread:
+        hot = counts.groupBy(*named).agg(*slices)
+        cond = reduce(lambda x, y: x & y, [F.col(bq(k)).eqNullSafe(F.col(f"__h{j}")) for j, k in enumerate(keys)])
+        hot = hot.select(*[F.col(bq(k)).alias(f"__h{j}") for j, k in enumerate(keys)], *[F.coalesce(f"__s{i}", F.lit(1)).alias(f"__s{i}") for i in n])
+        path = scratch(rows.sparkSession, "outer-merge")  # a stored number for each row, so that a task run again slices alike
+        rows.withColumn("__u", F.monotonically_increasing_id()).write.parquet(path)
+        rows = rows.sparkSession.read.parquet(path)
+        rows = rows.join(hot, cond, "left").drop(*[f"__h{j}" for j in range(len(keys))])
+        for i in n:  # a coordinate of the cell for each frame: a row's own is its hash, along the others it is repeated
+            size = F.coalesce(F.col(f"__s{i}"), F.lit(1))
+            own = F.array(F.pmod(F.xxhash64("__u"), size).cast("int"))
+            rows = rows.withColumn(f"__c{i}", F.explode(F.when(F.col("__i") == i, own).otherwise(F.sequence(F.lit(0), size - 1))))
+        by += [F.col(f"__c{i}") for i in n]
+    dealt = rows.repartition(*by)
+    held = F.collect_list(F.struct("__i", *[f"__p{i}" for i in n])).alias("__rows")
+    sizes = [F.max(F.coalesce(F.col(f"__s{i}"), F.lit(1))).alias(f"__s{i}") for i in n] if spread else []
+    groups = dealt.groupBy(*by).agg(held, *sizes)
+    for i in n:  # as SQL text: a lambda with a default would be taken for one of element and index
+        groups = groups.withColumn(f"__p{i}", F.expr(f"filter(__rows, x -> x.__i = {i})"))
+    groups = groups.drop("__rows")
+    for i in n if spread else ():  # a frame that is spread has its rows in other cells where it has none here
+        groups = groups.where((F.col(f"__s{i}") == 1) | (F.size(f"__p{i}") > 0))
+    out = groups.select(*named, *[f"__p{i}" for i in n])
+    for i in n:
+        out = out.withColumn(f"__p{i}", F.explode_outer(f"__p{i}"))
+    return out.select(*named, *[F.col(f"__p{i}")[f"__p{i}"].alias(f"__p{i}") for i in n])
+
+
 def merge_variants(longs: list[tuple[DataFrame, str]], keys: tuple[str, ...] = (KEY, "date"),
-                   null_safe: bool = True) -> DataFrame:
+                   null_safe: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """N-way full outer equi-join of long frames; later frames keep keys + value.
 
+    One shuffle whatever the number of frames: see :func:`outer_merge`.
     ``null_safe`` (default) matches NULL keys to NULL keys like a pandas
-    merge; keys are coalesced from both sides so right-only rows keep theirs.
+    merge; without it rows with a NULL key pass by, each on its own.
     """
-    merged, _ = longs[0]
-    for i, (df, col) in enumerate(longs[1:], start=1):
-        if not null_safe:
-            merged = merged.join(df.select(*keys, col), list(keys), "full")
-            continue
-        right = df.select(*[F.col(bq(k)).alias(f"__r{i}_{k}") for k in keys], F.col(bq(col)))
-        cond = None
-        for k in keys:
-            eq = F.col(bq(k)).eqNullSafe(F.col(f"__r{i}_{k}"))
-            cond = eq if cond is None else cond & eq
-        joined = merged.join(right, cond, "full")
-        merged = joined.select(
-            *[(F.coalesce(F.col(bq(c)), F.col(f"__r{i}_{c}")).alias(c) if c in keys else F.col(bq(c)))
-              for c in merged.columns],
-            F.col(bq(col)))
-    return merged
+    first, first_col = longs[0]
+    own = [c for c in first.columns if c not in keys]
+    sides = [(first, own), *[(df, [col]) for df, col in longs[1:]]]
+    if len(sides) == 1:
+        return first
+
+    def flat(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(bq(c)) if c in keys else F.col("__p0")[c].alias(c) for c in first.columns],
+                         *[F.col(f"__p{i}")[col].alias(col) for i, (_df, col) in enumerate(longs) if i])
+
+    if null_safe:
+        return flat(outer_merge(sides, keys, hot_rows))
+    whole = reduce(lambda a, b: a & b, [F.col(bq(k)).isNotNull() for k in keys])
+    merged = flat(outer_merge([(df.where(whole), columns) for df, columns in sides], keys, hot_rows))
+    alone = [df.where(~whole).select(*[bq(k) for k in keys], *[bq(c) for c in columns]) for df, columns in sides]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [merged, *alone]).select(*[bq(c) for c in merged.columns])
 
 
 def merge_variants_packed(frames: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -240,20 +313,21 @@ def merge_variants_grid(frames: list[tuple[DataFrame, str]], grain_filter: str |
 
 def merge_variants_union(frames: list[tuple[DataFrame, str]], grain_filter: str | None) -> DataFrame:
     """``grid="union"``: every region and month of any variant survives, and
-    region attributes are coalesced across variants (first non-null wins)."""
-    longs = []
-    for i, (df, col) in enumerate(frames):
-        long = melt(df, col)
-        if grain_filter is not None and "RegionType" in long.columns:
-            long = long.where(F.lower(F.col("RegionType")) == F.lit(grain_filter))
-        longs.append((long, col))
+    region attributes are coalesced across variants (first non-null wins).
+    NULL regions match each other; a repeated region multiplies, which
+    ``build_panel`` refuses beforehand."""
     attrs = [c for c in id_columns(frames[0][0]) if c != KEY]
-    merged = None
-    for i, (long, col) in enumerate(longs):
-        side = long.select(KEY, "date", col, *[F.col(a).alias(f"{a}__{i}") for a in attrs if a in long.columns])
-        merged = side if merged is None else merged.join(side, [KEY, "date"], "full")
-    out = [F.col(KEY), F.col("date")]
-    for a in attrs:
-        cands = [F.col(f"{a}__{i}") for i, (long, _c) in enumerate(longs) if a in long.columns]
-        out.append(F.coalesce(*cands).alias(a))
-    return merged.select(*out, *[F.col(c) for _df, c in frames])
+    sides = []
+    for df, col in frames:
+        long = melt(of_grain(df, grain_filter), col)
+        sides.append((long, [*[a for a in attrs if a in long.columns], col]))
+    merged = outer_merge(sides, (KEY, "date"))
+    first = [F.coalesce(*[F.col(f"__p{i}")[a] for i, (_df, names) in enumerate(sides) if a in names]).alias(a) for a in attrs]
+    return merged.select(KEY, "date", *first, *[F.col(f"__p{i}")[col].alias(col) for i, (_df, col) in enumerate(frames)])
+
+
+def of_grain(df: DataFrame, grain_filter: str | None) -> DataFrame:
+    """The rows of a grain, where the frame tells."""
+    if grain_filter is None or "RegionType" not in df.columns:
+        return df
+    return df.where(F.lower(F.col("RegionType")) == F.lit(grain_filter))

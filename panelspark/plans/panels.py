@@ -19,7 +19,7 @@ from .. import specs
 from ..operators import quality
 from ..functions.scalars import to_double
 from ..operators.reshape import (date_columns, id_columns, melt, melt_multi, merge_variants_packed, merge_variants_union,
-                                 normalize_header_date)
+                                 normalize_header_date, of_grain)
 from ..operators.standardize import standardize
 from ..sinks.publish import check_metadata, log_error, log_output
 from ..sinks.table import Table
@@ -110,6 +110,8 @@ def build_panel(frames: list[tuple[DataFrame | None, str]], family: specs.Family
     gfilter = specs.GRAIN_FILTER[grain]
     if check_keys and grid == "first":
         check_variant_keys(present, gfilter, grid="RegionType" in present[0][0].columns)
+    elif check_keys:
+        check_variant_keys([(of_grain(df, gfilter), col) for df, col in present], None, grid=False)
     first = present[0][0]
     if len(present) == 1:
         long = melt(first, present[0][1])
