@@ -3,24 +3,23 @@
 ``dq_report`` turns a schema spec (rows, columns/types, not-null, unique
 key) plus a list of value checks into ONE aggregation job:
 
-* with a unique key: ``groupBy(key)`` (map-side partial aggregation) keeps
-  per-key row counts and per-key sums of every violation flag, then one
-  global ``agg`` adds them up -- duplicates = sum(count - 1), NULL keys are
-  grouped as values like a Python set would;
-* without a key: a single global ``agg``.
+* all flags and bounds are one global ``agg``, so no row is shuffled;
+* a unique key is a second one over 64-bit hashes of the key, full keys being
+  compared only where hashes repeat (:func:`unique_violations`).
 
 The report is a DataFrame ``(rule, column, violations, passed, detail)``
 built from the one aggregate row with ``inline``; ``validate`` collects
 only that report (one row per rule) and raises on failure. Offending
-values are fetched only on failure, five per rule (``limit(5)``).
+values are fetched only on failure, five per rule, in one scan for all rules.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,9 +181,8 @@ def dq_report(df: DataFrame, spec: Spec) -> DataFrame:
               for j, chk in enumerate(bounds) if f"mm__{j}" in minmax for f, end in (("min", "lo"), ("max", "hi"))]
     # flags and bounds: one global aggregate, so no row is shuffled
     agg = df.agg(F.count(F.lit(1)).alias("rows"), *[a.alias(k) for k, a in flag_aggs.items()], *ranges)
-    if unique:  # only the key and a count are shuffled, in a job of its own
-        extra = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("n")).agg(F.expr("coalesce(sum(n - 1), 0)").alias("dups"))
-        agg = agg.withColumn("dups", extra.scalar())
+    if unique:  # only hashes of keys are shuffled, in a job of its own
+        agg = agg.withColumn("dups", unique_violations(df, unique).select("duplicates").scalar())
 
     rows: list[str] = list(static_rows)
     if spec.min_rows:
@@ -248,23 +246,44 @@ class QualityError(AssertionError):
         super().__init__("quality gate failed: " + " | ".join(lines))
 
 
-def violations_sample(df: DataFrame, chk: RowCheck, n: int = 5) -> list:
-    """First ``n`` offending values of a row rule (only called on failure)."""
-    bad = df.where(~F.coalesce(chk.valid, F.lit(False))).select(chk.column).limit(n).collect()
-    return [r[0] for r in bad]
+def violations_sample(df: DataFrame, checks: list[RowCheck], n: int = 5) -> DataFrame:
+    """(check, rule, column, rank, value): the ``n`` smallest offending values of
+    each check as text, NULLs last, from one scan whatever the number of checks.
+
+    Each row yields an entry for each check that it fails; every task keeps
+    the ``n`` first of a check before the shuffle (a window group limit), so
+    a check that most rows fail costs no more than one that few do.
+    """
+    if not checks:
+        return df.sparkSession.createDataFrame([], "check int, rule string, column string, rank int, value string")
+    numbers = range(len(checks))
+    failed = F.array(*[F.when(~F.coalesce(c.valid, F.lit(False)), F.lit(i)) for i, c in enumerate(checks)])
+    names = list(dict.fromkeys(c.column for c in checks))
+    rows = df.select(*[F.col(_q(c)).alias(f"__v{j}") for j, c in enumerate(names)], F.explode(F.array_compact(failed)).alias("check"))
+    # a check's own column in its own type: the others are NULL in its entries and do not order them
+    own = [F.when(F.col("check").isin([i for i in numbers if checks[i].column == c]), F.col(f"__v{j}")) for j, c in enumerate(names)]
+    rows = rows.select("check", *[v.alias(f"__v{j}") for j, v in enumerate(own)])
+    order = [F.col(f"__v{j}").asc_nulls_last() for j in range(len(names))]
+    rank = F.row_number().over(Window.partitionBy("check").orderBy(*order))
+    kept = rows.withColumn("rank", rank).where(F.col("rank") <= n)
+    label = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("check") + 1)
+    text = F.coalesce(*[F.col(f"__v{j}").cast("string") for j in range(len(names))])
+    return kept.select("check", label([c.rule for c in checks]).alias("rule"), label([c.column for c in checks]).alias("column"), "rank", text.alias("value"))
 
 
 def validate(df: DataFrame, spec: Spec) -> list:
-    """Run the gate; return the report rows or raise ``QualityError``."""
+    """Run the gate; return the report rows or raise ``QualityError``.
+
+    On failure one more scan fetches five offending values of each failed row rule.
+    """
     report = dq_report(df, spec).collect()
     failures = [r for r in report if not r["passed"]]
     if failures:
-        samples = {}
-        by_key = {(c.rule, c.column): c for c in spec.checks if isinstance(c, RowCheck)}
-        for r in failures:
-            chk = by_key.get((r["rule"], r["column"]))
-            if chk is not None and chk.column in df.columns:
-                samples[(r["rule"], r["column"])] = violations_sample(df, chk)
+        failed = {(r["rule"], r["column"]) for r in failures}
+        checks = [c for c in spec.checks if isinstance(c, RowCheck) and (c.rule, c.column) in failed and c.column in df.columns]
+        samples: dict = {}
+        for r in sorted(violations_sample(df, checks).collect(), key=lambda r: (r["check"], r["rank"])):
+            samples.setdefault((r["rule"], r["column"]), []).append(r["value"])
         raise QualityError(failures, samples)
     return report
 
@@ -318,12 +337,25 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
 
 
-def unique_violations(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows minus distinct keys, NULL keys counted as values (not count DISTINCT)."""
-    return (df.groupBy(*keys).count()
-            .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicates"),
-                 F.count(F.lit(1)).alias("distinct_keys"),
-                 F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("rows")))
+def unique_violations(df: DataFrame, keys: list[str], hashed: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """(duplicates, distinct_keys, rows): rows minus distinct keys, NULL keys counted as values (not count DISTINCT).
+
+    First only a 64-bit hash of each key is counted, so the shuffle carries
+    a long and a partial count, however wide the key. A key whose hash
+    occurs once is unique. Full keys are compared just for hashes that
+    repeat, where copies and colliding keys are told apart; without such
+    hashes the second read finds nothing to join.
+    """
+    columns = [F.col(_q(k)) for k in keys]
+    hashes = df.select(hashed(*columns).alias("__h")).groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
+    repeated = hashes.where(F.col("__n") > 1).select("__h")
+    full = df.select(hashed(*columns).alias("__h"), *[c.alias(f"__k{i}") for i, c in enumerate(columns)])
+    verified = full.join(repeated, "__h", "left_semi").groupBy(*[f"__k{i}" for i in range(len(keys))]).count()
+    found = verified.agg(F.struct(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicates"),
+                                  F.count(F.lit(1)).alias("distinct")).alias("v"))
+    total = hashes.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"), F.count_if(F.col("__n") == 1).alias("singles"))
+    return total.withColumn("v", found.scalar()).select(
+        F.col("v.duplicates").alias("duplicates"), (F.col("singles") + F.col("v.distinct")).alias("distinct_keys"), "rows")
 
 
 def in_set_violations(df: DataFrame, col: str, allowed: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ state_code, date format, numeric coercion, drop all-NULL rows, sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import specs
@@ -64,6 +64,35 @@ def sort_output(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("date").asc_nulls_last(), F.col("region_name").asc_nulls_last())
 
 
+def write_sorted(df: DataFrame, path: str, by: list[str]) -> None:
+    """Files whose ranges of ``by`` (NULLs last) follow each other, each in order: one range-partitioned shuffle,
+    sorted within the tasks that write."""
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in by]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+
+
+def sorted_proof(spark: SparkSession, path: str, by: list[str]) -> DataFrame:
+    """One row (files, rows, unordered_files, overlaps): whether the files of a folder are in order as they stand.
+
+    One scan gives each file's least and greatest key, and the keys of its
+    first and last row, which must be the same (between them a file is as
+    its task sorted it). Files in the order of their least key must not begin
+    below the end of the one before. No rows are sorted: only a row for
+    each file (or split of a file) is.
+    """
+    key = F.struct(*[x for c in by for x in (F.col(f"`{c}`").isNull().alias(f"{c}__null"), F.col(f"`{c}`"))])
+    parts = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), key.alias("key"))
+    # the first and the last row by place, against the least and the greatest by key
+    bounds = parts.groupBy("file", "block").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("rows"),
+                                                F.min_by("key", "at").alias("first"), F.max_by("key", "at").alias("last"))
+    before = F.max("hi").over(Window.orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1))
+    return bounds.withColumn("before", before).agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"),
+        F.count_if((F.col("first") != F.col("lo")) | (F.col("last") != F.col("hi"))).alias("unordered_files"),
+        F.count_if(F.col("lo") < F.col("before")).alias("overlaps"))
+
 
 
 def standardize(df: DataFrame, grain: str, value_cols: list[str], *, region_id_type: str = "bigint",

@@ -145,6 +145,25 @@ def q_scan_raw_json(spark, sf_dir):
                        F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
+@register("scan_raw_variant", "SELECT event_id, event_type AS kind, "
+          "CASE WHEN event_id % 3 = 0 THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k, "
+          "CASE event_id % 3 WHEN 1 THEN '\"' || event_type || '\"' WHEN 2 THEN '[' || CAST(event_id AS VARCHAR) || ',{\"x\":true}]' END AS k_other, "
+          "CASE WHEN event_id % 3 = 0 THEN user_id END AS late FROM events")
+def q_scan_raw_variant(spark, sf_dir):
+    """JSON whose field k is a number, a text or a list from record to record, and whose field late is not always there."""
+    root = scratch(spark, "raw_variant")
+    k = (F.when(F.col("event_id") % 3 == 0, F.get_json_object("props", "$.k"))
+         .when(F.col("event_id") % 3 == 1, F.concat(F.lit('"'), "event_type", F.lit('"')))
+         .otherwise(F.concat(F.lit("["), F.col("event_id").cast("string"), F.lit(',{"x":true}]'))))
+    late = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(',"late":'), F.col("user_id").cast("string"))).otherwise(F.lit(""))
+    lines = read(spark, sf_dir, "events").select(F.concat(
+        F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"kind":"'), "event_type", F.lit('","deep":{"k":'), k, F.lit("}"), late, F.lit("}")))
+    lines.write.text(RAW.raw_path(root, "events", "json"))
+    found = RAW.typed_fields(RAW.scan_raw_variant(spark, root, "events"), {
+        "event_id": ("$.id", "bigint"), "kind": ("$.kind", "string"), "k": ("$.deep.k", "int"), "late": ("$.late", "bigint")})
+    return found.select("event_id", "kind", "k", "k_other", "late")
+
+
 @register("scan_raw_parquet", f"SELECT {EVENTS_COLS} FROM events")
 def q_scan_raw_parquet(spark, sf_dir):
     root = scratch(spark, "raw_parquet")
@@ -426,6 +445,17 @@ def q_sort_output(spark, sf_dir):
     return ST.sort_output(build_panel(frames, specs.RENT, "zip", check_empty=False))
 
 
+@register("sort_output_proof", "SELECT count(*) AS rows, true AS in_order, CAST(0 AS BIGINT) AS unordered_files, CAST(0 AS BIGINT) AS overlaps "
+          f"FROM ({O.panel_grain_sql('rent', 'zip', with_grain_col=False)})")
+def q_sort_output_proof(spark, sf_dir):
+    """A panel written in order by one range-partitioned shuffle, and the proof from the bounds of its files."""
+    from .plans.panels import build_panel
+    path = f"{scratch(spark, 'sorted')}/rent"
+    ST.write_sorted(build_panel(_frames(spark, sf_dir, "rent", "zip"), specs.RENT, "zip", check_empty=False), path, ["date", "region_name"])
+    proof = ST.sorted_proof(spark, path, ["date", "region_name"])
+    return proof.select("rows", ((F.col("unordered_files") == 0) & (F.col("overlaps") == 0)).alias("in_order"), "unordered_files", "overlaps")
+
+
 @register("pending_anti_join", "SELECT doc_id, source FROM documents d "
           "WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def q_pending_anti_join(spark, sf_dir):
@@ -565,6 +595,20 @@ def q_violations_sample(spark, sf_dir):
     return Q.violation_examples(read(spark, sf_dir, "lineitem"), chk, 5)
 
 
+_SAMPLED = [("in_range", "l_quantity", "l_quantity < 3 OR l_quantity > 45"), ("in_set", "l_returnflag", "l_returnflag NOT IN ('A', 'N')"),
+            ("in_range", "l_linenumber", "l_linenumber > 5"), ("in_range", "l_discount", "l_discount < 0.03")]
+
+
+@register("violations_sample_all", " UNION ALL ".join(
+    f"(SELECT {i} AS check, '{rule}' AS rule, '{c}' AS column, CAST(row_number() OVER (ORDER BY {c}) AS INTEGER) AS rank, CAST({c} AS VARCHAR) AS value "
+    f"FROM lineitem WHERE {cond} QUALIFY rank <= 5)" for i, (rule, c, cond) in enumerate(_SAMPLED)))
+def q_violations_sample_all(spark, sf_dir):
+    """Samples of four rules from one scan."""
+    checks = [Q.range_check("l_quantity", 3, 45), Q.RowCheck("in_set", "l_returnflag", S.fn_in_set("l_returnflag", ["A", "N"])),
+              Q.range_check("l_linenumber", None, 5), Q.range_check("l_discount", 0.03, None)]
+    return Q.violations_sample(read(spark, sf_dir, "lineitem"), checks)
+
+
 # ---------------------------------------------------------------------------
 # sort / diff (2.7)
 _LI_NEW = "SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'"

@@ -84,6 +84,35 @@ def scan_raw_json(spark: SparkSession, root: str, asset_id: str, schema: T.Struc
     raise FileNotFoundError(f"no raw JSON file for {asset_id!r} under {root}")
 
 
+def scan_raw_variant(spark: SparkSession, root: str, asset_id: str, multi_line: bool = False) -> DataFrame:
+    """JSON asset without a schema: one VARIANT column ``value``, a row for each record.
+
+    Nothing is inferred, so a field that changes its type, comes late or is
+    nested differently from record to record loses nothing.
+    """
+    for ext in ("json", "json.gz"):
+        path = raw_path(root, asset_id, ext)
+        if files.exists(spark, path):
+            return spark.read.option("singleVariantColumn", "value").option("multiLine", str(multi_line).lower()).json(path)
+    raise FileNotFoundError(f"no raw JSON file for {asset_id!r} under {root}")
+
+
+def typed_fields(df: DataFrame, fields: dict[str, tuple[str, str]], column: str = "value") -> DataFrame:
+    """Typed columns of a VARIANT column, given as ``{name: (path, type)}``, for instance ``("$.props.k", "int")``.
+
+    Each field gets a second column ``<name>_other``: the value as JSON text
+    where it is there but cannot be read as the type. A value is thus either
+    in the one or in the other; a missing field and a JSON null are NULL in both.
+    """
+    out = []
+    for name, (path, kind) in fields.items():
+        typed = F.try_variant_get(column, path, kind)
+        whole = F.try_variant_get(column, path, "variant")
+        other = F.when(typed.isNull() & whole.isNotNull() & ~F.is_variant_null(whole), F.to_json(whole))
+        out += [typed.alias(name), other.alias(f"{name}_other")]
+    return df.select(*out)
+
+
 def scan_raw_parquet(spark: SparkSession, root: str, asset_id: str) -> DataFrame:
     path = raw_path(root, asset_id, "parquet")
     if not files.exists(spark, path):
