@@ -64,11 +64,11 @@ def sort_output(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("date").asc_nulls_last(), F.col("region_name").asc_nulls_last())
 
 
-def write_sorted(df: DataFrame, path: str, by: list[str]) -> None:
+def write_sorted(df: DataFrame, path: str, by: list[str], files: int | None = None) -> None:
     """Files whose ranges of ``by`` (NULLs last) follow each other, each in order: one range-partitioned shuffle,
-    sorted within the tasks that write."""
+    sorted within the tasks that write. ``files`` is their number; by default they get Spark's advisory size."""
     order = [F.col(f"`{c}`").asc_nulls_last() for c in by]
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    df.repartitionByRange(*([files] if files else []), *order).sortWithinPartitions(*order).write.parquet(path)
 
 
 def sorted_proof(spark: SparkSession, path: str, by: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from panelspark.sources.raw import scan_raw_variant, typed_fields
 
 def test_written_ranges_follow_each_other(spark, tmp_path):
     df = spark.range(5000).select((F.col("id") * 7919 % 1000).alias("a"), F.when(F.col("id") % 11 > 0, F.concat(F.lit("r"), F.col("id") % 50)).alias("b"))
-    write_sorted(df.repartition(6), f"{tmp_path}/s", ["a", "b"])
+    write_sorted(df.repartition(6), f"{tmp_path}/s", ["a", "b"], files=5)
     proof = sorted_proof(spark, f"{tmp_path}/s", ["a", "b"]).first()
     assert (proof.rows, proof.unordered_files, proof.overlaps) == (5000, 0, 0) and proof.files > 1
 
