@@ -244,7 +244,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     as near copies have, are verified against the group's first member, then
     a few times with one member for each component. Hot groups that still
     span several components are looked at again, through an index of their
-    members' rarest shingles, of which linked sets share one. So a group of near copies costs as many checks as it has members,
+    members' rarest shingles by band of size, of which linked sets share one
+    at a place after which both still hold what they need to share. So a group of near copies costs as many checks as it has members,
     and no link between different sets is missed.
     """
     spark = docs.sparkSession
@@ -441,11 +442,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         counted = with_totals(each, ["element"], {"df": (F.count(F.lit(1)), "sum")}, ["sid"])
         ordered = counted.groupBy("sid", "component").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("all"))  # one set
         prefix = F.size("all") - F.ceil(F.size("all") * F.lit(PERCENT) / F.lit(100)).cast("int") + 1
-        heads = ordered.select("sid", "component", F.explode(F.slice("all", 1, prefix)).alias("one")).filter("one.df > 1")
-        heads = scratch(heads.select("one.element", "sid", "component"), "jaccard-heads")
-        x = heads.select("element", F.col("sid").alias("a"), F.col("component").alias("ca"))
-        y = heads.select("element", F.col("sid").alias("b"), F.col("component").alias("cb"))
-        more = x.join(y, "element").filter("a < b and ca != cb").select("a", "b").distinct()
+        # bands of sizes 4/3 apart: linked sets are at most a band apart
+        banded = ordered.withColumn("size", F.size("all")).withColumn("band", F.floor(F.log("size") / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int"))
+        heads = banded.select("sid", "component", "size", "band", F.posexplode(F.slice("all", 1, prefix)).alias("place", "one")).filter("one.df > 1")
+        heads = scratch(heads.select("one.element", "sid", "component", "size", "band", "place"), "jaccard-heads")
+        side = lambda s: [F.col(c).alias(f"{c}{s}") for c in ("size", "place", "component")]
+        x = heads.select("element", "band", F.col("sid").alias("a"), *side("a"))
+        near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+        y = heads.select("element", near, F.col("sid").alias("b"), *side("b"))
+        # at the first element that linked sets share, what follows in either must still hold all they need to share
+        need = F.lit(PERCENT) * (F.col("sizea") + F.col("sizeb"))
+        left = F.least(F.col("sizea") - F.col("placea"), F.col("sizeb") - F.col("placeb"))
+        fits = (F.col("a") < F.col("b")) & (F.col("componenta") != F.col("componentb")) & (left * (100 + PERCENT) >= need)
+        more = x.join(y, ["element", "band"]).filter(fits).select("a", "b").distinct()
         links = links.unionAll(_linked(scratch(possible(sized(more)), "jaccard-more"), sets))
         labels = connected_components(links)
 

@@ -68,13 +68,17 @@ def mix(
     and go with their block; a source without any word is taken once. An
     empty table gives an empty result.
 
+    Rows equal in id, source and text fall into one block together; rows
+    without an id are spread by their texts. A ``target_entropy`` below that of
+    the plain shares cannot be reached and raises.
+
     The exponent is found from power sums over one stored row per source, so
     neither rows nor sources pass through the driver.
     """
     names = docs.columns
     c = {k: F.col(f"_c{names.index(v)}") for k, v in (("id", id_col), ("text", text_col), ("source", source_col))}
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    spread = F.xxhash64(F.lit(seed), c["id"], c["source"])
+    spread = F.xxhash64(F.lit(seed), c["id"], c["source"], c["text"])
     drawn = plain.withColumns(
         {
             "_src": c["source"],
@@ -98,6 +102,10 @@ def mix(
             flat = target_entropy is None or log(s0) - a * s1 / s0 <= target_entropy + 1e-12
             return flat and repeats <= repetition_limit * (1 + 1e-12)
 
+        if target_entropy is not None:
+            _, s0, s1 = _power_sums(sources, 1.0, 1.0, 1)[0]
+            if log(s0) - s1 / s0 > target_entropy + 1e-12:
+                raise ValueError(f"target_entropy {target_entropy} is below {log(s0) - s1 / s0:.6g}, that of the sources' own shares")
         exponent, power = _bisect(sources, fits)
         # words drawn from the largest source; a budget beyond repetition_limit passes over everything is cut to that
         draw = top if budget is None else min(budget, repetition_limit * everything) / power

@@ -62,3 +62,14 @@ def test_repeatable_and_empty(documents):
     assert mix(documents([])).count() == 0
     only = mix(documents([(1, None, "en", "s"), (2, "", "en", None)])).collect()
     assert sorted(r.doc_id for r in only) == [1, 2]
+
+
+def test_rows_without_ids_are_spread(documents):
+    rows = [(None, f"word{i} a b c d", "en", "s") for i in range(160)]
+    got = mix(documents(rows), budget=400.0).collect()
+    assert 400 - 5 * 2 <= sum(r.mix_words for r in got) <= 400  # one source: its share is the budget
+
+
+def test_unreachable_entropy_raises(documents):
+    with pytest.raises(ValueError, match="target_entropy"):
+        mix(documents(corpus()), repetition_limit=100.0, target_entropy=0.01)
