@@ -17,7 +17,7 @@ from .common import pick, process_cache, scratch
 from .packing import _AWKWARD
 
 #: Bytes of text that are aligned at once (a longer text alone).
-BATCH_BYTES = 1 << 19
+BATCH_BYTES = 1 << 20
 #: Words whose ids a worker remembers (beyond them the memory is emptied), and the longest such word.
 REMEMBERED = 200_000
 REMEMBERED_LENGTH = 64
@@ -77,33 +77,58 @@ def token_ids(vocabulary_a: str, vocabulary_b: str) -> Callable[[list[str | None
     with other spaces, or with a word whose bytes differ, is encoded whole.
     """
     encode_a, b, bytes_a, bytes_b = _sides(vocabulary_a, vocabulary_b)
-    known: dict[str, tuple[bytes, bytes] | None] = process_cache().setdefault(("align-words", vocabulary_a, vocabulary_b), {})
-
-    def encoded(texts: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        for text, ids_b in zip(texts, b.encode(texts, num_threads=1)):
-            whole = " " + text
-            ids_a = encode_a(whole)
-            raw = whole.encode()
-            if b"".join([bytes_a[i] for i in ids_a]) == raw == b"".join([bytes_b[i] for i in ids_b]):
-                yield array("I", ids_a).tobytes(), array("I", ids_b).tobytes()
-            else:
-                yield None
+    length_a, length_b = _lengths(bytes_a), _lengths(bytes_b)
+    known = process_cache().setdefault(("align-words", vocabulary_a, vocabulary_b), ({}, {}))  # ids of either side by word
+    known_a, known_b = known
+
+    def whole(text: str) -> tuple[bytes, bytes]:
+        ids_a, ids_b, raw = encode_a(" " + text), b.encode(text), (" " + text).encode()
+        if b"".join([bytes_a[i] for i in ids_a]) == raw == b"".join([bytes_b[i] for i in ids_b]):
+            return array("I", ids_a).tobytes(), array("I", ids_b).tobytes()
+        return b"", b""
+
+    def remember(words: list[str]) -> None:
+        """The ids of words: of A from one call for all, as a text of their own; None for a word whose bytes differ."""
+        if len(words) == 1:
+            found = whole(words[0])
+            known_a[words[0]], known_b[words[0]] = found if found[0] else (None, None)
+            return
+        raw = (" " + " ".join(words)).encode()
+        ids_a = encode_a(" " + " ".join(words))
+        lists = b.encode(words, num_threads=1)
+        ids_b = list(chain.from_iterable(lists))
+        stops_b = np.cumsum(list(map(len, lists)))
+        found = np.array(ids_a, dtype="<u4")
+        upto, ends = np.cumsum(length_a[found]), np.append(np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 32)[1:], len(raw))
+        same = b"".join([bytes_a[i] for i in ids_a]) == raw == b"".join([bytes_b[i] for i in ids_b])
+        if same and (np.cumsum(length_b[np.array(ids_b)])[stops_b - 1] == ends).all():
+            stops_a = np.searchsorted(upto, ends) + 1
+            if (upto[stops_a - 1] == ends).all():
+                for side, raw_ids, stops in ((known_a, found.tobytes(), stops_a), (known_b, array("I", ids_b).tobytes(), stops_b)):
+                    at = [0, *(4 * stops).tolist()]
+                    side.update(zip(words, [raw_ids[i:j] for i, j in zip(at, at[1:])]))
+                return
+        half = len(words) // 2  # some word's bytes differ: find it
+        remember(words[:half])
+        remember(words[half:])
 
     def ids(texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(known_a) > REMEMBERED:
+            known_a.clear()
+            known_b.clear()
         split = [t.split(" ") if t and not _AWKWARD.search(t) else None for t in texts]
-        new = list(set(chain.from_iterable(words for words in split if words)).difference(known))
-        known.update(zip(new, encoded(new)))
+        new = list(set(chain.from_iterable(words for words in split if words)).difference(known_a))
+        if new:
+            remember(new)
         out = []
         for text, words in zip(texts, split):
-            found = list(map(known.__getitem__, words)) if words else [None]
-            if None in found:  # other spaces, or a word whose bytes differ
-                found = [next(encoded([text])) if text else None]
-            out.append(tuple(map(b"".join, zip(*found))) if found[0] else (b"", b""))
+            try:
+                out.append(tuple(b"".join(map(side.__getitem__, words)) for side in known) if words else whole(text) if text else (b"", b""))
+            except TypeError:  # a None among the words
+                out.append(whole(text))
         for w in new:
             if len(w) > REMEMBERED_LENGTH:
-                del known[w]
+                del known_a[w], known_b[w]
         return out
 
     return ids
