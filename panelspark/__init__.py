@@ -2,8 +2,8 @@
 
 Wide monthly panel files are melted, merged across metric variants,
 standardized, gated by one-pass data-quality rules and written through
-versioned append / overwrite / upsert sinks. Every step is a DataFrame
-transformation; nothing runs row-at-a-time in Python.
+append / overwrite / upsert sinks. Every step is a DataFrame transformation;
+nothing runs row-at-a-time in Python.
 
 The common entry points are importable from the package root, e.g.
 ``from panelspark import read_wide_csv, melt_multi, standardize, validate, Table``.
@@ -23,6 +23,7 @@ _EXPORTS = {
     "ValueBounds": "operators.quality", "validate": "operators.quality", "dq_report": "operators.quality",
     "family_spec": "operators.quality", "QualityError": "operators.quality",
     "table_changed": "operators.diff", "table_diff": "operators.diff", "state_diff": "operators.diff",
+    "stored_changed": "operators.diff", "stored_diff": "operators.diff",
     "run_summary": "operators.ledgers", "error_summary": "operators.ledgers", "request_summary": "operators.ledgers",
     "Table": "sinks.table", "upsert": "sinks.table", "publish": "sinks.publish",
     "save_raw_parquet": "sinks.raw", "save_raw_json": "sinks.raw", "save_raw_text": "sinks.raw",
