@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytes_ import Words, mix, text_blocks
@@ -361,12 +361,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     weights = weights.join(slim.select("row", "n"), "row").join(classed.select("row", "sid"), "row")
     limit = F.element_at(spare, (F.length(F.bin("n")) + F.col("step")).cast("int"))
-    strong = weights.filter(F.col("total") > limit).select("row", "step", "sid", "heat", (F.col("heat") > limit).alias("heavy"))
+    strong = weights.filter(F.col("total") > limit).select("row", "step", "sid", "heat", limit.alias("limit"))
     strong = scratch(strong, "jaccard-strong")
     kept = shared.join(strong, ["row", "step"])
     small = kept.filter(F.col("many") <= HOT).groupBy("bucket", "sid").agg(F.sum("weight").alias("weight"))
     small = scratch(small, "jaccard-small")
-    large = scratch(kept.filter((F.col("many") > HOT) & F.col("heavy")).select("bucket", "sid").distinct(), "jaccard-large")
+    # Of the others, each row leaves out its hottest groups, all in one order, up to the spare weight: two rows that
+    # share more than that both keep the last of the groups they share.
+    hottest = Window.partitionBy("row", "step").orderBy(F.col("many").desc(), "bucket").rowsBetween(Window.unboundedPreceding, 0)
+    needed = kept.filter((F.col("many") > HOT) & (F.col("heat") > F.col("limit"))).withColumn("upto", F.sum("weight").over(hottest))
+    large = scratch(needed.filter(F.col("upto") > F.col("limit")).select("bucket", "sid").distinct(), "jaccard-large")
     large = with_totals(large, ["bucket"], {"lead": (F.min("sid"), "min"), "n": (F.count(F.lit(1)), "sum")}, ["sid"], "n > 1")
     large = scratch(large.drop("n"), "jaccard-hot")
 
