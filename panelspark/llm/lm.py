@@ -30,7 +30,7 @@ HOT_WORDS = (1 << 16) - FIRST_WORD
 #: Symbols below this are hot; others are hashes.
 HASHES = 1 << 16
 #: Most frequent bigrams that every task gets, so that no key is hot in the shuffle.
-HOT_BIGRAMS = 1 << 16
+HOT_BIGRAMS = 1 << 18
 #: Good-Turing discounts apply to counts up to this.
 DISCOUNTED = 5
 #: Distinct entries that a task gathers before it sends them on.
@@ -38,13 +38,13 @@ GATHERED = 1 << 20
 
 
 def _planes(*arrays: np.ndarray) -> bytes:
-    """Arrays of 64-bit entries as bytes, first bytes first, second bytes next: small entries then compress to what they hold."""
-    return b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes() for x in arrays)
+    """Arrays as bytes, first bytes of the entries first, second bytes next: small or ascending entries then compress to what they hold."""
+    return b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in arrays)
 
 
 def _arrays(raw: bytes | np.ndarray, n: int, dtype: type) -> np.ndarray:
-    """The n arrays of equal length in such bytes."""
-    return np.frombuffer(raw, np.uint8).reshape(n, 8, -1).transpose(0, 2, 1).copy().reshape(n, -1).view(dtype)
+    """The n arrays of equal length and one type in such bytes."""
+    return np.frombuffer(raw, np.uint8).reshape(n, np.dtype(dtype).itemsize, -1).transpose(0, 2, 1).copy().reshape(n, -1).view(dtype)
 
 
 @contextmanager
@@ -484,7 +484,7 @@ def score_texts(
     hot_logs = model.seen_log(hot, hot_counts)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """By text. Kind 2: hot bigrams; 6, 9: bigrams with a cold word, a cold context; 3: words that share UNKNOWN; 4: of each text its row, the sum of its most frequent bigrams and its numbers of UNKNOWN and of cold words."""
+        """By text. Kind 2: hot bigrams; 6: cold words with the words before and after; 3: words that share UNKNOWN; 4: of each text its row, the sum of its most frequent bigrams and its numbers of UNKNOWN and of cold words."""
         for batch in batches:
             for piece in slices(batch):
                 block = piece.column(0)[0].as_py()
@@ -493,17 +493,20 @@ def score_texts(
                 keys = (context << np.uint64(16)) | word
                 value = np.where(wide, 0.0, _lookup(hot, hot_logs, keys, np.nan))
                 rest = np.bincount(of, minlength=piece.num_rows)
-                cold = np.bincount(text[word >= HASHES], minlength=piece.num_rows)
+                is_cold = np.flatnonzero(word >= HASHES)  # an end follows, so each has a next word
+                cold = np.bincount(text[is_cold], minlength=piece.num_rows)
                 left = np.isnan(value)
                 sums = np.bincount(text, np.where(left, 0.0, value), minlength=piece.num_rows)
                 out = [(block % parts, 4, block, piece.column(0).to_numpy().astype(np.int64).tobytes(), np.concatenate([sums, rest, cold]).tobytes())]
                 text, of = text.astype(np.uint16), of.astype(np.uint16)
                 keys, texts_ = keys[left].astype(np.uint32), text[left]
-                out += [(p, 2, block, keys[at].tobytes(), texts_[at].tobytes()) for p, at in split(part_of(keys, parts), parts)]
-                context, word, text = context[wide], word[wide], text[wide]
-                out += [
-                    (p, 6 if kind == 7 else 9, block, _planes(context[at], word[at]), text[at].tobytes()) for kind, p, at in _sides(context, word, parts)
-                ]
+                order = np.argsort(keys, kind="stable")
+                keys, texts_ = keys[order], texts_[order]
+                out += [(p, 2, block, _planes(keys[at]), _planes(texts_[at])) for p, at in split(part_of(keys, parts), parts)]
+                is_cold = is_cold[np.argsort(word[is_cold], kind="stable")]
+                for p, at in split(part_of(word[is_cold], parts), parts):
+                    at = is_cold[at]
+                    out.append((p, 6, block, _planes(word[at], context[at], word[at + 1]), _planes(text[at])))
                 out += [(p, 3, block, words[at].tobytes(), of[at].tobytes()) for p, at in split(part_of(words, parts), parts)]
                 yield packed_rows(out)
 
@@ -517,8 +520,8 @@ def score_texts(
         out = []
         keys, counts = _merged(table, 1)
         logs = model.seen_log(keys, counts)
-        for block, key_, text in unpack(table, 2, (np.uint32, np.uint16)):
-            key_ = key_.astype(np.uint64)
+        for block, key_, text in unpack(table, 2, (np.uint8, np.uint8)):
+            key_, text = _arrays(key_, 1, np.uint32)[0].astype(np.uint64), _arrays(text, 1, np.uint16)[0]
             value = _lookup(keys, logs, key_, np.nan)
             value = np.where(np.isnan(value), model.unseen_log(key_), value)
             out.append((block, 0, text, value))
@@ -530,29 +533,24 @@ def score_texts(
 
         def pair_logs(kind: int) -> tuple[np.ndarray, np.ndarray]:
             """Keys, ascending, and logs of the discounted counts of a kind's bigrams."""
-            found = [(_arrays(a, 2, np.uint64), _arrays(b[: len(a) // 2], 1, np.int64)[0]) for _, a, b in unpack(table, kind, (np.uint8, np.uint8))]
-            if not found:
-                return np.zeros(0, np.uint64), np.zeros(0)
-            (pair, counts), = found  # one row for each partition, by ascending key
-            return _pair_keys(*pair), model.count_log(counts)
-
-        keys, logs = pair_logs(7)
-        for block, a, text in unpack(table, 6, (np.uint8, np.uint16)):
-            context, word = _arrays(a, 2, np.uint64)
-            c = _lookup(words, n, word, 0)
-            plus = np.log10(c + 1.0)
-            value = _lookup(keys, logs, _pair_keys(context, word), np.nan)
-            seen = hot_or(-model.context_log, context, 0.0) + np.where(context < HASHES, value, 0.0)  # a cold context adds its part where it is
-            unseen = hot_or(model.backoff_log, context, 0.0) + plus - log10(model.norm)
-            out.append((block, 1, text, np.where(np.isnan(value), unseen, seen), plus, c > 0))
-        keys, logs = pair_logs(8)
+            keys, counts = _merged(table, kind)
+            return keys, model.count_log(counts)
+
+        into, out_of = pair_logs(7), pair_logs(8)  # bigrams that end in, that start with the partition's cold words
         found = [(a, *b.reshape(2, -1)) for _, a, b in unpack(table, 5, (np.uint64, np.float64))]
         known, below, backoff = found[0] if found else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-        for block, a, text in unpack(table, 9, (np.uint8, np.uint16)):
-            context, word = _arrays(a, 2, np.uint64)
-            value = _lookup(keys, logs, _pair_keys(context, word), np.nan) - _lookup(known, below, context, 0.0)
-            unseen = _lookup(known, backoff, context, 0.0) + hot_or(model.unigram_log, word, 0.0)
-            out.append((block, 0, text, np.where(np.isnan(value), unseen, value)))
+        for block, a, text in unpack(table, 6, (np.uint8, np.uint8)):
+            (word, before, after), text = _arrays(a, 3, np.uint64), _arrays(text, 1, np.uint16)[0]
+            c = _lookup(words, n, word, 0)
+            plus = np.log10(c + 1.0)
+            value = _lookup(*into, _pair_keys(before, word), np.nan)
+            seen = hot_or(-model.context_log, before, 0.0) + np.where(before < HASHES, value, 0.0)  # a cold context adds its part where it is
+            unseen = hot_or(model.backoff_log, before, 0.0) + plus - log10(model.norm)
+            score = np.where(np.isnan(value), unseen, seen)
+            value = _lookup(*out_of, _pair_keys(word, after), np.nan) - _lookup(known, below, word, 0.0)
+            unseen = _lookup(known, backoff, word, 0.0) + hot_or(model.unigram_log, after, 0.0)
+            score += np.where(np.isnan(value), unseen, value)
+            out.append((block, 1, text, score, plus, c > 0))
         result = [(len(a) // 8, 4, block, a, b) for kind, block, a, b in zip(*(table[c].to_pylist() for c in ("kind", "block", "a", "b"))) if kind == 4]
         for block, kind, text, *values in out:
             at, inverse = np.unique(text, return_inverse=True)
@@ -561,8 +559,18 @@ def score_texts(
         pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([packed_rows(result)])
 
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Count tables as keys, ascending, and counts."""
+        for batch in batches:
+            for part, kind, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), batch.column(4)):
+                a, b = a.as_py(), b.as_py()
+                if kind != 1:
+                    a = _planes(_pair_keys(*_arrays(a, 2, np.uint64)))
+                    b = b[: len(a)]
+                yield packed_rows([(part, kind, 0, a, b)])
+
     sent = tokens.select("row", "symbols", "tail").mapInArrow(occurrences, PACKED)
-    partial = sent.unionAll(unigrams).unionAll(pairs).unionAll(contexts.filter("kind = 5")).groupBy("part").applyInArrow(evaluate, PACKED)
+    partial = sent.unionAll(unigrams).unionAll(pairs.mapInArrow(keyed, PACKED)).unionAll(contexts.filter("kind = 5")).groupBy("part").applyInArrow(evaluate, PACKED)
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
         """(row, score, base, known) of the texts of a block."""
