@@ -122,9 +122,10 @@ class _PairTally:
 
 
 def _sides(context: np.ndarray, word: np.ndarray, parts: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(kind, partition, positions): bigrams whose word is cold by word (7), whose context is cold by context (8); with both, twice."""
+    """(kind, partition, positions by ascending cold symbol): bigrams whose word is cold by word (7), whose context is cold by context (8); with both, twice."""
     for kind, symbol in ((7, word), (8, context)):
         cold = np.flatnonzero(symbol >= HASHES)
+        cold = cold[np.argsort(symbol[cold], kind="stable")]
         for p, at in split(part_of(symbol[cold], parts), parts):
             yield kind, p, cold[at]
 
@@ -419,11 +420,14 @@ def score_texts(
             out.append((part, 1, 0, _planes(keys), _planes(counts)))
         context, word, counts = _merged_pairs(table, 7)
         if len(word):
+            order = np.argsort(word, kind="stable")
+            context, word, counts = context[order], word[order], counts[order]
             plus = _lookup(*_merged(table, 0), word, 0) + 1
             out.append((part, 7, 0, _planes(context, word), _planes(counts, plus)))
         context, word, counts = _merged_pairs(table, 8)
         if len(word):
-            out.append((part, 8, 0, _planes(context, word), _planes(counts)))
+            order = np.argsort(context, kind="stable")
+            out.append((part, 8, 0, _planes(context[order], word[order]), _planes(counts[order])))
         pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([packed_rows(out)])
 
@@ -555,7 +559,7 @@ def score_texts(
         for block, kind, text, *values in out:
             at, inverse = np.unique(text, return_inverse=True)
             sums = [np.bincount(inverse, v) for v in values]
-            result.append((len(at), kind, block, at.astype(np.uint16).tobytes(), np.concatenate(sums).tobytes()))
+            result.append((len(at), kind, block, _planes(at.astype(np.uint16)), _planes(*(x.astype(np.float64) for x in sums))))
         pa.default_memory_pool().release_unused()
         return pa.Table.from_batches([packed_rows(result)])
 
@@ -565,8 +569,9 @@ def score_texts(
             for part, kind, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), batch.column(4)):
                 a, b = a.as_py(), b.as_py()
                 if kind != 1:
-                    a = _planes(_pair_keys(*_arrays(a, 2, np.uint64)))
-                    b = b[: len(a)]
+                    keys = _pair_keys(*_arrays(a, 2, np.uint64))
+                    order = np.argsort(keys)
+                    a, b = _planes(keys[order]), _planes(_arrays(b[: 8 * len(keys)], 1, np.int64)[0][order])
                 yield packed_rows([(part, kind, 0, a, b)])
 
     sent = tokens.select("row", "symbols", "tail").mapInArrow(occurrences, PACKED)
@@ -585,11 +590,11 @@ def score_texts(
         for n, kind, a, b in parts_:
             if kind == 4:
                 continue
-            at, v = np.frombuffer(a.as_py(), np.uint16), np.frombuffer(b.as_py(), np.float64)
-            score[at] += v[:n]
+            at, v = _arrays(a.as_py(), 1, np.uint16)[0], _arrays(b.as_py(), 1 + 2 * kind, np.float64)
+            score[at] += v[0]
             if kind == 1:
-                base[at] += v[n : 2 * n]
-                known[at] += v[2 * n :]
+                base[at] += v[1]
+                known[at] += v[2]
         return pa.table({"row": row, "score": score, "base2": base, "known2": known.astype(np.int64)})
 
     sums = partial.groupBy("block").applyInArrow(gather, "row long, score double, base2 double, known2 long")
