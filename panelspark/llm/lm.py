@@ -38,12 +38,15 @@ GATHERED = 1 << 20
 
 
 def _planes(*arrays: np.ndarray) -> bytes:
-    """Arrays as bytes, first bytes of the entries first, second bytes next: small or ascending entries then compress to what they hold."""
-    return b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in arrays)
+    """Arrays as bytes, first bytes of the entries first, second bytes next, so small or ascending entries compress to what they hold."""
+    raw = b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in arrays)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _arrays(raw: bytes | np.ndarray, n: int, dtype: type) -> np.ndarray:
     """The n arrays of equal length and one type in such bytes."""
+    raw = bytes(raw)
+    raw = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
     return np.frombuffer(raw, np.uint8).reshape(n, np.dtype(dtype).itemsize, -1).transpose(0, 2, 1).copy().reshape(n, -1).view(dtype)
 
 
@@ -459,17 +462,29 @@ def score_texts(
         rare = listed.mapInArrow(rarities, "r long, n long").groupBy("r").agg(F.sum("n").alias("n")).collect()
     ratios = good_turing({r["r"]: r["n"] for r in rare})
 
+    def summed(context: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        context, inverse = np.unique(context, return_inverse=True)
+        return context, np.array([np.bincount(inverse, w, minlength=len(context)) for w in sums])
+
     def context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # sent on whenever GATHERED contexts are held, so a task sends few rows
+
+        def flush() -> pa.RecordBatch:
+            context, sums = summed(np.concatenate([c for c, _ in held]), np.concatenate([x for _, x in held], axis=1))
+            held.clear()
+            return packed_rows([(p, 5, 0, _planes(context[at]), _planes(*sums[:, at])) for p, at in split(part_of(context, parts), parts)])
+
         for context, _, counts, plus in entries(batches):
-            context, inverse = np.unique(context, return_inverse=True)
-            sums = np.array([np.bincount(inverse, w, minlength=len(context)) for w in (counts, _discounted(counts, ratios), plus, np.ones(len(plus)))])
-            yield packed_rows([(p, 5, 0, _planes(context[at]), _planes(*sums[:, at])) for p, at in split(part_of(context, parts), parts)])
+            held.append(summed(context, np.array([counts, _discounted(counts, ratios), plus, np.ones(len(plus))])))
+            if sum(len(c) for c, _ in held) >= GATHERED:
+                yield flush()
+        if held:
+            yield flush()
 
     def merge_contexts(key: tuple, table: pa.Table) -> pa.Table:
         """Kind 5: cold contexts and the logs of their weights; 10: hot contexts and their sums."""
         found = [(_arrays(a, 1, np.uint64)[0], _arrays(b, 4, np.float64)) for _, a, b in unpack(table, 5, (np.uint8, np.uint8))]
-        context, inverse = np.unique(np.concatenate([a for a, _ in found]), return_inverse=True)
-        sums = np.array([np.bincount(inverse, w, minlength=len(context)) for w in np.concatenate([b for _, b in found], axis=1)])
+        context, sums = summed(np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found], axis=1))
         hot = context < HASHES
         cold = np.array(model.weights(*sums[:, ~hot]))
         part = key[0].as_py()
@@ -571,7 +586,7 @@ def score_texts(
                 if kind != 1:
                     keys = _pair_keys(*_arrays(a, 2, np.uint64))
                     order = np.argsort(keys)
-                    a, b = _planes(keys[order]), _planes(_arrays(b[: 8 * len(keys)], 1, np.int64)[0][order])
+                    a, b = _planes(keys[order]), _planes(_arrays(b, 2 if kind == 7 else 1, np.int64)[0][order])
                 yield packed_rows([(part, kind, 0, a, b)])
 
     sent = tokens.select("row", "symbols", "tail").mapInArrow(occurrences, PACKED)
