@@ -131,62 +131,98 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_
     return pick(docs, id=id_col, text=text_col).mapInArrow(run, PIECES)
 
 
-def best_knapsack(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration (size to multiplicity) of at most ``capacity`` with the highest total price; sizes ascend."""
-    best = np.zeros(capacity + 1)
-    choice = np.full(capacity + 1, -1, dtype=np.int64)
+def best_knapsack(prices: np.ndarray, sizes: np.ndarray, capacity: int, noise: np.ndarray, places: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """(highest price of a configuration, price and multiplicities of one that is nearly as dear for each capacity from 0 up).
+
+    Two programmes run side by side over ascending sizes: an exact one, and
+    one that takes each size for up to the share ``noise`` dearer than it is,
+    so that equally good configurations share few sizes. ``places`` says
+    where in ``noise`` each capacity starts.
+    """
+    exact, near = np.zeros(capacity + 1), np.zeros(capacity + 1)
+    held = np.zeros((capacity + 1, len(sizes)), dtype=np.int32)
+    upto = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        n = np.searchsorted(sizes, c, side="right")
+        n = upto[c]
+        exact[c], near[c], held[c] = exact[c - 1], near[c - 1], held[c - 1]
         if n:
-            value = best[c - sizes[:n]] + prices[:n]
-            k = int(value.argmax())
-            if value[k] > best[c]:
-                best[c], choice[c] = value[k], k
-    config: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-        else:
-            config[int(sizes[choice[c]])] += 1
-            c -= int(sizes[choice[c]])
-    return dict(config)
-
-
-#: Exponents of the first prices (size ** exponent): at 1 all full configurations are worth the same, above 1 those of
-#: large pieces are worth more. Which one leaves the better remainder depends on the histogram.
-STARTS = (1.0, 1.02)
-
-
-def configuration_lp(histogram: dict[int, int], capacity: int, iterations: int, start: float = 1.0, eta: float = 0.05) -> list[tuple[dict[int, int], float]]:
-    """A fractional cover of the histogram: (configuration, how often).
-
-    Multiplicative weights: each step takes the configuration of the sizes
-    still in demand that is worth most at the present prices, as often as
-    the scarcest of its sizes allows. The price of a size falls
-    exponentially as more of its demand is met than on average, and rises
-    as less is. No size is covered beyond its demand; what is not covered
-    after ``iterations`` steps has about the mix of the whole.
+            before = c - sizes[:n]
+            exact[c] = max(exact[c], (exact[before] + prices[:n]).max())
+            k = int((near[before] + prices[:n] * (1 + noise[places[c] : places[c] + n])).argmax())
+            value = near[before[k]] + prices[k]
+            if value > near[c]:
+                near[c], held[c] = value, held[before[k]]
+                held[c, k] += 1
+    return float(exact[capacity]), near, held
+
+
+#: A size's price falls by exp(-RATE) in a first step that covers it as much as sizes on average; less later.
+RATE = 0.05
+#: A step counts a size as covered at most this many times the average.
+MOST = 8
+#: Configurations worth this share less than the best one count as best in the first steps; less later.
+SLACK = 0.05
+#: The program is solved when the cover is this close to its lower bound.
+GAP = 0.002
+#: Sizes that together hold this share of all ids, the rarest first, stay out of the program: best fit places them.
+RARE = 0.002
+
+
+def configuration_lp(histogram: dict[int, int], capacity: int, iterations: int, seed: int = 0) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """(fractional cover of the histogram as (configuration, how often), lower bound on the sequences of any cover).
+
+    Multiplicative weights. Each size has a price; a knapsack programme
+    finds a dear configuration through every size, and a step takes all
+    those within the slack of the dearest, each in proportion to the demand
+    for its size, until sizes are covered once on average. Then each price
+    is multiplied by exp(-rate * the share of its demand that the step
+    covered, up to ``MOST``); rate and slack fall with the square root of
+    the steps. The cover is the average of the steps since the last
+    power of two, scaled until every size is covered. Prices divided by that
+    of the dearest configuration solve the dual program, so their sum over
+    the demand bounds every cover from below, as the volume does. It stops
+    when both are within ``GAP``, or after ``iterations``. Sizes left out as
+    ``RARE`` count in the volume only.
     """
-    sizes = np.array(sorted(histogram), dtype=np.int64)
+    rng = np.random.default_rng(seed)
+    by_volume = sorted(histogram, key=lambda s: (s * histogram[s], s))
+    volume = np.cumsum([s * histogram[s] for s in by_volume])
+    sizes = np.array(sorted(s for s, v in zip(by_volume, volume) if v > RARE * volume[-1]), dtype=np.int64)
     demand = np.array([histogram[s] for s in sizes], dtype=float)
-    left = demand.copy()
-    taken: dict[tuple, float] = defaultdict(float)
-    at = {int(s): i for i, s in enumerate(sizes)}
-    for _ in range(iterations):
-        live = left > 1e-9
-        if not live.any():
+    prices = sizes / capacity
+    bound, least, cover = float(volume[-1]) / capacity, np.inf, []
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    covered = np.zeros(len(sizes))
+    for t in range(iterations):
+        slack = SLACK / np.sqrt(1 + t / 16)
+        noise = slack * rng.random(8 * len(sizes))
+        dearest, near, held = best_knapsack(prices, sizes, capacity, noise, rng.integers(0, 7 * len(sizes), capacity + 1))
+        prices, near = prices / dearest, near / dearest
+        bound = max(bound, float(demand @ prices))
+        worth = prices + near[capacity - sizes]
+        good = np.flatnonzero(worth >= min(1 - slack, worth.max()))
+        configs = held[capacity - sizes[good]]
+        configs[np.arange(len(good)), good] += 1
+        times = demand[good] / configs[np.arange(len(good)), good]
+        share = times @ configs / demand
+        times, share = times / share.mean(), share / share.mean()
+        if t & (t - 1) == 0:
+            steps, covered = [], np.zeros(len(sizes))
+        steps.append((configs, times))
+        covered = covered + share
+        total = sum(float(x.sum()) for _, x in steps)
+        if covered.min() > 0 and total / covered.min() < least:
+            least, cover = total / covered.min(), [(c, x / covered.min()) for c, x in steps]
+        if least <= bound * (1 + GAP):
             break
-        ahead = (1 - left / demand) - (1 - (left * sizes).sum() / (demand * sizes).sum())
-        prices = (sizes / capacity) ** start * np.exp(-eta * ahead)
-        config = best_knapsack(prices[live], sizes[live], capacity)
-        idx = np.array([at[s] for s in config])
-        many = np.array([config[s] for s in config], dtype=float)
-        times = float((left[idx] / many).min())
-        taken[tuple(sorted(config.items()))] += times
-        left[idx] -= times * many
-    return [(dict(c), x) for c, x in taken.items()]
+        prices = prices * np.exp(-RATE / np.sqrt(1 + t / 16) * np.minimum(share, MOST))
+    taken: dict[tuple, float] = defaultdict(float)
+    for configs, times in cover:
+        row, size = np.nonzero(configs)
+        cuts = np.flatnonzero(np.diff(row)) + 1
+        for x, at, many in zip(times, np.split(sizes[size], cuts), np.split(configs[row, size], cuts)):
+            taken[tuple(zip(at.tolist(), many.tolist()))] += float(x)
+    return [(dict(c), x) for c, x in taken.items()], bound
 
 
 def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -223,35 +259,50 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
     return out
 
 
-def _rounded(histogram: dict[int, int], capacity: int, cover: list[tuple[dict[int, int], float]]) -> list[tuple[dict[int, int], int]]:
-    """The cover rounded down, fullest configurations first, never beyond what is left; best fit packs the remainder."""
-    left, plan = dict(histogram), []
-    for config, x in sorted(cover, key=lambda c: (-sum(s * k for s, k in c[0].items()), -c[1])):
-        n = min(int(x + 1e-9), *(left[s] // k for s, k in config.items()))
+def _rounded(histogram: dict[int, int], capacity: int, cover: list[tuple[dict[int, int], float]]) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
+    """(whole sequences of the cover, what is left): fullest configurations first, fractions carried on, never beyond the histogram."""
+    left, plan, carry = dict(histogram), [], 0.0
+    for config, x in sorted(cover, key=lambda c: (-sum(s * k for s, k in c[0].items()), -c[1], sorted(c[0].items()))):
+        want = x + carry
+        n = min(int(want + 1e-9), *(left[s] // k for s, k in config.items()))
+        carry = min(want - n, 1.0)
         if n > 0:
             plan.append((config, n))
             for s, k in config.items():
                 left[s] -= n * k
-    return plan + _best_fit({s: n for s, n in left.items() if n}, capacity)
+    return plan, {s: n for s, n in left.items() if n}
 
 
-def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, iterations: int = 500) -> list[tuple[dict[int, int], int]]:
+#: The program is solved anew for what the rounding leaves, this often at most.
+ROUNDS = 3
+
+
+def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY, iterations: int = 256) -> list[tuple[dict[int, int], int]]:
     """Whole sequences that hold the histogram exactly: (configuration, how many).
 
-    Pieces of full length stand alone. The program is solved from each of
-    the ``STARTS``; the rounded solution with the fewest sequences is taken.
-    The histogram has at most ``capacity`` entries, so the cost does not
-    depend on the number of rows.
+    Pieces of full length stand alone. The cover of the program is rounded
+    to whole sequences, and the program solved again for what is left; best
+    fit packs the last remainder. If best fit alone, or after fewer rounds,
+    needs no more sequences, that plan is taken. The histogram has at most
+    ``capacity`` entries, so the cost does not depend on the number of rows.
     """
     left = dict(histogram)
-    plan = [({capacity: 1}, left.pop(capacity))] if left.get(capacity) else []
-    if left:
-        rounded = [_rounded(left, capacity, configuration_lp(left, capacity, iterations, start)) for start in STARTS]
-        plan += min(rounded, key=lambda p: sum(n for _, n in p))
-    return plan
+    alone = [({capacity: 1}, left.pop(capacity))] if left.get(capacity) else []
+    if not left:
+        return alone
+    fixed: list[tuple[dict[int, int], int]] = []
+    plans = [_best_fit(left, capacity)]
+    for k in range(ROUNDS):
+        cover, _ = configuration_lp(left, capacity, iterations >> k, k)
+        whole, left = _rounded(left, capacity, cover)
+        fixed += whole
+        plans.append(fixed + _best_fit(left, capacity))
+        if not whole or not left:
+            break
+    return alone + min(plans, key=lambda p: sum(n for _, n in p))
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = 500) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, iterations: int = 256) -> DataFrame:
     """``pieces`` (columns length, task, rank and any others) with sequence_id and offset.
 
     Lengths must be 1 to ``capacity``; rank numbers equal lengths within a

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -13,8 +10,9 @@ from pyspark.sql import functions as F
 from .common import pick, scratch
 
 BLOCK_ROWS = 128
-#: Queries sent to the tasks at once (of 64 dimensions: 4 MB).
+#: Queries and rows that meet in a group, about (of 64 dimensions: 4 and 32 MB).
 QUERIES_AT_ONCE = 8192
+ROWS_AT_ONCE = 65536
 #: Products summed below this are exact in doubles.
 _EXACT = 2**53
 _NONE = np.iinfo(np.int64).min + 1  # its negative is a number too
@@ -91,6 +89,23 @@ class BlockSearch:
             getattr(self, name)[mine] = np.take_along_axis(values, best, axis=1)
 
 
+def _by_dimension(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, uids, vectors) of the rows of (id, v, uid) for each dimension, in the order of ids."""
+    out = {}
+    rows = rows.combine_chunks()
+    ids, uids = rows.column("id").to_numpy(), rows.column("uid").to_numpy()
+    lists = rows.column("v").combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], type=lists.type)
+    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    size = np.diff(offsets)
+    for d in set(size.tolist()):
+        at = np.flatnonzero(size == d)
+        at = at[np.lexsort((uids[at], ids[at]))]
+        out[d] = ids[at], uids[at], values[offsets[at][:, None] + np.arange(d)[None, :]].reshape(len(at), d)
+    return out
+
+
 def search(vectors: DataFrame, queries: str, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k rows with the highest inner product for each query, ties to the smaller id.
 
@@ -103,51 +118,35 @@ def search(vectors: DataFrame, queries: str, k: int = 5, scale: float = 256.0, i
     Scores must fit 64 bits. Returns (query_id, rank, vec_id, score,
     query_row, vec_row).
 
-    Rows are stored in ranges of the id; each task searches its range, block
-    by block, for all queries, which come in blocks of ``QUERIES_AT_ONCE``
-    (one branch of a union for each).
+    Rows are stored in ranges of the id of about ``ROWS_AT_ONCE`` rows,
+    queries in parts of about ``QUERIES_AT_ONCE``. Every part meets every
+    range in a group of its own, which searches the range block by block;
+    no vector passes through the driver.
     """
-    spark = vectors.sparkSession
-    order = [F.col("id"), F.xxhash64("v")]
-    ranged = scratch(quantised(vectors, id_col, vector_col, scale), "topk-rows").repartitionByRange(*order).sortWithinPartitions(*order)
-    stored = scratch(ranged.withColumn("uid", F.monotonically_increasing_id()), "topk-ranges")
-    asked = scratch(stored.filter(queries), "topk-queries")
-    parts = max(1, -(-asked.count() // QUERIES_AT_ONCE))
-    schema = "query_row long, query_id long, vec_id long, vec_row long, score long"
-
-    def searched(part: int) -> DataFrame:
-        rows = asked.filter(F.pmod("uid", F.lit(parts)) == part).toArrow()
-        by_dimension: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        lists = rows.column("v").to_pylist()
-        ids, uids = (np.asarray(rows.column(c).to_numpy()) for c in ("id", "uid"))
-        sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        for d in set(sizes.tolist()):
-            at = np.flatnonzero(sizes == d)
-            by_dimension[d] = ids[at], uids[at], np.array([lists[i] for i in at], dtype=np.int64).reshape(len(at), d)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            state = {d: BlockSearch(u, q, k) for d, (_, u, q) in by_dimension.items()}
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                vec = batch.column(1)
-                offsets = vec.offsets.to_numpy()
-                values = vec.values.to_numpy(zero_copy_only=False)
-                found = np.diff(offsets)
-                own, uid = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-                for d in set(found.tolist()) & set(state):
-                    at = np.flatnonzero(found == d)
-                    matrix = values[(offsets[at][:, None] + np.arange(d)[None, :])].reshape(len(at), d)
-                    state[d].add(own[at], uid[at], matrix)
-            for d, s in state.items():
+    rows = scratch(quantised(vectors, id_col, vector_col, scale).withColumn("uid", F.monotonically_increasing_id()), "topk-rows")
+    n = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.expr(queries)).alias("queries")).first()
+    ranges, parts = (max(1, -(-n[c] // size)) for c, size in (("rows", ROWS_AT_ONCE), ("queries", QUERIES_AT_ONCE)))
+    ordered = rows.repartitionByRange(ranges, "id", F.xxhash64("v"), "uid").withColumn("range", F.spark_partition_id())
+    stored = scratch(ordered.select(F.col("id").cast("long"), "v", "uid", "range"), "topk-ranges")
+    part = F.pmod(F.xxhash64("uid"), F.lit(parts)).cast("int").alias("part")
+    asked = scratch(rows.filter(queries).select(F.col("id").cast("long"), "v", "uid", part), "topk-queries")
+    names = ["query_row", "query_id", "vec_id", "vec_row", "score"]
+
+    def searched(mine: pa.Table, against: pa.Table) -> pa.Table:
+        found: list[list[np.ndarray]] = [[np.zeros(0, dtype=np.int64)] for _ in names]
+        candidates = _by_dimension(against)
+        for d, (own, uids, matrix) in _by_dimension(mine).items():
+            if d in candidates:
+                s = BlockSearch(uids, matrix, k)
+                s.add(*candidates[d])
                 q, j = np.nonzero(s.rows >= 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (s.uids[q], by_dimension[d][0][q], s.ids[q, j], s.rows[q, j], s.scores[q, j])],
-                    names=["query_row", "query_id", "vec_id", "vec_row", "score"],
-                )
-
-        return stored.select(F.col("id").cast("long"), "v", "uid").mapInArrow(run, schema)
-
-    found = reduce(DataFrame.unionAll, [searched(p) for p in range(parts)]) if asked.head(1) else spark.createDataFrame([], schema)
+                for column, values in zip(found, (uids[q], own[q], s.ids[q, j], s.rows[q, j], s.scores[q, j])):
+                    column.append(values)
+        return pa.table([pa.array(np.concatenate(c)) for c in found], names=names)
+
+    to_ranges = asked.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(ranges - 1))))
+    to_parts = stored.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    schema = ", ".join(f"{c} long" for c in names)
+    found = to_ranges.groupBy("range", "part").cogroup(to_parts.groupBy("range", "part")).applyInArrow(searched, schema)
     place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "vec_row"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_row", "vec_row")

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from panelspark.llm.packing import pack, plan_sequences, tokenise
+from panelspark.llm.packing import _best_fit, configuration_lp, pack, plan_sequences, tokenise
 
 
 def reference_ids(text):
@@ -61,9 +61,56 @@ def test_plan_holds_the_histogram(histogram):
         for s, k in config.items():
             held[s] += n * k
     assert held == Counter(histogram)
+    used = sum(n for _, n in plan)
+    assert used <= sum(n for _, n in _best_fit(dict(histogram), 60))
     # never above a bound that first-fit keeps too: at most one sequence half empty or less
     total = sum(s * n for s, n in histogram.items())
-    assert sum(n for _, n in plan) <= 2 * total / 60 + 1
+    assert used <= 2 * total / 60 + 1
+    if histogram:
+        cover, bound = configuration_lp(histogram, 60, 40)
+        assert bound <= used + 1e-6
+        assert bound <= sum(x for _, x in cover) + sum(s * n for s, n in histogram.items()) / 60 + 1e-6
+
+
+def spread(low, high, n, seed=1):
+    return dict(Counter(np.random.default_rng(seed).integers(low, high, n).tolist()))
+
+
+@pytest.mark.parametrize(
+    "histogram, gap, gain",
+    [
+        (spread(257, 512, 100_000), 1.025, 0.95),  # three pieces a sequence only if chosen with care
+        ({400: 3000, 300: 5000, 250: 2000, 90: 100}, 1.005, 0.9),
+        (spread(1, 1024, 100_000), 1.001, 1.0),
+        (spread(342, 701, 100_000), 1.025, 1.0),
+    ],
+)
+def test_plan_against_the_dual_bound_and_best_fit(histogram, gap, gain):
+    plan = sum(n for _, n in plan_sequences(histogram))
+    _, bound = configuration_lp(histogram, 1024, 256)
+    best_fit = sum(n for _, n in _best_fit(dict(histogram), 1024))
+    assert bound <= plan <= min(bound * gap, best_fit * gain)
+
+
+def test_large_pieces_stand_alone_and_the_bound_knows():
+    histogram = {s: n for s, n in [*spread(580, 640, 40_000).items(), *spread(80, 130, 60_000).items()]}
+    plan = sum(n for _, n in plan_sequences(histogram))
+    _, bound = configuration_lp(histogram, 1024, 256)
+    volume = sum(s * n for s, n in histogram.items()) / 1024
+    assert plan == 40_000  # every large piece needs a sequence of its own
+    assert volume * 1.2 < bound <= plan
+
+
+def test_cover_covers_the_common_sizes():
+    histogram = spread(257, 512, 100_000)
+    cover, _ = configuration_lp(histogram, 1024, 64)
+    held = Counter()
+    for config, x in cover:
+        assert x > 0 and sum(s * k for s, k in config.items()) <= 1024
+        for s, k in config.items():
+            held[s] += x * k
+    rare = [s for s, n in histogram.items() if held[s] < n - 1e-6]
+    assert sum(s * histogram[s] for s in rare) <= 0.002 * sum(s * n for s, n in histogram.items())
 
 
 def test_plan_is_near_the_lower_bound():

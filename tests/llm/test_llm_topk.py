@@ -19,9 +19,10 @@ def brute(rows, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("at_once", [8192, 3])
-def test_equals_brute_force(spark, monkeypatch, at_once):
+@pytest.mark.parametrize("at_once, rows_at_once", [(8192, 65536), (3, 65536), (8192, 100), (5, 150)])
+def test_equals_brute_force(spark, monkeypatch, at_once, rows_at_once):
     monkeypatch.setattr(topk, "QUERIES_AT_ONCE", at_once)
+    monkeypatch.setattr(topk, "ROWS_AT_ONCE", rows_at_once)
     monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
     rng = np.random.default_rng(0)
     f = lambda a: [float(np.float32(x)) for x in a]
@@ -37,3 +38,25 @@ def test_empty_table(spark):
     assert search(spark.createDataFrame([], SCHEMA), "id % 50 = 0").count() == 0
     one = spark.createDataFrame([(50, [1.0], 0, "x", 1, "y")], SCHEMA)
     assert search(one, "id % 50 = 0").count() == 0
+
+
+def test_no_vector_passes_through_the_driver(spark, monkeypatch):
+    rows = [(i, [float(i % 7), 1.0], 0, "x", 1, "y") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    frame, collect = type(df), type(df).collect
+
+    def only_numbers(self):
+        assert not any(c in self.columns for c in ("v", "embedding"))
+        return collect(self)
+
+    monkeypatch.setattr(frame, "collect", only_numbers)
+    for name in ("toArrow", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(frame, name, lambda *a, **k: pytest.fail("rows were sent to the driver"))
+    search(df, "id % 50 = 0").write.format("noop").mode("overwrite").save()
+
+
+def test_equal_rows_spread_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROWS_AT_ONCE", 50)
+    df = spark.createDataFrame([(50, [1.0], 0, "x", 1, "y")] * 200, SCHEMA)
+    got = search(df, "id % 50 = 0").groupBy("query_row").count().collect()
+    assert len(got) == 200 and {r["count"] for r in got} == {5}
