@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from panelspark.llm import lm
+from panelspark.llm import langid, lm
 from panelspark.llm.langid import identify
 from panelspark.llm.lm import good_turing, score_texts
 from panelspark.llm.quality import classify
@@ -73,6 +73,41 @@ def test_languages(documents):
     assert by[None].lang_pred == "yy"
 
 
+def test_short_texts_and_filter_size(documents):
+    """One word or character is judged by shorter n-grams; the filter grows with the different n-grams."""
+    rng = random.Random(5)
+    langs = {"aa": word_list(rng, "abcd", 100), "el": word_list(rng, "αβγδ", 100), "zh": word_list(rng, "猫狗鳥魚", 100)}
+    rows = [(i, " ".join(rng.choice(langs[k]) for _ in range(30)), k) for i, k in enumerate(["zh", "el", "el", "aa"] * 60)]
+    short = [(1000, "猫", None), (1001, "β", None), (1002, "ab", None), (1003, "猫 \U0001f600", None), (1004, "д", None), (1005, "c", None)]
+    by = {r.doc_id: r for r in identify(documents(rows + short)).collect()}
+    assert [by[i].lang_pred for i in (1000, 1001, 1002, 1003, 1005)] == ["zh", "el", "aa", "zh", "aa"]
+    assert by[1004].lang_pred in ("el", "zh", "aa") and 0 <= by[1004].score <= 1
+    few = langid.fit(documents(rows), "true")
+    many = langid.fit(documents([(i, "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(400)), "zh") for i in range(100)]), "true")
+    assert few[0] == ["aa", "el", "zh"] and few[0][few[2]] == "el"
+    assert len(many[1]) > 8 * len(few[1])
+    assert all(np.unpackbits(m[1]).mean() < 0.32 for m in (few, many))
+
+
+def test_languages_against_sets(documents, monkeypatch):
+    """The filters return what sets of n-grams would, but for false positives; counts handed on in parts add up."""
+    monkeypatch.setattr(langid, "POSITIONS_PER_GRAM", 4096)
+    monkeypatch.setattr(langid, "HELD", 500)
+    rng = random.Random(6)
+    langs = {"xx": word_list(rng, "abcdefg", 120), "yy": word_list(rng, "efghijk", 120)}
+    rows = [(i, " ".join(rng.choice(langs[k]) for _ in range(rng.randint(1, 40))), k) for i, k in enumerate(["xx", "yy"] * 100)]
+    cut = lambda t: [t.encode()[j : j + 4] for j in range(len(t.encode()) - 3)]
+    count = {k: Counter(g for i, t, lang in rows if lang == k and fold(i, 4) != 2 for g in cut(t)) for k in langs}
+    rel = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in count.items()}
+    keep = {k: {g for g, f in rel[k].items() if f >= langid.KEEP * max(rel[o].get(g, 0) for o in langs)} for k in langs}
+    for r in identify(documents(rows)).collect():
+        mine = cut(rows[r.doc_id][1])
+        share = {k: sum(g in keep[k] for g in mine) / max(len(mine), 1) for k in langs}
+        if max(share.values()) > 0:
+            assert r.lang_pred == max(sorted(share), key=share.get)
+            assert r.score == pytest.approx(max(share.values()) / sum(share.values()), abs=0.01)
+
+
 def test_languages_without_learning(documents):
     assert {r.lang_pred for r in identify(documents([(1, "some text", None), (2, None, None)])).collect()} == {"und"}
     assert identify(documents([])).count() == 0
