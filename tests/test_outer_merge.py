@@ -91,3 +91,15 @@ def test_union_grid_is_null_safe_and_refuses_repeats(spark):
     with pytest.raises(QualityError):
         build_panel(frames_, specs.INVENTORY, "zip", grid="union")
     assert build_panel([(a, "for_sale_inventory"), (b, "new_listings")], specs.INVENTORY, "zip", grid="union").count() == 3
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    from panelspark.operators import reshape as R
+
+    monkeypatch.setattr(R, "MERGE_ROWS", 100)
+    a = spark.range(300).selectExpr("id AS RegionID", "'2020-01-31' AS date", "id * 2 AS x")
+    b = spark.range(200, 500).selectExpr("id AS RegionID", "'2020-01-31' AS date", "id * 3 AS y")
+    got = R.merge_variants([(a, "x"), (b, "y")])
+    assert got.rdd.getNumPartitions() == 7
+    want = [(i, "2020-01-31", 2 * i if i < 300 else None, 3 * i if i >= 200 else None) for i in range(500)]
+    assert sorted(map(tuple, got.select("RegionID", "date", "x", "y").collect())) == want
