@@ -191,7 +191,7 @@ def configuration_lp(histogram: dict[int, int], capacity: int, iterations: int,
     demand = np.array([histogram[s] for s in sizes], dtype=float)
     prices = sizes / capacity
     bound, least, cover = float(volume[-1]) / capacity, np.inf, []
-    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    steps: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []  # of each: configurations' rows, sizes, counts; how often
     covered = np.zeros(len(sizes))
     for t in range(iterations):
         slack = SLACK / np.sqrt(1 + t / 16)
@@ -208,19 +208,19 @@ def configuration_lp(histogram: dict[int, int], capacity: int, iterations: int,
         times, share = times / share.mean(), share / share.mean()
         if t & (t - 1) == 0:
             steps, covered = [], np.zeros(len(sizes))
-        steps.append((configs, times))
+        row, size = np.nonzero(configs)  # few sizes each: kept whole, the steps would fill the driver's memory
+        steps.append((row.astype(np.int32), size.astype(np.int32), configs[row, size], times))
         covered = covered + share
-        total = sum(float(x.sum()) for _, x in steps)
+        total = sum(float(x.sum()) for *_, x in steps)
         if covered.min() > 0 and total / covered.min() < least:
-            least, cover = total / covered.min(), [(c, x / covered.min()) for c, x in steps]
+            least, cover = total / covered.min(), [(r, k, c, x / covered.min()) for r, k, c, x in steps]
         if least <= bound * (1 + GAP):
             break
         prices = prices * np.exp(-RATE / np.sqrt(1 + t / 16) * np.minimum(share, MOST))
     taken: dict[tuple, float] = defaultdict(float)
-    for configs, times in cover:
-        row, size = np.nonzero(configs)
+    for row, size, counts, times in cover:
         cuts = np.flatnonzero(np.diff(row)) + 1
-        for x, at, many in zip(times, np.split(sizes[size], cuts), np.split(configs[row, size], cuts)):
+        for x, at, many in zip(times, np.split(sizes[size], cuts), np.split(counts, cuts)):
             taken[tuple(zip(at.tolist(), many.tolist()))] += float(x)
     return [(dict(c), x) for c, x in taken.items()], bound
 

@@ -134,3 +134,15 @@ def test_equal_lengths_that_first_fit_wastes():
 
 def test_empty_table(documents):
     assert pack(tokenise(documents([]))).count() == 0
+
+
+def test_program_keeps_its_steps_small():
+    """The steps of the program hold the sizes of their configurations, not a dense table of all sizes."""
+    import tracemalloc
+
+    histogram = {s: 2000 - s for s in range(1, 1024)}
+    tracemalloc.start()
+    configuration_lp(histogram, 1024, 48)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
