@@ -108,3 +108,30 @@ def test_lines_of_a_large_grain_move_once(spark, tables, monkeypatch, capsys):
     regions.write.parquet(f"{d}/_regions")
     X.wide_metric(spark.read.parquet(f"{d}/_regions"), "rent", "city", months).explain()
     assert "Exchange" not in capsys.readouterr().out
+
+
+def test_large_grains_land_as_gzip_and_are_read_alike(spark, tables, tmp_path, monkeypatch):
+    """Packed and plain files hold the same records; ingest, batch run and manifest see both; split files stay plain."""
+    from panelspark.plans.panels import run_all
+    from panelspark.sources.wide_csv import read_wide_csv
+    from panelspark.streaming.ingest import ingest_incremental
+
+    d, _rows = tables
+    found, names = {}, {}
+    for packed, limit in ((False, 1 << 20), (True, 0)):
+        monkeypatch.setattr(X, "PACK_BYTES", limit)
+        X._LANDED.clear()
+        root = X.land_raw(spark, d, ["zip", "county", "city"])
+        for grain in ("zip", "county"):
+            path = f"{root}/{PREFIX['all_homes']}_{grain}.csv"
+            names[packed, grain] = [p for p, _s, _m in files.list_files(spark, path)]
+            found[packed, grain] = sorted(map(str, read_wide_csv(spark, path).collect()))
+    assert all(p.endswith(".csv.gz") for p in names[True, "zip"]) and names[True, "zip"]
+    assert not any(p.endswith(".gz") for k in ((False, "zip"), (True, "county")) for p in names[k])
+    assert found[True, "zip"] == found[False, "zip"] and found[True, "county"] == found[False, "county"]
+    out = str(tmp_path / "out")
+    first = ingest_incremental(spark, root, out, f"{out}/_checkpoint", min_rows=1, families=["inventory"], grains=["city"])
+    assert not first["errors"], first["errors"]
+    assert set(first["tables"]) == {("inventory", "city")} and first["files"] >= 1
+    assert run_all(spark, root, out, families=["inventory"], grains=["city"], min_rows=1)["tables"] == {}
+    assert run_all(spark, root, str(tmp_path / "new"), families=["inventory"], grains=["city"], min_rows=1)["tables"]
