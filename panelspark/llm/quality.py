@@ -104,11 +104,19 @@ def train(bags: list[tuple[int, bytes, bytes]], epochs: int = 10, rate: float =
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value of each bucket, bias) of the model that all bags train, in whatever order they come."""
+    bags = sorted(bag for batch in batches for bag in zip(*(c.to_pylist() for c in batch.columns)))
+    values, bias = train(bags)
+    yield pa.RecordBatch.from_arrays([pa.array([values.astype(np.float32).tobytes()]), pa.array([bias])], names=["value", "bias"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: str, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_train: int = MAX_TRAIN) -> tuple[np.ndarray, float]:
     """Model from the labelled rows for which the SQL condition ``learn`` on ``id`` holds.
 
     Of these, the ``max_train`` ids with the smallest hash are used; an id
     with several labels counts as 1 if any is. Null ids and labels are left out.
+    A task trains it: the driver gets the model, never the rows' features.
     """
     known = pick(labels, id=id_col, label=label_col).filter("id is not null and label is not null")
     known = known.groupBy("id").agg(F.max("label").cast("int").alias("label")).filter(learn)
@@ -118,9 +126,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str, id_col: str = "doc_id",
         return train([])
     small = docs.sparkSession.createDataFrame(rows, chosen.schema)
     joined = pick(docs, id=id_col, text=text_col).join(F.broadcast(small), "id").select("text", "label")
-    bags = joined.mapInArrow(_bags, "label int, idx binary, weight binary").collect()
-    bags = [(r["label"], bytes(r["idx"]), bytes(r["weight"])) for r in bags]
-    return train(sorted(bags))
+    bags = joined.mapInArrow(_bags, "label int, idx binary, weight binary")
+    found = bags.repartition(1).mapInArrow(_learned, "value binary, bias double").first()  # max_train rows meet in a task
+    return (np.frombuffer(bytes(found["value"]), dtype=np.float32), found["bias"]) if found else train([])
 
 
 def _scores(features: _Features, texts: pa.Array, values: np.ndarray, bias: float) -> np.ndarray:

@@ -52,6 +52,28 @@ def test_classifier_without_labels(spark, documents):
     assert all(r.predicted == 1 for r in classify(documents([(1, "a"), (2, None)]), ones).collect())
 
 
+def test_classifier_is_trained_in_a_task(spark, documents):
+    """The driver gets the model only, the same as from the bags themselves, in any order of rows."""
+    from panelspark.llm import quality
+    from panelspark.llm.common import pick
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["ab", "cd", "ef", "gh"]) + "xy"[i % 2] for _ in range(30))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    seen, old = [], quality.train
+    quality.train = lambda bags, *a, **k: seen.append(len(bags)) or old(bags, *a, **k)
+    try:
+        values, bias = quality.fit(documents(rows), labels, "true")
+    finally:
+        quality.train = old
+    assert seen == []  # not called in this process
+    again = quality.fit(documents(rows[::-1]), labels, "true")
+    bags = pick(documents(rows), doc_id="doc_id", text="text").join(labels, "doc_id").select("text", "quality").mapInArrow(quality._bags, "label int, idx binary, weight binary").collect()
+    want = quality.train(sorted((r.label, bytes(r.idx), bytes(r.weight)) for r in bags))
+    assert np.allclose(values, want[0], atol=1e-5) and bias == pytest.approx(want[1], abs=1e-5)
+    assert np.allclose(values, again[0], atol=1e-5) and values.dtype == np.float32 and len(values) == 1 << quality.BITS
+
+
 def test_languages(documents):
     rng = random.Random(4)
     langs = {"xx": word_list(rng, "abcdefg", 200), "yy": word_list(rng, "efghijk", 200), "zz": word_list(rng, "ñéüabc", 200)}
