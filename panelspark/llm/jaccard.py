@@ -423,24 +423,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = scratch(_linked(pairs, sets).distinct(), "jaccard-links")
     labels = connected_components(links)
 
-    def spans(labels: DataFrame) -> DataFrame:
-        at = large.select("bucket", "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
-        return scratch(at.select("bucket", "sid", F.coalesce("component", "sid").alias("component")), "jaccard-spans")
-
-    at = spans(labels)
-    for turn in range(TURNS):  # a member of the largest component against one of each other component
-        one = at.groupBy("bucket", "component").agg(F.min_by("sid", F.xxhash64("sid", F.lit(turn))).alias("one"), F.count(F.lit(1)).alias("size"))
+    # The memberships of hot groups meet the components once; what the turns need of them is a row for each component
+    # of a group, with a member for each turn, and such rows merge as their components do.
+    def relabelled(df: DataFrame, node: str, labels: DataFrame) -> DataFrame:
+        of = labels.select(F.col("node").alias(node), F.col("component").alias("in"))
+        return df.join(of, node, "left").withColumn("component", F.coalesce("in", node)).drop("in")
+
+    picks = [f"pick{turn}" for turn in range(TURNS)]
+    drawn = [F.min(F.struct(F.xxhash64("sid", F.lit(turn)).alias("drawn"), "sid")).alias(pick) for turn, pick in enumerate(picks)]
+    ones = relabelled(large.select("bucket", "sid"), "sid", labels).groupBy("bucket", "component").agg(*drawn, F.count(F.lit(1)).alias("size"))
+    ones = scratch(ones, "jaccard-ones")
+    for pick in picks:  # a member of the largest component against one of each other component
+        one = ones.select("bucket", "component", "size", F.col(f"{pick}.sid").alias("one"))
         most = {"most": (F.max(F.struct("size", "component", "one")), "max"), "components": (F.count(F.lit(1)), "sum")}
-        one = with_totals(scratch(one, "jaccard-ones"), ["bucket"], most, ["one"], "components > 1").filter("component != most.component")
+        one = with_totals(one, ["bucket"], most, ["one"], "components > 1").filter("component != most.component")
         turned = one.select(F.least("one", "most.one").alias("a"), F.greatest("one", "most.one").alias("b")).distinct()
         new = scratch(_linked(scratch(possible(sized(turned)), "jaccard-turned"), sets).distinct(), "jaccard-links")
         if new.isEmpty():
             break
         links = scratch(links.unionAll(new), "jaccard-links")
         labels = connected_components(links)
-        at = spans(labels)
-    ends = {"low": (F.min("component"), "min"), "high": (F.max("component"), "max")}
-    open_ = scratch(with_totals(at, ["bucket"], ends, ["sid"], "low != high").select("sid", "component").distinct(), "jaccard-open")
+        merged = [F.min(p).alias(p) for p in picks]
+        ones = relabelled(ones, "component", labels).groupBy("bucket", "component").agg(*merged, F.sum("size").alias("size"))
+        ones = scratch(ones, "jaccard-ones")
+    several = ones.groupBy("bucket").agg(F.count(F.lit(1)).alias("components")).filter("components > 1").select("bucket")
+    salted = large.select("bucket", "sid", F.pmod(F.xxhash64("sid"), F.lit(256)).alias("salt"))  # as in with_totals
+    reach = salted.select("bucket", "salt").distinct().join(several, "bucket")
+    members = salted.join(reach, ["bucket", "salt"], "left_semi").select("sid").distinct()
+    open_ = scratch(relabelled(members, "sid", labels), "jaccard-open")
     if not open_.isEmpty():
         each = scratch(open_.join(sets.dropDuplicates(["sid"]), "sid").select("sid", "component", F.explode("elements").alias("element")), "jaccard-elements")
         counted = with_totals(each, ["element"], {"df": (F.count(F.lit(1)), "sum")}, ["sid"])

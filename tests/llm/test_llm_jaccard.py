@@ -76,6 +76,25 @@ def test_passage_that_all_texts_share(documents, monkeypatch):
     same(documents, corpus(3, 40, 3, 5000, [6, 12, 24, 40, 60], [0, 0.03], passage=45))
 
 
+def test_turns_do_not_list_the_members_of_hot_groups_again(documents, monkeypatch):
+    """Turns that find links go on with a row for each component of a group, fewer than its members."""
+    written = []
+
+    def spy(df, name):
+        got = scratch(df, name)
+        written.append((name, got.count(), df.columns))
+        return got
+
+    scratch = jaccard.scratch
+    monkeypatch.setattr(jaccard, "scratch", spy)
+    monkeypatch.setattr(jaccard, "HOT", 3)
+    same(documents, corpus(8, 2, 40, 5000, [200], [0.014, 0.018]))
+    memberships = next(n for name, n, _ in written if name == "jaccard-hot")
+    listed = [(name, n) for name, n, columns in written if "bucket" in columns and "component" in columns]
+    assert len([name for name, _, _ in written if name == "jaccard-turned"]) > 1, "a turn has to find links"
+    assert listed and all(n < memberships for _, n in listed), (memberships, listed)
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents([])).count() == 0
     got = near_duplicates(documents([(3, None), (4, ""), (5, " ")])).collect()
