@@ -24,7 +24,9 @@ length follows the calendar, never the row count.
 
 from __future__ import annotations
 
+import re
 import threading
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -135,6 +137,12 @@ def base_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 CELL_INPUTS = ("month", "price", "status", "priority", "rflag", "discount", "dtp")
 
 
+def inputs_of(cols) -> list[str]:
+    """The cell inputs that the aggregates of the metrics ``cols`` name, and the month."""
+    named = set(re.findall(r"\w+", " ".join(VARIANT_AGGS_BY_COL[col] for col in cols)))
+    return [c for c in CELL_INPUTS if c == "month" or c in named]
+
+
 def fact(spark: SparkSession, sf_dir: str, grain: str, base: DataFrame, deal: int | None = None) -> DataFrame:
     """One row per line item with region attributes and the cell inputs.
 
@@ -142,15 +150,16 @@ def fact(spark: SparkSession, sf_dir: str, grain: str, base: DataFrame, deal: in
     that no later grouping by region moves them again."""
     g = GRAINS[grain]
     nation = read(spark, sf_dir, "nation")
+    inputs = [c for c in CELL_INPUTS if c in base.columns]
 
     def of_dimension(dim: DataFrame, line_key: str, key: str) -> DataFrame:
-        lines = base.where(F.col(line_key).isNotNull()).select(line_key, *CELL_INPUTS)
+        lines = base.where(F.col(line_key).isNotNull()).select(line_key, *inputs)
         if deal:
             lines, dim = lines.repartition(deal, line_key), dim.repartition(deal, key).hint("merge")
         return lines.join(dim, F.col(line_key) == F.col(key))
 
     if g.dimension in ("region", "nation"):
-        f = base.select(*CELL_INPUTS, F.explode("nations").alias("c_nationkey"))
+        f = base.select(*inputs, F.explode("nations").alias("c_nationkey"))
         f = f.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         f = f.join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         if g.dimension == "region":
@@ -174,7 +183,7 @@ def fact(spark: SparkSession, sf_dir: str, grain: str, base: DataFrame, deal: in
     ]
     if g.has_state:
         cols.append(state.cast("string").alias("StateName"))
-    f = f.select(*cols, *CELL_INPUTS)
+    f = f.select(*cols, *inputs)
     if g.country_row:
         national = f.withColumns({
             "RegionID": F.lit(COUNTRY_ID).cast("bigint"),
@@ -216,8 +225,9 @@ CELLS_IN_TASK = 100_000
 DEALT_BYTES = 16 << 20
 
 
-def region_cells(spark: SparkSession, sf_dir: str, grain: str, months: list[str], base: DataFrame, base_bytes: int) -> DataFrame:
-    """One row per region: its attributes, and for each metric (named by its
+def region_cells(spark: SparkSession, sf_dir: str, grain: str, months: list[str], base: DataFrame, base_bytes: int,
+                 cols=tuple(VARIANT_AGGS_BY_COL)) -> DataFrame:
+    """One row per region: its attributes, and for each metric of ``cols`` (named by its
     column) an array with the values of the months, from the first on. The
     array ends with the region's last month; months without lines are NULL.
     ``has_<column>`` tells whether the metric's header has a filled month.
@@ -231,16 +241,16 @@ def region_cells(spark: SparkSession, sf_dir: str, grain: str, months: list[str]
     ids = [c for c in f.columns if c not in CELL_INPUTS]
     first = int(months[0][:4]) * 12 + int(months[0][5:7]) - 1
     cells = f.groupBy(*ids, (F.col("month") - first).alias("at")).agg(
-        *[F.expr(sql).cast("double").alias(col) for col, sql in VARIANT_AGGS_BY_COL.items()])
-    found = cells.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("at", *VARIANT_AGGS_BY_COL))).alias("c"))
+        *[F.expr(VARIANT_AGGS_BY_COL[col]).cast("double").alias(col) for col in cols])
+    found = cells.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("at", *cols))).alias("c"))
     nothing = f"CAST(NULL AS {found.schema['c'].dataType.elementType.simpleString()})"
     gap = "x.at - coalesce(get(c, k - 1).at, -1) - 1"
     has = []
-    for col in VARIANT_AGGS_BY_COL:
+    for col in cols:
         start, end = header_cut(col, grain)
         has.append(f"exists(c, x -> x.{col} IS NOT NULL AND x.at >= {start} AND x.at < {len(months) - end}) AS has_{col}")
     whole = found.selectExpr(*ids, *has, f"flatten(transform(c, (x, k) -> concat(array_repeat({nothing}, {gap}), array(x)))) AS c")
-    return whole.selectExpr(*ids, *[f"has_{col}" for col in VARIANT_AGGS_BY_COL], *[f"c.{col} AS {col}" for col in VARIANT_AGGS_BY_COL])
+    return whole.selectExpr(*ids, *[f"has_{col}" for col in cols], *[f"c.{col} AS {col}" for col in cols])
 
 
 def wide_metric(regions: DataFrame, col: str, grain: str, months: list[str]) -> DataFrame:
@@ -255,76 +265,98 @@ def wide_metric(regions: DataFrame, col: str, grain: str, months: list[str]) ->
     return regions.where(f"has_{col}").selectExpr(*ids, *[f"get({col}, {months.index(m)}) AS `{m}`" for m in header])
 
 
-# Landed raw files, memoised per (workspace, tables folder, grain).
-_LANDED: dict[tuple[str, str, str], str] = {}
+# Landed raw files, memoised per (workspace, tables folder, grain, metric), and the cell inputs of a stored base.
+_LANDED: dict[tuple, str] = {}
+_BASES: dict[tuple[str, str], list[str]] = {}
 _LAND_LOCK = threading.Lock()
-LANDING_VERSION = "v7"
+LANDING_VERSION = "v8"
 #: Metrics written at a time.
 WRITERS = 8
-#: Stored bytes of a grain's regions for each file of a metric.
+#: Stored bytes of a grain's regions, were they of all metrics, for each file of a metric.
 FILE_BYTES = 64 << 20
-#: Stored bytes of a grain's regions from which its files are gzip; smaller ones stay plain.
+#: Such bytes from which a grain's files are gzip; smaller ones stay plain.
 PACK_BYTES = 1 << 20
 #: Grains whose files are plain at any size: they are cut by split, which a gzip file is not.
 SPLIT_GRAINS = ("county",)
 
 
-def land_raw(spark: SparkSession, sf_dir: str, grains=None) -> str:
-    """Land every (metric, grain) wide file as CSV, once per workspace.
+def land_raw(spark: SparkSession, sf_dir: str, grains=None, cols=None) -> str:
+    """Land every (metric, grain) wide file as CSV, once per workspace; only the metrics ``cols`` if these are given.
 
-    Per grain: one row per region holds all 21 metrics as arrays over the
+    Per grain: one row per region holds the metrics as arrays over the
     months (``region_cells``), stored once; each metric's file is written
     from its own array, without a shuffle. Files of large grains are gzip
     (``part-*.csv.gz``), but for ``SPLIT_GRAINS``. Returns that folder.
+
+    Grains land one after the other, and what one needs is gone before the
+    next: its shuffles, its stored regions, and after the last the stored lines.
     """
     from ..session import workspace
     from ..sources.wide_csv import CSV_WRITE_OPTIONS
 
-    with _LAND_LOCK:  # callers in several threads must not land the same grain twice
-        return _land(spark, sf_dir, grains, workspace(spark), CSV_WRITE_OPTIONS)
+    with _LAND_LOCK, _shuffles_dropped(spark):  # callers in several threads must not land the same grain twice
+        return _land(spark, sf_dir, grains or specs.GRAINS, list(cols or VARIANT_AGGS_BY_COL), workspace(spark), CSV_WRITE_OPTIONS)
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Within, Spark removes the shuffle files of a query when the query ends, not when the driver's heap is cleared."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
-def _land(spark, sf_dir, grains, ws, csv_options) -> str:
+def _land(spark, sf_dir, grains, cols, ws, csv_options) -> str:
     # one landing zone per application: two that share the folder must not overwrite each other's files
     ws = f"{ws}/{spark.sparkContext.applicationId}"
     tag = sf_dir.rstrip("/").replace("/", "_").replace(":", "_")
     root = f"{ws}/raw-{LANDING_VERSION}-{tag}"
-    todo = [g for g in (grains or specs.GRAINS) if (ws, sf_dir, g) not in _LANDED]
+    missing = lambda some: {g: cs for g in some if (cs := [c for c in cols if (ws, sf_dir, g, c) not in _LANDED])}
+    todo = missing(grains)
     if not todo:
         return root
     months = month_header(spark, sf_dir)
     # The big join happens once: its result is written (cutting lineage) and
     # every grain's aggregation reads it instead of re-shuffling lineitem.
     base_path = f"{root}/_base"
-    if (ws, sf_dir, "_base") not in _LANDED:
-        base_fact(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(base_path)
-        _LANDED[(ws, sf_dir, "_base")] = root
+    inputs = inputs_of({c for cs in todo.values() for c in cs})
+    if not set(inputs) <= set(_BASES.get((ws, sf_dir), ())):
+        found = base_fact(spark, sf_dir).drop(*[c for c in CELL_INPUTS if c not in inputs])
+        found.write.mode("overwrite").option("compression", "zstd").parquet(base_path)
+        _BASES[ws, sf_dir] = inputs
     base = spark.read.parquet(base_path)
     size_of = lambda path: sum(size for _p, size, _m in files.list_files(spark, path))
+    prefix_of = {col: prefix for fam in specs.FAMILIES.values() for prefix, col in fam.variants.items()}
+
+    def metric(df, n, codec, grain, col):
+        wide = wide_metric(df, col, grain, months)
+        wide.coalesce(n).write.mode("overwrite").options(**csv_options, compression=codec).csv(landing_path(root, prefix_of[col], grain))
 
-    def regions(grain):
+    from concurrent.futures import ThreadPoolExecutor
+    for grain, some in todo.items() if months else ():
         staged = f"{root}/_regions/{grain}"
-        region_cells(spark, sf_dir, grain, months, base, size_of(base_path)).write.mode("overwrite").option("compression", "zstd").parquet(staged)
+        region_cells(spark, sf_dir, grain, months, base, size_of(base_path), some).write.mode("overwrite").option("compression", "zstd").parquet(staged)
         df = spark.read.parquet(staged)
-        filled = df.selectExpr(*[f"max(has_{col}) AS {col}" for col in VARIANT_AGGS_BY_COL]).first()
-        size = size_of(staged)
+        filled = df.selectExpr(*[f"max(has_{col}) AS {col}" for col in some]).first()
+        size = size_of(staged) * len(VARIANT_AGGS_BY_COL) // len(some)
         codec = "gzip" if size > PACK_BYTES and grain not in SPLIT_GRAINS else "none"
-        return df, max(1, -(-size // FILE_BYTES)), codec, filled
-
-    def metric(grain, stored, prefix, col):
-        df, n, codec, filled = stored.result()
-        if filled[col]:  # a metric without a region has no file
-            wide = wide_metric(df, col, grain, months)
-            wide.coalesce(n).write.mode("overwrite").options(**csv_options, compression=codec).csv(landing_path(root, prefix, grain))
-
-    # grains and metrics are independent: land them as concurrent jobs
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=len(todo)) as grains_pool, ThreadPoolExecutor(max_workers=WRITERS) as pool:
-        stored = {g: grains_pool.submit(regions, g) for g in todo if months}
-        written = {g: [pool.submit(metric, g, stored[g], prefix, col)
-                       for fam in specs.FAMILIES.values() for prefix, col in fam.variants.items()] for g in stored}
-        for grain in todo:
-            for w in written.get(grain, ()):
-                w.result()
-            _LANDED[(ws, sf_dir, grain)] = root
+        with ThreadPoolExecutor(max_workers=WRITERS) as pool:  # metrics are independent: land them as concurrent jobs
+            # a metric without a region has no file
+            written = [pool.submit(metric, df, max(1, -(-size // FILE_BYTES)), codec, grain, col) for col in some if filled[col]]
+        for w in written:
+            w.result()
+        files.delete(spark, staged)
+        _LANDED.update({(ws, sf_dir, grain, col): root for col in some})
+    if not months:
+        _LANDED.update({(ws, sf_dir, g, col): root for g, some in todo.items() for col in some})
+    if not missing(specs.GRAINS):
+        files.delete(spark, base_path)
+        del _BASES[ws, sf_dir]
     return root

@@ -160,14 +160,14 @@ def union_grains(results: dict[str, DataFrame]) -> DataFrame:
 
 def fixture_family(spark: SparkSession, sf_dir: str, family: str, root: str, *, grains=None,
                    min_rows: int | None = 1, mode: str = "merge", ledger_root: str | None = None) -> dict:
-    """Run one family at every grain on raw files landed from ``sf_dir``.
+    """Run one family at every grain on its raw files, landed from ``sf_dir``.
 
     Production floors (500..500,000 rows) are meant for the real files; the
     fixture tables are small, so the registered queries pass ``min_rows=1``.
     """
     from .fixtures import land_raw
 
-    raw_root = land_raw(spark, sf_dir, grains)
+    raw_root = land_raw(spark, sf_dir, grains, specs.FAMILIES[family].value_columns)
     return run_family(spark, family, raw_root, root, grains=grains, min_rows=min_rows, mode=mode,
                       ledger_root=ledger_root)
 

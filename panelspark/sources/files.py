@@ -109,6 +109,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise FileExistsError(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all it holds; nothing if there is none."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)

@@ -135,3 +135,43 @@ def test_large_grains_land_as_gzip_and_are_read_alike(spark, tables, tmp_path, m
     assert set(first["tables"]) == {("inventory", "city")} and first["files"] >= 1
     assert run_all(spark, root, out, families=["inventory"], grains=["city"], min_rows=1)["tables"] == {}
     assert run_all(spark, root, str(tmp_path / "new"), families=["inventory"], grains=["city"], min_rows=1)["tables"]
+
+
+def landed(root):
+    out = {}
+    for path in glob.glob(f"{root}/*.csv/part-*"):
+        with open(path, newline="") as f:
+            out.setdefault(path.split("/")[-2], []).extend(csv.reader(f))
+    return {name: sorted(rows) for name, rows in out.items()}
+
+
+def test_landing_keeps_files_only(spark, tables):
+    """Stored lines and regions go when nothing needs them any more; the session's setting stays."""
+    d, _rows = tables
+    X._LANDED.clear()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    root = X.land_raw(spark, d)
+    assert landed(root) and spark.conf.get(key, None) == before
+    assert not files.exists(spark, f"{root}/_base") and not files.list_files(spark, f"{root}/_regions")
+
+
+def test_a_family_lands_its_own_files(spark, tables, monkeypatch):
+    """Metrics landed by family, with the inputs they name, hold the rows of those landed together."""
+    from panelspark.plans import panels
+
+    d, _rows = tables
+    X._LANDED.clear()
+    whole = landed(X.land_raw(spark, d))
+    assert X.inputs_of(["rent"]) == ["month", "price"] and X.inputs_of(["pct_price_cut"]) == ["month", "discount"]
+    roots = []
+    monkeypatch.setattr(panels, "run_family", lambda spark, family, raw_root, *a, **k: roots.append(raw_root))
+    X._LANDED.clear()
+    monkeypatch.setattr(X, "LANDING_VERSION", "apart")
+    seen = {}
+    for name, fam in FAMILIES.items():
+        panels.fixture_family(spark, d, name, "unused")
+        new = {k: v for k, v in landed(roots[-1]).items() if k not in seen}
+        assert new and {k.rsplit("_", 1)[0] for k in new} <= set(fam.variants)
+        seen.update(new)
+    assert seen == whole
