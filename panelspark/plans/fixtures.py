@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import re
 import threading
-from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -291,28 +290,13 @@ def land_raw(spark: SparkSession, sf_dir: str, grains=None, cols=None) -> str:
     Grains land one after the other, and what one needs is gone before the
     next: its shuffles, its stored regions, and after the last the stored lines.
     """
-    from ..session import workspace
+    from ..session import shuffles_dropped, workspace
     from ..sources.wide_csv import CSV_WRITE_OPTIONS
 
-    with _LAND_LOCK, _shuffles_dropped(spark):  # callers in several threads must not land the same grain twice
+    with _LAND_LOCK, shuffles_dropped(spark):  # callers in several threads must not land the same grain twice
         return _land(spark, sf_dir, grains or specs.GRAINS, list(cols or VARIANT_AGGS_BY_COL), workspace(spark), CSV_WRITE_OPTIONS)
 
 
-@contextmanager
-def _shuffles_dropped(spark: SparkSession):
-    """Within, Spark removes the shuffle files of a query when the query ends, not when the driver's heap is cleared."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def _land(spark, sf_dir, grains, cols, ws, csv_options) -> str:
     # one landing zone per application: two that share the folder must not overwrite each other's files
     ws = f"{ws}/{spark.sparkContext.applicationId}"

@@ -7,8 +7,10 @@ metadata -> output profile.
 
 from __future__ import annotations
 
+import threading
 import warnings
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 from functools import reduce
 
@@ -21,6 +23,7 @@ from ..functions.scalars import to_double
 from ..operators.reshape import (date_columns, id_columns, melt, melt_multi, merge_variants_packed, merge_variants_union,
                                  normalize_header_date, of_grain)
 from ..operators.standardize import standardize
+from ..session import shuffles_dropped
 from ..sinks.publish import check_metadata, log_error, log_output
 from ..sinks.table import Table
 from ..sources import files
@@ -181,18 +184,26 @@ def load_variants(spark: SparkSession, family: specs.Family, grain: str, raw_roo
     return out
 
 
+#: Landed bytes of a table from which it does not run beside another such table: their shuffles would add up on disk.
+LARGE_BYTES = 4 << 20
+_LARGE_LOCK = threading.Lock()
+
+
 def _run_grains(spark: SparkSession, family: str, raw_root: str, root: str, grains, min_rows, mode, ledger_root,
                 parallel: int) -> tuple[dict, dict]:
     """(results, errors) of a family by grain: the grain tables are independent, so their pipelines are
-    submitted from ``parallel`` driver threads as concurrent jobs of one application."""
+    submitted from ``parallel`` driver threads as concurrent jobs of one application, large ones one after the
+    other. The shuffles of a job go when it ends."""
     fam = specs.FAMILIES[family]
 
     def one(grain):
-        frames = load_variants(spark, fam, grain, raw_root)
-        return run_panel(spark, fam, grain, frames, root, mode=mode, min_rows=min_rows,
-                         check_empty=False, ledger_root=ledger_root)
+        landed = sum(size for prefix in fam.variants for _p, size, _m in files.list_files(spark, landing_path(raw_root, prefix, grain)))
+        with _LARGE_LOCK if landed > LARGE_BYTES else nullcontext():
+            frames = load_variants(spark, fam, grain, raw_root)
+            return run_panel(spark, fam, grain, frames, root, mode=mode, min_rows=min_rows,
+                             check_empty=False, ledger_root=ledger_root)
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(grains)))) as pool:
+    with shuffles_dropped(spark), ThreadPoolExecutor(max_workers=max(1, min(parallel, len(grains)))) as pool:
         futures = {g: pool.submit(one, g) for g in grains}
     errors = {g: f.exception() for g, f in futures.items() if f.exception() is not None}
     for grain, e in errors.items():

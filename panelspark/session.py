@@ -10,11 +10,16 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# Sessions that drop shuffles: how many callers ask for it now, and the setting before the first.
+_DROPPING: dict[SparkSession, tuple[int, str | None]] = {}
+_DROP_LOCK = threading.Lock()
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -61,3 +66,26 @@ def workspace(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder below the workspace."""
     return f"{workspace(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within, Spark removes the shuffle files of a query when the query ends, not when the driver's heap is cleared.
+
+    Callers in several threads may overlap: the last to leave restores the session's setting."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with _DROP_LOCK:
+        n, before = _DROPPING.get(spark, (0, spark.conf.get(key, None)))
+        _DROPPING[spark] = n + 1, before
+        spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        with _DROP_LOCK:
+            n, before = _DROPPING.pop(spark)
+            if n > 1:
+                _DROPPING[spark] = n - 1, before
+            elif before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)

@@ -4,12 +4,14 @@ import calendar
 import csv
 import datetime as dt
 import glob
+import threading
+import time
 
 import pytest
 
 from panelspark.plans import fixtures as X
 from panelspark.sources import files
-from panelspark.specs import FAMILIES
+from panelspark.specs import FAMILIES, GRAINS
 
 PREFIX = {col: prefix for fam in FAMILIES.values() for prefix, col in fam.variants.items()}
 
@@ -175,3 +177,33 @@ def test_a_family_lands_its_own_files(spark, tables, monkeypatch):
         assert new and {k.rsplit("_", 1)[0] for k in new} <= set(fam.variants)
         seen.update(new)
     assert seen == whole
+
+
+def test_large_tables_run_in_turn_without_old_shuffles(spark, tmp_path, monkeypatch):
+    """Tables with large files have no shuffles beside each other's, and those of a job go when it ends."""
+    from panelspark.plans import panels
+    from panelspark.session import shuffles_dropped
+
+    for prefix in FAMILIES["sales"].variants:
+        for grain in GRAINS:
+            (tmp_path / f"{prefix}_{grain}.csv").write_text("RegionID,SizeRank,RegionName,RegionType,2020-01-31\n1,1,a,b,5\n")
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, lock, active, most, settings = spark.conf.get(key, None), threading.Lock(), [0], [0], []
+
+    def slow(*a, **k):
+        with lock:
+            active[0] += 1
+            most[0] = max(most[0], active[0])
+            settings.append(spark.conf.get(key, None))
+        time.sleep(0.5)
+        with lock:
+            active[0] -= 1
+
+    monkeypatch.setattr(panels, "run_panel", slow)
+    monkeypatch.setattr(panels, "LARGE_BYTES", 0)
+    panels.run_family(spark, "sales", str(tmp_path), "unused")
+    assert most == [1] and settings == ["true"] * len(GRAINS) and spark.conf.get(key, None) == before
+    with shuffles_dropped(spark):
+        panels.run_family(spark, "sales", str(tmp_path), "unused")
+        assert spark.conf.get(key, None) == "true"
+    assert spark.conf.get(key, None) == before
