@@ -371,8 +371,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hottest = Window.partitionBy("row", "step").orderBy(F.col("many").desc(), "bucket").rowsBetween(Window.unboundedPreceding, 0)
     needed = kept.filter((F.col("many") > HOT) & (F.col("heat") > F.col("limit"))).withColumn("upto", F.sum("weight").over(hottest))
     large = scratch(needed.filter(F.col("upto") > F.col("limit")).select("bucket", "sid").distinct(), "jaccard-large")
-    large = with_totals(large, ["bucket"], {"lead": (F.min("sid"), "min"), "n": (F.count(F.lit(1)), "sum")}, ["sid"], "n > 1")
-    large = scratch(large.drop("n"), "jaccard-hot")
+    leads = large.groupBy("bucket").agg(F.min("sid").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    large = scratch(large.join(leads, "bucket"), "jaccard-hot")  # an inner join, which AQE splits where a group is hot
 
     x = small.select("bucket", F.col("sid").alias("a"), F.col("weight").alias("wa"))
     y = small.select("bucket", F.col("sid").alias("b"), F.col("weight").alias("wb"))
@@ -381,7 +381,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = large.filter("sid != lead").select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct()
     heat = strong.groupBy("sid").agg(F.max("heat").alias("heat"))
     about = slim.select(F.col("row").alias("sid"), "n", "histogram", "k1", "k2")
-    sizes = about.select("sid", "n").join(heat, "sid")
+    sizes = scratch(about.select("sid", "n").join(heat, "sid"), "jaccard-sizes")  # every set that a pair can name
 
     def sized(pairs: DataFrame) -> DataFrame:
         """``pairs`` with the sizes and heats of both, where the sizes allow a link."""
@@ -420,7 +420,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     thin = rows.select("k1", "k2", "text", F.pmod("k1", F.lit(SIEVE)).alias("sieve")).join(F.broadcast(sieve), "sieve", "left_semi")
     chosen = thin.join(asked, ["k1", "k2"]).select("sid", "text")
     sets = scratch(chosen.mapInArrow(elements, "sid long, elements array<long>"), "jaccard-sets")
-    links = scratch(_linked(pairs, sets).distinct(), "jaccard-links")
+    links = scratch(_linked(pairs, sets), "jaccard-links")
     labels = connected_components(links)
 
     # The memberships of hot groups meet the components once; what the turns need of them is a row for each component
@@ -435,10 +435,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ones = scratch(ones, "jaccard-ones")
     for pick in picks:  # a member of the largest component against one of each other component
         one = ones.select("bucket", "component", "size", F.col(f"{pick}.sid").alias("one"))
-        most = {"most": (F.max(F.struct("size", "component", "one")), "max"), "components": (F.count(F.lit(1)), "sum")}
-        one = with_totals(one, ["bucket"], most, ["one"], "components > 1").filter("component != most.component")
+        most = one.groupBy("bucket").agg(F.max(F.struct("size", "component", "one")).alias("most"), F.count(F.lit(1)).alias("components"))
+        one = one.join(most.filter("components > 1"), "bucket").filter("component != most.component")
         turned = one.select(F.least("one", "most.one").alias("a"), F.greatest("one", "most.one").alias("b")).distinct()
-        new = scratch(_linked(scratch(possible(sized(turned)), "jaccard-turned"), sets).distinct(), "jaccard-links")
+        new = scratch(_linked(scratch(possible(sized(turned)), "jaccard-turned"), sets), "jaccard-links")
         if new.isEmpty():
             break
         links = scratch(links.unionAll(new), "jaccard-links")
@@ -447,9 +447,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ones = relabelled(ones, "component", labels).groupBy("bucket", "component").agg(*merged, F.sum("size").alias("size"))
         ones = scratch(ones, "jaccard-ones")
     several = ones.groupBy("bucket").agg(F.count(F.lit(1)).alias("components")).filter("components > 1").select("bucket")
-    salted = large.select("bucket", "sid", F.pmod(F.xxhash64("sid"), F.lit(256)).alias("salt"))  # as in with_totals
-    reach = salted.select("bucket", "salt").distinct().join(several, "bucket")
-    members = salted.join(reach, ["bucket", "salt"], "left_semi").select("sid").distinct()
+    members = large.join(several, "bucket", "left_semi").select("sid").distinct()
     open_ = scratch(relabelled(members, "sid", labels), "jaccard-open")
     if not open_.isEmpty():
         each = scratch(open_.join(sets.dropDuplicates(["sid"]), "sid").select("sid", "component", F.explode("elements").alias("element")), "jaccard-elements")
@@ -469,7 +467,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = F.least(F.col("sizea") - F.col("placea"), F.col("sizeb") - F.col("placeb"))
         fits = (F.col("a") < F.col("b")) & (F.col("componenta") != F.col("componentb")) & (left * (100 + PERCENT) >= need)
         more = x.join(y, ["element", "band"]).filter(fits).select("a", "b").distinct()
-        links = links.unionAll(_linked(scratch(possible(sized(more)), "jaccard-more"), sets))
+        links = links.unionAll(scratch(_linked(scratch(possible(sized(more)), "jaccard-more"), sets), "jaccard-links"))
         labels = connected_components(links)
 
     placed = slim.select("id", "row", "n", "k1", "k2").join(classed, "row", "left").join(labels.withColumnRenamed("node", "sid"), "sid", "left")

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from panelspark.llm import jaccard
+from panelspark.llm import components, jaccard
 from panelspark.llm.jaccard import dedup_near, near_duplicates, signatures
 
 
@@ -95,6 +95,35 @@ def test_turns_do_not_list_the_members_of_hot_groups_again(documents, monkeypatc
     assert listed and all(n < memberships for _, n in listed), (memberships, listed)
 
 
+def test_small_steps_shuffle_little(documents, monkeypatch):
+    """Each shuffle has a task for each partition, however few its rows: contraction needs one a round, a turn two."""
+    shuffles = {}
+
+    def spy(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        shuffles.setdefault(name, []).append(plan.count("Exchange hashpartitioning"))
+        return scratch(df, name)
+
+    scratch = jaccard.scratch
+    for module in (jaccard, components):
+        monkeypatch.setattr(module, "scratch", spy)
+    monkeypatch.setattr(jaccard, "HOT", 3)
+    same(documents, corpus(8, 2, 40, 5000, [200], [0.014, 0.018]))
+    assert set(shuffles["cc-step"]) == {1} and set(shuffles["cc-edges"]) == {0}, shuffles
+    assert len(shuffles["jaccard-turned"]) > 1 and set(shuffles["jaccard-turned"]) == {2}, shuffles
+
+
+def test_components_of_repeated_edges(spark, tmp_path):
+    """Stars, chains, loops and edges that repeat, both ways round."""
+    edges = [(5, k) for k in (1, 2, 7, 9)] + [(k, k + 1) for k in range(20, 60)] + [(70, 70), (71, 72), (72, 71), (71, 72)]
+    spark.createDataFrame(edges * 3, "a long, b long").write.parquet(str(tmp_path / "edges"))
+    got = components.connected_components(spark.read.parquet(str(tmp_path / "edges"))).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r.component, []).append(r.node)
+    assert sorted(sorted(v) for v in found.values()) == [[1, 2, 5, 7, 9], list(range(20, 61)), [71, 72]]
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents([])).count() == 0
     got = near_duplicates(documents([(3, None), (4, ""), (5, " ")])).collect()
