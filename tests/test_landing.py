@@ -207,3 +207,45 @@ def test_large_tables_run_in_turn_without_old_shuffles(spark, tmp_path, monkeypa
         panels.run_family(spark, "sales", str(tmp_path), "unused")
         assert spark.conf.get(key, None) == "true"
     assert spark.conf.get(key, None) == before
+
+
+def test_cells_become_text_once_and_every_part_has_the_header(spark, tables, tmp_path, monkeypatch):
+    """Stored regions hold each metric's part of its CSV line; a file begins with the header once, however many files there are."""
+    d, rows = tables
+    monkeypatch.setattr(X, "CELLS_IN_TASK", 0)
+    months = X.month_header(spark, d)
+    X.base_fact(spark, d).write.parquet(f"{d}/_base")
+    regions = X.region_cells(spark, d, "county", months, spark.read.parquet(f"{d}/_base"), 1, ("rent", "new_listings"))
+    regions.repartition(3, "head").write.parquet(f"{d}/_regions")
+    stored = spark.read.parquet(f"{d}/_regions")
+    types = dict(stored.dtypes)
+    assert types["head"] == types["rent"] == types["new_listings"] == "string"
+    header = ["RegionID", "SizeRank", "RegionName", "RegionType", "StateName"]
+    found = {}
+    for n in (1, 3):
+        lines = X.wide_metric(stored, "new_listings", "county", months, n)
+        assert lines.columns == ["value"]
+        parts = ["\n".join(r["value"] for r in part) for part in lines.rdd.glom().collect() if part]
+        found[n] = []
+        for part in parts:
+            first, *records = csv.reader(part.splitlines(keepends=True))
+            assert first == header + months[:-3] and header not in [r[:5] for r in records]
+            found[n] += records
+    assert sorted(found[1]) == sorted(found[3]) and len(found[1]) == 2
+    assert {r[2] for r in found[1]} == {n + X.COUNTY_SUFFIX for n in ('S "1"', "S2")}
+    counted = sum(float(v) for r in found[1] for v in r[5:] if v)
+    in_header = [k for k, _c, _s, _p, day in rows["orders"] if day is not None and day.month <= len(months) - 3]
+    assert counted == 4 * len(in_header)
+
+
+def test_panels_run_without_methods_that_the_jvm_does_not_compile(spark):
+    from panelspark.session import shuffles_dropped
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key, None)
+    with shuffles_dropped(spark):
+        assert spark.conf.get(key) == "8000"
+        with shuffles_dropped(spark):
+            pass
+        assert spark.conf.get(key) == "8000"
+    assert spark.conf.get(key, None) == before
